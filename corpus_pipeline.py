@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import mixing, packing, pii, toxicity
+from loomline.llm import minhash_dedup, mixing, packing, pii, toxicity
 from loomline.llm.textops import fresh_path
 
 
@@ -15,6 +15,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.score(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id")).where("p_toxic <= 0.5").select(*docs.columns)
 
 
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one with the least doc_id; of rows that repeat a doc_id, one."""
+    kept = minhash_dedup.near_duplicates(docs).where("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to its kind; n_chars follows the text."""
     found = pii.redact_column(docs, pii.trained())
@@ -30,7 +36,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs)
 
 
-STAGES = [("toxicity", toxicity_stage), ("pii", pii_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
+STAGES = [("toxicity", toxicity_stage), ("near_duplicates", dedup_stage), ("pii", pii_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from loomline.llm import embedding_dedup, media, mixing, packing, pii, secrets, toxicity
+from loomline.llm import embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, toxicity
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_mix": mixing.op2_mix,
     "op5_media": media.op5_media,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_minhash_dedup": minhash_dedup.op7_minhash_dedup,
     "op8_pack": packing.op8_pack,
     "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
     "op10_secrets": secrets.op10_secrets,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op2_mix": mixing.OP2_SQL, "op9_embedding_dedup": embedding_dedup.OP9_SQL}
+ORACLES = {"op2_mix": mixing.OP2_SQL, "op7_minhash_dedup": minhash_dedup.OP7_SQL, "op9_embedding_dedup": embedding_dedup.OP9_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
