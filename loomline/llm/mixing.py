@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from loomline.llm.textops import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
-MOST_REPEATS, BUCKET_ROWS, SEED = 3, 20_000, 17
+MOST_REPEATS, BUCKET_ROWS, SEED = 3, 4_000, 17
 WEIGHTS = (1, 2, 3)
 
 
