@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from loomline.llm import embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, toxicity
+from loomline.llm import embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_mix": mixing.op2_mix,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_substring_index": substring_index.op4_substring_index,
     "op5_media": media.op5_media,
     "op6_toxicity": toxicity.op6_toxicity,
@@ -17,6 +18,12 @@ QUERIES = {
     "op10_secrets": secrets.op10_secrets,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op2_mix": mixing.OP2_SQL, "op4_substring_index": substring_index.OP4_SQL, "op7_minhash_dedup": minhash_dedup.OP7_SQL, "op9_embedding_dedup": embedding_dedup.OP9_SQL}
+ORACLES = {
+    "op2_mix": mixing.OP2_SQL,
+    "op3_suffix_dedup": suffix_dedup.OP3_SQL,
+    "op4_substring_index": substring_index.OP4_SQL,
+    "op7_minhash_dedup": minhash_dedup.OP7_SQL,
+    "op9_embedding_dedup": embedding_dedup.OP9_SQL,
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

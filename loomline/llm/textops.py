@@ -67,7 +67,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         _, offsets = utf8(batch.column(column))
         at = 0
         while at < batch.num_rows:
-            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+            end = min(at + 50_000, max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1))
             yield batch.slice(at, end - at)
             at = end
 
