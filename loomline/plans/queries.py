@@ -1,4 +1,842 @@
-"""The registered queries of the reference operators, and their DuckDB SQL."""
+"""The registered queries: each operator on the driver's tables, and DuckDB SQL for the same rows where SQL can express it.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+Stand-ins: documents are pages of a manual named by their source; consecutive user and assistant turns are questions
+and answers; events are executions of a pattern named by their user; benchmark texts are retrieval queries.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from loomline.functions import text as tx
+from loomline.functions.config import Domain
+from loomline.functions.questions import QUESTIONS
+from loomline.operators import chunking, curation, learning, memory, pages, patterns, qa, retrieval
+from loomline.plans.prepare import document_pairs
+from loomline.sources import readers, sinks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+KEYWORDS = ("the", "ing", "ion", "que", "und")
+DOMAIN = Domain(keywords=("the", "und", "les", "que"), min_matches=3)
+
+
+def query(name: str, sql: str | None = None):
+    def add(f: Callable[[Callable[[str], DataFrame]], DataFrame]):
+        QUERIES[name] = lambda spark, sf_dir: f(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
+        QUERIES[name].__name__ = name
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+# ---- SQL pieces
+
+_SP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def s_strip(x: str) -> str:
+    return f"trim(coalesce({x}, ''), {_SP})"
+
+
+def s_words(x: str) -> str:
+    return f"list_filter(regexp_split_to_array({x}, '\\s+'), lambda w: w <> '')"
+
+
+def s_lines(x: str) -> str:
+    return f"list_filter(list_transform(string_split(coalesce({x}, ''), chr(10)), lambda l: trim(l, {_SP})), lambda l: l <> '')"
+
+
+def s_tokens(x: str, pattern: str) -> str:
+    return f"regexp_extract_all(lower({x}), '{pattern}')"
+
+
+def s_list(values) -> str:
+    return "[" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in values) + "]"
+
+
+def s_round(x: str) -> str:
+    return f"round({x}, 4)"
+
+
+S_QA = """qa as (select conv_id, turn, conv_id * 1000 + turn as seq, text as question, ntext as answer from (
+  select *, lead(text) over (partition by conv_id order by turn) as ntext, lead(role) over (partition by conv_id order by turn) as nrole from conversations)
+  where role = 'user' and nrole = 'assistant')"""
+
+
+def pairs(t) -> DataFrame:
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    c = t("conversations").withColumn("nrole", F.lead("role").over(w)).withColumn("answer", F.lead("text").over(w))
+    return c.where("role = 'user' and nrole = 'assistant'").select("conv_id", "turn", (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"), F.col("text").alias("question"), "answer")
+
+
+# ---- pages
+
+S_LS = f"l as (select doc_id, source, lang, text, {s_lines('text')} as ls, {s_strip('text')} as t from documents)"
+S_TOC = r"(len(t) >= 50 and ((len(ls) > 3 and contains(lower(ls[1]), 'contents')) or (len(list_filter(ls, lambda x: regexp_matches(x, '\.\s{0,2}\d+\s*$'))) >= 3 and len(list_filter(ls, lambda x: regexp_matches(x, '\.\s{0,2}\d+\s*$'))) >= len(ls) // 2)))"
+S_BOILER = r"(len(t) < 100 or (contains(lower(t), 'copyright') and (contains(lower(t), 'rights reserved') or contains(t, '©'))) or (contains(lower(t), 'trademark') and contains(lower(t), 'safety') and len(t) < 800) or (regexp_matches(lower(t), 'https?://\S+') and len(t) < 300))"
+S_INDEX = r"(len(t) >= 50 and (len(list_filter(ls, lambda x: regexp_matches(x, '^[A-Z]$'))) >= 3 or (len(list_filter(ls, lambda x: regexp_matches(x, '\d+(?:,\s*\d+)*\s*$') and len(x) < 80)) >= 5 and len(list_filter(ls, lambda x: regexp_matches(x, '\d+(?:,\s*\d+)*\s*$') and len(x) < 80)) >= len(ls) * 0.5)))"
+S_SUBST = f"(len(t) >= 80 and len(list_filter(string_split(t, chr(10)), lambda x: len(trim(x, {_SP})) > 20)) >= 2 and coalesce(list_sum(list_transform(list_filter(string_split(t, chr(10)), lambda x: len(trim(x, {_SP})) > 20), lambda x: len(x))), 0) > 200)"
+S_KEEP = f"({S_SUBST} and not {S_BOILER} and not {S_TOC} and not {S_INDEX})"
+
+
+def s_heading(x: str) -> str:
+    return (
+        f"(len({x}) between 3 and 80 and not regexp_matches({x}, '[.:,]$') and len({s_words(x)}) <= 10 and not regexp_matches({x}, '^\\d') and not regexp_matches({x}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') "
+        f"and len(list_filter(regexp_extract_all({x}, '[\\p{{L}}\\p{{N}}_]+'), lambda k: regexp_full_match(k, '\\d+'))) < 2 and not list_contains({s_list(pages.RESERVED_HEADINGS)}, upper({x})) "
+        f"and len(list_intersect({s_words(x)}, {s_list(pages.STRUCTURE_WORDS)})) < 2 and ({' or '.join(f'regexp_matches({x}, $q${p}$q$)' for p in pages.HEADING_SHAPES)}))"
+    )
+
+
+def flag_query(name: str, test: Callable[[str], Column], sql: str) -> None:
+    query(name, f"with {S_LS} select doc_id, {sql} as flag from l")(lambda t: t("documents").select("doc_id", test("text").alias("flag")))
+
+
+flag_query("flt1_toc", pages.is_toc, S_TOC)
+flag_query("flt2_boilerplate", pages.is_boilerplate, S_BOILER)
+flag_query("flt3_index", pages.is_index, S_INDEX)
+flag_query("flt4_substantive", pages.is_substantive, S_SUBST.replace("string_split(t, chr(10))", "string_split(text, chr(10))"))
+flag_query("src10_valid_text", pages.valid_text, f"(len(t) >= 50 and len(ls) >= 3 and len({s_words('text')}) >= 10 and len(translate(text, ' ' || chr(10), '')) > 0 and len(regexp_replace(text, '[^\\p{{L}}]+', '', 'g')) / greatest(len(translate(text, ' ' || chr(10), '')), 1) >= 0.4)")
+flag_query("flt6_structured", lambda c: DOMAIN.structured(F.col(c)), f"(len(list_filter({s_tokens('text', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3)")
+
+
+@query("flt5_page_chain", f"with {S_LS} select source, count(*) as pages, count(*) filter ({S_KEEP}) as kept from l group by source")
+def _(t):
+    return t("documents").groupBy("source").agg(F.count("*").alias("pages"), F.count_if(pages.keep_page("text")).alias("kept"))
+
+
+@query("flt7_heading_lines", f"with {S_LS}, x as (select doc_id, unnest(ls) as line from l) select doc_id, count(*) as n_lines, count(*) filter ({s_heading('line')}) as n_headings from x group by doc_id")
+def _(t):
+    return t("documents").select("doc_id", F.explode(pages.lines("text")).alias("line")).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(pages.is_heading("line")).alias("n_headings"))
+
+
+@query("chk7_page_heading", f"with {S_LS} select doc_id, list_filter(ls[1:5], lambda x: {s_heading('x')})[1] as heading from l")
+def _(t):
+    return t("documents").select("doc_id", pages.page_heading("text").alias("heading"))
+
+
+S_KEY = lambda x: f"trim(lower(regexp_replace(regexp_replace(trim({x}, {_SP}), '^\\d{{1,4}}\\s+', ''), '\\s+\\d{{1,4}}$', '')), {_SP})"
+S_RUN = f"""b as (select doc_id, source, list_filter(string_split({s_strip('text')}, chr(10)), lambda l: trim(l, {_SP}) <> '') as ls from documents),
+e as (select source, 'header' as side, unnest(ls[1:2]) as x from b union all select source, 'footer', unnest(case when len(ls) >= 2 then ls[-2:] else ls end) from b),
+c as (select source, side, {S_KEY('x')} as line, count(*) as n from e group by all having len(line) > 4),
+r as (select c.* from c join (select source, count(*) as p from documents group by source having count(*) >= 4) using (source) where n >= greatest(3, floor(p * 0.02)))"""
+
+
+@query("chk5_running_lines", f"with {S_RUN} select source, side, line, n from r")
+def _(t):
+    return pages.running_lines(t("documents"), "source", "text", 0.02)
+
+
+@query("chk6_stripped_pages", f"with {S_RUN}, k as (select source, list(distinct line) as ks from r group by source) select doc_id, len(case when ks is null then text else array_to_string(list_filter(string_split(text, chr(10)), lambda l: not list_contains(ks, {S_KEY('l')}) and not regexp_matches(l, '^\\s*\\d{{1,4}}\\s*$')), chr(10)) end) as n_chars from documents d left join k on k.source = d.source")
+def _(t):
+    docs = t("documents").select("doc_id", "source", "text")
+    return pages.strip_running(docs, pages.running_lines(docs, "source", "text", 0.02), "source").select("doc_id", F.length("text").cast("long").alias("n_chars"))
+
+
+S_SECT = f"""h as (select doc_id, source, t, list_filter(ls[1:5], lambda x: {s_heading('x')})[1] as h from l),
+n as (select *, coalesce(last_value(h ignore nulls) over (partition by source order by doc_id rows between unbounded preceding and current row), 'Introduction') as now from h),
+g as (select *, case when now <> lag(now) over (partition by source order by doc_id) then 1 else 0 end as new from n),
+s as (select *, sum(new) over (partition by source order by doc_id rows between unbounded preceding and current row) as section from g)"""
+
+
+@query("chk8_sections", f"with {S_LS}, {S_SECT} select source, section::bigint as section, now as heading, min(doc_id) as page_start, max(doc_id) as page_end, count(*) as pages, sum(len(t) + 2)::bigint - 2 as n_chars from s group by all")
+def _(t):
+    return pages.sections(t("documents"), "source", "doc_id").select("source", "section", "heading", "page_start", "page_end", "pages", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("chk12_captions", "select doc_id, len(regexp_extract_all(text, '(?i)(?:Figure|Fig\\.?)\\s+[\\d\\-\\.]+\\s*[:\\-]\\s*(.+)'))::int as n from documents")
+def _(t):
+    return t("documents").select("doc_id", F.size(pages.captions("text")).alias("n"))
+
+
+@query("chk13_manual_label", "select distinct source, trim(lower(regexp_replace(source, '[^\\w\\-]', '_', 'g')), '_') as label from documents")
+def _(t):
+    return t("documents").select("source").distinct().select("source", pages.manual_label(F.concat(F.lit("/x/"), "source", F.lit(".pdf"))).alias("label"))
+
+
+@query("chk14_manual_report", f"""with {S_LS}, k as (select * from l where {S_KEEP}) select 'pages' as stage, count(*) as n, sum(len(text))::bigint as chars from documents
+union all select 'kept', count(*), sum(len(text))::bigint from k""")
+def _(t):
+    d = t("documents")
+    kept = d.where(pages.keep_page("text"))
+    row = lambda x, name: x.agg(F.lit(name).alias("stage"), F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+    return row(d, "pages").unionByName(row(kept, "kept"))
+
+
+@query("chk15_diagnostic_report")
+def _(t):
+    from loomline.plans.prepare import report
+
+    return report(t("documents").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), "text"))
+
+
+@query("chk9_structured_blocks", f"with x as (select doc_id, unnest(regexp_split_to_array(text, '\\n+')) as p from documents) select doc_id, count(*) as n from x where len(list_filter({s_tokens('p', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3 group by doc_id")
+def _(t):
+    parts = t("documents").select("doc_id", F.explode(F.split("text", "\n+")).alias("p"))
+    return parts.where(DOMAIN.structured(F.col("p"))).groupBy("doc_id").agg(F.count("*").alias("n"))
+
+
+# ---- chunking
+
+def s_chunks(overlap: int, size: int = 800) -> str:
+    return f"""p as (select doc_id, source, len(text) as n_text, {s_strip('text')} as t, list_filter(list_transform(regexp_split_to_array(text, '\\n+'), lambda x: trim(x, {_SP})), lambda x: x <> '') as ps from documents),
+m as (select *, list_transform(ps, lambda x: len(x)) as ns from p),
+r(doc_id, i, s, used, bounds) as (
+  select doc_id, 1, 1, 0, []::integer[][] from m where n_text > {size}
+  union all
+  select doc_id, i + 1, (case when flush then i - k else s end)::integer, (case when flush then {'ns[i] + 2' if not overlap else 'coalesce(list_sum(ns[i - k:i - 1]), 0) + ns[i] + 2 * k'} else used + ns[i] + 2 end)::integer, case when flush then list_append(bounds, [s, (i - 1)::integer]) else bounds end
+  from (select r.*, ns, used + ns[i] + 2 > {size} and i > s as flush, {'0' if not overlap else f'len(list_filter(range(s, i), lambda q: coalesce(list_sum(ns[q:i - 1]), 0) <= {overlap}))'} as k from r join m using (doc_id) where i <= len(ns))),
+f as (select r.doc_id, case when s <= len(ns) then list_append(bounds, [s, len(ns)::integer]) else bounds end as bounds from r join m using (doc_id) where i = len(ns) + 1),
+c as (select doc_id, source, generate_subscripts(cs, 1) - 1 as seq, unnest(cs) as chunk from (
+  select doc_id, source, case when t = '' then [] when n_text <= {size} then [t] else list_transform(bounds, lambda b: array_to_string(ps[b[1]:b[2]], chr(10) || chr(10))) end as cs from m left join f using (doc_id)))"""
+
+
+@query("chk2_chunks", f"with recursive {s_chunks(0)} select doc_id, seq::int as seq, len(chunk)::int as n_chars, md5(chunk) as md5 from c")
+def _(t):
+    d = chunking.exploded(t("documents").select("doc_id", "text"), chunking.chunks("text", 800, 0, "\n+"))
+    return d.select("doc_id", "seq", F.length("chunk").alias("n_chars"), F.md5("chunk").alias("md5"))
+
+
+@query("chk2_chunks_overlap", f"with recursive {s_chunks(150)} select doc_id, seq::int as seq, len(chunk)::int as n_chars, md5(chunk) as md5 from c")
+def _(t):
+    d = chunking.exploded(t("documents").select("doc_id", "text"), chunking.chunks("text", 800, 150, "\n+"))
+    return d.select("doc_id", "seq", F.length("chunk").alias("n_chars"), F.md5("chunk").alias("md5"))
+
+
+@query("chk3_structured_chunks")
+def _(t):
+    d = chunking.exploded(t("documents").select("doc_id", "text"), chunking.structured_chunks("text", 800, 150, DOMAIN, "\n+"))
+    return d.select("doc_id", "seq", F.length("chunk").alias("n_chars"), F.md5("chunk").alias("md5"))
+
+
+@query("chk4_sentence_chunks")
+def _(t):
+    d = chunking.exploded(t("documents").select("doc_id", "text"), chunking.sentence_chunks("text", 800, 150))
+    return d.select("doc_id", "seq", F.length("chunk").alias("n_chars"), F.md5("chunk").alias("md5"))
+
+
+@query("chk10_example_parts")
+def _(t):
+    text = F.concat(F.lit("Input:\n"), "question", F.lit("\n\nProtocol:\n"), "answer", F.lit("\n\nOutput:\nDone."))
+    return pairs(t).select("seq", pages.example_parts(text).alias("p")).select("seq", F.md5("p.input").alias("input"), F.md5("p.structured").alias("structured"), "p.output")
+
+
+@query("chk11_section_parts")
+def _(t):
+    text = F.concat("question", F.lit("\n\nSyntax:\n"), "answer", F.lit("\n\nNotes\n\nTake care.\n\nExample:\nOne example of it."))
+    return pairs(t).select("seq", pages.section_parts(text).alias("p")).select("seq", *(F.size(f"p.{k}").alias(k) for k in pages.PART_LABELS))
+
+
+# ---- generation
+
+@query("gen1_chunk_questions", f"""with recursive {s_chunks(0)}, q as (select doc_id, source, seq, chunk, len(list_filter({s_tokens('chunk', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3 as st,
+  string_split(chunk, chr(10) || chr(10)) as ps from c),
+h as (select *, {s_strip('ps[1]')} as head, {s_strip("array_to_string(ps[2:], chr(10) || chr(10))")} as body from q)
+select case when len(ps) >= 2 and len(head) < 150 and len(body) > 30 and {s_heading('head')} then 'heading' when st then 'structured' else 'documentation' end as kind, count(*) as n from h
+where st or len(chunk) > 50 or (len(ps) >= 2 and len(head) < 150 and len(body) > 30 and {s_heading('head')}) group by kind""")
+def _(t):
+    p = document_pairs(t("documents"), size=800, overlap=0, separator="\n+", domain=DOMAIN)
+    kind = F.when(F.col("question").startswith("Show me a structured example"), "structured").when(F.col("question").startswith("What does the documentation"), "documentation").otherwise("heading")
+    return p.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query("gen2_section_questions")
+def _(t):
+    s = pages.sections(t("documents"), "source", "doc_id")
+    return qa.section_qa(s, ["source", "section"], label="manual", domain=DOMAIN).groupBy("source", "section").agg(F.count("*").alias("n"), F.countDistinct("question").alias("questions"))
+
+
+def s_general() -> str:
+    g = QUESTIONS["general"]
+    tests = " + ".join(f"case when {' or '.join(f'contains(lower(text), $q${s}$q$)' for s in sig)} then {len(g[k])} else 0 end" for k, sig in qa.SIGNALS.items())
+    return f"select doc_id, {len(g['overview']) + len(g['detail'])} + {tests} as n from documents"
+
+
+@query("gen3_general_questions", s_general())
+def _(t):
+    d = t("documents")
+    made = qa.expand(d, qa.general_facts(F.col("source"), F.col("text")), qa.template_table(d.sparkSession, qa.section_templates()), ["doc_id"])
+    return made.groupBy("doc_id").agg(F.count("*").cast("int").alias("n"))
+
+
+@query("gen4_section_conversations")
+def _(t):
+    text = F.concat("question", F.lit("\n\nSyntax:\n"), "answer")
+    c = pairs(t).select("seq", qa.section_conversation(F.concat(F.lit("Topic "), "conv_id"), pages.section_parts(text)).alias("c"))
+    return c.where("c is not null").select("seq", F.size("c").alias("turns"))
+
+
+def nations(t) -> DataFrame:
+    n = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return n.select(F.col("n_nationkey").cast("int").alias("entry"), F.col("n_name").alias("name"), F.col("r_name").alias("category"), F.concat(F.lit("A nation of "), "r_name", F.lit(". It trades with many others.")).alias("description"))
+
+
+@query("gen5_pattern_questions")
+def _(t):
+    n = nations(t)
+    blank = {f: F.lit(None) for f in ("title", "pattern_alias", "source_file")}
+    p = n.withColumns(blank).withColumn("use_cases", F.array(F.lit("shipping goods"), F.lit("counting orders"))).withColumn("related_patterns", F.array("category")).withColumn("guardrails", F.array(F.lit("no exports")))
+    for c, kind in patterns.PATTERN_TYPES.items():
+        if c not in p.columns:
+            p = p.withColumn(c, F.lit(None).cast(kind))
+    return patterns.pattern_qa(p, ["name"]).groupBy("name").agg(F.count("*").alias("n"))
+
+
+def s_vocabulary() -> str:
+    def n(g: str, k: str) -> int:
+        return sum(patterns.placeholders(q) == ["fn"] for q in QUESTIONS[g][k])
+
+    fields = n("technical", "description") + n("technical", "category") + n("technical", "use_case") + n("technical", "notes") + n("general", "overview")
+    related = sum(set(patterns.placeholders(q)) == {"fn", "related"} for q in QUESTIONS["technical"]["comparison"])
+    return f"select n_name as source, ({fields} + {related} * 2)::bigint as n from nation"
+
+
+def vocabulary(t) -> DataFrame:
+    n = nations(t).withColumn("domain", F.lit("general")).withColumn("related", F.array("category", F.lit("the sea")))
+    for c in ("one_sentence", "syntax", "null_behavior", "performance_tips", "analysis_notes", "errors", "first_example", "source_file"):
+        n = n.withColumn(c, F.lit(None).cast("string"))
+    return patterns.vocabulary_qa(n)
+
+
+@query("gen10_vocabulary_questions", s_vocabulary())
+def _(t):
+    return vocabulary(t).groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query("gen11_comparison_questions", "select n_name as source, 'How does ' || n_name || ' differ from ' || r_name || '?' as question from nation join region on n_regionkey = r_regionkey union all select n_name, 'How does ' || n_name || ' differ from the sea?' from nation")
+def _(t):
+    return vocabulary(t).where("question like 'How does % differ from %' and question not like '%other approaches%'").select("source", "question")
+
+
+@query("gen13_placeholders", "select 1::int as n, '{fn}' as first")
+def _(t):
+    spark = t("region").sparkSession
+    one = spark.createDataFrame([("What is {fn}?",)], "q string").select(F.regexp_extract_all("q", F.lit(r"\{(\w+)\}"), F.lit(0)).alias("p"))
+    return one.select(F.size("p").alias("n"), F.col("p")[0].alias("first"))
+
+
+# ---- dedup, split
+
+S_FP = lambda x: f"md5(substr(regexp_replace(lower({s_strip(x)}), '\\s+', ' ', 'g'), 1, 400))"
+
+
+@query("ded1_fingerprint_first", f"with f as (select doc_id, lang, {S_FP('source || chr(10) || text')} as fp from documents) select min(doc_id) as doc_id, lang, fp from f group by lang, fp")
+def _(t):
+    d = curation.dedup_first(t("documents"), "source", "text", ["lang"], ["doc_id"])
+    return d.select("doc_id", "lang", tx.fingerprint(F.concat_ws("\n", "source", "text")).alias("fp"))
+
+
+@query("ded1_duplicate_groups", f"select {S_FP('text')} as fp, count(*) as n, min(doc_id) as first_doc from documents group by 1 having count(*) > 1")
+def _(t):
+    return t("documents").groupBy(tx.fingerprint("text").alias("fp")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
+
+
+S_SPLIT = "select doc_id, case when row_number() over (order by md5('42' || chr(31) || doc_id), doc_id) > count(*) over () - greatest(1, floor(count(*) over () * 0.15)) then 'val' else 'train' end as split from documents"
+
+
+@query("spl2_train_val", S_SPLIT)
+def _(t):
+    return curation.split_train_val(t("documents").select("doc_id"), ["doc_id"])
+
+
+@query("spl1_shuffle", "select doc_id, md5('42' || chr(31) || doc_id) as key from documents")
+def _(t):
+    return t("documents").select("doc_id", curation.shuffle_key(42, "doc_id").alias("key"))
+
+
+@query("spl3_arms", "select event_id, case when ('0x' || substr(md5(event_id::varchar), 1, 6))::bigint / pow(16.0, 6) < 0.1 then 'treatment' else 'control' end as arm from events")
+def _(t):
+    return t("events").select("event_id", learning.arm(F.col("event_id")).alias("arm"))
+
+
+# ---- judge
+
+S_SC = f"""{S_QA}, w as (select *, {s_words('question')} as qw, {s_words('answer')} as aw, list_distinct(list_filter({s_tokens('question', '[a-zA-Z]{3,}')}, lambda x: not list_contains({s_list(curation.JUDGE_STOP_WORDS)}, x))) as qs,
+  list_distinct(list_filter({s_tokens('answer', '[a-zA-Z]{3,}')}, lambda x: not list_contains({s_list(curation.JUDGE_STOP_WORDS)}, x))) as sa, {s_tokens('answer', '[\\p{L}\\p{N}_]+')} as toks,
+  regexp_matches(answer, $q${curation.REFUSAL}$q$) as refused, regexp_matches(answer, $q${curation.HARM}$q$) as harmful, len(regexp_extract_all(answer, $q${curation.LIST_ITEM}$q$)) >= 2 as listed, regexp_matches(answer, $q${curation.CODE_BLOCK}$q$) as coded from qa),
+o as (select *, len(list_intersect(qs, sa)) / greatest(len(qs), 1) as ov, len(aw) / greatest(len(qw), 1) as ra,
+  len(list_filter(toks, lambda x: regexp_full_match(x, 'use|run|execute|call|select|insert|update|delete|create|drop|set|get|return|example|below|following|steps?|first|then|finally'))) / greatest(len(aw), 1) as act,
+  len(list_filter(toks, lambda x: list_contains({s_list('maybe perhaps might could possibly generally typically usually sometimes often'.split())}, x))) / greatest(len(aw), 1) as hed from w),
+j as (select seq, conv_id, question, answer,
+  case when {s_strip('answer')} = '' then 0.0 else round(least((case when refused then greatest(0.0, ov - 0.4) else ov end) * 0.6::double + least(len(answer) / greatest(len(question) * 1.5::double, 50.0::double), 1.0::double) * 0.4::double, 1.0::double), 4) end as quality,
+  case when harmful then 0.0 when refused then 0.6 else 1.0 end::double as safety,
+  round(case when ra <= 4 then 1.0::double when ra <= 8 then 1 - (ra - 4) / 8 else greatest(0.0::double, 0.5::double - (ra - 8) / 16) end, 4) as cost,
+  round(({' + '.join(f"contains(lower(answer), '{k}')::int" for k in KEYWORDS)}) / {len(KEYWORDS)}, 4) as domain,
+  round(case when not coded and not listed and len(aw) < 20 then 0.2::double else 0.5::double + case when coded then 0.3::double else 0.0::double end + case when listed then 0.2::double else 0.0::double end end, 4) as performance,
+  round(greatest(0.0::double, least(least(act * 5, 0.8::double) + 0.2::double - hed * 2, 1.0::double)), 4) as usability, refused, harmful, coded, listed, ra, hed, len(aw) as na from o)"""
+S_CONF = "round(" + " + ".join(f"{k} * {v}::double" for k, v in curation.WEIGHTS.items()) + ", 4)"
+
+
+def judged(t) -> DataFrame:
+    return curation.judged(pairs(t), keywords=KEYWORDS)
+
+
+for _i, _k in enumerate(curation.SCORES, 1):
+    query(f"jdg{_i}_{_k}", f"with {S_SC} select seq, {_k}::double as score from j")(lambda t, k=_k: judged(t).select("seq", F.col(k).cast("double").alias("score")))
+
+
+@query("jdg7_flags", f"""with {S_SC} select seq, list_filter([case when {s_strip('answer')} = '' then 'empty answer' end, case when {s_strip('answer')} <> '' and refused then 'refusal detected' end, case when harmful then 'harmful content detected' end,
+  case when not harmful and refused then 'refusal / uncertainty' end, case when ra > 4 and ra <= 8 then 'verbose answer' end, case when ra > 8 then 'very verbose answer' end, case when domain < 0.3 then 'low domain vocabulary coverage' end,
+  case when not coded and not listed and na < 20 then 'very short / unstructured answer' end, case when hed > 0.05 then 'hedging language detected' end], lambda x: x is not null) as flags from j""")
+def _(t):
+    return judged(t).select("seq", "flags")
+
+
+@query("jdg8_levels", f"with {S_SC}, c as (select {S_CONF} as c from j) select case when c >= 0.8 then 'HIGH' when c >= 0.5 then 'MEDIUM' else 'LOW' end as level, case when c >= 0.8 then 'auto_accept' when c >= 0.5 then 'monitor' else 'escalate' end as action, count(*) as n from c group by all")
+def _(t):
+    return judged(t).groupBy("level", "action").agg(F.count("*").alias("n"))
+
+
+@query("jdg9_evaluate", f"with {S_SC} select seq, {S_CONF} as confidence, {S_CONF} >= 0.6 as passes from j")
+def _(t):
+    return judged(t).select("seq", "confidence", curation.gate(F.col("confidence")).alias("passes"))
+
+
+@query("jdg10_model_scores")
+def _(t):
+    import json
+
+    reply = F.concat(F.lit("```json\n" + json.dumps(dict.fromkeys(curation.SCORES, 0.5))[:-1] + ', "note": '), F.col("turn").cast("string"), F.lit("}\n```"))
+    p = pairs(t).withColumn("reply", F.when(F.col("turn") == 0, reply).otherwise("no scores"))
+    return curation.hybrid_judged(p, "reply", keywords=KEYWORDS).select("seq", "quality", "confidence", "flags")
+
+
+@query("agg15_strategies", f"""with {S_SC} select seq, round(least(quality, safety, cost, domain, performance, usability), 4) as least, round(greatest(quality, safety, cost, domain, performance, usability), 4) as most,
+  round(((quality >= 0.6)::int + (safety >= 0.6)::int + (cost >= 0.6)::int + (domain >= 0.6)::int + (performance >= 0.6)::int + (usability >= 0.6)::int) / 6, 4) as majority,
+  case when greatest(quality, safety, cost, domain, performance, usability) >= 0.6 then 1.0 else 0.0 end::double as any_pass from j""")
+def _(t):
+    s = {k: F.col(k) for k in curation.SCORES}
+    names = {"least": "all_must_pass", "most": "max_score", "majority": "majority_pass", "any_pass": "any_pass"}
+    return judged(t).select("seq", *(curation.combine(s, v).cast("double").alias(k) for k, v in names.items()))
+
+
+@query("ord1_rank", f"with {S_SC} select seq, row_number() over (order by {S_CONF} desc, seq)::int as rank from j order by rank limit 100")
+def _(t):
+    return curation.ranked(judged(t), [F.desc("confidence"), F.asc("seq")], 100).select("seq", "rank")
+
+
+@query("ord3_top_demonstrations", f"with {S_SC}, c as (select *, {S_CONF} as confidence from j) select seq, confidence, row_number() over (order by confidence desc, seq)::int as rank from c where confidence >= 0.5 order by rank limit 10")
+def _(t):
+    return curation.top_demonstrations(judged(t), 10, 0.5).select("seq", "confidence", "rank")
+
+
+@query("ord4_distill", f"""with {S_SC}, c as (select seq, conv_id % 2 as teacher, case when conv_id % 2 = 1 then least({S_CONF} + 0.1::double, 1.0::double) else {S_CONF} end as confidence from j)
+select seq, teacher::int as is_teacher, round(confidence, 4) as confidence, row_number() over (order by confidence desc, teacher desc, seq)::int as rank from c where confidence >= 0.5 order by rank limit 10""")
+def _(t):
+    j = judged(t)
+    d = curation.distilled(j.where("conv_id % 2 = 1"), j.where("conv_id % 2 = 0"), 10, 0.5)
+    return d.select("seq", "is_teacher", F.round("confidence", 4).alias("confidence"), "rank")
+
+
+# ---- curriculum
+
+_BANK = sorted(curation.MEDICAL_PATTERNS, key=lambda p: -p.confidence)
+S_BEST = "case " + " ".join(f"when regexp_matches(text, $q$(?i){p.pattern}$q$) then '{p.name}'" for p in _BANK) + " end"
+S_BEST_C = "case " + " ".join(f"when regexp_matches(text, $q$(?i){p.pattern}$q$) then {p.confidence}::double" for p in _BANK) + " end"
+S_PLAIN = f"(0.72::double - case when len({s_words('text')}) > 100 then 0.10::double else 0.0::double end - case when len(list_filter({s_tokens('text', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains(['patient', 'medication', 'treatment', 'diagnosis', 'protocol', 'dosage'], w))) > 0 or contains(text, '```') or len(list_filter(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+'), lambda w: w = 'def' or w = 'class')) > 0 then 0.05::double else 0.0::double end)"
+
+
+@query("cur1_best_match", f"select doc_id, {S_BEST} as name from documents")
+def _(t):
+    return t("documents").select("doc_id", curation.best_match(F.col("text"))["name"].alias("name"))
+
+
+@query("cur2_all_matches", "select doc_id, list_filter([" + ", ".join(f"case when regexp_matches(text, $q$(?i){p.pattern}$q$) then '{p.name}' end" for p in _BANK) + "], lambda x: x is not null) as names from documents")
+def _(t):
+    return t("documents").select("doc_id", F.transform(curation.all_matches(F.col("text")), lambda m: m["name"]).alias("names"))
+
+
+S_CUR = f"select doc_id, round(coalesce({S_BEST_C}, greatest(0.5::double, least({S_PLAIN}, 0.75::double))), 4) as confidence from documents"
+
+
+@query("cur4_confidence", S_CUR)
+def _(t):
+    return curation.curriculum(t("documents"), "text").select("doc_id", "confidence")
+
+
+@query("ord2_curriculum_levels", f"with c as ({S_CUR}) select case when confidence >= 0.8 then 'HIGH' when confidence >= 0.5 then 'MEDIUM' else 'LOW' end as level, count(*) as n from c group by level")
+def _(t):
+    return curation.curriculum(t("documents"), "text").groupBy("level").agg(F.count("*").alias("n"))
+
+
+@query("cur6_retry_actions", f"with c as ({S_CUR}) select case when confidence >= 0.8 then 'auto_retry' when confidence >= 0.5 then 'retry_with_monitoring' else 'escalate_to_human' end as retry_action, count(*) as n from c group by all")
+def _(t):
+    return curation.curriculum(t("documents"), "text").groupBy("retry_action").agg(F.count("*").alias("n"))
+
+
+# ---- memory
+
+S_LOG = f"{S_QA}, log as (select seq, conv_id::varchar as id, seq::varchar as timestamp, question, answer, case conv_id % 3 when 0 then true when 1 then false end as approved, conv_id % 2 = 0 as kb from qa)"
+
+
+def log(t) -> DataFrame:
+    approved = F.when(F.col("conv_id") % 3 == 0, True).when(F.col("conv_id") % 3 == 1, False)
+    return pairs(t).select("seq", F.col("conv_id").cast("string").alias("id"), F.col("seq").cast("string").alias("timestamp"), (F.col("conv_id") % 5).cast("string").alias("session_id"), "question", "answer", approved.alias("approved"), (F.col("conv_id") % 2 == 0).alias("kb_context_used"))
+
+
+@query("agg1_status_counts", f"with {S_LOG} select count(*) as total, count(*) filter (approved) as approved, count(*) filter (not approved) as rejected, count(*) filter (approved is null) as pending from log")
+def _(t):
+    return memory.status_counts(log(t))
+
+
+S_SHORTQ = f"{S_LOG}, q as (select *, split_part(question, ' ', 1) as w from log)"
+
+
+@query("agg2_frequent_questions", f"with {S_SHORTQ}, k as (select *, trim(regexp_replace(lower(w), '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g'), {_SP}) as key from q) select key, count(*) as n, max_by(w, (timestamp, seq)) as question from k group by key having count(*) >= 2")
+def _(t):
+    q = log(t).withColumn("question", F.split("question", " ")[0])
+    return memory.frequent_questions(q).select("key", "n", "question")
+
+
+@query("agg12_question_types", "with q as (select lower(text) as q from conversations where role = 'user') select case " + " ".join("when " + " or ".join(f"starts_with(q, '{k[1:]}')" if k[0] == "^" else f"contains(q, '{k}')" for k in ks) + f" then '{n}'" for n, ks in pages.QUESTION_TYPES) + " end as kind, count(*) as n from q group by kind")
+def _(t):
+    return t("conversations").where("role = 'user'").groupBy(pages.question_type("text").alias("kind")).agg(F.count("*").alias("n"))
+
+
+S_REL = f"""{S_LOG}, s as (select seq, id, list_distinct({s_tokens('question', '[a-z]{3,}')}) as w from log), x as (select seq, id, len(w) as n, unnest(w) as w from s),
+b as (select a.seq, max(c / (a.n + a.m - c)) as jaccard from (select a.seq, a.n, b.n as m, b.seq as o, count(*)::double as c from x a join x b on a.w = b.w and b.seq < a.seq and a.id <> b.id group by all) a group by a.seq),
+f as (select log.*, round(least(coalesce(jaccard, 0) * 2, 1.0), 4)::double as frequency,
+  round(least(least(ln(1 + len({s_words('answer')})) / ln(201), 1.0) + case when regexp_matches(answer, $q${curation.CODE_BLOCK}$q$) then 0.15::double else 0.0::double end + case when len(regexp_extract_all(answer, $q${curation.LIST_ITEM}$q$)) >= 2 then 0.10::double else 0.0::double end, 1.0), 4)::double as complexity,
+  round(least(case when approved then 0.3::double + case when kb then 0.3::double else 0.0::double end + 0.4::double when not approved then greatest(0.0::double, 0.3::double + case when kb then 0.3::double else 0.0::double end - 0.3::double) else 0.3::double + case when kb then 0.3::double else 0.0::double end end, 1.0), 4)::double as effectiveness,
+  case when approved then 1.0 when not approved then 0.0 else 0.3 end::double as feedback from log left join b using (seq)),
+v as (select *, round(frequency * 0.3::double + complexity * 0.25::double + effectiveness * 0.25::double + feedback * 0.2::double, 4) as relevance from f)"""
+
+
+@query("rel1_frequency", f"with {S_REL} select seq, frequency from v")
+def _(t):
+    return memory.relevance(log(t)).select("seq", "frequency")
+
+
+@query("rel4_relevance", f"with {S_REL} select seq, complexity, effectiveness, feedback, relevance from v")
+def _(t):
+    return memory.relevance(log(t)).select("seq", "complexity", "effectiveness", "feedback", "relevance")
+
+
+@query("ord8_eviction", f"with {S_REL} select seq, relevance, row_number() over (order by relevance, seq) <= count(*) over () - 50 as evicted from v")
+def _(t):
+    return memory.evict(memory.relevance(log(t)).select("seq", "relevance"), 50, [F.asc("relevance"), F.asc("seq")])
+
+
+@query("ord7_long_term_search", f"with {S_REL} select seq, relevance from v where contains(lower(question || ' ' || answer), 'the') or contains(lower(question || ' ' || answer), 'est') order by relevance desc, seq limit 5")
+def _(t):
+    return memory.search_long_term(memory.relevance(log(t)), "the est of").select("seq", "relevance")
+
+
+def tiers(t) -> DataFrame:
+    scored = memory.relevance(log(t)).withColumn("ingested_at", F.col("seq").cast("double"))
+    return memory.promote(scored.where("seq % 2 = 0"), scored.where("seq % 2 = 1"), F.lit(1e9), memory.Promotion(threshold=0.4, archive=0.6))
+
+
+@query("str6_promotion")
+def _(t):
+    return tiers(t).select("seq", "tier", "relevance")
+
+
+@query("agg4_tier_stats")
+def _(t):
+    return memory.tier_stats(tiers(t))
+
+
+@query("flt8_interactions", f"with {S_LOG} select seq, question from log where approved order by seq desc limit 20")
+def _(t):
+    return memory.interactions(log(t), approved_only=True, limit=20).select("seq", "question")
+
+
+@query("snk6_set_approval", f"with {S_LOG} select seq, case when seq = min(seq) over (partition by id) and id::bigint < 20 then true else approved end as approved from log")
+def _(t):
+    updates = log(t).where("cast(id as long) < 20").select("id", F.lit(True).alias("approved")).distinct()
+    return memory.set_approval(log(t), updates).select("seq", "approved")
+
+
+S_TOK = lambda x: f"case when {x} = '' then 0 else greatest(1, floor(len({s_words(x)}) * 1.3::double)::int) end"
+
+
+@query("str10_token_estimate", f"select conv_id, turn, {S_TOK('text')} as tokens from conversations")
+def _(t):
+    return t("conversations").select("conv_id", "turn", tx.token_estimate("text").alias("tokens"))
+
+
+@query("str7_live_turns", f"""with k as (select conv_id, turn, {S_TOK('text')} as tokens from conversations) select conv_id, turn, tokens, (turn = max(turn) over (partition by conv_id)
+  or sum(tokens) over (partition by conv_id order by turn rows between current row and unbounded following) <= 120) as in_l1 from k""")
+def _(t):
+    return memory.live_turns(t("conversations"), "conv_id", budget=120).select("conv_id", "turn", "tokens", "in_l1")
+
+
+@query("str8_summaries")
+def _(t):
+    return memory.summaries(t("conversations"), "conv_id", budgets=memory.Budgets(l1=60, l2=200)).select("conv_id", F.md5("l2").alias("md5"), tx.token_estimate("l2").alias("tokens"))
+
+
+@query("str9_key_sentences")
+def _(t):
+    return t("documents").select("doc_id", F.length(memory.key_sentences(F.col("text"), 100)).alias("n_chars"))
+
+
+@query("str11_rom_kernel", f"select doc_id, len(array_to_string({s_words('text')}[1:76], ' '))::int as n from documents where floor(len({s_words('text')}) * 1.3::double) > 100")
+def _(t):
+    return t("documents").where(tx.token_estimate("text") > 100).select("doc_id", F.length(memory.rom(F.col("text"), 100)).alias("n"))
+
+
+@query("str12_render", f"""with k as (select conv_id, turn, role, text, {S_TOK('text')} as tokens from conversations), l as (select *, (turn = max(turn) over (partition by conv_id) or sum(tokens) over (partition by conv_id order by turn rows between current row and unbounded following) <= 120) as live from k)
+select conv_id, md5('Be brief.' || chr(10) || chr(10) || string_agg(upper(role) || ': ' || text, chr(10) order by turn)) as md5 from l where live group by conv_id""")
+def _(t):
+    l1 = memory.recent_text(t("conversations"), "conv_id", budget=120)
+    return l1.select("conv_id", F.md5(memory.rendered(F.lit("Be brief."), F.lit(""), F.lit(""), F.col("l1"))).alias("md5"))
+
+
+@query("ord9_last_turns", "select conv_id, turn, role from (select *, row_number() over (partition by conv_id order by turn desc) as n from conversations) where n <= 6")
+def _(t):
+    return memory.last_messages(t("conversations"), 6, "conv_id").select("conv_id", "turn", "role")
+
+
+@query("msc9_pick_list", f"with {S_LOG} select id || ' | ' || case when approved then 'approved' when not approved then 'rejected' else 'pending' end || ' ' || timestamp || ' ' || substr(question, 1, 60) as label from log order by seq desc limit 100")
+def _(t):
+    status = F.when(F.col("approved"), "approved").when(~F.col("approved"), "rejected").otherwise("pending")
+    label = F.format_string("%s | %s %s %s", F.col("id"), status, F.col("timestamp"), F.substring("question", 1, 60))
+    return memory.interactions(log(t), limit=100).select(label.alias("label"))
+
+
+# ---- retrieval
+
+S_KT = f"list_filter({s_tokens('text', retrieval.TOKEN)}, lambda x: len(x) > 2 and not list_contains({s_list(retrieval.KEYWORD_STOP)}, x))"
+
+
+@query("ret1_query_terms", f"select item_id, {S_KT} as terms from benchmark")
+def _(t):
+    return t("benchmark").select("item_id", retrieval.query_terms("text").alias("terms"))
+
+
+@query("ret3_keyword_search", f"""with q as (select item_id, {S_KT} as ts from benchmark), p as (select item_id, doc_id, list_sum(list_transform(ts, lambda x: case when x = lower(source) or x = lower(lang) then 10 when contains(lower(source), x) or contains(lower(lang), x) then 5 when contains(lower(text), x) then 1 else 0 end)) as score
+  from q cross join documents where len(ts) > 0), r as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from p) select item_id, doc_id, score::int as score, rank::int as rank from r where rank <= 2 and score >= 3""")
+def _(t):
+    library = t("documents").select(F.col("doc_id").alias("seq"), F.col("source").alias("name"), F.col("lang").alias("title"), F.col("text").alias("body"))
+    found = retrieval.keyword_search(t("benchmark").select("item_id", F.col("text").alias("question")), library, by="item_id")
+    return found.select("item_id", F.col("seq").alias("doc_id"), "score", "rank")
+
+
+S_TT = lambda x: f"list_filter({s_tokens(x, retrieval.TOKEN)}, lambda x: len(x) > 2 and not list_contains({s_list(retrieval.TFIDF_STOP)}, x))"
+S_TF = f"""d as (select doc_id, {S_TT('text')} as t from documents), c as (select doc_id, len(t) as n, unnest(t) as term from d), tc as (select doc_id, term, any_value(n) as n, count(*) as c from c group by doc_id, term),
+nd as (select count(*) as nd from documents), f as (select term, count(*) as df, ln((any_value(nd) + 1.0) / (count(*) + 1.0)) + 1.0 as idf from tc, nd group by term)"""
+
+
+@query("tfi3_idf", f"with {S_TF} select term, df, round(idf::double, 6) as idf from f")
+def _(t):
+    counts = retrieval.term_counts(t("documents"), "doc_id", "text")
+    return retrieval.document_frequency(counts, t("documents").count()).select("term", "df", F.round("idf", 6).alias("idf"))
+
+
+@query("tfi5_search", f"""with {S_TF}, dw as (select doc_id, term, c / n * idf as w from tc join f using (term)), q as (select item_id, {S_TT('text')} as t from benchmark), qc as (select item_id, len(t) as n, unnest(t) as term from q),
+qt as (select item_id, term, any_value(n) as n, count(*) as c from qc group by item_id, term), qw as (select item_id, qt.term, c / n * coalesce(idf, ln(nd + 1.0) + 1.0) as w from qt left join f on f.term = qt.term, nd),
+dn as (select doc_id, sqrt(sum(w * w)) as dn from dw group by doc_id), qn as (select item_id, sqrt(sum(w * w)) as qn from qw group by item_id), s as (select item_id, doc_id, sum(qw.w * dw.w) as dot from qw join dw on qw.term = dw.term group by item_id, doc_id),
+r as (select item_id, doc_id, round(dot / (dn * qn), 4) as score from s join dn using (doc_id) join qn using (item_id)), k as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from r)
+select item_id, doc_id, score::double as score, rank::int as rank from k where rank <= 3 and score >= 0.05""")
+def _(t):
+    return retrieval.tfidf_search(t("benchmark").select("item_id", F.col("text").alias("query")), t("documents").select("doc_id", "text"), "item_id", "query", "doc_id", "text")
+
+
+S_DOT = lambda a, b: f"list_sum(list_transform(list_zip({a}, {b}), lambda z: z[1]::double * z[2]::double))"
+
+
+@query("tfi6_dense_search", f"""with p as (select q.vec_id as query_id, v.vec_id, round({S_DOT('q.embedding', 'v.embedding')} / (sqrt({S_DOT('q.embedding', 'q.embedding')}) * sqrt({S_DOT('v.embedding', 'v.embedding')}) + 1e-9), 4) as score from embeddings q cross join embeddings v where q.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p) select query_id, vec_id, score, rank::int as rank from r where rank <= 3 and score >= 0.05""")
+def _(t):
+    e = t("embeddings")
+    return retrieval.dense_search(e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv")), e)
+
+
+# ---- learning
+
+S_EV = "ev as (select event_id, user_id as pattern, event_type <> 'error' as success, value as cost_tokens, value as latency_ms, epoch(ts)::double as tm from events)"
+
+
+def executions(t) -> DataFrame:
+    ts = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    return t("events").select("event_id", F.col("user_id").alias("pattern"), (F.col("event_type") != "error").alias("success"), F.col("value").alias("cost_tokens"), F.col("value").alias("latency_ms"), ts.alias("at"), F.col("event_id").alias("seq"))
+
+
+S_MET = f"""{S_EV}, m as (select pattern, count(*) as total_uses, count(*) filter (success) as success_count, sum(cost_tokens) as cost from ev group by pattern), mm as (select *, success_count / total_uses as sr, 1 / (1 + exp(-0.15::double * (total_uses - 20))) as cf from m),
+mr as (select *, case when cf < 0.3 then 'INVESTIGATE' when sr >= 0.85 and cf >= 0.6 then 'PROMOTE' when sr >= 0.5 then 'KEEP' when sr >= 0.2 then 'DEMOTE' else 'REMOVE' end as recommend from mm)"""
+
+
+@query("agg6_metrics", f"with {S_MET} select pattern, total_uses, success_count, round(sr, 4) as success_rate, round(cost / total_uses, 2) as avg_cost, round(cf, 4) as confidence from mr")
+def _(t):
+    return learning.metrics(executions(t)).select("pattern", "total_uses", "success_count", "success_rate", "avg_cost", "confidence")
+
+
+@query("agg8_recommendations", f"with {S_MET} select pattern, recommend from mr")
+def _(t):
+    return learning.metrics(executions(t)).select("pattern", "recommend")
+
+
+S_CAN = f"""{S_EV}, ar as (select *, case when ('0x' || substr(md5(event_id::varchar), 1, 6))::bigint / pow(16.0, 6) < 0.3 then 'treatment' else 'control' end as arm from ev),
+ca as (select pattern, avg(success::int) filter (arm = 'control') as c, avg(success::int) filter (arm = 'treatment') as t, count(*) filter (arm = 'control') as n_control, count(*) filter (arm = 'treatment') as n_treatment from ar group by pattern having n_control >= 10 and n_treatment >= 10),
+cr as (select *, case when abs(t - c) > 0.05 then case when t > c then 'promote' else 'rollback' end else 'inconclusive' end as recommendation from ca)"""
+
+
+@query("agg9_canaries", f"with {S_CAN} select pattern, round(c, 4) as control_sr, round(t, 4) as treatment_sr, recommendation, n_control, n_treatment from cr")
+def _(t):
+    c = learning.canaries(executions(t), "event_id", learning.Canary(fraction=0.3))
+    return c.select("pattern", "control_sr", "treatment_sr", "recommendation", "n_control", "n_treatment")
+
+
+@query("agg10_proposals", f"""with {S_MET}, {S_CAN.replace(S_EV + ', ', '')}, u as (select 0 as o, 'metrics' as source, pattern, recommend as action from mr where recommend in ('PROMOTE', 'DEMOTE', 'REMOVE') and pattern <> 1
+  union all select 1, 'canary', pattern, case recommendation when 'promote' then 'PROMOTE' else 'ROLLBACK' end from cr where recommendation <> 'inconclusive') select source, pattern, action, row_number() over (order by o, pattern)::int as rank from u order by o, pattern limit 10""")
+def _(t):
+    e = executions(t)
+    return learning.proposals(learning.metrics(e), learning.canaries(e, "event_id", learning.Canary(fraction=0.3)), [1])
+
+
+@query("agg11_summaries", f"with {S_MET} select pattern, round(sr, 4) as success_rate, recommend from mr")
+def _(t):
+    return learning.summaries(executions(t)).select("pattern", "success_rate", "recommend")
+
+
+S_BRK = f"""{S_EV}, o as (select pattern, success, tm, row_number() over (partition by pattern order by tm, event_id) as i from ev), r(pattern, i, state, fails, oks, opened, opens) as (
+  select distinct pattern, 0::bigint, 'CLOSED', 0, 0, 0.0::double, 0 from o union all
+  select pattern, i, case when success and st = 'HALF_OPEN' and (case when st = 'OPEN' then ok0 else ok0 + 1 end) >= 3 then 'CLOSED' when not success and st <> 'OPEN' and fails + 1 >= 2 then 'OPEN' else st end, case when success then 0 else fails + 1 end,
+    case when success then case when st = 'OPEN' then ok0 else ok0 + 1 end else 0 end, case when not success and st <> 'OPEN' and fails + 1 >= 2 then tm else opened end, opens + (not success and st <> 'OPEN' and fails + 1 >= 2)::int
+  from (select r.pattern, o.i, o.success, o.tm, r.fails, r.opened, r.opens, case when r.state = 'OPEN' and o.tm - r.opened >= 100000 then 'HALF_OPEN' else r.state end as st, case when r.state = 'OPEN' and o.tm - r.opened >= 100000 then 0 else r.oks end as ok0 from r join o on o.pattern = r.pattern and o.i = r.i + 1))"""
+
+
+@query("str2_breaker", f"with recursive {S_BRK} select pattern, state, fails as consec_failures, oks as consec_successes, opens from r join (select pattern as p, max(i) as n from o group by pattern) on p = pattern and n = i")
+def _(t):
+    return learning.breaker_runs(executions(t), cfg=learning.Breaker(failures=2, cooldown=100_000))
+
+
+@query("str5_cycle")
+def _(t):
+    e = executions(t)
+    found = learning.proposals(learning.metrics(e), learning.canaries(e, "event_id", learning.Canary(fraction=0.3)))
+    return learning.apply_proposals(found, "full").select("source", "pattern", "action", "status")
+
+
+# ---- sources and sinks
+
+@query("src7_first_pair", "select conv_id, arg_min(text, turn) filter (role = 'user') as question, arg_min(text, turn) filter (role = 'assistant') as answer from conversations group by conv_id having question is not null or answer is not null")
+def _(t):
+    rows = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
+    talks = t("conversations").groupBy("conv_id").agg(F.to_json(F.struct(F.transform(rows, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("conversations"))).alias("value"))
+    blank = lambda c: F.when(F.col(c) != "", F.col(c)).alias(c)
+    return readers.normalised_training(talks).select("conv_id", blank("question"), blank("answer"))
+
+
+@query("snk2_alpaca", f"with {S_QA} select seq, question as instruction, '' as input, answer as output from qa")
+def _(t):
+    return pairs(t).select("seq", *sinks.alpaca())
+
+
+@query("snk2_sharegpt", f"with {S_QA} select seq, 'user' as r1, question as c1, 'assistant' as r2, answer as c2 from qa")
+def _(t):
+    c = pairs(t).select("seq", sinks.sharegpt())
+    at = lambda i, f, n: F.col("conversations")[i][f].alias(n)
+    return c.select("seq", at(0, "role", "r1"), at(0, "content", "c1"), at(1, "role", "r2"), at(1, "content", "c2"))
+
+
+def talks(t) -> DataFrame:
+    rows = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
+    return t("conversations").groupBy("conv_id").agg(F.transform(rows, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("conversations"))
+
+
+@query("snk12_from_scratch", """with r as (select *, row_number() over (partition by conv_id order by turn) as n from conversations), c as (select conv_id, max(text) filter (n = 1) as q, max(role) filter (n = 1) as r1, max(text) filter (n = 2) as a, max(role) filter (n = 2) as r2, count(*) as k from r group by conv_id)
+select conv_id, 'Question: ' || trim(q) || ' Answer: ' || trim(a) as line from c where k >= 2 and r1 = 'user' and r2 = 'assistant' and trim(q) <> '' and trim(a) <> ''""")
+def _(t):
+    return talks(t).select("conv_id", sinks.from_scratch(F.col("conversations")).alias("line")).where("line is not null")
+
+
+@query("fmt_training_messages", "select conv_id, count(*)::int as n, count(*) filter (role = 'user')::int as users from conversations group by conv_id")
+def _(t):
+    c = talks(t).select("conv_id", sinks.training_text(F.col("conversations")).alias("m"))
+    return c.select("conv_id", F.size("m").alias("n"), F.size(F.filter("m", lambda x: x["role"] == "user")).alias("users"))
+
+
+@query("snk7_export_approved", f"with {S_LOG} select question, answer from log where approved")
+def _(t):
+    return log(t).where(F.col("approved").eqNullSafe(True)).select("question", "answer")
+
+
+@query("snk8_upsert_latest", "select o_custkey, max_by(o_orderkey, (o_orderdate, o_orderkey)) as o_orderkey from orders group by o_custkey")
+def _(t):
+    o = t("orders").select("o_custkey", "o_orderkey", F.concat_ws("/", F.col("o_orderdate").cast("string"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("at"))
+    return sinks.upsert(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 2 = 1"), "o_custkey", "at").select("o_custkey", "o_orderkey")
+
+
+@query("snk9_delete", "select c_custkey from customer where c_custkey not in (select o_custkey from orders)")
+def _(t):
+    return sinks.delete(t("customer"), t("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey").select("c_custkey")
+
+
+@query("agg3_library_stats", "select source as category, count(*) as n from documents group by source")
+def _(t):
+    index = t("documents").select(F.col("source").alias("category"), F.lit(1).alias("qa_count"))
+    return sinks.library_stats(index)[1]
+
+
+@query("agg13_size_buckets", "select case when n_chars < 50 then '<50' when n_chars < 200 then '<200' when n_chars < 1000 then '<1000' else '>=1000' end as bucket, count(*) as n, sum(n_chars)::bigint as chars from documents group by bucket")
+def _(t):
+    n = F.col("n_chars")
+    bucket = F.when(n < 50, "<50").when(n < 200, "<200").when(n < 1000, "<1000").otherwise(">=1000")
+    return t("documents").groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+
+
+S_LINES = "ln as (select event_id, '{''loss'': ' || round(value, 2)::varchar || '} step: ' || event_id as value from events)"
+
+
+@query("str13_log_metrics", "select event_id, event_id as step, round(value, 2)::double as loss from events")
+def _(t):
+    lines = t("events").select("event_id", F.concat(F.lit("{'loss': "), F.format_string("%.2f", F.round("value", 2)), F.lit("} step: "), F.col("event_id").cast("string")).alias("value"))
+    return readers.log_metrics(lines).select("event_id", "step", F.round("loss", 2).alias("loss"))
+
+
+@query("agg14_loss_summary", "select arg_min(value, event_id) as first_loss, arg_max(value, event_id) as last_loss, min(value) as best_loss, arg_min(event_id, (value, event_id)) as best_step from events")
+def _(t):
+    e = t("events")
+    return e.agg(F.min_by("value", "event_id").alias("first_loss"), F.max_by("value", "event_id").alias("last_loss"), F.min("value").alias("best_loss"), F.min_by("event_id", F.struct("value", "event_id")).alias("best_step"))
+
+
+@query("flt13_last_lines", "select event_id from events where event_type = 'error' order by event_id desc limit 15")
+def _(t):
+    return t("events").where(F.col("event_type").rlike("(?i)error")).orderBy(F.desc("event_id")).limit(15).select("event_id")
+
+
+@query("ord10_systematic_sample", "select doc_id from documents, (select greatest(count(*) // 15, 1) as step from documents) where doc_id % step = 0")
+def _(t):
+    d = t("documents")
+    step = d.agg(F.greatest(F.floor(F.count("*") / 15), F.lit(1)).alias("step"))
+    return d.select("doc_id").crossJoin(F.broadcast(step)).where("pmod(doc_id, step) = 0").select("doc_id")
+
+
+@query("set1_union_sources", "select 'documents' as origin, count(*) as n from documents union all select 'conversations', count(*) from conversations union all select 'pages', count(*) from pages")
+def _(t):
+    rows = [t(n).select(F.lit(n).alias("origin")) for n in ("documents", "conversations", "pages")]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy("origin").agg(F.count("*").alias("n"))
+
+
+@query("set3_token_sets", f"with {S_QA}, s as (select seq, list_distinct({s_tokens('question', '[a-z]{3,}')}) as a, list_distinct({s_tokens('answer', '[a-z]{3,}')}) as b from qa) select seq, len(list_intersect(a, b))::int as common, len(list_distinct(list_concat(a, b)))::int as total, (len(a) - len(list_intersect(a, b)))::int as only_question from s")
+def _(t):
+    s = pairs(t).select("seq", *(F.array_distinct(tx.tokens(c, "[a-z]{3,}")).alias(n) for c, n in (("question", "a"), ("answer", "b"))))
+    return s.select("seq", F.size(F.array_intersect("a", "b")).alias("common"), F.size(F.array_union("a", "b")).alias("total"), F.size(F.array_except("a", "b")).alias("only_question"))
+
+
+@query("src1_csv_text", "select count(*) as n from documents")
+def _(t):
+    return t("documents").select(F.to_csv(F.struct("doc_id", "source")).alias("line")).agg(F.count("line").alias("n"))
+
+
+# ---- flagship
+
+@query("flagship_prepare", f"""with recursive {s_chunks(150)}, q as (select doc_id, source, seq, chunk, len(list_filter({s_tokens('chunk', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3 as st, string_split(chunk, chr(10) || chr(10)) as ps from c),
+h as (select *, {s_strip('ps[1]')} as head, {s_strip("array_to_string(ps[2:], chr(10) || chr(10))")} as body from q),
+a as (select *, len(ps) >= 2 and len(head) < 150 and len(body) > 30 and {s_heading('head')} as hd from h),
+g as (select source, case when hd then 'What is ' || head || '?' when st then 'Show me a structured example from ' || source || '.' else 'What does the documentation say about the following from ' || source || '?' end as question, case when hd then body else chunk end as answer from a where hd or st or len(chunk) > 50),
+u as (select distinct source, {S_FP('question || chr(10) || answer')} as fp from g), n as (select count(*) as n from u)
+select 'train' as split, (n - greatest(1, floor(n * 0.15)))::bigint as n from n union all select 'val', greatest(1, floor(n * 0.15))::bigint from n""")
+def _(t):
+    d = t("documents")
+    p = document_pairs(d, size=800, overlap=150, separator="\n+", domain=DOMAIN).join(d.select(F.col("doc_id").alias("doc"), "source"), "doc")
+    kept = curation.dedup_first(p, within=["source"], order=["doc", "chunk", "part"])
+    return curation.split_train_val(kept, ["doc", "chunk", "part"]).groupBy("split").agg(F.count("*").alias("n"))
