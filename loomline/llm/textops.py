@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 U64 = np.uint64
 
 _SPACE = np.zeros(256, bool)
