@@ -1,82 +1,124 @@
 """Burrows-Wheeler transforms of shards of strings, merged by iterative interleave refinement.
 
 Each string ends in a terminator that is less than any byte; terminators are ordered by string and equal to none but
-themselves. A shard's transform comes from one sort of its suffixes (prefix doubling). Shards are then merged without
+themselves. A shard's rows come from one sort of its suffixes (prefix doubling); its transform holds, for each row,
+the STEP bytes before the suffix and the row of the suffix that starts with them. Shards are then merged without
 sorting suffixes again: starting from the shards' rows one after the other, each round reads the merged transform and
-deals its rows stably by symbol (one stable sort of symbols), which orders them by one more symbol. The round in which
-a boundary appears between neighbours is their common prefix, so after `depth` rounds the runs without a boundary are
-the intervals of equal substrings of that length.
+deals its rows stably by their STEP bytes, which puts the rows they lead to in the order of STEP more bytes. The round
+in which a boundary appears between neighbours bounds their common prefix, so after depth / STEP rounds the runs
+without a boundary are the intervals of equal substrings of that length.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+STEP, PACKED = 10, 7
+
 
 class Shard:
-    """rows: suffix starts in sorted order; bwt: the symbol before each (0 before a string's start, else byte + 1)."""
+    """rows: suffix starts in sorted order; place: the row of each suffix; string: of each position; ends: terminators' positions."""
 
     def __init__(self, strings: list[bytes], depth: int):
         sizes = np.array([len(s) + 1 for s in strings], np.int64)
         self.ends = np.cumsum(sizes) - 1
-        text = np.zeros(int(sizes.sum()), np.int64)
-        text[np.delete(np.arange(len(text)), self.ends)] = np.frombuffer(b"".join(strings), np.uint8).astype(np.int64) + 1
-        self.n, self.strings = len(text), len(strings)
-        rank = text + self.strings - 1
-        rank[self.ends] = np.arange(self.strings)  # terminators: distinct, by string
-        string = np.repeat(np.arange(self.strings), sizes)
-        width = 1
-        order = np.argsort(rank, kind="stable")
-        while True:
-            sorted_rank = rank[order]
-            fresh = np.empty(self.n, np.int64)
-            fresh[order] = np.cumsum(np.append(0, sorted_rank[1:] != sorted_rank[:-1]))
-            if width >= depth:
-                break
+        self.starts = self.ends - sizes + 1
+        self.n, self.strings = int(sizes.sum()), len(strings)
+        self.text = np.zeros(self.n, np.int64)
+        inner = np.ones(self.n, bool)
+        inner[self.ends] = False
+        self.text[inner] = np.frombuffer(b"".join(strings), np.uint8).astype(np.int64) + 1
+        self.string = np.repeat(np.arange(self.strings), sizes)
+        last = self.ends[self.string]
+        here = np.arange(self.n)
+        key = np.zeros(self.n, np.int64)  # the first symbols, nothing after a terminator
+        for k in range(PACKED):
+            at = here + k
+            key = key << 9 | np.where(at <= last, self.text[np.minimum(at, self.n - 1)], 0)
+        width = PACKED
+        order = np.argsort(key)
+        order[: self.strings] = self.ends  # only terminators have key 0
+        sorted_key = key[order]
+        new = np.append(0, sorted_key[1:] != sorted_key[:-1])
+        new[: self.strings] = 1
+        rank = np.empty(self.n, np.int64)
+        rank[order] = np.cumsum(new)
+        while width < depth:
             # beyond its terminator a suffix is alone already: what follows doesn't matter
-            nxt = np.minimum(np.arange(self.n) + width, self.ends[string])
-            rank = fresh * (self.n + 1) + fresh[nxt]
-            order = np.argsort(rank, kind="stable")
+            key = rank * (self.n + 1) + rank[np.minimum(here + width, last)]
+            order = np.argsort(key)
+            sorted_key = key[order]
+            rank = np.empty(self.n, np.int64)
+            rank[order] = np.cumsum(np.append(0, sorted_key[1:] != sorted_key[:-1]))
             width *= 2
         self.rows = order
-        self.bwt = np.where(order == 0, 0, text[order - 1]).astype(np.uint16)
-        starts = np.append(0, self.ends[:-1] + 1)
-        first = np.zeros(self.n, bool)
-        first[starts] = True
-        self.bwt[first[order]] = 0
+        self.place = np.empty(self.n, np.int64)
+        self.place[order] = here
+
+
+def _words(text: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A number for the STEP symbols from each position, in their order; nothing counts after a terminator."""
+    here = np.arange(len(text))
+    key = np.zeros(len(text), np.int64)
+    for k in range(STEP // 2):
+        at = here + k
+        key = key << 9 | np.where(at <= last, text[np.minimum(at, len(text) - 1)], 0)
+    _, half = np.unique(key, return_inverse=True)
+    rest = np.where(here + STEP // 2 <= last, half[np.minimum(here + STEP // 2, len(text) - 1)] + 1, 0)
+    _, whole = np.unique(half * (len(text) + 1) + rest, return_inverse=True)
+    return whole
 
 
 def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(shard, row in its order, interval number, common prefix with the one before up to `depth`) of all suffixes in merged order."""
+    """(shard, row in its order, interval number, common prefix with the one before, in steps of STEP up to `depth`) of all suffixes in merged order."""
+    assert depth % STEP == 0
     sizes = np.array([s.n for s in shards])
     base = np.cumsum(sizes) - sizes
-    bwt = np.concatenate([s.bwt for s in shards])
     total = int(sizes.sum())
-    enders = sum(s.strings for s in shards)
-    # terminator suffixes come first, by shard and string; from the first round on each is an interval of its own
-    heads = np.concatenate([b + np.arange(s.strings) for b, s in zip(base, shards)])
-    rest = np.delete(np.arange(total), heads)
-    merged = np.concatenate([heads, rest])  # global row numbers: rows of a shard always stay in their order
-    shard = np.searchsorted(base, merged, "right") - 1
-    interval = np.zeros(total, np.int64)
+    # the merged transform's parts, by global row: the bytes before a suffix, and the row they lead to
+    word = _words(np.concatenate([s.text for s in shards]), np.concatenate([s.ends[s.string] + b for s, b in zip(shards, base)]))
+    before, leads, short, own = (np.full(total, -1) for _ in range(4))
+    for s, b in zip(shards, base):
+        rows = slice(b, b + s.n)
+        at = s.rows
+        some = at - STEP >= s.starts[s.string[at]]
+        back = at[some] - STEP
+        before[rows][some] = word[b + back]
+        leads[rows][some] = b + s.place[back]
+        own[rows] = word[b + at]
+        short[rows] = s.ends[s.string[at]] - at < STEP
+    # suffixes that end within STEP bytes: no row leads to them; their places by word, shard and row never change
+    fixed = np.flatnonzero(short)
+    fixed = fixed[np.argsort(own[fixed], kind="stable")]
+    everything = np.sort(own)
+    slot = np.searchsorted(everything, own[fixed]) + np.arange(len(fixed)) - np.searchsorted(own[fixed], own[fixed])
+    free = np.ones(total, bool)
+    free[slot] = False
+    free = np.flatnonzero(free)
+    merged, interval = np.arange(total), np.zeros(total, np.int64)
     common = np.full(total, depth, np.int64)
-    common[: enders + 1] = 0
-    head_shard = shard[:enders].copy()
-    for h in range(1, depth + 1):
-        symbols = bwt[merged]
-        source = np.argsort(symbols, kind="stable")
-        source = source[np.searchsorted(symbols[source], 1) :]  # rows before which a string starts have no predecessor
-        dealt = shard[source]
-        new = np.append(True, (symbols[source][1:] != symbols[source][:-1]) | (interval[source][1:] != interval[source][:-1]))
-        shard = np.concatenate([head_shard, dealt])
-        order = np.argsort(shard, kind="stable")
+    common[0] = 0
+    index = np.arange(len(free))
+    for h in range(1, depth // STEP + 1):
+        source = np.flatnonzero(before[merged] >= 0)
+        rows = merged[source]
+        dealt = np.argsort(before[rows] * (len(free) + 1) + index)  # stable: by word, then as they stood
+        rows, was = rows[dealt], interval[source][dealt]
+        words = before[rows]
+        new = np.ones(total, bool)
+        new[free[1:]] = (words[1:] != words[:-1]) | (was[1:] != was[:-1])
+        if len(free):
+            # a fixed row between two dealt ones has another word: the boundary stands there already
+            new[free[0]] = True
         merged = np.empty(total, np.int64)
-        merged[order] = np.arange(total)  # the k-th of a shard is its k-th row
-        boundary = np.concatenate([np.ones(enders, bool), new])
-        interval = np.cumsum(boundary) - 1
-        common[boundary & (common >= h)] = np.minimum(common[boundary & (common >= h)], h - 1)
+        merged[slot] = fixed
+        merged[free] = leads[rows]
+        fresh = new & (common >= h * STEP)
+        common[fresh] = (h - 1) * STEP
+        interval = np.cumsum(new) - 1
         if interval[-1] == total - 1:
             break
+    shard = np.searchsorted(base, merged, "right") - 1
     return shard, merged - base[shard], interval, common
 
 
@@ -97,16 +139,16 @@ def repeated_windows(strings: list[bytes], low: np.ndarray, width: int, shard_by
     for k, (s, first) in enumerate(zip(shards, edges)):
         mine = shard == k
         at = s.rows[row[mine]]
-        number = np.searchsorted(s.ends, at)
+        number = s.string[at]
         string[mine] = number + first
-        start[mine] = at - np.append(0, s.ends[:-1] + 1)[number]
+        start[mine] = at - s.starts[number]
         room[mine] = s.ends[number] - at
     full = room >= width
-    least = np.full(int(interval[-1]) + 1, np.iinfo(np.int64).max)
     own = np.asarray(low, np.int64)[string]
-    np.minimum.at(least, interval[full], own[full])
-    hit = full & (least[interval] < own)
-    out: list[list[int]] = [[] for _ in strings]
-    for s, a in zip(string[hit].tolist(), start[hit].tolist()):
-        out[s].append(a)
-    return [sorted(x) for x in out]
+    heads = np.flatnonzero(np.append(True, interval[1:] != interval[:-1]))
+    least = np.minimum.reduceat(np.where(full, own, np.iinfo(np.int64).max), heads)
+    hit = np.flatnonzero(full & (least[interval] < own))
+    hit = hit[np.lexsort((start[hit], string[hit]))]
+    cut = np.searchsorted(string[hit], np.arange(len(strings) + 1))
+    starts = start[hit].tolist()
+    return [starts[a:b] for a, b in zip(cut, cut[1:])]

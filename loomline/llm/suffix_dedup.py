@@ -1,14 +1,15 @@
 """Suffix-array dedup: bytes covered by a 50-byte string that also starts in a document with a smaller doc_id go.
 
-1. Texts are laid out in batches of some MB, one compressed row each, so that every later pass sees the same batch.
-2. Each batch lists the anchors of its windows (anchors.py: about one in eighteen bytes), 40 bits each, dealt by
+1. Texts are laid out in batches of some MB, one compressed row each, so that every later pass sees the same batch
+   and only compressed texts are shuffled.
+2. Each batch lists the anchors of its windows (anchors.py: about one in fourteen bytes), 40 bits each, dealt by
    value; a value that two documents share is marked in its batches by one bit. Windows with other anchors can't
-   repeat and leave the job here; documents without any marked anchor are done.
+   repeat and leave the job here.
 3. Runs of windows with a marked anchor are compared by anchor. Runs that are equal throughout need only the least
    doc_id. Runs that share an anchor but differ (a passage's ends) are decided by their suffixes: one run of each
    kind goes to a shard, shards' Burrows-Wheeler transforms are merged by interleave refinement to depth 50, and
    the intervals of equal 50-byte prefixes give each window's least doc_id (bwt.py), byte for byte.
-4. The removed ranges meet their documents' texts.
+4. The removed ranges meet their batches' texts.
 
 Hot values reach a reducer once a batch, not once a document; runs are combined by kind before their texts are
 compared; joins on anchors are sort-merge joins that Spark can split.
@@ -35,22 +36,25 @@ from pyspark.sql import functions as F
 from loomline.llm.anchors import runs
 from loomline.llm.bwt import repeated_windows
 from loomline.llm.minhash_dedup import by_group
-from loomline.llm.textops import U64, Rolling, drop_path, fresh_path, mix, pieces, signed, utf8
+from loomline.llm.textops import U64, Rolling, fresh_path, mix, pieces, signed, utf8
 
-WINDOW, GRAM, BATCH_BYTES, PART_BYTES, BUCKET_RUNS = 50, 16, 4 << 20, 32 << 20, 4000
+WINDOW, GRAM, BATCH_BYTES, PART_BYTES, BUCKET_RUNS = 50, 24, 4 << 20, 32 << 20, 8000
 _BITS = U64(24)  # a value's upper 40 bits are dealt
 _RUN = Rolling(31)
 LAST = (1 << 63) - 1
 
 
-def grams16(buf: np.ndarray) -> np.ndarray:
-    """A hash of the 16 bytes from each position."""
+def grams_of(buf: np.ndarray) -> np.ndarray:
+    """A hash of the GRAM bytes from each position, eight at a time."""
     n = len(buf) - GRAM + 1
     if n <= 0:
         return np.zeros(0, U64)
     words = np.ndarray((len(buf) - 7,), "<u8", np.ascontiguousarray(buf), 0, (1,))
+    out = words[:n] * U64(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
-        return mix(words[:n] * U64(0x9E3779B97F4A7C15) ^ (words[8 : 8 + n] + U64(0x632BE59BD9B4E019)) * U64(0xD6E8FEB86659FD93))
+        for at in range(8, GRAM, 8):
+            out = mix(out) + words[at : at + n] * U64(0xD6E8FEB86659FD93)
+        return mix(out)
 
 
 def lay_out(docs: DataFrame, path: str) -> None:
@@ -82,7 +86,7 @@ def batch_runs(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     while at < len(offsets) - 1:
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (1 << 18), "right")) - 1)
         part = buf[offsets[at] : offsets[end]]
-        grams = grams16(part)
+        grams = grams_of(part)
         doc, start, n, anchor = runs(grams, offsets[at : end + 1] - offsets[at], WINDOW, GRAM)
         if len(doc):
             out.append((doc + at, start + offsets[at], n, grams[anchor]))
@@ -143,10 +147,8 @@ def mark(batches: DataFrame, parts: int) -> DataFrame:
 
 
 def shared_runs(batches: DataFrame, bits: DataFrame, parts: int) -> DataFrame:
-    """One row a run with a marked anchor (fp, words, start, n), one row a document with such runs (text), and one a document without (sha256)."""
+    """(doc, row, fp, words, start, n): one row a run with a marked anchor. row: the batch's number << 16 | the document's place in it."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "row", "fp", "words", "start", "n", "text", "n_bytes", "sha256"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.string()]
         for number, docs, offsets, buf, fields in batch_rows(rows):
             doc, start, n, h, values, place = batch_runs(buf, offsets)
             marked = _shared_within(doc, place, len(values)) if len(values) else np.zeros(0, bool)
@@ -157,35 +159,35 @@ def shared_runs(batches: DataFrame, bits: DataFrame, parts: int) -> DataFrame:
                 mine = order[edges[x["part"]] : edges[x["part"] + 1]]
                 marked[mine] |= np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=len(mine)).astype(bool)
             use = np.flatnonzero(marked[place]) if len(place) else np.zeros(0, np.int64)
-            sums = _RUN.sums(buf)
-            words = _RUN.spans(sums, start[use], start[use] + n[use] + WINDOW - 1)
+            words = _RUN.spans(_RUN.sums(buf), start[use], start[use] + n[use] + WINDOW - 1)
             ids = np.array([LAST if d is None else d for d in docs], np.int64)
-            rows_of = (number << 16) + np.arange(len(docs))  # pieces() gives fewer rows
-            none = lambda k, kind: pa.nulls(k, kind)
             d = doc[use]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array(rows_of[d]), pa.array(signed(h[use])), pa.array(signed(words)), pa.array(start[use] - offsets[d]), pa.array(n[use].astype(np.int32)), none(len(d), kinds[6]), none(len(d), kinds[7]), none(len(d), kinds[8])], names)
-            suspect = np.zeros(len(docs), bool)
-            suspect[d] = True
-            whole = buf.tobytes()
-            texts = [whole[offsets[i] : offsets[i + 1]] for i in range(len(docs))]
-            k = len(docs)
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(rows_of), *(none(k, t) for t in kinds[2:6]), pa.array([t if s else None for t, s in zip(texts, suspect)], kinds[6]), pa.array([len(t) for t in texts], kinds[7]), pa.array([None if s else hashlib.sha256(t).hexdigest() for t, s in zip(texts, suspect)], kinds[8])], names)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array((number << 16) + d), pa.array(signed(h[use])), pa.array(signed(words)), pa.array((start[use] - offsets[d]).astype(np.int32)), pa.array(n[use].astype(np.int32))], ["doc", "row", "fp", "words", "start", "n"])
 
     marks = bits.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias("marks"))  # at most one a part
-    joined = batches.join(marks.hint("shuffle_hash"), "batch", "left")
-    return joined.mapInArrow(run, "doc long, row long, fp long, words long, start long, n int, text binary, n_bytes long, sha256 string")
+    return with_lists(batches, marks).mapInArrow(run, "doc long, row long, fp long, words long, start int, n int")
 
 
-def mixed_windows(kinds: DataFrame, texts: DataFrame, buckets: int) -> DataFrame:
-    """(fp, words, at): the windows of each kind of run that also start in a run of the same anchor with a lower doc_id. kinds: (fp, words, low, row, start, n)."""
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist()):
-                text = text.as_py()
-                for i in range(0, len(wanted), 20_000):
-                    some = wanted[i : i + 20_000]
-                    cols = [pa.array([w[k] for w in some], pa.int64()) for k in ("fp", "words", "low")]
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array([text[w["start"] : w["start"] + w["n"] + WINDOW - 1] for w in some], pa.binary())], ["fp", "words", "low", "run"])
+def with_lists(batches: DataFrame, lists: DataFrame, how: str = "left") -> DataFrame:
+    """batches beside what was found for each; a list is bounded by its batch."""
+    return batches.join(lists.hint("shuffle_hash"), "batch", how)
+
+
+def by_batch(found: DataFrame, *fields: str) -> DataFrame:
+    """(batch, marks): found's rows by batch, each with its document's place `i`."""
+    return found.groupBy(F.shiftright("row", 16).alias("batch")).agg(F.collect_list(F.struct(F.col("row").bitwiseAND(0xFFFF).cast("int").alias("i"), *fields)).alias("marks"))
+
+
+def mixed_windows(kinds: DataFrame, batches: DataFrame, buckets: int) -> DataFrame:
+    """(fp, words, a, b): the byte ranges of each kind of run that are covered by windows which also start in a run of the same anchor with a lower doc_id. kinds: (fp, words, low, row, start, n)."""
+    def fetch(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, offsets, buf, fields in batch_rows(rows):
+            flat = fields["marks"].values
+            i, fp, words, low, start, n = (flat.field(k) for k in range(6))
+            a = offsets[np.asarray(i)] + np.asarray(start)
+            b = a + np.asarray(n) + WINDOW - 1
+            text = buf.tobytes()
+            yield pa.RecordBatch.from_arrays([fp, words, low, pa.array([text[x:y] for x, y in zip(a.tolist(), b.tolist())], pa.binary())], ["fp", "words", "low", "run"])
 
     def decide(table: pa.Table) -> list[tuple]:
         fp, words = table.column("fp").to_pylist(), table.column("words").to_pylist()
@@ -198,35 +200,34 @@ def mixed_windows(kinds: DataFrame, texts: DataFrame, buckets: int) -> DataFrame
                 out += [(f, w, int(a[i]), int(a[j - 1]) + WINDOW) for i, j in zip(heads, np.append(heads[1:], len(a)))]
         return out
 
-    lists = kinds.groupBy("row").agg(F.collect_list(F.struct("fp", "words", "low", "start", "n")).alias("wanted"))
-    runs_of = texts.join(lists, "row").select("text", "wanted").mapInArrow(fetch, "fp long, words long, low long, run binary")
+    runs_of = with_lists(batches, by_batch(kinds, "fp", "words", "low", "start", "n"), "inner").mapInArrow(fetch, "fp long, words long, low long, run binary")
     runs_of = runs_of.withColumn("bucket", F.pmod(F.xxhash64("fp"), F.lit(buckets)).cast("int"))
     return by_group(runs_of, ["bucket"], decide, "fp long, words long, a long, b long", [pa.int64()] * 4)
 
 
-def cut_out(texts: DataFrame, gone: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, ranges in zip(batch.column("text"), batch.column("gone").to_pylist()):
-                text = text.as_py()
-                removed, spans, kept, at = 0, 0, hashlib.sha256(), 0
-                for a, b in sorted((r["a"], r["b"]) for r in ranges or []):
-                    if a > at or (a == 0 and at == 0):
-                        kept.update(text[at:a])
-                        spans += 1
-                        removed += b - a
-                    elif b > at:
-                        removed += b - at
-                    at = max(at, b)
-                kept.update(text[at:])
-                out.append((len(text), removed, spans, kept.hexdigest()))
-            cols = list(zip(*out)) if out else [()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string())))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    lists = gone.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("gone"))
-    joined = texts.join(lists, "row", "left").select(F.col("doc").alias("doc_id"), "text", "gone")
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+def cut_out(batches: DataFrame, gone: DataFrame) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) from batches and removed ranges (row, a, b)."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, docs, offsets, buf, fields in batch_rows(rows):
+            step = np.zeros(len(buf) + 1, np.int32)
+            if fields["marks"].is_valid:
+                i, a, b = (np.asarray(fields["marks"].values.field(k), np.int64) for k in range(3))
+                np.add.at(step, offsets[i] + a, 1)
+                np.add.at(step, offsets[i] + b, -1)
+            kept = np.cumsum(step[:-1]) == 0
+            gone_at = ~kept
+            head = gone_at.copy()
+            edge = np.zeros(len(buf) + 1, bool)
+            edge[offsets] = True
+            head[1:] &= kept[:-1] | edge[1:-1]
+            sums = [np.concatenate([[0], np.cumsum(x)]) for x in (gone_at, head)]
+            removed, spans = (x[offsets[1:]] - x[offsets[:-1]] for x in sums)
+            left = buf[kept].tobytes()
+            at = offsets - sums[0][offsets]
+            sha = [hashlib.sha256(left[x:y]).hexdigest() for x, y in zip(at.tolist(), at[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(np.diff(offsets)), pa.array(removed), pa.array(spans), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return with_lists(batches, by_batch(gone, "a", "b")).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def _tidy(spark) -> None:
@@ -238,33 +239,30 @@ def _tidy(spark) -> None:
 def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row."""
     spark = df.sparkSession
-    laid, found, decided = (fresh_path(spark, f"suffix-{n}") for n in ("batches", "runs", "windows"))
+    laid, found, kinds_at, decided = (fresh_path(spark, f"suffix-{n}") for n in ("batches", "runs", "kinds", "windows"))
     lay_out(df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")), laid)
     batches = spark.read.parquet(laid)
     size = batches.agg(F.sum("size")).first()[0] or 0
     parts = max(8, int(size // PART_BYTES))
     shared_runs(batches, mark(batches, parts), parts).write.parquet(found)
-    drop_path(spark, laid)
     _tidy(spark)
-
-    every = spark.read.parquet(found)
-    runs_of = every.where("fp is not null").select("doc", "row", "fp", "words", "start", "n")
-    texts = every.where("text is not null").select("doc", "row", "text")
-    clean = every.where("sha256 is not null").select(F.col("doc").alias("doc_id"), "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha256").alias("kept_sha256"))
-    kinds = runs_of.groupBy("fp", "words").agg(F.min(F.struct("doc", "row", "start", "n")).alias("one"))
-    kinds = kinds.select("fp", "words", F.col("one.doc").alias("low"), "one.row", "one.start", "one.n")
+    runs_of = spark.read.parquet(found)
+    made = runs_of.groupBy("fp", "words").agg(F.min(F.struct("doc", "row", "start", "n")).alias("one"))
+    made.select("fp", "words", F.col("one.doc").alias("low"), "one.row", "one.start", "one.n").write.parquet(kinds_at)
+    _tidy(spark)
+    kinds = spark.read.parquet(kinds_at)
     anchors = kinds.groupBy("fp").agg(F.min("words").alias("w0"), F.max("words").alias("w1"), F.min("low").alias("d0"), F.max("low").alias("d1"))
     mixed = kinds.join(anchors.where("w0 <> w1 and d0 <> d1").select("fp"), "fp")
-    n_mixed = mixed.count()
-    mixed_windows(mixed, texts.select("row", "text"), max(8, n_mixed // BUCKET_RUNS)).write.parquet(decided)
+    mixed_windows(mixed, batches, max(8, kinds.count() // BUCKET_RUNS)).write.parquet(decided)
     _tidy(spark)
     windows = spark.read.parquet(decided)
 
-    lows = kinds.select("fp", "words", "low")
-    placed = runs_of.join(lows, ["fp", "words"])
-    later = placed.where("doc > low").select("row", F.col("start").alias("a"), (F.col("start") + F.col("n") + WINDOW - 1).alias("b"))
-    least = placed.where("doc = low").select("row", "fp", "words", "start").join(windows, ["fp", "words"]).select("row", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))
-    return clean.union(cut_out(texts.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc"), "row", "text"), later.union(least)))
+    # windows decide for the least document of a kind; all later ones lose the whole run
+    ranges = windows.groupBy("fp", "words").agg(F.collect_list(F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))).alias("ranges"))  # at most a run's length
+    placed = runs_of.join(kinds.select("fp", "words", "low").join(ranges, ["fp", "words"], "left"), ["fp", "words"])
+    whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("n") + WINDOW - 1).cast("int").alias("b")))
+    gone = placed.select("row", "start", F.explode(F.when(F.col("doc") > F.col("low"), whole).otherwise(F.col("ranges"))).alias("r"))
+    return cut_out(batches, gone.select("row", (F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b")).alias("b")))
 
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:
