@@ -4,9 +4,10 @@ Each string ends in a terminator that is less than any byte; terminators are ord
 themselves. A shard's rows come from one sort of its suffixes (prefix doubling); its transform holds, for each row,
 the STEP bytes before the suffix and the row of the suffix that starts with them. Shards are then merged without
 sorting suffixes again: starting from the shards' rows one after the other, each round reads the merged transform and
-deals its rows stably by their STEP bytes, which puts the rows they lead to in the order of STEP more bytes. The round
-in which a boundary appears between neighbours bounds their common prefix, so after depth / STEP rounds the runs
-without a boundary are the intervals of equal substrings of that length.
+deals its rows stably by their STEP bytes, which puts the rows they lead to in the order of STEP more bytes. Suffixes
+that end before that leave, as no later round needs them. The round in which a boundary appears between neighbours
+bounds their common prefix, so after depth / STEP rounds the runs without a boundary are the intervals of equal
+substrings of that length.
 """
 
 from __future__ import annotations
@@ -70,14 +71,14 @@ def _words(text: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(shard, row in its order, interval number, common prefix with the one before, in steps of STEP up to `depth`) of all suffixes in merged order."""
+    """(shard, row in its order, interval number, whether it shares `depth` bytes with the one before) of all suffixes of at least `depth` bytes, in merged order."""
     assert depth % STEP == 0
     sizes = np.array([s.n for s in shards])
     base = np.cumsum(sizes) - sizes
     total = int(sizes.sum())
     # the merged transform's parts, by global row: the bytes before a suffix, and the row they lead to
     word = _words(np.concatenate([s.text for s in shards]), np.concatenate([s.ends[s.string] + b for s, b in zip(shards, base)]))
-    before, leads, short, own = (np.full(total, -1) for _ in range(4))
+    before, leads = (np.full(total, -1) for _ in range(2))
     for s, b in zip(shards, base):
         rows = slice(b, b + s.n)
         at = s.rows
@@ -85,41 +86,21 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.n
         back = at[some] - STEP
         before[rows][some] = word[b + back]
         leads[rows][some] = b + s.place[back]
-        own[rows] = word[b + at]
-        short[rows] = s.ends[s.string[at]] - at < STEP
-    # suffixes that end within STEP bytes: no row leads to them; their places by word, shard and row never change
-    fixed = np.flatnonzero(short)
-    fixed = fixed[np.argsort(own[fixed], kind="stable")]
-    everything = np.sort(own)
-    slot = np.searchsorted(everything, own[fixed]) + np.arange(len(fixed)) - np.searchsorted(own[fixed], own[fixed])
-    free = np.ones(total, bool)
-    free[slot] = False
-    free = np.flatnonzero(free)
+    # Round h orders suffixes by h * STEP bytes; those that end sooner lead to none that later rounds need, and leave.
     merged, interval = np.arange(total), np.zeros(total, np.int64)
-    common = np.full(total, depth, np.int64)
-    common[0] = 0
-    index = np.arange(len(free))
+    shared = np.zeros(total, bool)
     for h in range(1, depth // STEP + 1):
         source = np.flatnonzero(before[merged] >= 0)
         rows = merged[source]
-        dealt = np.argsort(before[rows] * (len(free) + 1) + index)  # stable: by word, then as they stood
+        dealt = np.argsort(before[rows] * (len(rows) + 1) + np.arange(len(rows)))  # stable: by bytes, then as they stood
         rows, was = rows[dealt], interval[source][dealt]
         words = before[rows]
-        new = np.ones(total, bool)
-        new[free[1:]] = (words[1:] != words[:-1]) | (was[1:] != was[:-1])
-        if len(free):
-            # a fixed row between two dealt ones has another word: the boundary stands there already
-            new[free[0]] = True
-        merged = np.empty(total, np.int64)
-        merged[slot] = fixed
-        merged[free] = leads[rows]
-        fresh = new & (common >= h * STEP)
-        common[fresh] = (h - 1) * STEP
+        new = np.append(True, (words[1:] != words[:-1]) | (was[1:] != was[:-1]))[: len(rows)]
+        merged = leads[rows]
         interval = np.cumsum(new) - 1
-        if interval[-1] == total - 1:
-            break
+        shared = ~new
     shard = np.searchsorted(base, merged, "right") - 1
-    return shard, merged - base[shard], interval, common
+    return shard, merged - base[shard], interval, shared
 
 
 def repeated_windows(strings: list[bytes], low: np.ndarray, width: int, shard_bytes: int = 1 << 18) -> list[list[int]]:
@@ -135,19 +116,18 @@ def repeated_windows(strings: list[bytes], low: np.ndarray, width: int, shard_by
     edges.append(len(strings))
     shards = [Shard(strings[a:b], width) for a, b in zip(edges, edges[1:])]
     shard, row, interval, _ = merge(shards, width)
-    string, start, room = (np.empty(len(shard), np.int64) for _ in range(3))
+    if not len(shard):
+        return [[] for _ in strings]
+    string, start = np.empty(len(shard), np.int64), np.empty(len(shard), np.int64)
     for k, (s, first) in enumerate(zip(shards, edges)):
         mine = shard == k
         at = s.rows[row[mine]]
-        number = s.string[at]
-        string[mine] = number + first
-        start[mine] = at - s.starts[number]
-        room[mine] = s.ends[number] - at
-    full = room >= width
+        string[mine] = s.string[at] + first
+        start[mine] = at - s.starts[s.string[at]]
     own = np.asarray(low, np.int64)[string]
     heads = np.flatnonzero(np.append(True, interval[1:] != interval[:-1]))
-    least = np.minimum.reduceat(np.where(full, own, np.iinfo(np.int64).max), heads)
-    hit = np.flatnonzero(full & (least[interval] < own))
+    least = np.minimum.reduceat(own, heads)
+    hit = np.flatnonzero(least[interval] < own)
     hit = hit[np.lexsort((start[hit], string[hit]))]
     cut = np.searchsorted(string[hit], np.arange(len(strings) + 1))
     starts = start[hit].tolist()

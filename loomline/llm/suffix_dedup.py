@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from loomline.llm.anchors import runs
 from loomline.llm.bwt import repeated_windows
 from loomline.llm.minhash_dedup import by_group
-from loomline.llm.textops import U64, Rolling, fresh_path, mix, pieces, signed, utf8
+from loomline.llm.textops import U64, Rolling, drop_path, fresh_path, mix, pieces, signed, utf8
 
 WINDOW, GRAM, BATCH_BYTES, PART_BYTES, BUCKET_RUNS = 50, 24, 4 << 20, 32 << 20, 8000
 _BITS = U64(24)  # a value's upper 40 bits are dealt
@@ -231,15 +232,17 @@ def cut_out(batches: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def _tidy(spark) -> None:
-    """Let Spark drop the shuffle files of finished steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop the shuffle files of finished steps: it does once their plans are collected, on both sides."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row."""
     spark = df.sparkSession
-    laid, found, kinds_at, decided = (fresh_path(spark, f"suffix-{n}") for n in ("batches", "runs", "kinds", "windows"))
+    laid, found, anchors_at, placed_at, kinds_at, decided = (fresh_path(spark, f"suffix-{n}") for n in ("batches", "runs", "anchors", "placed", "kinds", "windows"))
     lay_out(df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")), laid)
     batches = spark.read.parquet(laid)
     size = batches.agg(F.sum("size")).first()[0] or 0
@@ -247,22 +250,30 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     shared_runs(batches, mark(batches, parts), parts).write.parquet(found)
     _tidy(spark)
     runs_of = spark.read.parquet(found)
-    made = runs_of.groupBy("fp", "words").agg(F.min(F.struct("doc", "row", "start", "n")).alias("one"))
-    made.select("fp", "words", F.col("one.doc").alias("low"), "one.row", "one.start", "one.n").write.parquet(kinds_at)
+    anchors = runs_of.groupBy("fp").agg(F.min("words").alias("w0"), F.max("words").alias("w1"), F.min("doc").alias("d0"), F.max("doc").alias("d1"))
+    # an anchor of one document decides nothing
+    anchors.where("d0 <> d1").select("fp", "d0", (F.col("w0") != F.col("w1")).alias("mixed")).write.parquet(anchors_at)
+    _tidy(spark)
+    keep = lambda c: F.when(F.col("mixed"), F.col(c)).alias(c)
+    met = runs_of.join(spark.read.parquet(anchors_at), "fp").where("mixed or doc > d0")
+    met.select("row", "start", "n", "mixed", keep("doc"), keep("fp"), keep("words")).write.parquet(placed_at)
+    drop_path(spark, found)
+    drop_path(spark, anchors_at)
     _tidy(spark)
+    placed = spark.read.parquet(placed_at)
+    mixed = placed.where("mixed")
+    made = mixed.groupBy("fp", "words").agg(F.min(F.struct("doc", "row", "start", "n")).alias("one"))
+    made.select("fp", "words", F.col("one.doc").alias("low"), "one.row", "one.start", "one.n").write.parquet(kinds_at)
     kinds = spark.read.parquet(kinds_at)
-    anchors = kinds.groupBy("fp").agg(F.min("words").alias("w0"), F.max("words").alias("w1"), F.min("low").alias("d0"), F.max("low").alias("d1"))
-    mixed = kinds.join(anchors.where("w0 <> w1 and d0 <> d1").select("fp"), "fp")
-    mixed_windows(mixed, batches, max(8, kinds.count() // BUCKET_RUNS)).write.parquet(decided)
+    mixed_windows(kinds, batches, max(8, kinds.count() // BUCKET_RUNS)).write.parquet(decided)
     _tidy(spark)
-    windows = spark.read.parquet(decided)
-
     # windows decide for the least document of a kind; all later ones lose the whole run
-    ranges = windows.groupBy("fp", "words").agg(F.collect_list(F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))).alias("ranges"))  # at most a run's length
-    placed = runs_of.join(kinds.select("fp", "words", "low").join(ranges, ["fp", "words"], "left"), ["fp", "words"])
+    ranges = spark.read.parquet(decided).groupBy("fp", "words").agg(F.collect_list(F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))).alias("ranges"))  # at most a run's length
     whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("n") + WINDOW - 1).cast("int").alias("b")))
-    gone = placed.select("row", "start", F.explode(F.when(F.col("doc") > F.col("low"), whole).otherwise(F.col("ranges"))).alias("r"))
-    return cut_out(batches, gone.select("row", (F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b")).alias("b")))
+    known = mixed.join(kinds.select("fp", "words", "low").join(ranges, ["fp", "words"], "left"), ["fp", "words"])
+    gone = known.select("row", "start", F.explode(F.when(F.col("doc") > F.col("low"), whole).otherwise(F.col("ranges"))).alias("r")).select("row", (F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b")).alias("b"))
+    later = placed.where("not mixed").select("row", F.col("start").alias("a"), (F.col("start") + F.col("n") + WINDOW - 1).alias("b"))
+    return cut_out(batches, later.union(gone))
 
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:
