@@ -10,9 +10,9 @@ from loomline.llm.textops import fresh_path
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with more than even odds of any toxic grade go."""
+    """Documents that the ordinal model takes for toxic go."""
     model = toxicity.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id")).where("p_toxic <= 0.5").select(*docs.columns)
+    return toxicity.score(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id")).where("not toxic").select(*docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,7 @@ def features(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Ordinal:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(1 << BITS))
     thresholds: np.ndarray = field(default_factory=lambda: np.full(GRADES, 50.0))
+    cut: float = 0.5  # toxic above: where the sample's labels part best
 
     def above(self, scores: np.ndarray) -> np.ndarray:
         """P(grade > k) for k = 0..GRADES-1."""
@@ -75,7 +76,7 @@ def grades(docs: list[np.ndarray], n_words: np.ndarray, toxic: np.ndarray) -> tu
     return np.where(toxic, 1 + np.searchsorted(cuts, share, "left"), 0), use
 
 
-def fit(docs: list[np.ndarray], n_words: np.ndarray, toxic: np.ndarray, steps: int = 400, penalty: float = 0.5) -> Ordinal:
+def fit(docs: list[np.ndarray], n_words: np.ndarray, toxic: np.ndarray, steps: int = 400, penalty: float = 0.2) -> Ordinal:
     """Full-batch Adam on the penalised likelihood. thresholds = first + sums of exponentials, so they stay ordered."""
     toxic = np.asarray(toxic, bool)
     if not len(docs) or toxic.all() or not toxic.any():
@@ -107,6 +108,11 @@ def fit(docs: list[np.ndarray], n_words: np.ndarray, toxic: np.ndarray, steps: i
         w, gaps = w + move[: len(w)], gaps + move[len(w) :]
     model = Ordinal(thresholds=np.concatenate([[gaps[0]], gaps[0] + np.cumsum(np.exp(gaps[1:]))]))
     model.weights[use] = w
+    p = model.above(np.bincount(row, w[col], n))[:, 0]
+    # between the two neighbouring probabilities that part the labels best (share of toxic above less share of clean above)
+    levels = np.unique(np.round(p, 9))
+    gain = [(p[toxic] > c).mean() - (p[~toxic] > c).mean() for c in (levels[1:] + levels[:-1]) / 2]
+    model.cut = float((levels[np.argmax(gain)] + levels[np.argmax(gain) + 1]) / 2) if gain else 0.5
     return model
 
 
@@ -137,32 +143,31 @@ def pc_lengths(lists: pa.ListArray) -> pa.Array:
 
 
 def score(df: DataFrame, model: Ordinal, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(key, p_toxic, expected_severity, grade) and the columns in keep, for each row. grade: the most probable severity."""
+    """(key, p_toxic, expected_severity, grade, toxic) and the columns in keep (which mustn't have these names), for each row. grade: the most probable severity; toxic: p_toxic above the model's cut."""
     sc = df.sparkSession.sparkContext
-    shared = sc.broadcast((np.flatnonzero(model.weights), model.weights[np.flatnonzero(model.weights)], model.thresholds))  # at most FEATURES weights
+    shared = sc.broadcast((np.flatnonzero(model.weights), model.weights[np.flatnonzero(model.weights)], model.thresholds, model.cut))  # at most FEATURES weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use, w, thresholds = shared.value
+        use, w, thresholds, cut = shared.value
         model = Ordinal(thresholds=thresholds)
         model.weights[use] = w
         for piece in pieces(batches, "_text"):
             ids, at, _ = features(piece.column("_text"))
             above = model.above(model.score(ids, at))
             full = np.concatenate([np.ones((len(above), 1)), above, np.zeros((len(above), 1))], 1)
-            out = [pa.array(above[:, 0]), pa.array(above.sum(1)), pa.array(np.argmax(full[:, :-1] - full[:, 1:], 1), pa.int64())]
+            out = [pa.array(above[:, 0]), pa.array(above.sum(1)), pa.array(np.argmax(full[:, :-1] - full[:, 1:], 1), pa.int64()), pa.array(above[:, 0] > cut)]
             yield pa.RecordBatch.from_arrays([*(piece.column(n) for n in had), *out], [*had, *found])
 
     wanted = [key, *(c for c in keep if c != key)]
     had = ["_text" if c == text else f"_{i}" for i, c in enumerate(wanted)]
-    found = ["p_toxic", "expected_severity", "grade"]
+    found = ["p_toxic", "expected_severity", "grade", "toxic"]
     named = dict(zip([*had, "_text"], [*wanted, text]))
     source = df.select(*(F.col(f"`{c}`").alias(n) for n, c in named.items()))
-    kinds = [T.StructField(found[0], T.DoubleType()), T.StructField(found[1], T.DoubleType()), T.StructField(found[2], T.LongType())]
+    kinds = [T.StructField(found[0], T.DoubleType()), T.StructField(found[1], T.DoubleType()), T.StructField(found[2], T.LongType()), T.StructField(found[3], T.BooleanType())]
     out = source.mapInArrow(run, T.StructType([*(source.schema[n] for n in had), *kinds]))
     return out.select(*(F.col(n).alias(c) for n, c in zip(had, wanted)), *found)
 
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
-    out = score(docs, train(docs, labels))
-    return out.select("doc_id", "p_toxic", "expected_severity", "grade", (F.col("p_toxic") > 0.5).alias("toxic"))
+    return score(docs, train(docs, labels))

@@ -1,0 +1,340 @@
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from loomline.llm import embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, suffix_dedup, toxicity
+from loomline.llm.bwt import repeated_windows
+from tests.llm import cases
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Awkward rows, with extra columns whose names clash with those the operators use."""
+    return spark.createDataFrame(cases.ROWS, cases.SCHEMA).withColumns({c: F.lit(1) for c in ("key", "row", "batch", "h", "_text", "size", "spans")})
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], cases.SCHEMA)
+
+
+def rows(df, key="doc_id"):
+    return {r[key]: r for r in df.collect()}
+
+
+def test_pii_base_and_added(docs, empty):
+    field = pii.trained()
+    got = rows(pii.find(docs, field))
+    for i, text, *_ in cases.ROWS:
+        base = cases.base_spans(text, cases.PII)
+        joined = ",".join(f"{n}:{a}:{b}" for n, a, b in base)
+        assert got[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [got[i][f"n_{k}"] for k in pii.KINDS] == [sum(n == k for n, _, _ in base) for k in pii.KINDS]
+        assert set(joined.split(",")) <= set(got[i].spans.split(",")) or not joined
+    assert pii.find(empty, field).count() == 0
+    assert pii.redact("a b@c.d e", [(2, 0, 7)]) == "a <EMAIL> e"
+
+
+def test_pii_random_texts_match_plain_patterns():
+    r = random.Random(3)
+    for _ in range(3000):
+        t = "".join(r.choice("a1.@+- 9()b0\n") for _ in range(r.randint(0, 60)))
+        assert [(pii.KINDS[k], a, b) for a, k, b in pii.base_spans(t)] == cases.base_spans(t, cases.PII), t
+
+
+def test_pii_field_on_held_out_table_and_disguises(spark):
+    field = pii.trained()
+    table = sorted(pii.label_table(300, 99))
+    raw = [x[2].encode() for x in table]
+    ends = np.cumsum([len(w) for w in raw])
+    buf = np.frombuffer(b"".join(raw), np.uint8)
+    new = np.append(True, np.diff([x[0] for x in table]) != 0)
+    said = field.decode(field.emissions(*pii.shapes(buf, ends - [len(w) for w in raw], ends), new), new)
+    true = np.array([pii.LABELS.index(x[3]) for x in table])
+    assert (said == true).mean() > 0.97 and (said == true)[true > 0].mean() > 0.85
+    d = spark.createDataFrame([(0, "write ann at mail dot com today"), (1, "tel: (030) 123-4567 now"), (2, "nothing to see in 2024")], "doc_id long, text string")
+    got = rows(pii.find(d, field))
+    assert got[0].spans.startswith("email:") and got[0].n_added == 1 and got[2].spans == ""
+
+
+def test_viterbi_equals_brute_force():
+    import itertools
+
+    rng = np.random.default_rng(0)
+    f = pii.Field(*(np.zeros((1, 5)) for _ in range(6)), rng.normal(size=(5, 5)), rng.normal(size=5))
+    lengths = [1, 4, 2, 3]
+    e = rng.normal(size=(sum(lengths), 5))
+    new = np.zeros(len(e), bool)
+    new[np.cumsum([0, *lengths[:-1]])] = True
+    got, at = f.decode(e, new), 0
+    for n in lengths:
+        score = lambda p: f.first[p[0]] + sum(e[at + t, p[t]] for t in range(n)) + sum(f.moves[a, b] for a, b in zip(p, p[1:]))  # noqa: B023
+        assert tuple(got[at : at + n]) == max(itertools.product(range(5), repeat=n), key=score)
+        at += n
+
+
+def test_mixing(docs, empty, spark):
+    got = mixing.mix_counts(docs).collect()
+    assert len(got) == len(cases.ROWS)
+    total = sum(r["size"] for r in got)
+    assert all(r["size"] == len(cases.words(dict((x[0], x[1]) for x in cases.ROWS)[r.doc_id])) and 0 <= r.taken <= 3 * r["size"] for r in got)
+    by = defaultdict(int)
+    for r in got:
+        by[r.source] += r.taken
+    for r in got:
+        assert r.target <= 3 * r.source_size and abs(by[r.source] - r.target) <= 1
+    assert abs(sum({r.source: r.target for r in got}.values()) - total) < 1e-6 * total
+    assert sorted(got) == sorted(mixing.mix_counts(docs.repartition(7)).collect()) if all(r.source for r in got) else True
+    assert mixing.mix_counts(empty).count() == 0
+    twice = docs.union(docs)
+    mixed = mixing.mix_documents(twice)
+    assert mixed.columns == twice.columns
+    n = Counter(r.doc_id for r in mixed.select("doc_id").collect())
+    assert n[4] == 2 and all(v <= 6 for v in n.values())
+
+
+def test_suffix_dedup(docs, empty):
+    got = rows(suffix_dedup.deduplicate(docs))
+    assert {i: tuple(r)[1:] for i, r in got.items()} == cases.repeated_bytes(cases.ROWS)
+    assert suffix_dedup.deduplicate(empty).count() == 0
+
+
+def test_bwt_merge_equals_brute_force():
+    r = random.Random(1)
+    for t in range(100):
+        w, strings = r.choice((10, 20)), [bytes(r.choice(b"ab" if t % 2 else b"aaab\xff\x00") for _ in range(r.randint(0, 120))) for _ in range(r.randint(1, 12))]
+        low = np.array([r.randint(0, 5) for _ in strings])
+        least = {}
+        for s, k in zip(strings, low):
+            for i in range(len(s) - w + 1):
+                least[s[i : i + w]] = min(least.get(s[i : i + w], 99), k)
+        want = [[i for i in range(len(s) - w + 1) if least[s[i : i + w]] < k] for s, k in zip(strings, low)]
+        assert repeated_windows(strings, low, w, r.choice((10, 40, 1000))) == want
+
+
+def test_suffix_dedup_random(spark):
+    r = random.Random(2)
+    passages = ["".join(r.choice("abc d") for _ in range(r.randint(30, 200))) for _ in range(6)]
+    data = [(i, "".join(r.choice(passages)[r.randint(0, 20) :] + "".join(r.choice("xyz") for _ in range(r.randint(0, 9))) for _ in range(r.randint(0, 5)))) for i in range(60)]
+    got = rows(suffix_dedup.deduplicate(spark.createDataFrame(data, "doc_id long, text string")))
+    assert {i: tuple(x)[1:] for i, x in got.items()} == cases.repeated_bytes(data)
+
+
+def test_substring_index(docs, empty, spark):
+    got = sorted((tuple(r) for r in substring_index.deduplicate(docs).collect()), key=str)
+    assert got == cases.repeated_words(cases.ROWS)
+    assert substring_index.deduplicate(empty).count() == 0
+    r = random.Random(4)
+    data = [(i, " ".join(r.choice("ab") if i % 2 else r.choice("abcdefgh") for _ in range(r.randint(0, 150)))) for i in range(40)] + [(100, "p " * 90), (100, "p " * 90), (101, "q")]
+    got = sorted((tuple(x) for x in substring_index.deduplicate(spark.createDataFrame(data, "doc_id long, text string"), batches=5).collect()), key=str)
+    assert got == cases.repeated_words(data)
+
+
+def test_index_compacts_and_remembers(spark, docs):
+    index = substring_index.FingerprintIndex(spark, fanout=2)
+    d = docs.withColumn("row", F.xxhash64("doc_id", "text")).select("row", "text")
+    for _ in range(3):
+        index.add(substring_index.entries(d))
+        assert len(index.runs) <= 2
+    one = substring_index.entries(d).groupBy("fp", "words").count()
+    assert index.entries().join(one, ["fp", "words"]).where("times <> 3 * count").count() == 0
+
+
+def test_media(docs, empty):
+    got = rows(media.media_features(media.encode_media(docs), others=("n_bytes",)))
+    stored = rows(media.encode_media(docs))
+    for i, text, *_ in cases.ROWS:
+        raw = (text or "").encode()
+        body = raw + b"\xff" * (-len(raw) % 576 if raw else 576)
+        g = got[i]
+        assert (g.n_bytes, g.payload_bytes, g.payload_sha256, g.tail_crc32) == (len(raw), len(body), hashlib.sha256(body).hexdigest(), zlib.crc32(body[-32:]))
+        assert (g.media_bytes, g.media_sha256) == (len(stored[i].media), hashlib.sha256(stored[i].media).hexdigest())
+    assert got[0].feature == got[1].feature
+    assert media.encode_media(empty).count() == 0
+
+
+def test_png_filters_and_damage():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 256, (30, 24)).astype(np.uint8)
+    for f in (0, 1, 2):
+        assert (media.png_decode(media.png_encode(x, f)) == x).all()
+    rows = np.zeros((30, 25), np.uint8)
+    rows[:, 0] = rng.integers(0, 5, 30)
+    for y in range(30):
+        for c in range(24):
+            a, b, d = (int(v) for v in (x[y, c - 1] if c else 0, x[y - 1, c] if y else 0, x[y - 1, c - 1] if c and y else 0))
+            p = [abs(b - d), abs(a - d), abs(a + b - 2 * d)]
+            guess = (0, a, b, (a + b) // 2, (a, b, d)[p.index(min(p))])[rows[y, 0]]
+            rows[y, c + 1] = (int(x[y, c]) - guess) % 256
+    assert (media.unfilter(rows) == x).all()
+    good = media.png_encode(x)
+    for bad in (good[:-4], good[:60] + bytes([good[60] ^ 1]) + good[61:], b"x" + good[1:]):
+        with pytest.raises(ValueError):
+            media.png_decode(bad)
+    assert media.cosine_hash(x) == media.cosine_hash(np.minimum(x.astype(int) + 0, 255).astype(np.uint8))
+
+
+def test_toxicity(spark, empty):
+    r = random.Random(0)
+    plain, bad = [f"word{i}" for i in range(300)], ["vile", "awful", "cruel"]
+    data = []
+    for i in range(900):
+        toxic = i % 5 == 0
+        text = [r.choice(plain) for _ in range(r.randint(5, 80))] + (r.sample(bad, r.randint(1, 3)) if toxic else [])
+        r.shuffle(text)
+        data.append((i, " ".join(text).title(), int(toxic)))
+    d = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    model = toxicity.train(d.where("doc_id < 600"), d.where("doc_id < 600").select("doc_id", "toxic"))
+    assert (np.diff(model.thresholds) > 0).all()
+    held = toxicity.score(d.where("doc_id >= 600"), model).join(d.withColumnRenamed("toxic", "label"), "doc_id").collect()
+    assert all(x.toxic == bool(x.label) for x in held) and all(0 <= x.expected_severity <= 3 for x in held)
+    odd = toxicity.score(spark.createDataFrame(cases.ROWS, cases.SCHEMA), model).collect()
+    assert len(odd) == len(cases.ROWS) and all(x.grade == 0 for x in odd)
+    assert toxicity.score(empty, model).count() == 0
+    none = toxicity.train(d, d.select("doc_id", "toxic").limit(0))
+    assert toxicity.score(d, none).where("toxic").count() == 0
+
+
+def test_near_duplicates(docs, empty, spark):
+    got = rows(minhash_dedup.near_duplicates(docs))
+    assert {i: tuple(x)[1:] for i, x in got.items()} == cases.near(cases.ROWS)
+    assert minhash_dedup.near_duplicates(empty).count() == 0
+    twice = minhash_dedup.near_duplicates(docs.union(docs)).collect()
+    assert len(twice) == 2 * len(cases.ROWS) and set(map(tuple, twice)) == set(map(tuple, got.values()))
+
+
+@pytest.mark.parametrize("chunk", [256, 7])
+def test_near_duplicates_random(spark, monkeypatch, chunk):
+    """Families of edited copies with a passage that most share; small chunks take the path of large groups."""
+    monkeypatch.setattr(minhash_dedup, "CHUNK", chunk)
+    r = random.Random(chunk)
+    common = [f"c{i}" for i in range(12)]
+    data = []
+    for f in range(12):
+        base = [f"f{f}x{i}" for i in range(r.randint(8, 70))]
+        for _ in range(r.randint(1, 14)):
+            w = list(base)
+            for _ in range(r.randint(0, 3)):
+                w[r.randrange(len(w))] = f"e{r.randint(0, 9)}"
+            data.append((len(data), " ".join((common if r.random() < 0.7 else []) + w)))
+    got = rows(minhash_dedup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")))
+    assert {i: tuple(x)[1:] for i, x in got.items()} == cases.near(data)
+
+
+def test_packing(docs, empty):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    ids = {i: [*t.encode(x or "", add_special_tokens=False).ids, 0] for i, x, *_ in cases.ROWS}
+    got = packing.pack(docs.repartition(3)).collect()
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in got:
+        part = np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4")
+        assert len(part) == r.length and zlib.crc32(part.tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids[r.doc_id])
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for i, x in ids.items():
+        at = 0
+        for a, n in sorted(pieces[i]):
+            assert a == at
+            at += n
+        assert at == len(x)
+    padding = 0
+    for s in sequences.values():
+        at = 0
+        for a, n in sorted(s):
+            assert a == at
+            at += n
+        assert at <= 1024
+        padding += 0 if at & (at - 1) == 0 else 1024 - at
+    assert padding == 0
+    assert packing.pack(empty).count() == 0
+
+
+def test_tokens_equal_the_named_tokenizer():
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    t, encode, r = Tokenizer.from_file(P.path("byte_bpe_50k.json")), packing.encoder(), random.Random(5)
+    for _ in range(300):
+        text = "".join(r.choice(["a", "é", " ", "\n", "'s", "12", "<|endoftext|>", "ß", "中", "  ", "word", "\x00"]) for _ in range(r.randint(0, 60)))
+        assert encode(text) == t.encode(text, add_special_tokens=False).ids, text
+
+
+def vectors(spark, n=700):
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=(40, 16))
+    x = base[rng.integers(0, 40, n)] + rng.normal(size=(n, 16)) * rng.choice([0, 0.05, 0.25, 0.4], n)[:, None]
+    rows = [(i, [float(v) for v in x[i]], int(i % 3) if i % 50 else None) for i in range(n)]
+    rows += [(n, None, 1), (n + 1, [0.0] * 16, 1), (n + 2, [float("nan")] * 16, 1), (n + 3, [], 1), (n + 4, [None] * 16, 1), (n + 5, [1.0, 2.0], 1), (n + 6, [2.0, 4.0], 1), (n + 7, [1e200] * 16, 1), (n + 8, [1e-200] * 16, 1)]
+    return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+
+
+def test_embedding_links(spark, monkeypatch):
+    for name, value in (("LIST_ROWS", 100), ("BLOCK", 64), ("QUERIES", 50)):
+        monkeypatch.setattr(embedding_dedup, name, value)
+    data, df = vectors(spark)
+    got = rows(embedding_dedup.link_counts(df.withColumn("class", F.lit(0))), "vec_id")
+    unit = {}
+    for i, v, label in data:
+        if label is not None and v and all(y is not None and np.isfinite(y) for y in v) and any(v):
+            y = np.array(v) / np.abs(v).max()
+            unit[i] = (label, y / np.linalg.norm(y))
+    links = [(a, b) for a in unit for b in unit if a < b and unit[a][0] == unit[b][0] and len(unit[a][1]) == len(unit[b][1]) and unit[a][1] @ unit[b][1] >= 0.93]
+    n = Counter(x for p in links for x in p)
+    c = cases.components([r[0] for r in data], links)
+    found = sum(g.n_links for g in got.values())
+    assert found >= 0.9 * 2 * len(links)
+    assert {i: tuple(g)[1:] for i, g in got.items()} == {r[0]: (n[r[0]], c[r[0]], c[r[0]] == r[0]) for r in data}
+    assert embedding_dedup.link_counts(df.limit(0)).count() == 0
+
+
+def test_secrets(docs, empty):
+    got = rows(secrets.scan(docs))
+    for i, text, *_ in cases.ROWS:
+        base = cases.base_spans(text, cases.SECRETS)
+        joined = ",".join(f"{n}:{a}:{b}" for n, a, b in base)
+        assert got[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest(), i
+        assert [got[i][f"n_{k}"] for k in secrets.KINDS[:3]] == [sum(n == k for n, _, _ in base) for k in secrets.KINDS[:3]]
+    assert "owned:" in got[9].spans
+    assert secrets.scan(empty).count() == 0
+
+
+def test_secrets_random_and_ownership(spark):
+    r = random.Random(6)
+    parts = ["token", "Secret", "api_key", "=", ": ", '"', "=abcdef", "AKIA", "ABCDEFGHIJ0123", "deadbeef", "0123456789abcdef", " ", "é", "passwd", "KLMN", "x" * 12]
+    data = [(i, "".join(r.choice(parts) for _ in range(r.randint(0, 25))), "en", "s") for i in range(400)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    got = rows(secrets.scan(df))
+    for i, text, *_ in data:
+        joined = ",".join(f"{n}:{a}:{b}" for n, a, b in cases.base_spans(text, cases.SECRETS))
+        assert got[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest(), text
+    long = "Zx9cVb8nMq7wErTy6uIo5"
+    shared = spark.createDataFrame([(i, f"see {long} here", "en", f"s{i}") for i in range(4)] + [(9, f"see {long[::-1]} here", "en", "s1")], "doc_id long, text string, lang string, source string")
+    got = rows(secrets.scan(shared))
+    assert got[0].spans == "" and got[0].n_copied == 1 and got[9].spans == "owned:4:25" and got[9].n_live == 1
+
+
+def test_pipeline(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    for name, data, schema in (("documents", cases.ROWS, cases.SCHEMA), ("labels", [(0, 1, 0), (8, 1, 1)], "doc_id long, quality int, toxic int")):
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in cp.STAGES:
+        before = docs
+        stage(spark, before, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        if name != "packing":
+            assert docs.columns == before.columns
+        if name == "near_duplicates":
+            assert {r.doc_id for r in docs.collect()} == {i for i, (_, _, kept) in cases.near(cases.ROWS).items() if kept}
+        if name == "pii":
+            assert "<EMAIL>" in rows(docs)[8].text
+    assert cp.run(spark, str(tmp_path)).count() == docs.count() > 0
