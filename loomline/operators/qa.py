@@ -125,10 +125,10 @@ def general_facts(topic: Column, text: Column) -> Column:
     return F.array(fact("s_general", {"fn": topic, "raw": text}, {k: has_any(low, v) for k, v in SIGNALS.items()}))
 
 
-def section_facts(heading: Column, text: Column, label: Column = F.lit(""), domain: Domain = Domain(), p: Column | None = None) -> Column:
+def section_facts(heading: Column, text: Column, label: Column | None = None, domain: Domain = Domain(), p: Column | None = None) -> Column:
     """Facts of one parsed section; general questions only where nothing else can be asked."""
     p = section_parts(text) if p is None else p
-    fn = F.when(strip(heading) != "", strip(heading)).otherwise(label)
+    fn = F.when(strip(heading) != "", strip(heading)).otherwise(F.lit("") if label is None else label)
     joined = lambda k: strip(F.array_join(p[k], "\n\n"))
     desc, syntax, args, notes, raw = joined("description"), joined("syntax"), joined("arguments"), joined("notes"), strip(text)
     has_fn = fn != ""

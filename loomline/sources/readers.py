@@ -110,8 +110,8 @@ def vocabulary_records(data: dict, source: str) -> list[dict]:
     return out
 
 
-def read_yaml(spark: SparkSession, path: str, make: Callable[[dict, str], list[dict]], schema: str, recursive: bool = False, glob: str = "*.yaml", hidden: bool = True) -> DataFrame:
-    """make() on each YAML mapping under path; a file that doesn't parse gives no rows."""
+def read_yaml(spark: SparkSession, path: str, make: Callable[[dict, str], list[dict]], schema: str, recursive: bool = False, glob: str = "*.yaml") -> DataFrame:
+    """make() on each YAML mapping under path; a file that doesn't parse gives no rows. Spark lists no files whose names start with _ or a dot."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import yaml
 
@@ -127,7 +127,6 @@ def read_yaml(spark: SparkSession, path: str, make: Callable[[dict, str], list[d
             yield pd.DataFrame({"j": rows}, dtype=object)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", glob).load(path).select("path", "content")
-    files = files if hidden else files.where(~F.regexp_extract("path", r"([^/]*)$", 1).startswith("_"))
     return files.mapInPandas(run, "j string").select(F.from_json("j", schema).alias("r")).select("r.*")
 
 
@@ -142,7 +141,7 @@ def read_patterns(spark: SparkSession, path: str) -> DataFrame:
 
 def read_library(spark: SparkSession, path: str) -> DataFrame:
     """A flat library folder; files whose name starts with _ aren't entries."""
-    return read_yaml(spark, path, _named, PATTERN, hidden=False)
+    return read_yaml(spark, path, _named, PATTERN)
 
 
 def read_vocabularies(spark: SparkSession, path: str) -> DataFrame:
@@ -151,10 +150,9 @@ def read_vocabularies(spark: SparkSession, path: str) -> DataFrame:
 
 def read_interactions(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """The interaction log; blank and malformed lines go."""
-    schema = RECORD + ", _bad string"
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    df = (spark.readStream if stream else spark.read).schema(schema).options(**options).json(path)
-    return df.where("_bad is null").drop("_bad")
+    lines = (spark.readStream if stream else spark.read).text(path).where(F.trim("value") != "")
+    made = F.from_json("value", RECORD + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    return lines.select(made.alias("r")).where("r is not null and r._bad is null").select("r.*").drop("_bad")
 
 
 def normalised_training(lines: DataFrame, line: str = "value") -> DataFrame:
