@@ -90,8 +90,9 @@ class FingerprintIndex:
         """found's entries whose fingerprint the index holds at least twice, with `kinds`, the number of different entries of it."""
         parts = self.spark.read.parquet(*self.runs)
         seen = parts.groupBy("fp").agg(F.sum("times").alias("times"), F.min("words").alias("low"), F.max("words").alias("high"))
-        seen = seen.where("times > 1").select("fp", F.when(F.col("low") == F.col("high"), 1).otherwise(2).alias("kinds"))
-        return found.join(seen, "fp")
+        path = fresh_path(self.spark, "seen")  # a table of its own: Spark then splits what a hot fingerprint brings to the join
+        seen.where("times > 1").select("fp", F.when(F.col("low") == F.col("high"), 1).otherwise(2).alias("kinds")).write.parquet(path)
+        return found.join(self.spark.read.parquet(path), "fp")
 
 
 def window_hashes(docs: DataFrame, wanted: DataFrame, window: int = WINDOW) -> DataFrame:
