@@ -242,7 +242,7 @@ def _tidy(spark) -> None:
 def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row."""
     spark = df.sparkSession
-    laid, found, anchors_at, placed_at, kinds_at, decided = (fresh_path(spark, f"suffix-{n}") for n in ("batches", "runs", "anchors", "placed", "kinds", "windows"))
+    laid, found, anchors_at, placed_at, kinds_at, decided, lows_at = (fresh_path(spark, f"suffix-{n}") for n in ("batches", "runs", "anchors", "placed", "kinds", "windows", "lows"))
     lay_out(df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")), laid)
     batches = spark.read.parquet(laid)
     size = batches.agg(F.sum("size")).first()[0] or 0
@@ -270,7 +270,9 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     # windows decide for the least document of a kind; all later ones lose the whole run
     ranges = spark.read.parquet(decided).groupBy("fp", "words").agg(F.collect_list(F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))).alias("ranges"))  # at most a run's length
     whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("n") + WINDOW - 1).cast("int").alias("b")))
-    known = mixed.join(kinds.select("fp", "words", "low").join(ranges, ["fp", "words"], "left"), ["fp", "words"])
+    # a table of its own: Spark then splits what a hot kind brings to the join
+    kinds.select("fp", "words", "low").join(ranges, ["fp", "words"], "left").write.parquet(lows_at)
+    known = mixed.join(spark.read.parquet(lows_at), ["fp", "words"])
     gone = known.select("row", "start", F.explode(F.when(F.col("doc") > F.col("low"), whole).otherwise(F.col("ranges"))).alias("r")).select("row", (F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b")).alias("b"))
     later = placed.where("not mixed").select("row", F.col("start").alias("a"), (F.col("start") + F.col("n") + WINDOW - 1).alias("b"))
     return cut_out(batches, later.union(gone))
