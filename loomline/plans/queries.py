@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from loomline.functions import text as tx
 from loomline.functions.config import Domain
 from loomline.functions.questions import QUESTIONS
+from loomline.functions.scratch import scratch_path
 from loomline.operators import chunking, curation, learning, memory, pages, patterns, qa, retrieval
 from loomline.plans.prepare import document_pairs
 from loomline.sources import readers, sinks
@@ -313,11 +314,10 @@ def _(t):
     return vocabulary(t).where("question like 'How does % differ from %' and question not like '%other approaches%'").select("source", "question")
 
 
-@query("gen13_placeholders", "select 1::int as n, '{fn}' as first")
+@query("gen13_placeholders", r"select item_id, regexp_extract_all('What of {fn} and {related} in ' || item_id || '?', '\{(\w+)\}', 1) as names from benchmark")
 def _(t):
-    spark = t("region").sparkSession
-    one = spark.createDataFrame([("What is {fn}?",)], "q string").select(F.regexp_extract_all("q", F.lit(r"\{(\w+)\}"), F.lit(0)).alias("p"))
-    return one.select(F.size("p").alias("n"), F.col("p")[0].alias("first"))
+    q = t("benchmark").select("item_id", F.concat(F.lit("What of {fn} and {related} in "), F.col("item_id").cast("string"), F.lit("?")).alias("q"))
+    return q.select("item_id", F.regexp_extract_all("q", F.lit(r"\{(\w+)\}"), F.lit(1)).alias("names"))
 
 
 # ---- dedup, split
@@ -822,9 +822,197 @@ def _(t):
     return s.select("seq", F.size(F.array_intersect("a", "b")).alias("common"), F.size(F.array_union("a", "b")).alias("total"), F.size(F.array_except("a", "b")).alias("only_question"))
 
 
-@query("src1_csv_text", "select count(*) as n from documents")
+def _again(df: DataFrame, name: str, write: Callable[[DataFrame, str], None]) -> str:
+    """Write df under the shared scratch folder; the path."""
+    path = scratch_path(df.sparkSession, name)
+    write(df, path)
+    return path
+
+
+@query("src1_csv", f"with {S_QA} select {s_strip('question')} as question, {s_strip('answer')} as answer from qa where {s_strip('question')} <> '' and {s_strip('answer')} <> ''")
+def _(t):
+    p = pairs(t).select(F.concat(F.lit("  "), "question").alias("Question"), F.col("answer").alias("Answer"))
+    return readers.read_csv(p.sparkSession, _again(p, "csv", lambda d, at: d.write.csv(at, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)))["qa"]
+
+
+@query("src2_yaml_patterns", "select r_name as name, 'Entries of ' || r_name || '.' as description, 2::int as uses, 1::int as parameters from region")
+def _(t):
+    d = t("region")
+    y = F.format_string("name: %s\ndescription: Entries of %s.\nuse_cases: [first, second]\nparameters: [{name: size, description: how big, example: 3}]\nbest_practices: {do: it}", "r_name", "r_name")
+    path = _again(d.select(y.alias("value")).repartition(5, "value"), "yaml", lambda x, at: x.write.option("maxRecordsPerFile", 1).text(at))
+    got = readers.read_yaml(d.sparkSession, path, readers._named, patterns.PATTERN, recursive=True, glob="*.txt")
+    return got.select("name", "description", F.size("use_cases").alias("uses"), F.size("parameters").alias("parameters"))
+
+
+@query("src4_vocabularies", "select r_name as name, 'general' as domain, 'One of ' || r_name || '.' as description, 'first' as first_example from region")
+def _(t):
+    d = t("region")
+    y = F.format_string("metadata: {version: 1}\ntopics:\n  - {name: %s, description: One of %s., examples: [{description: first}, {description: second}]}\n  - {title: nameless}", "r_name", "r_name")
+    path = _again(d.select(y.alias("value")).repartition(5, "value"), "yaml", lambda x, at: x.write.option("maxRecordsPerFile", 1).text(at))
+    return readers.read_yaml(d.sparkSession, path, readers.vocabulary_records, patterns.ENTRY, glob="*.txt").select("name", "domain", "description", "first_example")
+
+
+@query("src6_interaction_log", f"with {S_LOG} select id, question, approved from log")
+def _(t):
+    rows = log(t).drop("seq")
+    bad = rows.sparkSession.createDataFrame([("",), ("not json",)], "value string")
+    path = _again(rows.select(F.to_json(F.struct("*")).alias("value")).unionByName(bad), "log", lambda d, at: d.write.text(at))
+    return readers.read_interactions(rows.sparkSession, path).select("id", "question", "approved")
+
+
+@query("src12_long_term", f"with {S_REL} select id, relevance, frequency, 'long_term' as tier from v where relevance >= 0.5")
+def _(t):
+    rows = sinks.long_term_records(memory.relevance(log(t)).where("relevance >= 0.5"))
+    return readers.read_long_term(rows.sparkSession, _again(rows, "long-term", sinks.append_records)).select("id", "relevance", F.col("score_detail")["frequency"].alias("frequency"), "tier")
+
+
+@query("src14_training_rows", "select string_agg(case when role = 'user' then 'user' else 'assistant' end || ': ' || text, chr(10) order by turn) as text from conversations group by conv_id")
+def _(t):
+    return readers.training_rows(talks(t))
+
+
+@query("snk1_jsonl", f"with {S_QA} select question, answer from qa")
+def _(t):
+    p = pairs(t).select("seq", F.col("question").alias("instruction"), F.col("answer").alias("output"))
+    path = _again(p, "jsonl", lambda d, at: sinks.write_jsonl(d, at, order=["seq"]))
+    return readers.read_training(p.sparkSession, path)
+
+
+@query("snk3_training_files", f"""with {S_QA}, n as (select count(*) as n from qa), v as (select n, greatest(1, floor(n * 0.15)) as v from n), s as (select 'train' as split, n - v as n from v union all select 'val', v from v)
+select format, split, n::bigint as n from s, (values ('alpaca'), ('sharegpt')) as f(format)""")
+def _(t):
+    p = curation.split_train_val(pairs(t).select("seq", "question", "answer"), ["seq"])
+    spark = p.sparkSession
+    path = _again(p, "training", sinks.write_training)
+    rows = [spark.read.option("basePath", f"{path}/{f}").json(f"{path}/{f}").groupBy("split").agg(F.count("*").alias("n")).select(F.lit(f).alias("format"), "split", "n") for f in ("alpaca", "sharegpt")]
+    return rows[0].unionByName(rows[1])
+
+
+@query("snk5_log_interaction", f"with {S_QA} select {s_strip('question')} as question, true as pending, 32::int as id_length from qa")
+def _(t):
+    d = pairs(t).withColumns({"session_id": F.lit("s"), "model_name": F.lit(""), "kb_context_used": F.lit(False)})
+    return memory.new_records(d).select("question", F.col("approved").isNull().alias("pending"), F.length("id").alias("id_length"))
+
+
+@query("snk11_demonstrations", f"with {S_SC}, c as (select *, {S_CONF} as confidence from j) select question as instruction, answer as output from c where confidence >= 0.5 order by confidence desc, seq limit 10")
+def _(t):
+    return curation.top_demonstrations(judged(t), 10, 0.5).select(*sinks.alpaca()).select("instruction", "output")
+
+
+@query("snk13_concat_jsonl", "select role || ' ' || conv_id as value from conversations where role = 'user' union all select role || ' ' || conv_id from conversations where role = 'assistant'")
+def _(t):
+    line = t("conversations").select("role", F.concat_ws(" ", "role", F.col("conv_id").cast("string")).alias("value"))
+    blank = line.sparkSession.createDataFrame([("",)], "value string")
+    return sinks.concat_jsonl(line.where("role = 'user'").select("value"), blank, line.where("role = 'assistant'").select("value"))
+
+
+@query("snk14_carve_validation", S_SPLIT)
+def _(t):
+    return sinks.carve_validation(t("documents").select("doc_id"), None, ["doc_id"])
+
+
+@query("flt9_approved", f"with {S_LOG} select seq from log where approved and trim(question) <> '' and trim(answer) <> ''")
+def _(t):
+    return log(t).where(F.col("approved").eqNullSafe(True) & (F.trim("question") != "") & (F.trim("answer") != "")).select("seq")
+
+
+@query("flt10_harm_refusal", f"select doc_id, regexp_matches(text, $q${curation.HARM}$q$) as harm, regexp_matches(text, $q${curation.REFUSAL}$q$) as refusal from documents")
+def _(t):
+    return t("documents").select("doc_id", F.col("text").rlike(curation.HARM).alias("harm"), F.col("text").rlike(curation.REFUSAL).alias("refusal"))
+
+
+@query("flt11_named_pattern", r"select doc_id, list_filter(regexp_extract_all(text, '(?i)the ([a-z]+)', 1), lambda x: len(x) > 2 and not regexp_matches(x, '(?i)(?:th|on)$'))[1] as name from documents")
+def _(t):
+    named = Domain(function_pattern="the ([a-z]+)", non_function_suffixes=("th", "on"))
+    return t("documents").select("doc_id", named.named(F.col("text")).alias("name"))
+
+
+@query("gen6_pattern_conversations")
+def _(t):
+    return library(t).select("name", F.explode(patterns.pattern_conversations()).alias("c")).select("name", F.size("c").alias("messages"), F.col("c")[0]["content"].alias("first"))
+
+
+@query("gen12_vocabulary_conversations", f"select sum(n)::bigint as n, 2::int as messages from ({s_vocabulary()})")
+def _(t):
+    c = vocabulary(t).select(sinks.sharegpt())
+    return c.groupBy(F.size("conversations").alias("messages")).agg(F.count("*").alias("n"))
+
+
+def library(t) -> DataFrame:
+    n = nations(t)
+    p = n.withColumns({f: F.lit(None).cast("string") for f in ("title", "pattern_alias", "source_file")}).withColumn("use_cases", F.array(F.lit("shipping goods"), F.lit("counting orders")))
+    p = p.withColumn("related_patterns", F.array("category")).withColumn("guardrails", F.array(F.lit("no exports")))
+    p = p.withColumn("templates", F.array(F.struct(F.lit("basic").alias("key"), F.lit("show it").alias("description"), F.concat(F.lit("visit "), "name").alias("content"), F.array().cast("array<string>").alias("required_parameters"))))
+    for c, kind in patterns.PATTERN_TYPES.items():
+        p = p if c in p.columns else p.withColumn(c, F.lit(None).cast(kind))
+    return p
+
+
+def forms(t) -> DataFrame:
+    f = {"title": F.concat(F.lit("About "), "name"), "use_cases_text": F.lit("- first use\n* second use\nno"), "parameters_text": F.lit("level: how much (10)\nbad"), "worked_example": F.concat(F.lit("see "), "name"), "example_summary": F.lit(""), "example_output": F.lit("seen"), "common_errors_text": F.lit("Lost: ask a friend"), "best_practices": F.lit("Be polite.")}
+    return nations(t).withColumns(f)
+
+
+@query("gen15_form_to_pattern", "select lower('about_' || replace(n_name, ' ', '_')) as name, 'About ' || n_name as title, 2::int as uses, 'level' as parameter, '10' as example, 'Lost' as error from nation")
+def _(t):
+    p = patterns.form_to_pattern(forms(t))
+    return p.select("name", "title", F.size("use_cases").alias("uses"), F.col("parameters")[0]["name"].alias("parameter"), F.col("parameters")[0]["example"].alias("example"), F.col("common_errors")[0]["error"].alias("error"))
+
+
+@query("gen16_pattern_to_form", "select 'About ' || n_name as title, 'first use' || chr(10) || 'second use' as use_cases_text, 'level: how much (10)' as parameters_text, 'see ' || n_name as worked_example, 'seen' as example_output, 'Lost: ask a friend' as common_errors_text, 'Be polite.' as best_practices from nation")
+def _(t):
+    return patterns.pattern_to_form(patterns.form_to_pattern(forms(t))).select("title", "use_cases_text", "parameters_text", "worked_example", "example_output", "common_errors_text", "best_practices")
+
+
+@query("ret4_contexts")
+def _(t):
+    lib = library(t).withColumn("seq", F.col("entry").cast("long"))
+    q = t("nation").select(F.col("n_nationkey").alias("query_id"), F.concat(F.lit("What is "), "n_name", F.lit("?")).alias("question"))
+    found = retrieval.keyword_search(q, lib.select("seq", "name", F.coalesce("title", "name").alias("title"), retrieval.searchable(lib).alias("body")))
+    best = found.join(lib.drop("entry"), "seq").withColumn("block", retrieval.context_block())
+    return retrieval.contexts(best, "query_id").select("query_id", F.md5("context").alias("md5"))
+
+
+@query("tfi7_contexts")
+def _(t):
+    lib = library(t).withColumn("seq", F.col("entry").cast("long"))
+    docs = lib.select("seq", retrieval.pattern_text(lib).alias("text"))
+    q = t("nation").select(F.col("n_nationkey").alias("query_id"), F.concat(F.lit("What is "), "n_name", F.lit("?")).alias("query"))
+    hits = retrieval.tfidf_search(q, docs, "query_id", "query", "seq", "text").join(lib, "seq").withColumn("block", retrieval.context_block(F.col("score")))
+    return retrieval.contexts(hits, "query_id", retrieval.SIMILARITY_HEADER).select("query_id", F.md5("context").alias("md5"))
+
+
+@query("msc2_candidate_pairs", f"with {S_QA} select seq, case when seq % 2 = 0 then {s_strip('question')} else 'asked' end as q, {s_strip('answer')} as a from qa")
+def _(t):
+    c = pairs(t).select("seq", F.when(F.col("seq") % 2 == 0, F.col("question")).otherwise("").alias("question"), F.lit(" asked ").alias("instruction"), F.col("answer").alias("output"))
+    q, a = curation.candidate_pair(c)
+    return c.select("seq", q.alias("q"), a.alias("a"))
+
+
+@query("msc4_tier", f"with {S_REL} select seq from v where seq % 2 = 0 and relevance < 0.4")
+def _(t):
+    return tiers(t).where("tier = 'short_term'").select("seq")
+
+
+@query("msc5_approve", f"""with {S_MET}, u as (select pattern, recommend as action, row_number() over (order by pattern)::int as rank from mr where recommend in ('PROMOTE', 'DEMOTE', 'REMOVE') qualify rank <= 10)
+select pattern, action, rank, case when rank = 1 then 'approved' else 'pending' end as status from u""")
+def _(t):
+    found = learning.metrics(executions(t))
+    p = learning.apply_proposals(learning.proposals(found, learning.canaries(executions(t), "event_id").limit(0)), "human_approval")
+    first = p.where("rank = 1").select(F.col("pattern").alias("_p"))
+    out = p.join(F.broadcast(first), how="cross")
+    return out.select("pattern", "action", "rank", F.when(F.col("pattern") == F.col("_p"), "approved").otherwise(F.col("status")).alias("status"))
+
+
+@query("msc10_frequent_view", f"with {S_SHORTQ}, k as (select *, trim(regexp_replace(lower(w), '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g'), {_SP}) as key from q) select key, count(*) as n from k group by key having count(*) >= 2 order by n desc, max(seq) desc limit 20")
+def _(t):
+    q = log(t).withColumn("question", F.split("question", " ")[0])
+    return memory.frequent_questions(q).limit(20).select("key", "n")
+
+
+@query("msc11_approval_gate", "select count(*) > 0 as ready from documents")
 def _(t):
-    return t("documents").select(F.to_csv(F.struct("doc_id", "source")).alias("line")).agg(F.count("line").alias("n"))
+    return t("documents").agg((F.count("*") > 0).alias("ready"))
 
 
 # ---- flagship

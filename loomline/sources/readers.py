@@ -155,6 +155,30 @@ def read_interactions(spark: SparkSession, path: str, stream: bool = False) -> D
     return lines.select(made.alias("r")).where("r is not null and r._bad is null").select("r.*").drop("_bad")
 
 
+LONG_TERM = f"id string, tier string, relevance double, score_detail map<string,double>, record struct<{', '.join(f'{c.split()[0]}:{c.split()[1]}' for c in RECORD.split(', '))}>"
+
+
+def read_long_term(spark: SparkSession, path: str) -> DataFrame:
+    """Archived interactions; all are of the long-term tier, taken in now. Malformed lines go."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    made = F.from_json("value", LONG_TERM + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    rows = lines.select(made.alias("r")).where("r is not null and r._bad is null").select("r.*").drop("_bad")
+    return rows.withColumns({"tier": F.lit("long_term"), "relevance": F.coalesce("relevance", F.lit(0.0)), "ingested_at": F.unix_micros(F.current_timestamp()) / 1e6})
+
+
+def training_rows(conversations: DataFrame, column: str = "conversations") -> DataFrame:
+    """(text) of conversations for a trainer: ROLE: content lines of the usable messages; empty ones go."""
+    from loomline.sources.sinks import training_text
+
+    text = F.array_join(F.transform(training_text(F.col(column)), lambda m: F.concat_ws(": ", m["role"], m["content"])), "\n")
+    return conversations.select(text.alias("text")).where("text <> ''")
+
+
+def follow_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of the lines that are added to a folder of logs."""
+    return spark.readStream.text(path)
+
+
 def normalised_training(lines: DataFrame, line: str = "value") -> DataFrame:
     """(question, answer) of JSONL rows as conversations (role/content or from/value), instruction/output, or question/answer."""
     turn = "array<struct<role:string,content:string,`from`:string,value:string>>"

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.text import col
+from loomline.operators.memory import RECORD
 
 
 def alpaca(question: Column | str = "question", answer: Column | str = "answer") -> list[Column]:
@@ -66,6 +67,23 @@ def export_approved(log: DataFrame, path: str, seq: str = "seq") -> int:
     return n
 
 
+def long_term_records(records: DataFrame) -> DataFrame:
+    """Scored records in the archive's shape: id, tier, relevance, score_detail, record."""
+    parts = ("frequency", "complexity", "effectiveness", "feedback")
+    detail = F.create_map(*(x for p in parts for x in (F.lit(p), F.col(p))))
+    fields = [c.split()[0] for c in RECORD.split(", ") if c.split()[0] in records.columns]
+    return records.select("id", F.lit("long_term").alias("tier"), "relevance", detail.alias("score_detail"), F.struct(*fields).alias("record"))
+
+
+def carve_validation(train: DataFrame, val: DataFrame | None, ids: Sequence[str], ratio: float = 0.15, seed: int = 42) -> DataFrame:
+    """train and val as one table with `split`; without a validation set one is carved from a shuffle of train."""
+    from loomline.operators.curation import split_train_val
+
+    if val is not None:
+        return train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
+    return split_train_val(train, ids, ratio, seed)
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     """Rows by key, the latest by order."""
     w = Window.partitionBy(key).orderBy(F.desc(order), F.desc("_new"))
