@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.components import Forest, components
-from loomline.llm.textops import cut
+from loomline.llm.textops import cut, short_batches
 
 THRESHOLD, SAMPLE, LIST_ROWS, MOST_LISTS = 0.93, 20_000, 4096, 4096
 SUB, CODES, BLOCK, QUERIES, SLACK = 8, 256, 2048, 4096, 1e-6
@@ -147,7 +147,7 @@ def link_counts(df: DataFrame, key: str = "vec_id", vector: str = "embedding", l
                 )
 
     label_type = reps.schema["label"].dataType.simpleString()
-    placed = cut(reps.mapInArrow(place, f"label {label_type}, dim int, list int, stored boolean, class long, n long, codes binary, error double, vector array<double>"))
+    placed = cut(reps.transform(short_batches).mapInArrow(place, f"label {label_type}, dim int, list int, stored boolean, class long, n long, codes binary, error double, vector array<double>"))
     key_cols = ["label", "dim", "list"]
     sizes = placed.groupBy(*key_cols).agg(
         F.greatest(F.ceil(F.sum(F.col("stored").cast("int")) / BLOCK), F.lit(1)).cast("int").alias("blocks"), F.greatest(F.ceil(F.sum((~F.col("stored")).cast("int")) / QUERIES), F.lit(1)).cast("int").alias("turns"),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.textops import pieces
+from loomline.llm.textops import pieces, short_batches
 
 BLOCK, WIDTH, LEVEL = 576, 24, 1
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -143,7 +143,7 @@ def encode_media(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     schema = T.StructType([source.schema["key"], T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return source.transform(short_batches).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def media_features(df: DataFrame, key: str = "doc_id", media: str = "media", others: tuple[str, ...] = ()) -> DataFrame:
@@ -163,7 +163,7 @@ def media_features(df: DataFrame, key: str = "doc_id", media: str = "media", oth
     out = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
     source = df.select(F.col(key).alias("key"), *others, F.col(media).alias("media"))
     fields = [T.StructField(n, T.StringType() if n.endswith("sha256") or n == "feature" else T.LongType()) for n in out]
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], *fields])).withColumnRenamed("key", key)
+    return source.transform(short_batches).mapInArrow(run, T.StructType([*source.schema.fields[:-1], *fields])).withColumnRenamed("key", key)
 
 
 def op5_media(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.components import Forest, components
-from loomline.llm.textops import LOWER, U64, Rolling, cut, list_array, pieces, signed, utf8, word_spans
+from loomline.llm.textops import LOWER, U64, Rolling, cut, list_array, pieces, short_batches, signed, utf8, word_spans
 
 WIDTH, K, ALPHA, CHUNK = 5, 32, 11, 256
 NUMERATOR, DENOMINATOR = 3, 4
@@ -61,7 +61,7 @@ def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
             pick = np.repeat(at[:-1] - off[:-1], keep) + np.arange(off[-1])
             yield pa.RecordBatch.from_arrays([piece.column("key"), pa.array(signed(f1)), pa.array(signed(f2)), pa.array(n), list_array(signed(flat[pick]), off, pa.int64())], ["doc_id", "f1", "f2", "n", "sketch"])
 
-    return df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, f1 long, f2 long, n long, sketch array<long>")
+    return df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).transform(short_batches).mapInArrow(run, "doc_id long, f1 long, f2 long, n long, sketch array<long>")
 
 
 def by_group(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], list[tuple]], schema: str, kinds: list[pa.DataType]) -> DataFrame:
@@ -92,7 +92,7 @@ def by_group(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], list[tuple
             yield out(fn(waiting))
 
     names = [p.split()[0] for p in schema.split(", ")]
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys).transform(short_batches).mapInArrow(run, schema)
 
 
 def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
@@ -175,7 +175,7 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 j = min(piece.num_rows, i + 512)
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id").slice(i, j - i), list_array(signed(flat[at[i] : at[j]]), at[i : j + 1] - at[i], pa.int64())], ["doc_id", "shingles"])
 
-    return docs.join(ids.distinct(), "doc_id").select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.join(ids.distinct(), "doc_id").select("doc_id", "text").transform(short_batches).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

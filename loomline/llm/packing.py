@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.textops import pieces
+from loomline.llm.textops import pieces, short_batches
 
 WINDOW, END_ID, FLUSH = 1024, 0, 8192
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
@@ -151,7 +151,7 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = W
                     yield batch(packer.flush(False))
         yield batch(packer.flush(True))
 
-    out = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    out = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).transform(short_batches).mapInArrow(run, schema)
     return out if key == "doc_id" else out.withColumnRenamed("doc_id", key)
 
 

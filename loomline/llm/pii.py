@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.textops import LOWER, Rolling, pieces, utf8, word_spans
+from loomline.llm.textops import LOWER, Rolling, pieces, short_batches, utf8, word_spans
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
@@ -365,7 +365,7 @@ def find(df: DataFrame, field: Field, key: str = "doc_id", text: str = "text", r
     names = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", *["redacted"] * redacted]
     source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kinds = dict.fromkeys(names, T.LongType()) | dict.fromkeys(["base_sha256", "spans", "redacted"], T.StringType())
-    out = source.mapInArrow(run, T.StructType([source.schema["key"], *(T.StructField(n, kinds[n]) for n in names)]))
+    out = source.transform(short_batches).mapInArrow(run, T.StructType([source.schema["key"], *(T.StructField(n, kinds[n]) for n in names)]))
     return out.withColumnRenamed("key", key)
 
 

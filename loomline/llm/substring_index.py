@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.llm.anchors import runs
-from loomline.llm.textops import Rolling, drop_path, fresh_path, pieces, signed, utf8, word_spans
+from loomline.llm.textops import Rolling, drop_path, fresh_path, pieces, short_batches, signed, utf8, word_spans
 
 WINDOW, GRAM, FANOUT, BATCHES = 35, 6, 4, 2
 _WORD, _GRAM, _ENTRY, _A, _B = Rolling(41), Rolling(42), Rolling(43), Rolling(44), Rolling(45)
@@ -51,7 +51,7 @@ def entries(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             h = _ENTRY.spans(_ENTRY.sums(words), start, start + n + window - 1)
             yield pa.RecordBatch.from_arrays([piece.column("row").take(pa.array(doc)), pa.array(signed(grams[anchor])), pa.array(signed(h)), pa.array((start - per[doc]).astype(np.int32)), pa.array(n.astype(np.int32))], ["row", "fp", "words", "start", "n"])
 
-    return docs.select("row", "text").mapInArrow(run, "row long, fp long, words long, start int, n int")
+    return docs.select("row", "text").transform(short_batches).mapInArrow(run, "row long, fp long, words long, start int, n int")
 
 
 class FingerprintIndex:
@@ -112,7 +112,7 @@ def window_hashes(docs: DataFrame, wanted: DataFrame, window: int = WINDOW) -> D
 
     lists = wanted.groupBy("row").agg(F.collect_list(F.struct("start", "n", "times")).alias("wanted"))
     once = docs.select("row", "text").join(lists, "row").dropDuplicates(["row"])
-    return once.mapInArrow(run, "row long, at int, w1 long, w2 long, times long")
+    return once.transform(short_batches).mapInArrow(run, "row long, at int, w1 long, w2 long, times long")
 
 
 def kept_words(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def kept_words(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
     lists = gone.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("gone"))
     joined = docs.join(lists, "row", "left").select("doc_id", "text", "gone")
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return joined.transform(short_batches).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", batches: int = BATCHES, window: int = WINDOW, index: FingerprintIndex | None = None) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from loomline.llm.anchors import runs
 from loomline.llm.bwt import repeated_windows
 from loomline.llm.minhash_dedup import by_group
-from loomline.llm.textops import U64, Rolling, drop_path, fresh_path, mix, pieces, signed, utf8
+from loomline.llm.textops import U64, Rolling, drop_path, fresh_path, mix, pieces, short_batches, signed, utf8
 
 WINDOW, GRAM, BATCH_BYTES, PART_BYTES, BUCKET_RUNS = 50, 24, 4 << 20, 32 << 20, 8000
 _BITS = U64(24)  # a value's upper 40 bits are dealt
@@ -68,7 +68,7 @@ def lay_out(docs: DataFrame, path: str) -> None:
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([piece.column("doc").to_pylist()], pa.list_(pa.int64())), pa.array([offsets.tolist()], pa.list_(pa.int64())), pa.array([packed], pa.binary()), pa.array([len(buf)], pa.int64())], ["batch", "docs", "offsets", "packed", "size"])
             number += 1
 
-    docs.select("doc", "text").mapInArrow(run, "batch long, docs array<long>, offsets array<long>, packed binary, size long").write.option("compression", "none").parquet(path)
+    docs.select("doc", "text").transform(short_batches).mapInArrow(run, "batch long, docs array<long>, offsets array<long>, packed binary, size long").write.option("compression", "none").parquet(path)
 
 
 def batch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, np.ndarray, np.ndarray, dict]]:
@@ -143,7 +143,7 @@ def mark(batches: DataFrame, parts: int) -> DataFrame:
             out.append((number, p, np.packbits(bits).tobytes()))
         return out
 
-    sent = batches.mapInArrow(send, "part int, batch long, sent binary")
+    sent = batches.transform(short_batches).mapInArrow(send, "part int, batch long, sent binary")
     return by_group(sent, ["part"], meet, "batch long, part int, bits binary", [pa.int64(), pa.int32(), pa.binary()])
 
 
@@ -166,7 +166,7 @@ def shared_runs(batches: DataFrame, bits: DataFrame, parts: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array((number << 16) + d), pa.array(signed(h[use])), pa.array(signed(words)), pa.array((start[use] - offsets[d]).astype(np.int32)), pa.array(n[use].astype(np.int32))], ["doc", "row", "fp", "words", "start", "n"])
 
     marks = bits.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias("marks"))  # at most one a part
-    return with_lists(batches, marks).mapInArrow(run, "doc long, row long, fp long, words long, start int, n int")
+    return with_lists(batches, marks).transform(short_batches).mapInArrow(run, "doc long, row long, fp long, words long, start int, n int")
 
 
 def with_lists(batches: DataFrame, lists: DataFrame, how: str = "left") -> DataFrame:
@@ -201,7 +201,7 @@ def mixed_windows(kinds: DataFrame, batches: DataFrame, buckets: int) -> DataFra
                 out += [(f, w, int(a[i]), int(a[j - 1]) + WINDOW) for i, j in zip(heads, np.append(heads[1:], len(a)))]
         return out
 
-    runs_of = with_lists(batches, by_batch(kinds, "fp", "words", "low", "start", "n"), "inner").mapInArrow(fetch, "fp long, words long, low long, run binary")
+    runs_of = with_lists(batches, by_batch(kinds, "fp", "words", "low", "start", "n"), "inner").transform(short_batches).mapInArrow(fetch, "fp long, words long, low long, run binary")
     runs_of = runs_of.withColumn("bucket", F.pmod(F.xxhash64("fp"), F.lit(buckets)).cast("int"))
     return by_group(runs_of, ["bucket"], decide, "fp long, words long, a long, b long", [pa.int64()] * 4)
 
@@ -228,7 +228,7 @@ def cut_out(batches: DataFrame, gone: DataFrame) -> DataFrame:
             sha = [hashlib.sha256(left[x:y]).hexdigest() for x, y in zip(at.tolist(), at[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(np.diff(offsets)), pa.array(removed), pa.array(spans), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return with_lists(batches, by_batch(gone, "a", "b")).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return with_lists(batches, by_batch(gone, "a", "b")).transform(short_batches).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def _tidy(spark) -> None:

@@ -5,6 +5,7 @@ Words are maximal runs of bytes other than space, \\t, \\n, \\v, \\f and \\r. A
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES, BATCH_BYTES = 1 << 20, 8 << 20
 U64 = np.uint64
 
 _SPACE = np.zeros(256, bool)
@@ -39,6 +40,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def short_batches(df: DataFrame) -> DataFrame:
+    """df, with its session's Arrow batches kept to BATCH_BYTES: texts are long, and workers hold a batch and what they make of it."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)b?", conf.get(name))
+    if not now or int(now[1]) > BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.textops import LOWER, Rolling, list_array, pieces, utf8, word_spans
+from loomline.llm.textops import LOWER, Rolling, list_array, pieces, short_batches, utf8, word_spans
 
 SAMPLE, BITS, FEATURES, GRADES, SURE = 6000, 18, 20_000, 3, 3.5
 _HASH = Rolling(6)
@@ -128,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     chosen = own.join(F.broadcast(some), "key")  # at most `sample` narrow rows
-    rows = chosen.select(F.col("label").cast("int").alias("label"), "text", "key").mapInArrow(run, "label int, n long, ids array<int>").limit(2 * sample).toArrow()
+    rows = chosen.select(F.col("label").cast("int").alias("label"), "text", "key").transform(short_batches).mapInArrow(run, "label int, n long, ids array<int>").limit(2 * sample).toArrow()
     lists = rows.column("ids").combine_chunks()
     flat, off = np.asarray(lists.flatten(), np.int64), np.concatenate([[0], np.cumsum(np.asarray(pc_lengths(lists)))])
     order = sorted(range(len(off) - 1), key=lambda i: (off[i + 1] - off[i], flat[off[i] : off[i + 1]].tobytes()))  # the rows' order must not matter
@@ -164,7 +164,7 @@ def score(df: DataFrame, model: Ordinal, key: str = "doc_id", text: str = "text"
     named = dict(zip([*had, "_text"], [*wanted, text]))
     source = df.select(*(F.col(f"`{c}`").alias(n) for n, c in named.items()))
     kinds = [T.StructField(found[0], T.DoubleType()), T.StructField(found[1], T.DoubleType()), T.StructField(found[2], T.LongType()), T.StructField(found[3], T.BooleanType())]
-    out = source.mapInArrow(run, T.StructType([*(source.schema[n] for n in had), *kinds]))
+    out = source.transform(short_batches).mapInArrow(run, T.StructType([*(source.schema[n] for n in had), *kinds]))
     return out.select(*(F.col(n).alias(c) for n, c in zip(had, wanted)), *found)
 
 
