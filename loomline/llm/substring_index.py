@@ -151,11 +151,15 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", batches:
     matched = spark.read.parquet(matched_path)
     # several kinds of one fingerprint: one entry of each kind stands for all of its kind
     mixed = matched.where("kinds > 1").groupBy("fp", "words").agg(F.min(F.struct("row", "start", "n")).alias("one"), F.count("*").alias("times"))
-    mixed = mixed.select("fp", "words", "times", "one.*")
+    mixed_path = fresh_path(spark, "mixed")  # tables of their own, as for match()
+    mixed.select("fp", "words", "times", "one.*").write.parquet(mixed_path)
+    mixed = spark.read.parquet(mixed_path)
     hashes_path = fresh_path(spark, "windows")
     window_hashes(docs, mixed, window).write.parquet(hashes_path)
     hashes = spark.read.parquet(hashes_path)
-    often = hashes.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1")
+    often_path = fresh_path(spark, "repeated")
+    hashes.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1").select("w1", "w2").write.parquet(often_path)
+    often = spark.read.parquet(often_path)
     single = hashes.where("times = 1").join(often, ["w1", "w2"]).select("row", F.col("at").alias("a"), (F.col("at") + window).alias("b"))
     whole = matched.where("kinds = 1").select("row", "start", "n")
     same = matched.where("kinds > 1").join(mixed.where("times > 1").select("fp", "words"), ["fp", "words"]).select("row", "start", "n")
