@@ -24,6 +24,7 @@ ORACLES = {
     "op4_substring_index": substring_index.OP4_SQL,
     "op7_minhash_dedup": minhash_dedup.OP7_SQL,
     "op9_embedding_dedup": embedding_dedup.OP9_SQL,
+    "op10_secrets": secrets.OP10_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -104,3 +104,24 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", repository: Col
 
 def op10_secrets(spark, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def _found_sql(pattern: str) -> str:
+    m, g = f"regexp_extract_all(t, $q${pattern}$q$)", f"string_split_regex(t, $q${pattern}$q$)"
+    return f"select id, unnest(m) as m, unnest(list_transform(range(1, len(m) + 1), lambda i: list_sum(list_transform(g[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0))) as s from (select id, {m} as m, {g} as g from d)"
+
+
+OP10_SQL = f"""
+with d as (select doc_id, source, coalesce(text, '') as t, row_number() over () as id from documents),
+a as ({_found_sql(ASSIGN)}), k as ({_found_sql(ACCESS)}), h as ({_found_sql(HEX)}), l as ({_found_sql(LONG)}),
+b as (select id, 0 as k, s, s + len(m) as e, regexp_extract(m, $q${ASSIGN}$q$, 2) as v from a where len(regexp_extract(m, $q${ASSIGN}$q$, 2)) >= 12
+  union all select id, 1, s, s + len(m), m from k union all select id, 2, s, s + len(m), m from h),
+f as (select id, 3 as k, s, s + len(m) as e, m as v from l where regexp_matches(m, '[0-9]') and regexp_matches(m, '[a-z]') and regexp_matches(m, '[A-Z]') and not exists (select 1 from b where b.id = l.id and b.s < l.s + len(l.m) and l.s < b.e)),
+c as (select * from b union all select * from f),
+o as (select v, count(distinct coalesce('s' || source, 'n')) as owners from c join d using (id) group by v),
+j as (select c.*, owners, owners = 1 and len(list_distinct(string_split(v, ''))) >= 10 as live, ['assign', 'access', 'hex', 'owned'][k + 1] || ':' || s::bigint || ':' || e::bigint as text from c join o using (v)),
+g as (select id, count(*) filter (k = 0) as n_assign, count(*) filter (k = 1) as n_access, count(*) filter (k = 2) as n_hex, string_agg(text, ',' order by s, k, e) filter (k < 3) as base,
+  string_agg(text, ',' order by s, k, e) filter (k < 3 or live) as spans, count(*) filter (live) as n_live, count(*) filter (owners >= {MANY}) as n_copied from j group by id)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
+from d left join g using (id)
+"""
