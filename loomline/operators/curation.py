@@ -31,17 +31,17 @@ def shuffle_key(seed: int, *columns: str) -> Column:
     return F.md5(F.concat_ws("\x1f", F.lit(str(seed)), *(F.col(c).cast("string") for c in columns)))
 
 
-def split_train_val(df: DataFrame, ids: Sequence[str], val_ratio: float = 0.15, seed: int = 42, buckets: int = 256) -> DataFrame:
+def split_train_val(df: DataFrame, ids: Sequence[str], val_ratio: float = 0.15, seed: int = 42) -> DataFrame:
     """df with `split`: the last max(1, floor(n * ratio)) rows of a seeded shuffle are `val`.
 
-    Ranks come from counts per hash bucket and a window inside each bucket, so no task sees all rows.
+    Ranks come from counts per hash bucket (65,536 of them) and a window inside each bucket, so no task sees all rows.
     """
     d = df.withColumn("_k", shuffle_key(seed, *ids))
-    d = d.withColumn("_b", F.conv(F.substring("_k", 1, 2), 16, 10).cast("int"))
+    d = d.withColumn("_b", F.conv(F.substring("_k", 1, 4), 16, 10).cast("int"))
     sizes = d.groupBy("_b").agg(F.count("*").alias("_n"))
     every = Window.partitionBy()
     sizes = sizes.select("_b", F.sum("_n").over(every).alias("_total"), F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    d = d.join(F.broadcast(sizes), "_b")  # at most 256 rows
+    d = d.join(F.broadcast(sizes), "_b")  # at most 65,536 rows
     rank = F.col("_before") + F.row_number().over(Window.partitionBy("_b").orderBy("_k", *ids))
     n_val = F.greatest(F.lit(1), F.floor(F.col("_total") * val_ratio))
     return d.withColumn("split", F.when(rank > F.col("_total") - n_val, "val").otherwise("train")).drop("_k", "_b", "_total", "_before")

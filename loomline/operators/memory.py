@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -121,12 +122,10 @@ def relevance(records: DataFrame, pool: DataFrame | None = None, seq: str = "seq
     return out.withColumn("relevance", F.round(total, 4))
 
 
-def evict(pool: DataFrame, capacity: int, by: list[Column]) -> DataFrame:
-    """The `capacity` rows that come last in the order `by`; the rest is evicted."""
-    n = pool.count()
-    if n <= capacity:
-        return pool.withColumn("evicted", F.lit(False))
-    return pool.withColumn("evicted", F.row_number().over(Window.partitionBy().orderBy(*by)) <= n - capacity)
+def evict(pool: DataFrame, capacity: int, by: Sequence[str], key: str = "seq") -> DataFrame:
+    """pool with `evicted`: all but the `capacity` rows that come last by the columns `by`, found by a top-k."""
+    kept = pool.orderBy(*(F.desc(c) for c in by)).limit(capacity).select(F.col(key).alias("_kept"))
+    return pool.join(kept, F.col(key) == F.col("_kept"), "left").withColumn("evicted", F.col("_kept").isNull()).drop("_kept")
 
 
 def promote(short: DataFrame, mid: DataFrame, now: Column, cfg: Promotion = Promotion(), seq: str = "seq") -> DataFrame:
@@ -136,7 +135,7 @@ def promote(short: DataFrame, mid: DataFrame, now: Column, cfg: Promotion = Prom
     up = short.where(moving)
     scored = relevance(up.drop("frequency", "complexity", "effectiveness", "feedback", "relevance"), mid, seq)
     columns = short.columns
-    both = evict(mid.select(*columns).unionByName(scored.select(*columns)), cfg.mid_capacity, [F.asc("ingested_at"), F.asc(seq)])
+    both = evict(mid.select(*columns).unionByName(scored.select(*columns)), cfg.mid_capacity, ["ingested_at", seq], seq)
     tier = F.when(F.col("evicted") | (F.col("relevance") >= cfg.archive), "long_term").otherwise("mid_term")
     return short.where(~moving).withColumn("tier", F.lit("short_term")).unionByName(both.withColumn("tier", tier).drop("evicted"))
 

@@ -91,8 +91,9 @@ def dense_cosine(a: Column, b: Column) -> Column:
 
 
 def dense_search(queries: DataFrame, vectors: DataFrame, query_id: str = "query_id", vec_id: str = "vec_id", k: int = 3, min_score: float = 0.05) -> DataFrame:
-    """The k nearest vectors of each query vector (columns qv and embedding). The query side is broadcast: it is stated queries, not a corpus."""
-    pairs = vectors.join(F.broadcast(queries), how="cross").withColumn("score", F.round(dense_cosine(F.col("qv"), F.col("embedding")), 4))
+    """The k nearest vectors of each query vector (columns qv and embedding): stated queries against all rows. Spark broadcasts the queries where
+    it finds them small and else goes through blocks of both sides; the k best are cut per task before they are shuffled."""
+    pairs = vectors.join(queries, how="cross").withColumn("score", F.round(dense_cosine(F.col("qv"), F.col("embedding")), 4))
     best = pairs.withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(vec_id)))).where(F.col("rank") <= k)
     return best.where(F.col("score") >= min_score).select(query_id, vec_id, "score", "rank")
 

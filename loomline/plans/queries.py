@@ -519,7 +519,7 @@ def _(t):
 
 @query("ord8_eviction", f"with {S_REL} select seq, relevance, row_number() over (order by relevance, seq) <= count(*) over () - 50 as evicted from v")
 def _(t):
-    return memory.evict(memory.relevance(log(t)).select("seq", "relevance"), 50, [F.asc("relevance"), F.asc("seq")])
+    return memory.evict(memory.relevance(log(t)).select("seq", "relevance"), 50, ["relevance", "seq"])
 
 
 @query("ord7_long_term_search", f"with {S_REL} select seq, relevance from v where contains(lower(question || ' ' || answer), 'the') or contains(lower(question || ' ' || answer), 'est') order by relevance desc, seq limit 5")
