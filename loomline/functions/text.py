@@ -15,6 +15,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value evaluated once: a name inside a lambda, where an expression would be evaluated for each element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c: Column | str) -> Column:
     """Without white space at both ends; null becomes empty."""
     return F.btrim(F.coalesce(col(c), F.lit("")), F.lit(SPACE))

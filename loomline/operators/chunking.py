@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions.config import Domain
-from loomline.functions.text import col, paragraphs, sentences, strip
+from loomline.functions.text import col, let, paragraphs, sentences, strip
 
 RANGES = "array<struct<s:int,e:int>>"
 
@@ -17,7 +17,11 @@ RANGES = "array<struct<s:int,e:int>>"
 def pack_ranges(lengths: Column, size: int, overlap: int, joint: int = 2, fixed: Column | None = None, carry_alone: bool = True) -> Column:
     """array of (first, last) positions. joint: what joining costs a part; fixed: parts (booleans) that no overlap reaches over;
     carry_alone: whether a chunk of one part may be carried as overlap."""
-    parts = F.arrays_zip(lengths.alias("n"), (fixed if fixed is not None else F.transform(lengths, lambda _: F.lit(False))).alias("f"))
+    zipped = F.arrays_zip(lengths.alias("n"), fixed.alias("f")) if fixed is not None else F.transform(lengths, lambda n: F.struct(n.alias("n"), F.lit(False).alias("f")))
+    return let(zipped, lambda parts: _packed(parts, size, overlap, joint, carry_alone))
+
+
+def _packed(parts: Column, size: int, overlap: int, joint: int, carry_alone: bool) -> Column:
     indexed = F.transform(parts, lambda x, i: F.struct((i + 1).alias("i"), x["n"].alias("n"), x["f"].alias("f")))
 
     def carried(s: Column, i: Column) -> Column:
@@ -33,17 +37,16 @@ def pack_ranges(lengths: Column, size: int, overlap: int, joint: int = 2, fixed:
 
     def step(a: Column, x: Column) -> Column:
         flush = (a["used"] + x["n"] + joint > size) & (x["i"] > a["s"])
+        closed = F.concat(a["out"], F.array(F.struct(a["s"].alias("s"), (x["i"] - 1).alias("e"))))
         if overlap > 0:
-            keep = carried(a["s"], x["i"])
             may = F.lit(True) if carry_alone else (x["i"] - a["s"] > 1)
-            first = F.when(may, x["i"] - keep["k"]).otherwise(x["i"])
-            used = F.when(may, keep["n"] + x["n"] + joint * keep["k"]).otherwise(x["n"] + joint)
+            begun = lambda keep: F.struct(
+                closed.alias("out"), F.when(may, x["i"] - keep["k"]).otherwise(x["i"]).cast("int").alias("s"), F.when(may, keep["n"] + x["n"] + joint * keep["k"]).otherwise(x["n"] + joint).cast("int").alias("used"),
+            )
+            opened = let(carried(a["s"], x["i"]), begun)
         else:
-            first, used = x["i"], x["n"] + joint
-        return F.struct(
-            F.when(flush, F.concat(a["out"], F.array(F.struct(a["s"].alias("s"), (x["i"] - 1).alias("e"))))).otherwise(a["out"]).alias("out"),
-            F.when(flush, first).otherwise(a["s"]).cast("int").alias("s"), F.when(flush, used).otherwise(a["used"] + x["n"] + joint).cast("int").alias("used"),
-        )
+            opened = F.struct(closed.alias("out"), x["i"].cast("int").alias("s"), (x["n"] + joint).cast("int").alias("used"))
+        return F.when(flush, opened).otherwise(F.struct(a["out"].alias("out"), a["s"].cast("int").alias("s"), (a["used"] + x["n"] + joint).cast("int").alias("used")))
 
     start = F.struct(F.array().cast(RANGES).alias("out"), F.lit(1).alias("s"), F.lit(0).alias("used"))
     last = F.size(parts)
@@ -61,21 +64,20 @@ def _short(text: Column | str, size: int, long: Column) -> Column:
 
 def chunks(text: Column | str, size: int = 1000, overlap: int = 200, separator: str = "\n\n+") -> Column:
     """array of chunks of whole paragraphs; one longer than size stays whole."""
-    parts = paragraphs(text, separator)
-    return _short(text, size, _joined(parts, pack_ranges(F.transform(parts, F.length), size, overlap), "\n\n"))
+    return _short(text, size, let(paragraphs(text, separator), lambda parts: _joined(parts, pack_ranges(F.transform(parts, F.length), size, overlap), "\n\n")))
 
 
 def structured_chunks(text: Column | str, size: int = 1000, overlap: int = 200, domain: Domain = Domain(), separator: str = "\n\n+") -> Column:
     """As chunks(), but the overlap stops at structured paragraphs."""
-    parts = paragraphs(text, separator)
-    return _short(text, size, _joined(parts, pack_ranges(F.transform(parts, F.length), size, overlap, fixed=F.transform(parts, domain.structured)), "\n\n"))
+    made = lambda parts: _joined(parts, pack_ranges(F.transform(parts, F.length), size, overlap, fixed=F.transform(parts, domain.structured)), "\n\n")
+    return _short(text, size, let(paragraphs(text, separator), made))
 
 
 def sentence_chunks(text: Column | str, size: int = 1000, overlap: int = 200) -> Column:
     """Sentences of over ten characters, packed; without any, the text itself."""
     parts = F.filter(F.transform(sentences(F.coalesce(col(text), F.lit(""))), strip), lambda x: F.length(x) > 10)
-    made = _joined(parts, pack_ranges(F.transform(parts, F.length), size, overlap, joint=1, carry_alone=False), " ")
-    return _short(text, size, F.when(F.size(parts) == 0, F.array(col(text))).otherwise(made))
+    made = lambda ps: F.when(F.size(ps) == 0, F.array(col(text))).otherwise(_joined(ps, pack_ranges(F.transform(ps, F.length), size, overlap, joint=1, carry_alone=False), " "))
+    return _short(text, size, let(parts, made))
 
 
 def exploded(df: DataFrame, made: Column, name: str = "chunk") -> DataFrame:

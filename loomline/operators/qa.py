@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions.config import Domain
 from loomline.functions.questions import QUESTIONS
-from loomline.functions.text import first_sentence, has_any, render, sentences, strip
+from loomline.functions.text import first_sentence, has_any, let, render, sentences, strip
 from loomline.operators.pages import captions, example_parts, is_heading, section_parts
 
 FACT = "struct<block:string,item:int,sub:int,vars:map<string,string>,flags:array<string>>"
@@ -58,9 +58,12 @@ def expand(df: DataFrame, facts: Column, templates: DataFrame, keep: list[str])
 
 def chunk_pairs(chunk: Column, source: Column | str = "doc", domain: Domain = Domain()) -> Column:
     """array of (question, answer) of a chunk: example blocks, heading and content, structured text, else any text of over 50 characters."""
-    c = strip(chunk)
     src = F.lit(source) if isinstance(source, str) else source
     src = F.regexp_replace(F.regexp_extract(src, r"([^/]*)$", 1), r"(?<=.)\.[^.]*$", "")
+    return let(F.struct(strip(chunk).alias("c"), src.alias("src")), lambda x: _chunk_pairs(x["c"], x["src"], domain))
+
+
+def _chunk_pairs(c: Column, src: Column, domain: Domain) -> Column:
     marker = "|".join(domain.label_regex(k)[len(r"^\s*(?:") : -len(r")\s*:?\s*$")] for k in ("input", "structured", "output"))
     part, name, structured = example_parts(c, domain)["structured"], domain.named(c), domain.structured(c)
     named_part = domain.named(part)

@@ -31,23 +31,28 @@ def query_terms(text: Column | str) -> Column:
 
 def keyword_score(found: Column, name: Column, title: Column, body: Column) -> Column:
     """10 for a term that is the name or title, 5 for one inside them, 1 for one in the body. All in lower case."""
-    def one(t: Column) -> Column:
-        return F.when((t == name) | (t == title), 10).when(name.contains(t) | title.contains(t), 5).when(body.contains(t), 1).otherwise(0)
+    return F.aggregate(found, F.lit(0), lambda s, t: s + term_points(t, name, title, body))
 
-    return F.aggregate(found, F.lit(0), lambda s, t: s + one(t))
+
+def term_points(t: Column, name: Column, title: Column, body: Column) -> Column:
+    return F.when((t == name) | (t == title), 10).when(name.contains(t) | title.contains(t), 5).when(body.contains(t), 1).otherwise(0)
 
 
 def keyword_search(questions: DataFrame, library: DataFrame, question: str = "question", by: str = "query_id", k: int = 2, min_score: int = 3) -> DataFrame:
-    """questions x library rows (name, title, body, seq) with `score` and `rank`: the k best, and of those the ones that reach min_score.
+    """(by, seq, score, rank): for each question the k library rows (name, title, body, seq) of highest score, and of those the ones that reach min_score.
 
-    A term matches inside words, so no token join holds; the library is a curated table, dealt to all tasks where Spark
-    finds it small, and questions stay partitioned.
+    A term matches inside words, so no token join holds. Each library row is searched once for each different term of
+    the stated questions (one array, beside every row), and what it holds meets the questions by term.
     """
-    q = questions.withColumn("_terms", query_terms(question)).where(F.size("_terms") > 0)
-    lib = library.withColumns({c: F.lower(F.coalesce(c, F.lit(""))) for c in ("name", "title", "body")})
-    pairs = q.join(lib, how="cross").withColumn("score", keyword_score(F.col("_terms"), F.col("name"), F.col("title"), F.col("body")))
-    best = pairs.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("score"), "seq"))).where(F.col("rank") <= k)
-    return best.where(F.col("score") >= min_score).drop("_terms", "name", "title", "body")
+    asked = questions.select(by, F.explode(query_terms(question)).alias("term")).groupBy(by, "term").agg(F.count("*").alias("times"))
+    every = asked.agg(F.collect_set("term").alias("_terms"))  # one row
+    rows = library.select("seq", *(F.lower(F.coalesce(c, F.lit(""))).alias(c) for c in ("name", "title", "body"))).crossJoin(F.broadcast(every))
+    points = lambda t: term_points(t, F.col("name"), F.col("title"), F.col("body"))
+    held = F.filter(F.transform("_terms", lambda t: F.struct(t.alias("term"), points(t).alias("points"))), lambda x: x["points"] > 0)
+    found = rows.select("seq", F.explode(held).alias("h")).select("seq", "h.term", "h.points")
+    scored = found.join(asked, "term").groupBy(by, "seq").agg(F.sum(F.col("points") * F.col("times")).cast("int").alias("score"))
+    best = scored.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("score"), "seq"))).where(F.col("rank") <= k)
+    return best.where(F.col("score") >= min_score)
 
 
 def term_counts(docs: DataFrame, doc: str, text: str) -> DataFrame:
