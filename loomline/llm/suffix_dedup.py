@@ -39,7 +39,7 @@ from loomline.llm.bwt import repeated_windows
 from loomline.llm.minhash_dedup import by_group
 from loomline.llm.textops import U64, Rolling, drop_path, fresh_path, mix, pieces, short_batches, signed, utf8
 
-WINDOW, GRAM, BATCH_BYTES, PART_BYTES, BUCKET_RUNS = 50, 24, 4 << 20, 32 << 20, 8000
+WINDOW, GRAM, BATCH_BYTES, PART_BYTES, BUCKET_RUNS = 50, 24, 2 << 20, 32 << 20, 8000
 _BITS = U64(24)  # a value's upper 40 bits are dealt
 _RUN = Rolling(31)
 LAST = (1 << 63) - 1
@@ -80,8 +80,8 @@ def batch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, n
             yield row["batch"].as_py(), row["docs"].as_py(), np.array(row["offsets"].as_py(), np.int64), buf, row
 
 
-def batch_runs(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(document, start, windows, anchor hash, distinct values, each run's place in them) of a batch, in cache-sized parts."""
+def batch_runs(buf: np.ndarray, offsets: np.ndarray, words: bool = False) -> tuple[np.ndarray, ...]:
+    """(document, start, windows, anchor hash, distinct values, each run's place in them, and with `words` the hash of its bytes) of a batch, in cache-sized parts."""
     out = []
     at = 0
     while at < len(offsets) - 1:
@@ -90,14 +90,15 @@ def batch_runs(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         grams = grams_of(part)
         doc, start, n, anchor = runs(grams, offsets[at : end + 1] - offsets[at], WINDOW, GRAM)
         if len(doc):
-            out.append((doc + at, start + offsets[at], n, grams[anchor]))
+            whole = _RUN.spans(_RUN.sums(part), start, start + n + WINDOW - 1) if words else anchor.view(U64)
+            out.append((doc + at, start + offsets[at], n, grams[anchor], whole))
         at = end
     if not out:
         z = np.zeros(0, np.int64)
-        return z, z, z, z.view(U64), z.view(U64), z
-    doc, start, n, h = (np.concatenate(x) for x in zip(*out))
+        return z, z, z, z.view(U64), z.view(U64), z, z.view(U64)
+    doc, start, n, h, whole = (np.concatenate(x) for x in zip(*out))
     values, place = np.unique(h >> _BITS, return_inverse=True)
-    return doc, start, n, h, values, place
+    return doc, start, n, h, values, place, whole
 
 
 def _five(values: np.ndarray) -> bytes:
@@ -151,7 +152,7 @@ def shared_runs(batches: DataFrame, bits: DataFrame, parts: int) -> DataFrame:
     """(doc, row, fp, words, start, n): one row a run with a marked anchor. row: the batch's number << 16 | the document's place in it."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, docs, offsets, buf, fields in batch_rows(rows):
-            doc, start, n, h, values, place = batch_runs(buf, offsets)
+            doc, start, n, h, values, place, words = batch_runs(buf, offsets, True)
             marked = _shared_within(doc, place, len(values)) if len(values) else np.zeros(0, bool)
             part = (values % U64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
@@ -160,10 +161,9 @@ def shared_runs(batches: DataFrame, bits: DataFrame, parts: int) -> DataFrame:
                 mine = order[edges[x["part"]] : edges[x["part"] + 1]]
                 marked[mine] |= np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=len(mine)).astype(bool)
             use = np.flatnonzero(marked[place]) if len(place) else np.zeros(0, np.int64)
-            words = _RUN.spans(_RUN.sums(buf), start[use], start[use] + n[use] + WINDOW - 1)
             ids = np.array([LAST if d is None else d for d in docs], np.int64)
             d = doc[use]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array((number << 16) + d), pa.array(signed(h[use])), pa.array(signed(words)), pa.array((start[use] - offsets[d]).astype(np.int32)), pa.array(n[use].astype(np.int32))], ["doc", "row", "fp", "words", "start", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array((number << 16) + d), pa.array(signed(h[use])), pa.array(signed(words[use])), pa.array((start[use] - offsets[d]).astype(np.int32)), pa.array(n[use].astype(np.int32))], ["doc", "row", "fp", "words", "start", "n"])
 
     marks = bits.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias("marks"))  # at most one a part
     return with_lists(batches, marks).transform(short_batches).mapInArrow(run, "doc long, row long, fp long, words long, start int, n int")
@@ -215,18 +215,18 @@ def cut_out(batches: DataFrame, gone: DataFrame) -> DataFrame:
                 i, a, b = (np.asarray(fields["marks"].values.field(k), np.int64) for k in range(3))
                 np.add.at(step, offsets[i] + a, 1)
                 np.add.at(step, offsets[i] + b, -1)
-            kept = np.cumsum(step[:-1]) == 0
+            kept = np.cumsum(step[:-1], dtype=np.int32) == 0
             gone_at = ~kept
             head = gone_at.copy()
             edge = np.zeros(len(buf) + 1, bool)
             edge[offsets] = True
             head[1:] &= kept[:-1] | edge[1:-1]
-            sums = [np.concatenate([[0], np.cumsum(x)]) for x in (gone_at, head)]
+            sums = [np.concatenate([np.zeros(1, np.int32), np.cumsum(x, dtype=np.int32)]) for x in (gone_at, head)]
             removed, spans = (x[offsets[1:]] - x[offsets[:-1]] for x in sums)
             left = buf[kept].tobytes()
             at = offsets - sums[0][offsets]
             sha = [hashlib.sha256(left[x:y]).hexdigest() for x, y in zip(at.tolist(), at[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(np.diff(offsets)), pa.array(removed), pa.array(spans), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return with_lists(batches, by_batch(gone, "a", "b")).transform(short_batches).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
