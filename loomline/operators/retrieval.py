@@ -41,15 +41,23 @@ def term_points(t: Column, name: Column, title: Column, body: Column) -> Column:
 def keyword_search(questions: DataFrame, library: DataFrame, question: str = "question", by: str = "query_id", k: int = 2, min_score: int = 3) -> DataFrame:
     """(by, seq, score, rank): for each question the k library rows (name, title, body, seq) of highest score, and of those the ones that reach min_score.
 
-    A term matches inside words, so no token join holds. Each library row is searched once for each different term of
-    the stated questions (one array, beside every row), and what it holds meets the questions by term.
+    A term matches inside words, and only inside a run of its own characters. So each different run of the library (its
+    vocabulary) is searched once for the stated questions' different terms (one array beside it), and rows meet the
+    terms by their runs; names and titles are searched the same way, once for each different pair.
     """
     asked = questions.select(by, F.explode(query_terms(question)).alias("term")).groupBy(by, "term").agg(F.count("*").alias("times"))
-    every = asked.agg(F.collect_set("term").alias("_terms"))  # one row
-    rows = library.select("seq", *(F.lower(F.coalesce(c, F.lit(""))).alias(c) for c in ("name", "title", "body"))).crossJoin(F.broadcast(every))
-    points = lambda t: term_points(t, F.col("name"), F.col("title"), F.col("body"))
+    every = F.broadcast(asked.agg(F.collect_set("term").alias("_terms")))  # one row
+    rows = library.select("seq", *(F.lower(F.coalesce(c, F.lit(""))).alias(c) for c in ("name", "title", "body")))
+    runs = rows.select("seq", F.explode(F.array_distinct(tokens("body", "[a-z0-9_]{3,}"))).alias("run"))
+    spread = library.sparkSession.sparkContext.defaultParallelism  # the vocabulary is small, its search is not
+    holding = runs.select("run").distinct().repartition(spread).crossJoin(every).select("run", F.explode(F.filter("_terms", lambda t: F.col("run").contains(t))).alias("term"))
+    inside = runs.join(holding, "run").select("seq", "term").distinct().withColumn("points", F.lit(1))
+    headed = rows.select("name", "title").distinct().crossJoin(every)
+    points = lambda t: term_points(t, F.col("name"), F.col("title"), F.lit(""))
     held = F.filter(F.transform("_terms", lambda t: F.struct(t.alias("term"), points(t).alias("points"))), lambda x: x["points"] > 0)
-    found = rows.select("seq", F.explode(held).alias("h")).select("seq", "h.term", "h.points")
+    headed = headed.select("name", "title", F.explode(held).alias("h")).select("name", "title", "h.term", "h.points")
+    found = inside.unionByName(rows.select("seq", "name", "title").join(headed, ["name", "title"]).select("seq", "term", "points"))
+    found = found.groupBy("seq", "term").agg(F.max("points").alias("points"))
     scored = found.join(asked, "term").groupBy(by, "seq").agg(F.sum(F.col("points") * F.col("times")).cast("int").alias("score"))
     best = scored.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("score"), "seq"))).where(F.col("rank") <= k)
     return best.where(F.col("score") >= min_score)
