@@ -2,10 +2,12 @@
 
 A window's fingerprint is its anchor, the least hashed gram of GRAM words in it (anchors.py); consecutive windows with
 one anchor occurrence are one entry, with a hash of all its words. FingerprintIndex keeps entries as immutable sorted
-runs in Parquet. Each new batch of documents adds a run; a batch is merge-joined with all runs by fingerprint; runs
-are compacted into one when there are FANOUT of them. Fingerprints seen once can't be repeated windows. Where all
+runs in Parquet. Each new batch of documents is merge-joined by fingerprint with the runs before it and adds a run; runs
+are compacted into one when there are FANOUT of them. What any batch met is then matched with all documents of the
+call, so that earlier copies are found as well. Fingerprints seen once can't be repeated windows. Where all
 entries of a fingerprint hold the same words, all their windows are repeated. The rest is verified window by window,
-for one entry of each kind, by 128-bit hashes of the windows' words, which stand for the words.
+for one entry of each kind, by 128-bit hashes of the windows' words, which stand for the words. An index that outlives
+the call holds its documents' texts, so that its kinds are verified like the call's own.
 
 Hot fingerprints (a line in a third of all documents) are counted with pre-aggregation and joined by sort-merge
 joins that Spark can split; no task gathers an unbounded group.
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from loomline.llm.anchors import runs
 from loomline.llm.textops import Rolling, drop_path, fresh_path, pieces, short_batches, signed, utf8, word_spans
 
-WINDOW, GRAM, FANOUT, BATCHES = 35, 6, 4, 2
+WINDOW, GRAM, FANOUT, BATCHES = 35, 6, 4, 5
 _WORD, _GRAM, _ENTRY, _A, _B = Rolling(41), Rolling(42), Rolling(43), Rolling(44), Rolling(45)
 
 
@@ -55,11 +57,14 @@ def entries(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 class FingerprintIndex:
-    """Immutable sorted runs of (fp, words, times) under one folder."""
+    """Immutable sorted runs of (fp, words, times) under one folder. An index for later calls (lasting) also holds each
+    kind's first place (row, pos) and, where add() or meet() is given the documents, their texts, to verify windows against."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = FANOUT):
-        self.spark, self.path, self.fanout = spark, path or fresh_path(spark, "fingerprints"), fanout
+    def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = FANOUT, lasting: bool = True):
+        self.spark, self.path, self.fanout, self.lasting = spark, path or fresh_path(spark, "fingerprints"), fanout, lasting
         self.runs: list[str] = []
+        self.texts: list[str] = []
+        self.whole = True  # all runs came with their texts
         self._made = 0
 
     def _write(self, entries: DataFrame) -> str:
@@ -68,12 +73,42 @@ class FingerprintIndex:
         entries.sortWithinPartitions("fp", "words").write.parquet(path)
         return path
 
-    def add(self, found: DataFrame) -> None:
-        """A new run of a batch's entries; compacts when there are `fanout` runs."""
-        self.runs.append(self._write(found.groupBy("fp", "words").agg(F.count("*").alias("times"))))
+    def _first(self) -> list:
+        return [F.min_by("pos", "row").alias("pos"), F.min("row").alias("row")] if self.lasting else []
+
+    def _batch(self, found: DataFrame, docs: DataFrame | None) -> str:
+        if self.lasting:
+            found = found.withColumn("pos", F.shiftleft(F.col("start").cast("long"), 32) + F.col("n"))
+        run = self._write(found.groupBy("fp", "words").agg(F.count("*").alias("times"), *self._first()))
+        if self.lasting and docs is not None:
+            self.texts.append(f"{self.path}/texts-{self._made:05d}")
+            docs.select("row", "text").write.option("compression", "zstd").parquet(self.texts[-1])
+        self.whole = self.whole and self.lasting and docs is not None
+        return run
+
+    def _take(self, run: str) -> None:
+        self.runs.append(run)
         if len(self.runs) >= self.fanout:
             self.compact()
 
+    def add(self, found: DataFrame, docs: DataFrame | None = None) -> None:
+        """A new run of a batch's entries; compacts when there are `fanout` runs."""
+        self._take(self._batch(found, docs))
+
+    def meet(self, found: DataFrame, docs: DataFrame | None = None) -> str:
+        """add(), after a merge-join of the batch with the runs before it. Where (fp, kinds) lies: the batch's fingerprints
+        that the index now holds at least twice, with `kinds`, 1 or 2 for more, of their entries."""
+        run = self._batch(found, docs)
+        by_fp = lambda paths: self.spark.read.parquet(*paths).groupBy("fp").agg(F.sum("times").alias("times"), F.min("words").alias("low"), F.max("words").alias("high"))
+        now = by_fp([run])
+        if self.runs:
+            past = by_fp(self.runs).toDF("fp", "past", "past_low", "past_high")
+            now = now.join(past, "fp", "left").select("fp", (F.col("times") + F.coalesce("past", F.lit(0))).alias("times"), F.least("low", "past_low").alias("low"), F.greatest("high", "past_high").alias("high"))
+        path = fresh_path(self.spark, "met")
+        now.where("times > 1").select("fp", F.when(F.col("low") == F.col("high"), 1).otherwise(2).alias("kinds")).write.parquet(path)
+        self._take(run)
+        return path
+
     def compact(self) -> None:
         old, self.runs = self.runs, [self._write(self.entries())] if self.runs else []
         for path in old:
@@ -82,17 +117,9 @@ class FingerprintIndex:
     def entries(self) -> DataFrame:
         """All runs merged: one row for each fingerprint and kind of entry."""
         if not self.runs:
-            return self.spark.createDataFrame([], "fp long, words long, times long")
-        parts = self.spark.read.parquet(*self.runs)
-        return parts if len(self.runs) == 1 else parts.groupBy("fp", "words").agg(F.sum("times").alias("times"))
-
-    def match(self, found: DataFrame) -> DataFrame:
-        """found's entries whose fingerprint the index holds at least twice, with `kinds`, the number of different entries of it."""
+            return self.spark.createDataFrame([], "fp long, words long, times long" + ", pos long, row long" * self.lasting)
         parts = self.spark.read.parquet(*self.runs)
-        seen = parts.groupBy("fp").agg(F.sum("times").alias("times"), F.min("words").alias("low"), F.max("words").alias("high"))
-        path = fresh_path(self.spark, "seen")  # a table of its own: Spark then splits what a hot fingerprint brings to the join
-        seen.where("times > 1").select("fp", F.when(F.col("low") == F.col("high"), 1).otherwise(2).alias("kinds")).write.parquet(path)
-        return found.join(self.spark.read.parquet(path), "fp")
+        return parts if len(self.runs) == 1 else parts.groupBy("fp", "words").agg(F.sum("times").alias("times"), *self._first())
 
 
 def window_hashes(docs: DataFrame, wanted: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -143,19 +170,33 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", batches:
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
-    index = index or FingerprintIndex(spark)
+    index = index or FingerprintIndex(spark, lasting=False)
+    if index.runs and not index.whole:
+        raise ValueError("the index holds runs without their texts: windows can't be verified against them")
+    met = []
     for b in range(batches):
-        index.add(entries(docs.where(F.pmod("row", F.lit(batches)) == b), window))
+        batch = docs.where(F.pmod("row", F.lit(batches)) == b)
+        met.append(index.meet(entries(batch, window), batch))
+    # later batches find the earlier copies' fingerprints too: all entries are matched with what any batch met
+    seen_path = fresh_path(spark, "seen")  # a table of its own: Spark then splits what a hot fingerprint brings to the join
+    spark.read.parquet(*met).groupBy("fp").agg(F.max("kinds").alias("kinds")).write.parquet(seen_path)
+    for path in met:
+        drop_path(spark, path)
+    seen = spark.read.parquet(seen_path)
     matched_path = fresh_path(spark, "matched")
-    index.match(entries(docs, window)).write.parquet(matched_path)
+    entries(docs, window).join(seen, "fp").write.parquet(matched_path)
     matched = spark.read.parquet(matched_path)
-    # several kinds of one fingerprint: one entry of each kind stands for all of its kind
-    mixed = matched.where("kinds > 1").groupBy("fp", "words").agg(F.min(F.struct("row", "start", "n")).alias("one"), F.count("*").alias("times"))
-    mixed_path = fresh_path(spark, "mixed")  # tables of their own, as for match()
-    mixed.select("fp", "words", "times", "one.*").write.parquet(mixed_path)
+    # several kinds of one fingerprint: one entry of each kind stands for all of its kind, in history too
+    if index.lasting:
+        mixed = index.entries().join(seen.where("kinds > 1"), "fp").select("fp", "words", "times", "row", F.shiftright("pos", 32).cast("int").alias("start"), F.col("pos").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("n"))
+    else:
+        mixed = matched.where("kinds > 1").groupBy("fp", "words").agg(F.min(F.struct("row", "start", "n")).alias("one"), F.count("*").alias("times")).select("fp", "words", "times", "one.*")
+    mixed_path = fresh_path(spark, "mixed")  # tables of their own, as for seen
+    mixed.write.parquet(mixed_path)
     mixed = spark.read.parquet(mixed_path)
+    texts = spark.read.parquet(*index.texts) if index.lasting else docs
     hashes_path = fresh_path(spark, "windows")
-    window_hashes(docs, mixed, window).write.parquet(hashes_path)
+    window_hashes(texts, mixed, window).write.parquet(hashes_path)
     hashes = spark.read.parquet(hashes_path)
     often_path = fresh_path(spark, "repeated")
     hashes.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1").select("w1", "w2").write.parquet(often_path)

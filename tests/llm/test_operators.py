@@ -145,6 +145,33 @@ def test_index_compacts_and_remembers(spark, docs):
     assert index.entries().join(one, ["fp", "words"]).where("times <> 3 * count").count() == 0
 
 
+def test_index_verifies_against_history(spark, monkeypatch):
+    """Two calls on one index against one brute force over the documents of both; the batches' runs are compacted."""
+    compacted, real = [], substring_index.FingerprintIndex.compact
+    monkeypatch.setattr(substring_index.FingerprintIndex, "compact", lambda self: (compacted.append(len(self.runs)), real(self))[1])
+    r = random.Random(7)
+    line = " ".join(f"l{i}" for i in range(30))
+    text = lambda i: " ".join(r.choice("ab") if i % 2 else r.choice("abcdefgh") for _ in range(r.randint(0, 120)))
+    around = [" ".join(f"{s}{i}" for i in range(20)) for s in "uvxyz"]
+    old = [(i, text(i)) for i in range(20)] + [(50 + i, f"{a} {line} {a}") for i, a in enumerate(around[:3])]
+    # a kind of history alone, a kind with another context, and a part of history's window run
+    new = [(100 + i, text(i)) for i in range(20)] + [(150, f"{around[0]} {line} {around[0]}"), (151, f"{around[3]} {line} {around[4]}"), (152, f"{around[1]} {line} q"), (52, old[22][1])]
+    make = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    index = substring_index.FingerprintIndex(spark)
+    first = sorted((tuple(x) for x in substring_index.deduplicate(make(old), index=index).collect()), key=str)
+    assert first == cases.repeated_words(old) and compacted
+    got = sorted((tuple(x) for x in substring_index.deduplicate(make(new), index=index).collect()), key=str)
+    both = cases.repeated_words(old + new)
+    ids = {i for i, _ in new}
+    want = [x for x in both if x[0] in ids]
+    want.remove(next(x for x in want if x[0] == 52))  # in history and in the new call: one row of the two is the new call's
+    assert got == want and any(x[2] for x in want if x[0] in (150, 152))
+    bare = substring_index.FingerprintIndex(spark)
+    bare.add(substring_index.entries(make(old).withColumn("row", F.xxhash64("doc_id", "text"))))
+    with pytest.raises(ValueError):
+        substring_index.deduplicate(make(new), index=bare)
+
+
 def test_media(docs, empty):
     got = rows(media.media_features(media.encode_media(docs), others=("n_bytes",)))
     stored = rows(media.encode_media(docs))
