@@ -16,9 +16,19 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the least doc_id; of rows that repeat a doc_id, one."""
-    kept = minhash_dedup.near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each group of near-duplicates stays, the one with the least doc_id (null last), then the least hashes.
+
+    A row is told by two hashes of all its columns, so rows without a doc_id take part, and rows that share a doc_id
+    stay apart unless their texts are near-duplicates. Of rows alike in every column one stays.
+    """
+    k1, k2 = F.xxhash64(*docs.columns).alias("k1"), F.xxhash64(F.lit("b"), *docs.columns).alias("k2")
+    found = minhash_dedup.near_duplicates(docs.select(k1, "text"), "k1").select(F.col("doc_id").alias("k1"), "component_id").distinct()
+    rows = docs.select(k1, k2, "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
+    kept = rows.join(found, "k1").groupBy("component_id").agg(F.min(order).alias("least")).select("least.k1", "least.k2")
+    names = [f"c{i}" for i in range(len(docs.columns))]  # columns of any name
+    named = docs.select(k1, k2, *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)))
+    return named.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names)))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

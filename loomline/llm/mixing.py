@@ -78,9 +78,11 @@ def mix_counts(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
     docs = cut(docs)
     rows = docs.count()
     buckets = max(1, rows // BUCKET_ROWS)
-    docs = docs.withColumn("h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))))
+    # rows without a key would all share one hash: where rows are told apart, theirs is of the row
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat_ws(":", "id.k1", "id.k2", "id.n")) if rows_apart else F.col("doc_id").cast("string")
+    docs = docs.withColumn("h", F.md5(F.concat_ws(":", F.lit(str(seed)), name)))
     docs = docs.withColumn("b", F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") * buckets / 2.0**32).cast("long"))
-    docs = prefix(docs, ["source"], "b", [F.col("h"), F.col("doc_id"), F.col("size")], "size").withColumnRenamed("rn", "row").withColumnRenamed("before", "at")
+    docs = prefix(docs, ["source"], "b", [F.col("h"), F.col("doc_id"), F.col("size"), *[F.col("id")] * rows_apart], "size").withColumnRenamed("rn", "row").withColumnRenamed("before", "at")
     targets = source_targets(docs).select(F.col("source").alias("_source"), "source_size", "target")
     docs = docs.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 

@@ -365,3 +365,43 @@ def test_pipeline(spark, tmp_path):
         if name == "pii":
             assert "<EMAIL>" in rows(docs)[8].text
     assert cp.run(spark, str(tmp_path)).count() == docs.count() > 0
+
+
+def test_pipeline_dedup_keeps_null_and_repeated_ids(spark, tmp_path):
+    """Rows without a doc_id and distinct texts under one doc_id stay; brute force over the rows."""
+    import corpus_pipeline as cp
+
+    text = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    data = [
+        (None, text("a"), "en", "s", 1), (None, text("b"), "en", "s", 1), (None, text("b") + " x", "en", "s", 1), (None, text("c"), "en", "s", 1), (5, text("c") + " x", "en", "t", 1),
+        (7, text("d"), "en", "s", 1), (7, text("e"), "en", "s", 1), (7, text("e") + " x", "de", "s", 1), (8, text("f"), "en", "s", 1), (8, text("f"), "en", "s", 1), (8, text("f"), "de", "s", 1),
+        (9, text("d") + " x", "en", "s", 1), (None, "", "en", "s", 0), (None, None, "en", "s", 0), (10, "", "en", "s", 0), (10, None, "en", "s", 0), *cases.ROWS[:8],
+    ]
+    apart = sorted(set(data), key=lambda x: (x[0] is None, x[0] or 0, str(x)))
+    groups = defaultdict(list)
+    for i, (_, component, _) in cases.near([(i, x[1]) for i, x in enumerate(apart)]).items():
+        groups[component].append(apart[i])
+    for parts in (1, 5):
+        got = [tuple(x) for x in cp.dedup_stage(spark, spark.createDataFrame(data, cases.SCHEMA).repartition(parts), str(tmp_path)).collect()]
+        assert len(got) == len(set(got)) == len(groups)
+        for rows in groups.values():
+            (one,) = [x for x in rows if x in got]
+            assert one[0] == rows[0][0]  # the least doc_id, null only where all are
+        # which one stays doesn't change between runs
+        first = sorted(got, key=str) if parts == 1 else first
+        assert sorted(got, key=str) == first
+
+
+def test_pipeline_carries_rows_without_id(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    texts = [" ".join(f"{i}w{j}" for j in range(30)) for i in range(60)]
+    data = [(None if i % 2 else 7, t, "en", "st"[i % 3 == 0], len(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(data, cases.SCHEMA)
+    mixed = [sorted((tuple(x) for x in cp.mixing_stage(spark, df.repartition(n), "").collect()), key=str) for n in (1, 7)]
+    assert mixed[0] == mixed[1]
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    n = Counter(r.doc_id for r in cp.run(spark, str(tmp_path)).where("start = 0").collect())
+    want = Counter(x[0] for x in mixed[0])
+    assert n == want and n[None] and n[7]
