@@ -3,7 +3,8 @@
 The field is trained by gradient ascent on the exact likelihood of a small labelled table (label_table(), or any
 DataFrame of sentence, position, token, label) on the driver, and decoded by Viterbi in numpy batches: tokens are
 words, chains are lines, and one step moves all lines of a batch by one token. Added spans are decoded runs that
-are plausible for their kind (digits, Luhn, address parts) and touch no base span; base spans always stay.
+are plausible for their kind (digits, Luhn, address parts) and touch no base span; base spans always stay. A run is
+split at base spans, and one that isn't plausible as a whole gives its plausible parts (neighbours of one kind).
 
 Defined results: null or empty text has no spans; repeated rows get equal results; an empty table gives no rows;
 columns beside key and text are ignored; equal starts go by kind in the order email, ip, card, phone.
@@ -296,8 +297,66 @@ def plausible(kind: int, text: str) -> bool:
 _TRIM = ".,;:!?\"'<>"
 
 
+def trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    while a < b and text[a] in _TRIM:
+        a += 1
+    while a < b and text[b - 1] in _TRIM:
+        b -= 1
+    return a, b
+
+
+def apart(tokens: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[list[tuple[int, int]]]:
+    """A run's tokens without those that touch base spans, in stretches between them."""
+    out: list[list[tuple[int, int]]] = [[]]
+    near = [(x, y) for x, _, y in base if x < tokens[-1][1] and tokens[0][0] < y]
+    for a, b in tokens:
+        if any(x < b and a < y for x, y in near):
+            out.append([])
+        else:
+            out[-1].append((a, b))
+    return [x for x in out if x]
+
+
+#: Digits that a span of each kind holds at most, by plausible().
+MOST_DIGITS = (None, 12, 19, 15)
+
+
+def _hopeless(kind: int, text: str, n: int) -> bool:
+    """Whether nothing that begins with this text of n tokens can be plausible."""
+    if kind:
+        return len(only_digits(text)) > MOST_DIGITS[kind]
+    sides = _AT.split(text)
+    if len(sides) == 1:
+        return n > 3  # the local part is one token
+    return len(sides) > 2 or not all(re.fullmatch(r"[A-Za-z0-9-]+", x) for x in _PARTS.split(sides[1])[:-1])
+
+
+def parts_of(kind: int, text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The stretch if it is plausible, or else the plausible parts of it that cover most tokens, the fewest of equals."""
+    fits = lambda a, b: b - a > 4 and plausible(kind, text[a:b])
+    whole = trimmed(text, tokens[0][0], tokens[-1][1])
+    if fits(*whole):
+        return [whole]
+    n = len(tokens)
+    best: list[tuple[int, int, int]] = [(0, 0, 0)] * (n + 1)  # (tokens covered, -parts, tokens of the first part) from each token on
+    for i in range(n - 1, -1, -1):
+        best[i] = (*best[i + 1][:2], 0)
+        for j in range(i, n):
+            a, b = trimmed(text, tokens[i][0], tokens[j][1])
+            if fits(a, b):
+                best[i] = max(best[i], (j + 1 - i + best[j + 1][0], best[j + 1][1] - 1, j + 1 - i))
+            elif _hopeless(kind, text[a:b], j + 1 - i):
+                break
+    out, i = [], 0
+    while i < n:
+        if best[i][2]:
+            out.append(trimmed(text, tokens[i][0], tokens[i + best[i][2] - 1][1]))
+        i += best[i][2] or 1
+    return out
+
+
 def chain_spans(field: Field, piece: pa.Array, texts: list[str], base: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
-    """Each text's added spans: decoded runs, trimmed, plausible and clear of base spans."""
+    """Each text's added spans: decoded runs clear of base spans, trimmed, as a whole or in plausible parts."""
     buf, offsets = utf8(piece)
     starts, ends, per = word_spans(buf, offsets)
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
@@ -317,14 +376,13 @@ def chain_spans(field: Field, piece: pa.Array, texts: list[str], base: list[list
     for d, h, t in zip(doc.tolist(), heads.tolist(), tails.tolist()):
         origin = int(offsets[d])
         a = len(bytes(buf[origin : starts[h]]).decode())
-        b = a + len(bytes(buf[starts[h] : ends[t]]).decode())
-        while a < b and texts[d][a] in _TRIM:
-            a += 1
-        while a < b and texts[d][b - 1] in _TRIM:
-            b -= 1
         kind = int(labels[h]) - 1
-        if b - a > 4 and b - a <= 120 and plausible(kind, texts[d][a:b]) and not any(x < b and a < y for x, _, y in base[d]):
-            out[d].append((a, kind, b))
+        at, tokens = int(starts[h]), []
+        for x, y in zip(starts[h : t + 1].tolist(), ends[h : t + 1].tolist()):
+            a += len(bytes(buf[at:x]).decode())
+            tokens.append((a, a + len(bytes(buf[x:y]).decode())))
+            a, at = tokens[-1][1], y
+        out[d] += [(x, kind, y) for part in apart(tokens, base[d]) for x, y in parts_of(kind, texts[d], part)]
     return out
 
 

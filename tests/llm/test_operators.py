@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -62,6 +63,24 @@ def test_pii_field_on_held_out_table_and_disguises(spark):
     assert got[0].spans.startswith("email:") and got[0].n_added == 1 and got[2].spans == ""
 
 
+def test_pii_runs_split_into_plausible_parts(spark):
+    cards, mails = "4111 1111 1111 1111 5500 0000 0000 0004", "ann at mail dot com bob at post dot org"
+    long = "ann at " + " dot ".join(["department"] * 14) + " dot com"
+
+    def parts(kind, text, base=()):
+        tokens = [(m.start(), m.end()) for m in re.finditer(r"\S+", text)]
+        return [text[a:b] for x in pii.apart(tokens, list(base)) for a, b in pii.parts_of(kind, text, x)]
+
+    assert parts(2, cards) == ["4111 1111 1111 1111", "5500 0000 0000 0004"]
+    assert parts(0, mails) == ["ann at mail dot com", "bob at post dot org"]
+    assert parts(0, "a.b@c.org, ann at mail dot com", [(0, 0, 9)]) == ["ann at mail dot com"]
+    assert len(long) > 120 and parts(0, long) == [long]
+    assert parts(3, "+49 123 456 7890 030 123 4567") and parts(2, "1111 1111") == [] and parts(2, "- " * 50) == []
+    d = spark.createDataFrame([(0, f"card: {cards} today")], "doc_id long, text string")
+    got = rows(pii.find(d, pii.trained(), redacted=True))[0]
+    assert got.redacted == "card: <CARD> <CARD> today" and got.n_added == 2
+
+
 def test_viterbi_equals_brute_force():
     import itertools
 
