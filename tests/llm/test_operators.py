@@ -225,6 +225,19 @@ def test_png_filters_and_damage():
     assert media.cosine_hash(x) == media.cosine_hash(np.minimum(x.astype(int) + 0, 255).astype(np.uint8))
 
 
+def test_media_rows_have_filters(docs):
+    """The files of the registered job hold filtered rows, and decode to their texts."""
+    kinds = Counter()
+    for i, r in rows(media.encode_media(docs)).items():
+        body = b"".join(p for k, p in media.png_chunks(r.media) if k == b"IDAT")
+        kinds.update(np.frombuffer(zlib.decompress(body), np.uint8).reshape(-1, 25)[:, 0].tolist())
+        assert media.png_decode(r.media).tobytes() == media.payload((dict((x[0], x[1]) for x in cases.ROWS)[i] or "").encode())
+    assert kinds[1] and kinds[2]
+    x = np.array([[0, 1, 255, 0], [0, 1, 255, 0], [9, 9, 9, 9]], np.uint8)
+    raw = zlib.decompress(next(p for k, p in media.png_chunks(media.png_encode(x, None)) if k == b"IDAT"))
+    assert list(raw[::5]) == [0, 2, 1] and (media.png_decode(media.png_encode(x, None)) == x).all()
+
+
 def test_toxicity(spark, empty):
     r = random.Random(0)
     plain, bad = [f"word{i}" for i in range(300)], ["vile", "awful", "cruel"]
