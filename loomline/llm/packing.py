@@ -4,7 +4,7 @@ Each document is tokenised and gets one end id. Its whole windows of 1024 ids st
 routed to a tier by size (512..1023, 256..511, ...). Sequences of 1024 are then opened by the longest tier and
 their gaps filled from the longest piece of any shorter tier that fits, the last one cut so that the gap closes.
 What remains of a group at its end goes to windows of smaller powers of two, so that hardly anything is padded.
-Step groups of equal sequences per step are balanced by dealing each length in turn.
+Step groups hold equal tokens over all lengths, but for a partition's last one.
 
 Groups are read partitions and flushes of FLUSH documents: one pass, no shuffle, memory bounded by the flush.
 
@@ -121,22 +121,23 @@ SCHEMA = T.StructType([
 
 def pack(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, step_sequences: int = 64, with_ids: bool = False) -> DataFrame:
     """One row a piece. sequence_id = partition << 40 | number in it. step_group deals each partition's sequences
-    of one length to steps of `step_sequences`, so that steps hold equal tokens. with_ids adds the ids (array<int>)."""
+    of all lengths to steps of `step_sequences` whole windows' tokens; only a partition's last step may hold fewer. with_ids adds the ids (array<int>)."""
     schema = T.StructType([*SCHEMA.fields, *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else [])])
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, packer = encoder(), Packer(window, TaskContext.get().partitionId() << 40)
-        groups: dict[int, int] = {}
+        dealt = 0  # tokens; shorter windows come last, longest first, so none crosses a step's end
         of_sequence: dict[int, int] = {}
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
+            nonlocal dealt
             of_sequence.clear()
             out = []
             for doc, start, ids, total, seq, at, tier in rows:
                 if seq not in of_sequence:
-                    groups[tier] = n = groups.get(tier, -1) + 1
-                    of_sequence[seq] = (seq >> 40 << 40) + n // step_sequences
+                    of_sequence[seq] = (seq >> 40 << 40) + dealt // (step_sequences * window)
+                    dealt += tier
                 row = (doc, start, len(ids), zlib.crc32(ids.tobytes()), total, seq, at, tier, of_sequence[seq])
                 out.append((*row, ids) if with_ids else row)
             cols = list(zip(*out)) if out else [()] * len(names)

@@ -316,6 +316,17 @@ def test_packing(docs, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_step_groups_hold_equal_tokens(docs):
+    for n in (1, 2):
+        tokens = defaultdict(lambda: defaultdict(int))
+        for r in packing.pack(docs.union(docs).repartition(n), step_sequences=2).collect():
+            assert r.step_group >> 40 == r.sequence_id >> 40
+            tokens[r.step_group >> 40][r.step_group] += r.length
+        for of in tokens.values():
+            *full, last = (of[g] for g in sorted(of))
+            assert full and set(full) == {2 * 1024} and 0 < last <= 2 * 1024 and sorted(of) == list(range(min(of), max(of) + 1))
+
+
 def test_tokens_equal_the_named_tokenizer():
     import public_tokenizers as P
     from tokenizers import Tokenizer
