@@ -1,24 +1,24 @@
 """Burrows-Wheeler transforms of shards of strings, merged by iterative interleave refinement.
 
 Each string ends in a terminator that is less than any byte; terminators are ordered by string and equal to none but
-themselves. A shard's rows come from one sort of its suffixes (prefix doubling); its transform holds, for each row,
-the STEP bytes before the suffix and the row of the suffix that starts with them. Shards are then merged without
-sorting suffixes again: starting from the shards' rows one after the other, each round reads the merged transform and
-deals its rows stably by their STEP bytes, which puts the rows they lead to in the order of STEP more bytes. Suffixes
-that end before that leave, as no later round needs them. The round in which a boundary appears between neighbours
-bounds their common prefix, so after depth / STEP rounds the runs without a boundary are the intervals of equal
-substrings of that length.
+themselves. A shard's rows are its suffixes in the order of their first `depth` bytes (prefix doubling, within the
+shard alone), its transform the byte before each row. The merge never compares or sorts suffixes of different shards:
+it holds an interleave, which only says which shard the next row is from, at first one shard after the other. Each
+round reads the shards' transforms through the interleave, each in its own order, and deals the rows stably by that
+byte, a backward step for all rows; the interleave is then right for one byte more. Where neighbours first fall into
+different intervals in round h + 1, their common prefix has h bytes, so after `depth` rounds the common prefixes are
+known up to `depth`, and the stretches without a lesser one are the intervals of repeated substrings.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-STEP, PACKED = 10, 7
+PACKED = 7
 
 
 class Shard:
-    """rows: suffix starts in sorted order; place: the row of each suffix; string: of each position; ends: terminators' positions."""
+    """rows: suffix starts in sorted order; transform: the byte before each; string: of each position; starts, ends: the strings' first bytes and terminators."""
 
     def __init__(self, strings: list[bytes], depth: int):
         sizes = np.array([len(s) + 1 for s in strings], np.int64)
@@ -53,54 +53,35 @@ class Shard:
             rank[order] = np.cumsum(np.append(0, sorted_key[1:] != sorted_key[:-1]))
             width *= 2
         self.rows = order
-        self.place = np.empty(self.n, np.int64)
-        self.place[order] = here
+        # each row's byte before, plus 1; 0 where a string starts
+        before = np.where(order == self.starts[self.string[order]], 0, self.text[np.maximum(order - 1, 0)])
+        self.transform = before.astype(np.uint16)
 
 
-def _words(text: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """A number for the STEP symbols from each position, in their order; nothing counts after a terminator."""
-    here = np.arange(len(text))
-    key = np.zeros(len(text), np.int64)
-    for k in range(STEP // 2):
-        at = here + k
-        key = key << 9 | np.where(at <= last, text[np.minimum(at, len(text) - 1)], 0)
-    _, half = np.unique(key, return_inverse=True)
-    rest = np.where(here + STEP // 2 <= last, half[np.minimum(here + STEP // 2, len(text) - 1)] + 1, 0)
-    _, whole = np.unique(half * (len(text) + 1) + rest, return_inverse=True)
-    return whole
-
-
-def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(shard, row in its order, interval number, whether it shares `depth` bytes with the one before) of all suffixes of at least `depth` bytes, in merged order."""
-    assert depth % STEP == 0
-    sizes = np.array([s.n for s in shards])
-    base = np.cumsum(sizes) - sizes
-    total = int(sizes.sum())
-    # the merged transform's parts, by global row: the bytes before a suffix, and the row they lead to
-    word = _words(np.concatenate([s.text for s in shards]), np.concatenate([s.ends[s.string] + b for s, b in zip(shards, base)]))
-    before, leads = (np.full(total, -1) for _ in range(2))
-    for s, b in zip(shards, base):
-        rows = slice(b, b + s.n)
-        at = s.rows
-        some = at - STEP >= s.starts[s.string[at]]
-        back = at[some] - STEP
-        before[rows][some] = word[b + back]
-        leads[rows][some] = b + s.place[back]
-    # Round h orders suffixes by h * STEP bytes; those that end sooner lead to none that later rounds need, and leave.
-    merged, interval = np.arange(total), np.zeros(total, np.int64)
-    shared = np.zeros(total, bool)
-    for h in range(1, depth // STEP + 1):
-        source = np.flatnonzero(before[merged] >= 0)
-        rows = merged[source]
-        dealt = np.argsort(before[rows] * (len(rows) + 1) + np.arange(len(rows)))  # stable: by bytes, then as they stood
-        rows, was = rows[dealt], interval[source][dealt]
-        words = before[rows]
-        new = np.append(True, (words[1:] != words[:-1]) | (was[1:] != was[:-1]))[: len(rows)]
-        merged = leads[rows]
-        interval = np.cumsum(new) - 1
-        shared = ~new
-    shard = np.searchsorted(base, merged, "right") - 1
-    return shard, merged - base[shard], interval, shared
+def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shard, row in it, common prefix with the suffix before, `depth` for that or more) of all suffixes in merged order."""
+    strings = np.array([s.strings for s in shards])
+    ends = np.repeat(np.arange(len(shards), dtype=np.uint16), strings)  # the terminators' rows come first, shard by shard
+    transforms = np.concatenate([s.transform for s in shards])
+    interleave = np.repeat(np.arange(len(shards), dtype=np.uint16), [s.n for s in shards])
+    total, first = len(transforms), len(ends)
+    interval = np.zeros(total, np.int32)
+    common = np.full(total, depth, np.int32)
+    before = np.empty(total, np.uint16)
+    for h in range(depth):
+        # a shard's rows lie in the interleave in the shard's own order: its transform fills them one after the other
+        before[np.argsort(interleave, kind="stable")] = transforms
+        dealt = np.argsort(before, kind="stable")[first:]  # a step back: by the byte before, then as they stood; string starts lead nowhere
+        bytes_, was = before[dealt], interval[dealt]
+        new = np.ones(total, bool)
+        new[first + 1 :] = (bytes_[1:] != bytes_[:-1]) | (was[1:] != was[:-1])
+        common[new & (common == depth)] = h
+        interleave = np.concatenate([ends, interleave[dealt]])
+        interval = np.cumsum(new, dtype=np.int32)
+    order = np.argsort(interleave, kind="stable")
+    row = np.empty(total, np.int64)
+    row[order] = np.concatenate([np.arange(s.n) for s in shards])
+    return interleave, row, common
 
 
 def repeated_windows(strings: list[bytes], low: np.ndarray, width: int, shard_bytes: int = 1 << 18) -> list[list[int]]:
@@ -115,19 +96,20 @@ def repeated_windows(strings: list[bytes], low: np.ndarray, width: int, shard_by
         size += len(s) + 1
     edges.append(len(strings))
     shards = [Shard(strings[a:b], width) for a, b in zip(edges, edges[1:])]
-    shard, row, interval, _ = merge(shards, width)
-    if not len(shard):
-        return [[] for _ in strings]
-    string, start = np.empty(len(shard), np.int64), np.empty(len(shard), np.int64)
-    for k, (s, first) in enumerate(zip(shards, edges)):
+    shard, row, common = merge(shards, width)
+    string, start, left = (np.empty(len(shard), np.int64) for _ in range(3))
+    for k, (s, at) in enumerate(zip(shards, edges)):
         mine = shard == k
-        at = s.rows[row[mine]]
-        string[mine] = s.string[at] + first
-        start[mine] = at - s.starts[s.string[at]]
+        place = s.rows[row[mine]]
+        string[mine] = s.string[place] + at
+        start[mine] = place - s.starts[s.string[place]]
+        left[mine] = s.ends[s.string[place]] - place
+    # an interval of suffixes that share `width` bytes: no lesser common prefix within
+    heads = np.flatnonzero(common < width)
+    heads = heads if len(heads) and heads[0] == 0 else np.append(0, heads)
     own = np.asarray(low, np.int64)[string]
-    heads = np.flatnonzero(np.append(True, interval[1:] != interval[:-1]))
-    least = np.minimum.reduceat(own, heads)
-    hit = np.flatnonzero(least[interval] < own)
+    least = np.repeat(np.minimum.reduceat(own, heads), np.diff(np.append(heads, len(own))))
+    hit = np.flatnonzero((least < own) & (left >= width))
     hit = hit[np.lexsort((start[hit], string[hit]))]
     cut = np.searchsorted(string[hit], np.arange(len(strings) + 1))
     starts = start[hit].tolist()

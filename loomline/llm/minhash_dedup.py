@@ -71,25 +71,28 @@ def by_group(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], list[tuple
             cols = list(zip(*rows)) if rows else [()] * len(kinds)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
-        waiting: pa.Table | None = None
+        waiting: list[pa.Table] = []  # the parts of the last group, joined once it has ended
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            table = table if waiting is None else pa.concat_tables([waiting, table]).combine_chunks()
             change = np.zeros(table.num_rows, bool)
             for k in keys:
                 v = np.asarray(table.column(k))
                 change[1:] |= v[1:] != v[:-1]
-            edges = [0, *np.flatnonzero(change).tolist()]
+                change[0] |= bool(waiting) and waiting[-1].column(k)[-1] != table.column(k)[0]
+            edges = [0, *np.flatnonzero(change).tolist(), table.num_rows]
             rows: list[tuple] = []
             for a, b in zip(edges, edges[1:]):
-                rows += fn(table.slice(a, b - a))
-            waiting = table.slice(edges[-1])
+                if a < b and change[a] and waiting:
+                    rows += fn(pa.concat_tables(waiting).combine_chunks())
+                    waiting = []
+                if a < b:
+                    waiting.append(table.slice(a, b - a))
             if rows:
                 yield out(rows)
-        if waiting is not None:
-            yield out(fn(waiting))
+        if waiting:
+            yield out(fn(pa.concat_tables(waiting).combine_chunks()))
 
     names = [p.split()[0] for p in schema.split(", ")]
     return df.repartition(*keys).sortWithinPartitions(*keys).transform(short_batches).mapInArrow(run, schema)

@@ -8,11 +8,13 @@
 3. Runs of windows with a marked anchor are compared by anchor. Runs that are equal throughout need only the least
    doc_id. Runs that share an anchor but differ (a passage's ends) are decided by their suffixes: one run of each
    kind goes to a shard, shards' Burrows-Wheeler transforms are merged by interleave refinement to depth 50, and
-   the intervals of equal 50-byte prefixes give each window's least doc_id (bwt.py), byte for byte.
+   the intervals of suffixes with a common prefix of 50 give each window's least doc_id (bwt.py), byte for byte.
 4. The removed ranges meet their batches' texts.
 
 Hot values reach a reducer once a batch, not once a document; runs are combined by kind before their texts are
-compared; joins on anchors are sort-merge joins that Spark can split.
+compared; joins on anchors are sort-merge joins that Spark can split. An anchor with more than HOT_KINDS kinds (a
+phrase with many surroundings) gives way to finer ones: each run is cut by its windows' places around the anchor, and
+a cut's anchor is the 48 bytes that all its windows hold, so that no bucket of transforms grows with one phrase.
 
 Runs' equality is that of two 64-bit hashes, of the anchor and of all their bytes.
 
@@ -23,9 +25,7 @@ named are ignored.
 
 from __future__ import annotations
 
-import gc
 import hashlib
-import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,12 +37,14 @@ from pyspark.sql import functions as F
 from loomline.llm.anchors import runs
 from loomline.llm.bwt import repeated_windows
 from loomline.llm.minhash_dedup import by_group
-from loomline.llm.textops import U64, Rolling, drop_path, fresh_path, mix, pieces, short_batches, signed, utf8
+from loomline.llm.textops import U64, Rolling, drop_path, fresh_path, mix, pieces, short_batches, signed, stored, utf8
 
 WINDOW, GRAM, BATCH_BYTES, PART_BYTES, BUCKET_RUNS = 50, 24, 2 << 20, 32 << 20, 8000
+HOT_KINDS, PLACES = 2000, 3  # a finer anchor is that of PLACES consecutive windows
 _BITS = U64(24)  # a value's upper 40 bits are dealt
 _RUN = Rolling(31)
 LAST = (1 << 63) - 1
+RUN, RUN_SCHEMA = ["doc", "row", "fp", "words", "start", "n", "at"], "doc long, row long, fp long, words long, start int, n int, at int"
 
 
 def grams_of(buf: np.ndarray) -> np.ndarray:
@@ -58,7 +60,7 @@ def grams_of(buf: np.ndarray) -> np.ndarray:
         return mix(out)
 
 
-def lay_out(docs: DataFrame, path: str) -> None:
+def lay_out(docs: DataFrame, path: str) -> DataFrame:
     """One row a batch: its number, documents' ids, offsets and compressed bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 20
@@ -68,7 +70,7 @@ def lay_out(docs: DataFrame, path: str) -> None:
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([piece.column("doc").to_pylist()], pa.list_(pa.int64())), pa.array([offsets.tolist()], pa.list_(pa.int64())), pa.array([packed], pa.binary()), pa.array([len(buf)], pa.int64())], ["batch", "docs", "offsets", "packed", "size"])
             number += 1
 
-    docs.select("doc", "text").transform(short_batches).mapInArrow(run, "batch long, docs array<long>, offsets array<long>, packed binary, size long").write.option("compression", "none").parquet(path)
+    return stored(docs.select("doc", "text").transform(short_batches).mapInArrow(run, "batch long, docs array<long>, offsets array<long>, packed binary, size long"), path, compression="none")
 
 
 def batch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, np.ndarray, np.ndarray, dict]]:
@@ -81,7 +83,7 @@ def batch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, n
 
 
 def batch_runs(buf: np.ndarray, offsets: np.ndarray, words: bool = False) -> tuple[np.ndarray, ...]:
-    """(document, start, windows, anchor hash, distinct values, each run's place in them, and with `words` the hash of its bytes) of a batch, in cache-sized parts."""
+    """(document, start, windows, anchor hash, distinct values, each run's place in them, with `words` the hash of its bytes, and the anchor's distance from the start) of a batch, in cache-sized parts."""
     out = []
     at = 0
     while at < len(offsets) - 1:
@@ -91,14 +93,14 @@ def batch_runs(buf: np.ndarray, offsets: np.ndarray, words: bool = False) -> tup
         doc, start, n, anchor = runs(grams, offsets[at : end + 1] - offsets[at], WINDOW, GRAM)
         if len(doc):
             whole = _RUN.spans(_RUN.sums(part), start, start + n + WINDOW - 1) if words else anchor.view(U64)
-            out.append((doc + at, start + offsets[at], n, grams[anchor], whole))
+            out.append((doc + at, start + offsets[at], n, grams[anchor], whole, anchor - start))
         at = end
     if not out:
         z = np.zeros(0, np.int64)
-        return z, z, z, z.view(U64), z.view(U64), z, z.view(U64)
-    doc, start, n, h, whole = (np.concatenate(x) for x in zip(*out))
+        return z, z, z, z.view(U64), z.view(U64), z, z.view(U64), z
+    doc, start, n, h, whole, off = (np.concatenate(x) for x in zip(*out))
     values, place = np.unique(h >> _BITS, return_inverse=True)
-    return doc, start, n, h, values, place, whole
+    return doc, start, n, h, values, place, whole, off
 
 
 def _five(values: np.ndarray) -> bytes:
@@ -149,10 +151,10 @@ def mark(batches: DataFrame, parts: int) -> DataFrame:
 
 
 def shared_runs(batches: DataFrame, bits: DataFrame, parts: int) -> DataFrame:
-    """(doc, row, fp, words, start, n): one row a run with a marked anchor. row: the batch's number << 16 | the document's place in it."""
+    """(doc, row, fp, words, start, n, at): one row a run with a marked anchor, `at` bytes after its start. row: the batch's number << 16 | the document's place in it."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, docs, offsets, buf, fields in batch_rows(rows):
-            doc, start, n, h, values, place, words = batch_runs(buf, offsets, True)
+            doc, start, n, h, values, place, words, off = batch_runs(buf, offsets, True)
             marked = _shared_within(doc, place, len(values)) if len(values) else np.zeros(0, bool)
             part = (values % U64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
@@ -163,10 +165,10 @@ def shared_runs(batches: DataFrame, bits: DataFrame, parts: int) -> DataFrame:
             use = np.flatnonzero(marked[place]) if len(place) else np.zeros(0, np.int64)
             ids = np.array([LAST if d is None else d for d in docs], np.int64)
             d = doc[use]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array((number << 16) + d), pa.array(signed(h[use])), pa.array(signed(words[use])), pa.array((start[use] - offsets[d]).astype(np.int32)), pa.array(n[use].astype(np.int32))], ["doc", "row", "fp", "words", "start", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array((number << 16) + d), pa.array(signed(h[use])), pa.array(signed(words[use])), pa.array((start[use] - offsets[d]).astype(np.int32)), pa.array(n[use].astype(np.int32)), pa.array(off[use].astype(np.int32))], RUN)
 
     marks = bits.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias("marks"))  # at most one a part
-    return with_lists(batches, marks).transform(short_batches).mapInArrow(run, "doc long, row long, fp long, words long, start int, n int")
+    return with_lists(batches, marks).transform(short_batches).mapInArrow(run, RUN_SCHEMA)
 
 
 def with_lists(batches: DataFrame, lists: DataFrame, how: str = "left") -> DataFrame:
@@ -179,6 +181,44 @@ def by_batch(found: DataFrame, *fields: str) -> DataFrame:
     return found.groupBy(F.shiftright("row", 16).alias("batch")).agg(F.collect_list(F.struct(F.col("row").bitwiseAND(0xFFFF).cast("int").alias("i"), *fields)).alias("marks"))
 
 
+def finer(batches: DataFrame, found: DataFrame) -> DataFrame:
+    """Runs cut by their windows' places around the anchor, PLACES to a cut, which gets the hash of the bytes that all its windows hold for an anchor. Equal windows are in cuts of one anchor."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, docs, offsets, buf, fields in batch_rows(rows):
+            i, start, n, at = (np.asarray(fields["marks"].values.field(k), np.int64) for k in range(4))
+            base, sums = offsets[i] + start, _RUN.sums(buf)
+            ids = np.array([LAST if d is None else d for d in docs], np.int64)
+            for place in range(0, WINDOW - GRAM + 1, PLACES):
+                first, last = np.maximum(0, at - place - PLACES + 1), np.minimum(n - 1, at - place)
+                use = np.flatnonzero(first <= last)
+                a, core = base[use] + first[use], base[use] + at[use] - place
+                fp = _RUN.spans(sums, core, core + WINDOW - PLACES + 1)
+                words = _RUN.spans(sums, a, base[use] + last[use] + WINDOW)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i[use]]), pa.array((number << 16) + i[use]), pa.array(signed(fp)), pa.array(signed(words)), pa.array((start + first)[use].astype(np.int32)), pa.array((last - first + 1)[use].astype(np.int32)), pa.array((at - first)[use].astype(np.int32))], RUN)
+
+    return with_lists(batches, by_batch(found, "start", "n", "at"), "inner").transform(short_batches).mapInArrow(run, RUN_SCHEMA)
+
+
+def placed_runs(runs_of: DataFrame, name: str) -> DataFrame:
+    """(row, start, n, mixed, doc, fp, words, at) of the runs that may lose windows, or decide on others': those of an anchor that documents share. The last four only where the anchor's runs differ."""
+    spark = runs_of.sparkSession
+    anchors = runs_of.groupBy("fp").agg(F.min("words").alias("w0"), F.max("words").alias("w1"), F.min("doc").alias("d0"), F.max("doc").alias("d1"))
+    # an anchor of one document decides nothing
+    path = fresh_path(spark, f"suffix-anchors{name}")
+    anchors = stored(anchors.where("d0 <> d1").select("fp", "d0", (F.col("w0") != F.col("w1")).alias("mixed")), path)
+    keep = lambda c: F.when(F.col("mixed"), F.col(c)).alias(c)
+    met = runs_of.join(anchors, "fp").where("mixed or doc > d0")
+    placed = stored(met.select("row", "start", "n", "mixed", *map(keep, ("doc", "fp", "words", "at"))), fresh_path(spark, f"suffix-placed{name}"))
+    drop_path(spark, path)
+    return placed
+
+
+def kinds_of(mixed: DataFrame, name: str) -> DataFrame:
+    """(fp, words, low, row, start, n): each kind of run with its least document and one place."""
+    made = mixed.groupBy("fp", "words").agg(F.min(F.struct("doc", "row", "start", "n")).alias("one"))
+    return stored(made.select("fp", "words", F.col("one.doc").alias("low"), "one.row", "one.start", "one.n"), fresh_path(mixed.sparkSession, f"suffix-kinds{name}"))
+
+
 def mixed_windows(kinds: DataFrame, batches: DataFrame, buckets: int) -> DataFrame:
     """(fp, words, a, b): the byte ranges of each kind of run that are covered by windows which also start in a run of the same anchor with a lower doc_id. kinds: (fp, words, low, row, start, n)."""
     def fetch(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,51 +271,33 @@ def cut_out(batches: DataFrame, gone: DataFrame) -> DataFrame:
     return with_lists(batches, by_batch(gone, "a", "b")).transform(short_batches).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def _tidy(spark) -> None:
-    """Let Spark drop the shuffle files of finished steps: it does once their plans are collected, on both sides."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row."""
     spark = df.sparkSession
-    laid, found, anchors_at, placed_at, kinds_at, decided, lows_at = (fresh_path(spark, f"suffix-{n}") for n in ("batches", "runs", "anchors", "placed", "kinds", "windows", "lows"))
-    lay_out(df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")), laid)
-    batches = spark.read.parquet(laid)
+    found_at, decided_at = (fresh_path(spark, f"suffix-{n}") for n in ("runs", "windows"))
+    batches = lay_out(df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")), fresh_path(spark, "suffix-batches"))
     size = batches.agg(F.sum("size")).first()[0] or 0
     parts = max(8, int(size // PART_BYTES))
-    shared_runs(batches, mark(batches, parts), parts).write.parquet(found)
-    _tidy(spark)
-    runs_of = spark.read.parquet(found)
-    anchors = runs_of.groupBy("fp").agg(F.min("words").alias("w0"), F.max("words").alias("w1"), F.min("doc").alias("d0"), F.max("doc").alias("d1"))
-    # an anchor of one document decides nothing
-    anchors.where("d0 <> d1").select("fp", "d0", (F.col("w0") != F.col("w1")).alias("mixed")).write.parquet(anchors_at)
-    _tidy(spark)
-    keep = lambda c: F.when(F.col("mixed"), F.col(c)).alias(c)
-    met = runs_of.join(spark.read.parquet(anchors_at), "fp").where("mixed or doc > d0")
-    met.select("row", "start", "n", "mixed", keep("doc"), keep("fp"), keep("words")).write.parquet(placed_at)
-    drop_path(spark, found)
-    drop_path(spark, anchors_at)
-    _tidy(spark)
-    placed = spark.read.parquet(placed_at)
-    mixed = placed.where("mixed")
-    made = mixed.groupBy("fp", "words").agg(F.min(F.struct("doc", "row", "start", "n")).alias("one"))
-    made.select("fp", "words", F.col("one.doc").alias("low"), "one.row", "one.start", "one.n").write.parquet(kinds_at)
-    kinds = spark.read.parquet(kinds_at)
-    mixed_windows(kinds, batches, max(8, kinds.count() // BUCKET_RUNS)).write.parquet(decided)
-    _tidy(spark)
+    placed = placed_runs(stored(shared_runs(batches, mark(batches, parts), parts), found_at), "")
+    drop_path(spark, found_at)
+    kinds, mixed, later = kinds_of(placed.where("mixed"), ""), placed.where("mixed"), placed.where("not mixed")
+    hot = kinds.groupBy("fp").count().where(F.col("count") > HOT_KINDS).select("fp")
+    if not hot.isEmpty():
+        cuts = placed_runs(stored(finer(batches, mixed.join(hot, "fp")), found_at), "-finer")
+        drop_path(spark, found_at)
+        kinds = kinds.join(hot, "fp", "left_anti").union(kinds_of(cuts.where("mixed"), "-finer"))
+        mixed = mixed.join(hot, "fp", "left_anti").select(placed.columns).union(cuts.where("mixed"))
+        later = later.union(cuts.where("not mixed"))
+    decided = stored(mixed_windows(kinds, batches, max(8, kinds.count() // BUCKET_RUNS)), decided_at)
     # windows decide for the least document of a kind; all later ones lose the whole run
-    ranges = spark.read.parquet(decided).groupBy("fp", "words").agg(F.collect_list(F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))).alias("ranges"))  # at most a run's length
+    ranges = decided.groupBy("fp", "words").agg(F.collect_list(F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))).alias("ranges"))  # at most a run's length
     whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("n") + WINDOW - 1).cast("int").alias("b")))
     # a table of its own: Spark then splits what a hot kind brings to the join
-    kinds.select("fp", "words", "low").join(ranges, ["fp", "words"], "left").write.parquet(lows_at)
-    known = mixed.join(spark.read.parquet(lows_at), ["fp", "words"])
+    lows = stored(kinds.select("fp", "words", "low").join(ranges, ["fp", "words"], "left"), fresh_path(spark, "suffix-lows"))
+    drop_path(spark, decided_at)
+    known = mixed.join(lows, ["fp", "words"])
     gone = known.select("row", "start", F.explode(F.when(F.col("doc") > F.col("low"), whole).otherwise(F.col("ranges"))).alias("r")).select("row", (F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b")).alias("b"))
-    later = placed.where("not mixed").select("row", F.col("start").alias("a"), (F.col("start") + F.col("n") + WINDOW - 1).alias("b"))
-    return cut_out(batches, later.union(gone))
+    return cut_out(batches, later.select("row", F.col("start").alias("a"), (F.col("start") + F.col("n") + WINDOW - 1).alias("b")).union(gone))
 
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:

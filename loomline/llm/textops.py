@@ -9,6 +9,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,15 +26,33 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary one if all run on one machine (tests); a cluster has to name it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = f"file://{tempfile.gettempdir()}/loomline-checkpoints"
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(path)
+    if path:
+        return path
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and the executors of {master} share")
+    path = f"file://{tempfile.gettempdir()}/loomline-checkpoints"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """The session's settings (dots as double underscores) while the block runs; then they are as before."""
+    values = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a checkpoint in the shared folder."""
     scratch(df.sparkSession)
@@ -41,7 +60,10 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def short_batches(df: DataFrame) -> DataFrame:
-    """df, with its session's Arrow batches kept to BATCH_BYTES: texts are long, and workers hold a batch and what they make of it."""
+    """df, with its session's Arrow batches kept to BATCH_BYTES: texts are long, and workers hold a batch and what they make of it.
+
+    Spark reads the setting when the plan runs, which is after this returns, so a session that uses these operators keeps it.
+    """
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
     now = re.fullmatch(r"(\d+)b?", conf.get(name))
     if not now or int(now[1]) > BATCH_BYTES:
@@ -53,6 +75,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, path: str, **options: str) -> DataFrame:
+    """df, written under path and read again. The write's shuffle files go when it has ended."""
+    with settings(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

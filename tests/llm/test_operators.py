@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomline.llm import embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, suffix_dedup, toxicity
-from loomline.llm.bwt import repeated_windows
+from loomline.llm.bwt import Shard, merge, repeated_windows
 from tests.llm import cases
 
 
@@ -144,6 +144,60 @@ def test_suffix_dedup_random(spark):
     assert {i: tuple(x)[1:] for i, x in got.items()} == cases.repeated_bytes(data)
 
 
+def test_bwt_common_prefixes_and_sorted_shards(monkeypatch):
+    """The common prefixes are those of neighbouring suffixes; a shard whose rows are out of order spoils the merge."""
+    r = random.Random(8)
+    strings = [bytes(r.choice(b"abc") for _ in range(r.randint(0, 60))) for _ in range(9)]
+    shards = [Shard(strings[:4], 20), Shard(strings[4:], 20)]
+    shard, row, common = merge(shards, 20)
+    suffixes = []
+    for k, i in zip(shard.tolist(), row.tolist()):
+        at = shards[k].rows[i]
+        j = int(shards[k].string[at])
+        suffixes.append(strings[4 * k + j][at - shards[k].starts[j] :])
+    shared = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    assert common[1:].tolist() == [min(20, shared(a, b)) for a, b in zip(suffixes, suffixes[1:])]
+    assert [x[:20] for x in suffixes] == sorted(x[:20] for x in suffixes)
+
+    low = np.arange(9)
+    right = repeated_windows(strings, low, 10, 100)
+    real = Shard.__init__
+
+    def scrambled(self, *args):
+        real(self, *args)
+        order = np.random.default_rng(1).permutation(self.n)
+        self.rows, self.transform = self.rows[order], self.transform[order]
+
+    monkeypatch.setattr(Shard, "__init__", scrambled)
+    assert repeated_windows(strings, low, 10, 100) != right
+
+
+def test_suffix_dedup_null_and_repeated_ids(spark):
+    text = "".join(chr(97 + i * i % 23) for i in range(150))
+    data = [(None, text + "1"), (None, text + "2"), (3, "x" * 60 + text), (3, text[:100] + "y" * 60), (3, text[:100] + "y" * 60), (9, "x" * 55 + "q" + text[20:90])]
+    got = sorted((tuple(x) for x in suffix_dedup.deduplicate(spark.createDataFrame(data, "doc_id long, text string")).collect()), key=str)
+    want = []
+    for i, t in data:
+        smaller = [u for j, u in data if j is not None and (i is None or j < i)]
+        gone = [any(0 <= k <= len(t) - 50 and any(t[k : k + 50] in u for u in smaller) for k in range(p - 49, p + 1)) for p in range(len(t))]
+        kept = "".join(c for c, g in zip(t, gone) if not g)
+        want.append((i, len(t), sum(gone), sum(g and not (p and gone[p - 1]) for p, g in enumerate(gone)), hashlib.sha256(kept.encode()).hexdigest()))
+    assert got == sorted(want, key=str) and sum(x[2] for x in got)
+
+
+@pytest.mark.parametrize("width", [30, 60, 120])
+def test_suffix_dedup_splits_phrases_with_many_surroundings(spark, monkeypatch, width):
+    monkeypatch.setattr(suffix_dedup, "HOT_KINDS", 3)
+    split, real = [], suffix_dedup.finer
+    monkeypatch.setattr(suffix_dedup, "finer", lambda *a: (split.append(1), real(*a))[1])
+    r = random.Random(width)
+    word = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    phrase, sides = word(width), [word(80) for _ in range(5)]
+    data = [(i, r.choice(sides)[r.randint(0, 60) :] + (word(1) if i % 3 else "") + phrase + (word(1) if i % 2 else "") + r.choice(sides)[: r.randint(5, 80)]) for i in range(40)]
+    got = rows(suffix_dedup.deduplicate(spark.createDataFrame(data, "doc_id long, text string")))
+    assert {i: tuple(x)[1:] for i, x in got.items()} == cases.repeated_bytes(data) and split
+
+
 def test_substring_index(docs, empty, spark):
     got = sorted((tuple(r) for r in substring_index.deduplicate(docs).collect()), key=str)
     assert got == cases.repeated_words(cases.ROWS)
