@@ -1,25 +1,28 @@
 """Substring dedup by a log-structured fingerprint index.
 
 A window's fingerprint is its anchor, the least hashed gram of GRAM words in it (anchors.py); consecutive windows with
-one anchor occurrence are one entry, with a hash of all its words. FingerprintIndex keeps entries as immutable sorted
-runs in Parquet. Each new batch of documents is merge-joined by fingerprint with the runs before it and adds a run; runs
-are compacted into one when there are FANOUT of them. What any batch met is then matched with all documents of the
-call, so that earlier copies are found as well. Fingerprints seen once can't be repeated windows. Where all
-entries of a fingerprint hold the same words, all their windows are repeated. The rest is verified window by window,
-for one entry of each kind, by 128-bit hashes of the windows' words, which stand for the words. An index that outlives
-the call holds its documents' texts, so that its kinds are verified like the call's own.
-
-Hot fingerprints (a line in a third of all documents) are counted with pre-aggregation and joined by sort-merge
-joins that Spark can split; no task gathers an unbounded group.
+one anchor occurrence are one entry, with a hash of all its words. FingerprintIndex keeps immutable runs: one row a
+fingerprint, with how often it occurs and the least and greatest hash of its entries, bucketed and sorted by
+fingerprint. Each new batch of documents becomes a run, which is merge-joined with the runs before it, without a
+shuffle or a sort; FANOUT runs are merged into one, two at a time, the same way. What a batch met is then looked
+up among all entries of the call, so that earlier copies are found as well. Fingerprints seen once can't be repeated
+windows. Where all entries of a fingerprint hold the same words, all their windows are repeated. The rest is verified
+window by window, for one entry of each kind, by 128-bit hashes of the windows' words, which stand for the words. An
+index that outlives the call also holds its entries' kinds and its documents' texts, so that its windows are verified
+like the call's own.
+
+Entries are computed once. Hot fingerprints (a line in a third of all documents) are counted with pre-aggregation and
+joined by sort-merge joins that Spark can split; no task gathers an unbounded group. Rows are told by 128-bit hashes.
 
 Defined results: null and empty texts have no words; texts under 35 words lose nothing; a row that repeats another
-(doc_id and text) has its windows elsewhere, so both lose them; rows that share only a doc_id are apart; an empty
-table gives no rows; columns beside those named are ignored.
+(doc_id and text) has its windows elsewhere, so both lose them; rows that share only a doc_id, or have none, are
+apart; very long texts are rows like others; an empty table gives no rows; columns beside those named are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from itertools import compress
 
@@ -29,9 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.llm.anchors import runs
-from loomline.llm.textops import Rolling, drop_path, fresh_path, pieces, short_batches, signed, utf8, word_spans
+from loomline.llm.textops import Rolling, drop_path, fresh_path, pieces, settings, short_batches, signed, stored, utf8, word_spans
 
 WINDOW, GRAM, FANOUT, BATCHES = 35, 6, 4, 5
+ROW = ["r1", "r2"]  # a row's 128-bit hash
 _WORD, _GRAM, _ENTRY, _A, _B = Rolling(41), Rolling(42), Rolling(43), Rolling(44), Rolling(45)
 
 
@@ -42,7 +46,7 @@ def words_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def entries(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(row, fp, words, start, n): each run of windows with its fingerprint, the hash of its words, first word and number of windows."""
+    """(r1, r2, fp, words, start, n): each run of windows with its fingerprint, the hash of its words, first word and number of windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             words, per = words_of(piece.column("text"))
@@ -51,38 +55,58 @@ def entries(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             grams = _GRAM.windows(words, GRAM)
             doc, start, n, anchor = runs(grams, per, window, GRAM)
             h = _ENTRY.spans(_ENTRY.sums(words), start, start + n + window - 1)
-            yield pa.RecordBatch.from_arrays([piece.column("row").take(pa.array(doc)), pa.array(signed(grams[anchor])), pa.array(signed(h)), pa.array((start - per[doc]).astype(np.int32)), pa.array(n.astype(np.int32))], ["row", "fp", "words", "start", "n"])
+            rows = [piece.column(r).take(pa.array(doc)) for r in ROW]
+            yield pa.RecordBatch.from_arrays([*rows, pa.array(signed(grams[anchor])), pa.array(signed(h)), pa.array((start - per[doc]).astype(np.int32)), pa.array(n.astype(np.int32))], [*ROW, "fp", "words", "start", "n"])
 
-    return docs.select("row", "text").transform(short_batches).mapInArrow(run, "row long, fp long, words long, start int, n int")
+    return docs.select(*ROW, "text").transform(short_batches).mapInArrow(run, "r1 long, r2 long, fp long, words long, start int, n int")
 
 
 class FingerprintIndex:
-    """Immutable sorted runs of (fp, words, times) under one folder. An index for later calls (lasting) also holds each
-    kind's first place (row, pos) and, where add() or meet() is given the documents, their texts, to verify windows against."""
+    """Immutable runs (fp, times, low, high) under one folder, bucketed and sorted by fp: merging runs reads them in order. An
+    index for later calls (lasting) also holds the kinds of its entries with a first place, and, where add() or meet() is
+    given the documents, their texts, to verify windows against. buckets: by default the session's shuffle partitions."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = FANOUT, lasting: bool = True):
+    def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = FANOUT, buckets: int | None = None, lasting: bool = True):
         self.spark, self.path, self.fanout, self.lasting = spark, path or fresh_path(spark, "fingerprints"), fanout, lasting
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.runs: list[str] = []
+        self.held: list[str] = []  # kinds
         self.texts: list[str] = []
         self.whole = True  # all runs came with their texts
-        self._made = 0
+        self._name, self._made = f"fingerprints_{uuid.uuid4().hex}", 0
 
-    def _write(self, entries: DataFrame) -> str:
-        self._made += 1
-        path = f"{self.path}/run-{self._made:05d}"
-        entries.sortWithinPartitions("fp", "words").write.parquet(path)
-        return path
+    def _in_order(self):
+        """Settings under which runs are written one file a bucket, and their scans' order is known to Spark."""
+        return settings(self.spark, spark__sql__shuffle__partitions=str(self.buckets), spark__sql__legacy__bucketedTableScan__outputOrdering="true", spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")
 
-    def _first(self) -> list:
-        return [F.min_by("pos", "row").alias("pos"), F.min("row").alias("row")] if self.lasting else []
+    def _write(self, run: DataFrame) -> str:
+        self._made += 1
+        name = f"{self._name}_{self._made:05d}"
+        with self._in_order():
+            run.write.bucketBy(self.buckets, "fp").sortBy("fp").option("path", f"{self.path}/run-{self._made:05d}").saveAsTable(name)
+        return name
+
+    def _drop(self, run: str) -> None:
+        self.spark.sql(f"drop table {run}")
+        drop_path(self.spark, f"{self.path}/run-{run.rpartition('_')[2]}")
+
+    def _merged(self, runs: list[str], how: str = "left") -> DataFrame:
+        """The fingerprints of the first run (left), or of two runs (full), with their sums over all runs, by merge joins of sorted buckets."""
+        out = self.spark.table(runs[0])
+        for r in runs[1:]:
+            other = self.spark.table(r).toDF("fp", "times2", "low2", "high2")
+            out = out.join(other, "fp", how).select("fp", (F.coalesce("times", F.lit(0)) + F.coalesce("times2", F.lit(0))).alias("times"), F.least("low", "low2").alias("low"), F.greatest("high", "high2").alias("high"))
+        return out
 
     def _batch(self, found: DataFrame, docs: DataFrame | None) -> str:
+        run = self._write(found.groupBy("fp").agg(F.count("*").alias("times"), F.min("words").alias("low"), F.max("words").alias("high")))
         if self.lasting:
-            found = found.withColumn("pos", F.shiftleft(F.col("start").cast("long"), 32) + F.col("n"))
-        run = self._write(found.groupBy("fp", "words").agg(F.count("*").alias("times"), *self._first()))
-        if self.lasting and docs is not None:
-            self.texts.append(f"{self.path}/texts-{self._made:05d}")
-            docs.select("row", "text").write.option("compression", "zstd").parquet(self.texts[-1])
+            kinds = found.groupBy("fp", "words").agg(F.count("*").alias("times"), F.min(F.struct(*ROW, "start", "n")).alias("one"))
+            self.held.append(f"{self.path}/kinds-{self._made:05d}")
+            stored(kinds, self.held[-1])
+            if docs is not None:
+                self.texts.append(f"{self.path}/texts-{self._made:05d}")
+                stored(docs.select(*ROW, "text"), self.texts[-1], compression="zstd")
         self.whole = self.whole and self.lasting and docs is not None
         return run
 
@@ -96,34 +120,46 @@ class FingerprintIndex:
         self._take(self._batch(found, docs))
 
     def meet(self, found: DataFrame, docs: DataFrame | None = None) -> str:
-        """add(), after a merge-join of the batch with the runs before it. Where (fp, kinds) lies: the batch's fingerprints
-        that the index now holds at least twice, with `kinds`, 1 or 2 for more, of their entries."""
-        run = self._batch(found, docs)
-        by_fp = lambda paths: self.spark.read.parquet(*paths).groupBy("fp").agg(F.sum("times").alias("times"), F.min("words").alias("low"), F.max("words").alias("high"))
-        now = by_fp([run])
-        if self.runs:
-            past = by_fp(self.runs).toDF("fp", "past", "past_low", "past_high")
-            now = now.join(past, "fp", "left").select("fp", (F.col("times") + F.coalesce("past", F.lit(0))).alias("times"), F.least("low", "past_low").alias("low"), F.greatest("high", "past_high").alias("high"))
-        path = fresh_path(self.spark, "met")
-        now.where("times > 1").select("fp", F.when(F.col("low") == F.col("high"), 1).otherwise(2).alias("kinds")).write.parquet(path)
+        """add(), after a merge-join of the batch's run with the runs before it. Where (fp, kinds) lies: the batch's
+        fingerprints that the index now holds at least twice, with `kinds`, 1 or 2 for more, of their entries."""
+        run, path = self._batch(found, docs), fresh_path(self.spark, "met")
+        with self._in_order():
+            now = self._merged([run, *self.runs])
+            stored(now.where("times > 1").select("fp", F.when(F.col("low") == F.col("high"), 1).otherwise(2).alias("kinds")), path)
         self._take(run)
         return path
 
     def compact(self) -> None:
-        old, self.runs = self.runs, [self._write(self.entries())] if self.runs else []
-        for path in old:
-            drop_path(self.spark, path)
-
-    def entries(self) -> DataFrame:
-        """All runs merged: one row for each fingerprint and kind of entry."""
-        if not self.runs:
-            return self.spark.createDataFrame([], "fp long, words long, times long" + ", pos long, row long" * self.lasting)
-        parts = self.spark.read.parquet(*self.runs)
-        return parts if len(self.runs) == 1 else parts.groupBy("fp", "words").agg(F.sum("times").alias("times"), *self._first())
+        """All runs become one, two at a time; so do the tables of kinds."""
+        while len(self.runs) > 1:  # a full join of more would deal its second step out again
+            pair, self.runs = self.runs[:2], self.runs[2:]
+            with self._in_order():
+                self.runs.append(self._write(self._merged(pair, "full")))
+            for run in pair:
+                self._drop(run)
+        held = self.held
+        if len(held) > 1:
+            self.held = [f"{self.path}/kinds-{self._made:05d}-merged"]
+            stored(self._kinds(held), self.held[0])
+            for path in held:
+                drop_path(self.spark, path)
+
+    def _kinds(self, held: list[str]) -> DataFrame:
+        return self.spark.read.parquet(*held).groupBy("fp", "words").agg(F.sum("times").alias("times"), F.min("one").alias("one"))
+
+    def kinds(self) -> DataFrame:
+        """(fp, words, times, one) of a lasting index: each kind of entry, how often it occurs, and one place."""
+        return self._kinds(self.held)
+
+    def close(self) -> None:
+        """Forget and delete the runs."""
+        for run in self.runs:
+            self._drop(run)
+        self.runs = []
 
 
 def window_hashes(docs: DataFrame, wanted: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(row, at, w1, w2, times) of each window of the wanted entries (row, start, n, times), from the texts."""
+    """(r1, r2, at, w1, w2, times) of each window of the wanted entries (r1, r2, start, n, times), from the texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             words, per = words_of(piece.column("text"))
@@ -135,15 +171,16 @@ def window_hashes(docs: DataFrame, wanted: DataFrame, window: int = WINDOW) -> D
             at = start[entry] + np.arange(len(entry)) - np.repeat(np.cumsum(n) - n, n)
             place = per[doc[entry]] + at
             a, b = (r.spans(r.sums(words), place, place + window) for r in (_A, _B))
-            yield pa.RecordBatch.from_arrays([piece.column("row").take(pa.array(doc[entry])), pa.array(at.astype(np.int32)), pa.array(signed(a)), pa.array(signed(b)), pa.array(times[entry])], ["row", "at", "w1", "w2", "times"])
+            rows = [piece.column(r).take(pa.array(doc[entry])) for r in ROW]
+            yield pa.RecordBatch.from_arrays([*rows, pa.array(at.astype(np.int32)), pa.array(signed(a)), pa.array(signed(b)), pa.array(times[entry])], [*ROW, "at", "w1", "w2", "times"])
 
-    lists = wanted.groupBy("row").agg(F.collect_list(F.struct("start", "n", "times")).alias("wanted"))
-    once = docs.select("row", "text").join(lists, "row").dropDuplicates(["row"])
-    return once.transform(short_batches).mapInArrow(run, "row long, at int, w1 long, w2 long, times long")
+    lists = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("start", "n", "times")).alias("wanted"))
+    once = docs.select(*ROW, "text").join(lists, ROW).dropDuplicates(ROW)
+    return once.transform(short_batches).mapInArrow(run, "r1 long, r2 long, at int, w1 long, w2 long, times long")
 
 
 def kept_words(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, kept) from texts and the removed word ranges (row, a, b)."""
+    """(doc_id, n_words, n_removed, kept_sha256) from texts and the removed word ranges (r1, r2, a, b)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             rows = []
@@ -160,51 +197,44 @@ def kept_words(docs: DataFrame, gone: DataFrame) -> DataFrame:
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    lists = gone.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("gone"))
-    joined = docs.join(lists, "row", "left").select("doc_id", "text", "gone")
+    lists = gone.groupBy(*ROW).agg(F.collect_list(F.struct("a", "b")).alias("gone"))
+    joined = docs.join(lists, ROW, "left").select("doc_id", "text", "gone")
     return joined.transform(short_batches).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", batches: int = BATCHES, window: int = WINDOW, index: FingerprintIndex | None = None) -> DataFrame:
     """Every word covered by a window that also starts anywhere else goes. An index with history counts its windows as elsewhere."""
     spark = df.sparkSession
-    docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
-    index = index or FingerprintIndex(spark, lasting=False)
-    if index.runs and not index.whole:
+    own = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = own.withColumns({"r1": F.xxhash64("doc_id", "text"), "r2": F.xxhash64(F.lit("b"), "doc_id", "text")})
+    used = index or FingerprintIndex(spark, lasting=False)
+    if used.runs and not used.whole:
         raise ValueError("the index holds runs without their texts: windows can't be verified against them")
-    met = []
-    for b in range(batches):
-        batch = docs.where(F.pmod("row", F.lit(batches)) == b)
-        met.append(index.meet(entries(batch, window), batch))
-    # later batches find the earlier copies' fingerprints too: all entries are matched with what any batch met
-    seen_path = fresh_path(spark, "seen")  # a table of its own: Spark then splits what a hot fingerprint brings to the join
-    spark.read.parquet(*met).groupBy("fp").agg(F.max("kinds").alias("kinds")).write.parquet(seen_path)
+    batch = F.pmod("r1", F.lit(batches)).cast("int")
+    paths = {n: fresh_path(spark, f"substring-{n}") for n in ("entries", "seen", "matched", "mixed", "windows", "repeated")}
+    found = stored(entries(docs, window).withColumn("batch", batch), paths["entries"], ("batch",))
+    met = [used.meet(found.where(F.col("batch") == b).drop("batch"), docs.where(batch == b)) for b in range(batches)]
+    # later batches meet the earlier copies' fingerprints too: all entries are looked up among what any batch met
+    seen = stored(spark.read.parquet(*met).groupBy("fp").agg(F.max("kinds").alias("kinds")), paths["seen"])  # a table of its own: Spark then splits what a hot fingerprint brings to the join
     for path in met:
         drop_path(spark, path)
-    seen = spark.read.parquet(seen_path)
-    matched_path = fresh_path(spark, "matched")
-    entries(docs, window).join(seen, "fp").write.parquet(matched_path)
-    matched = spark.read.parquet(matched_path)
+    matched = stored(found.drop("batch").join(seen, "fp"), paths["matched"])
+    drop_path(spark, paths["entries"])
     # several kinds of one fingerprint: one entry of each kind stands for all of its kind, in history too
-    if index.lasting:
-        mixed = index.entries().join(seen.where("kinds > 1"), "fp").select("fp", "words", "times", "row", F.shiftright("pos", 32).cast("int").alias("start"), F.col("pos").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("n"))
+    if used.lasting:
+        mixed = used.kinds().join(seen.where("kinds > 1"), "fp")
     else:
-        mixed = matched.where("kinds > 1").groupBy("fp", "words").agg(F.min(F.struct("row", "start", "n")).alias("one"), F.count("*").alias("times")).select("fp", "words", "times", "one.*")
-    mixed_path = fresh_path(spark, "mixed")  # tables of their own, as for seen
-    mixed.write.parquet(mixed_path)
-    mixed = spark.read.parquet(mixed_path)
-    texts = spark.read.parquet(*index.texts) if index.lasting else docs
-    hashes_path = fresh_path(spark, "windows")
-    window_hashes(texts, mixed, window).write.parquet(hashes_path)
-    hashes = spark.read.parquet(hashes_path)
-    often_path = fresh_path(spark, "repeated")
-    hashes.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1").select("w1", "w2").write.parquet(often_path)
-    often = spark.read.parquet(often_path)
-    single = hashes.where("times = 1").join(often, ["w1", "w2"]).select("row", F.col("at").alias("a"), (F.col("at") + window).alias("b"))
-    whole = matched.where("kinds = 1").select("row", "start", "n")
-    same = matched.where("kinds > 1").join(mixed.where("times > 1").select("fp", "words"), ["fp", "words"]).select("row", "start", "n")
-    gone = whole.union(same).select("row", F.col("start").alias("a"), (F.col("start") + F.col("n") + window - 1).alias("b")).union(single)
+        mixed = matched.where("kinds > 1").groupBy("fp", "words").agg(F.min(F.struct(*ROW, "start", "n")).alias("one"), F.count("*").alias("times"))
+    mixed = stored(mixed.select("fp", "words", "times", "one.*"), paths["mixed"])  # tables of their own, as for seen
+    hashes = stored(window_hashes(spark.read.parquet(*used.texts) if used.lasting else docs, mixed, window), paths["windows"])
+    often = stored(hashes.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1").select("w1", "w2"), paths["repeated"])
+    if index is None:
+        used.close()
+    drop_path(spark, paths["seen"])
+    single = hashes.where("times = 1").join(often, ["w1", "w2"]).select(*ROW, F.col("at").alias("a"), (F.col("at") + window).alias("b"))
+    whole = matched.where("kinds = 1").select(*ROW, "start", "n")
+    same = matched.where("kinds > 1").join(mixed.where("times > 1").select("fp", "words"), ["fp", "words"]).select(*ROW, "start", "n")
+    gone = whole.union(same).select(*ROW, F.col("start").alias("a"), (F.col("start") + F.col("n") + window - 1).alias("b")).union(single)
     return kept_words(docs, gone)
 
 

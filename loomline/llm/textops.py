@@ -75,10 +75,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, path: str, **options: str) -> DataFrame:
-    """df, written under path and read again. The write's shuffle files go when it has ended."""
+def stored(df: DataFrame, path: str, by: tuple[str, ...] = (), **options: str) -> DataFrame:
+    """df, written under path (in a folder for each value of `by`) and read again. The write's shuffle files go when it has ended."""
     with settings(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
-        df.write.options(**options).parquet(path)
+        df.write.partitionBy(*by).options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

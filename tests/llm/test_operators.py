@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loomline.llm import embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, suffix_dedup, toxicity
 from loomline.llm.bwt import Shard, merge, repeated_windows
+from loomline.llm.textops import settings
 from tests.llm import cases
 
 
@@ -204,18 +205,36 @@ def test_substring_index(docs, empty, spark):
     assert substring_index.deduplicate(empty).count() == 0
     r = random.Random(4)
     data = [(i, " ".join(r.choice("ab") if i % 2 else r.choice("abcdefgh") for _ in range(r.randint(0, 150)))) for i in range(40)] + [(100, "p " * 90), (100, "p " * 90), (101, "q")]
+    # rows that share a doc_id, or have none, with other texts
+    data += [(100, "s " + "p " * 40), (None, "t " + "p " * 40), (None, " ".join(f"n{i}" for i in range(50))), (7, " ".join(f"n{i}" for i in range(3, 60)))]
     got = sorted((tuple(x) for x in substring_index.deduplicate(spark.createDataFrame(data, "doc_id long, text string"), batches=5).collect()), key=str)
     assert got == cases.repeated_words(data)
 
 
 def test_index_compacts_and_remembers(spark, docs):
     index = substring_index.FingerprintIndex(spark, fanout=2)
-    d = docs.withColumn("row", F.xxhash64("doc_id", "text")).select("row", "text")
+    d = docs.select(F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit("b"), "doc_id", "text").alias("r2"), "text")
+    one = substring_index.entries(d)
+    kinds, fps = one.groupBy("fp", "words").count(), one.groupBy("fp").agg(F.count("*").alias("n"), F.min("words").alias("a"), F.max("words").alias("b"))
+    for _ in range(3):
+        index.add(one)
+        assert len(index.runs) < 2 and len(index.held) < 2
+    assert index.kinds().join(kinds, ["fp", "words"]).where("times = 3 * count").count() == kinds.count() > 0
+    run = spark.table(index.runs[0])
+    assert run.join(fps, "fp").where("times = 3 * n and low = a and high = b").count() == run.count() == fps.count()
+
+
+def test_index_merges_runs_in_their_order(spark, docs):
+    """Runs of one index meet without a shuffle, and without a sort."""
+    index = substring_index.FingerprintIndex(spark, fanout=9, lasting=False)
+    d = docs.select(F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit("b"), "doc_id", "text").alias("r2"), "text")
     for _ in range(3):
         index.add(substring_index.entries(d))
-        assert len(index.runs) <= 2
-    one = substring_index.entries(d).groupBy("fp", "words").count()
-    assert index.entries().join(one, ["fp", "words"]).where("times <> 3 * count").count() == 0
+    with index._in_order(), settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        for runs, how in ((index.runs, "left"), (index.runs[:2], "full")):
+            plan = index._merged(runs, how)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("SortMergeJoin") == len(runs) - 1 and "Exchange" not in plan and "Sort [" not in plan
+    index.close()
 
 
 def test_index_verifies_against_history(spark, monkeypatch):
@@ -240,7 +259,7 @@ def test_index_verifies_against_history(spark, monkeypatch):
     want.remove(next(x for x in want if x[0] == 52))  # in history and in the new call: one row of the two is the new call's
     assert got == want and any(x[2] for x in want if x[0] in (150, 152))
     bare = substring_index.FingerprintIndex(spark)
-    bare.add(substring_index.entries(make(old).withColumn("row", F.xxhash64("doc_id", "text"))))
+    bare.add(substring_index.entries(make(old).withColumns({"r1": F.xxhash64("doc_id", "text"), "r2": F.xxhash64(F.lit("b"), "doc_id", "text")})))
     with pytest.raises(ValueError):
         substring_index.deduplicate(make(new), index=bare)
 
