@@ -400,6 +400,35 @@ def test_step_groups_hold_equal_tokens(docs):
             assert full and set(full) == {2 * 1024} and 0 < last <= 2 * 1024 and sorted(of) == list(range(min(of), max(of) + 1))
 
 
+def test_tiers_are_packed(spark):
+    """Documents go to the shortest tier that holds them; each tier has sequences of its own length, all full, and step groups of one length and equal size."""
+    r = random.Random(3)
+    docs = spark.createDataFrame([(i, " ".join(r.choice(("alpha", "beta", "gamma")) for _ in range(r.choice((20, 90, 180, 400, 700, 2500))))) for i in range(900)], "doc_id long, text string")
+    got = packing.pack(docs.coalesce(1), step_sequences=4).collect()
+    length, first, tier, group, held = Counter(), {}, {}, {}, Counter()
+    for x in got:
+        length[x.sequence_id] += x.length
+        held[x.step_group] += x.length
+        tier[x.sequence_id], group[x.sequence_id] = x.tier, x.step_group
+        if x.offset == 0:
+            first[x.sequence_id] = x
+    assert all(length[s] == tier[s] for s in length)
+    many = Counter(tier.values())
+    assert all(many[t] >= 10 for t in (1024, 512, 256, 128)) and sum(n for t, n in many.items() if t < 128) <= 7
+    full = [g for g in held if held[g] == 4 * 1024]
+    assert len(held) - len(full) <= 1 and len(held) == max(held) + 1
+    lengths = defaultdict(set)
+    for s, g in group.items():
+        lengths[g].add(tier[s])
+    assert sum(len(v) > 1 for v in lengths.values()) <= 4
+    for s, x in first.items():  # a window is opened by a document that no shorter one would hold, where it wasn't cut before
+        if tier[s] >= 256 and x.start == 0:
+            assert x.doc_tokens > tier[s] // 2
+    # a long text among them
+    whole = [x for x in got if x.doc_tokens > 2 * 1024 and x.length == 1024]
+    assert whole and all(x.offset == 0 and x.tier == 1024 for x in whole)
+
+
 def test_tokens_equal_the_named_tokenizer():
     import public_tokenizers as P
     from tokenizers import Tokenizer
