@@ -41,6 +41,7 @@ from loomline.llm.textops import U64, Rolling, drop_path, fresh_path, mix, piece
 
 WINDOW, GRAM, BATCH_BYTES, PART_BYTES, BUCKET_RUNS = 50, 24, 2 << 20, 32 << 20, 8000
 HOT_KINDS, PLACES = 2000, 3  # a finer anchor is that of PLACES consecutive windows
+SIDE = (WINDOW - GRAM) // 2
 _BITS = U64(24)  # a value's upper 40 bits are dealt
 _RUN = Rolling(31)
 LAST = (1 << 63) - 1
@@ -214,23 +215,41 @@ def placed_runs(runs_of: DataFrame, name: str) -> DataFrame:
 
 
 def kinds_of(mixed: DataFrame, name: str) -> DataFrame:
-    """(fp, words, low, row, start, n): each kind of run with its least document and one place."""
-    made = mixed.groupBy("fp", "words").agg(F.min(F.struct("doc", "row", "start", "n")).alias("one"))
-    return stored(made.select("fp", "words", F.col("one.doc").alias("low"), "one.row", "one.start", "one.n"), fresh_path(mixed.sparkSession, f"suffix-kinds{name}"))
+    """(fp, words, low, row, start, n, at): each kind of run with its least document and one place."""
+    made = mixed.groupBy("fp", "words").agg(F.min(F.struct("doc", "row", "start", "n", "at")).alias("one"))
+    return stored(made.select("fp", "words", F.col("one.doc").alias("low"), "one.row", "one.start", "one.n", "one.at"), fresh_path(mixed.sparkSession, f"suffix-kinds{name}"))
 
 
 def mixed_windows(kinds: DataFrame, batches: DataFrame, buckets: int) -> DataFrame:
-    """(fp, words, a, b): the byte ranges of each kind of run that are covered by windows which also start in a run of the same anchor with a lower doc_id. kinds: (fp, words, low, row, start, n)."""
+    """(fp, words, a, b): the byte ranges of each kind of run that are covered by windows which also start in a run of the same anchor with a lower doc_id. kinds: (fp, words, low, row, start, n, at).
+
+    Equal windows hold the same SIDE bytes after the anchor if it lies in their first part, or before it if not. A kind
+    that shares neither with another of its anchor has no such window and needs no suffixes.
+    """
     def fetch(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, offsets, buf, fields in batch_rows(rows):
             flat = fields["marks"].values
-            i, fp, words, low, start, n = (flat.field(k) for k in range(6))
+            i, fp, words, low, start, n, at = (flat.field(k) for k in range(7))
+            n, at = np.asarray(n), np.asarray(at)
             a = offsets[np.asarray(i)] + np.asarray(start)
-            b = a + np.asarray(n) + WINDOW - 1
-            text = buf.tobytes()
-            yield pa.RecordBatch.from_arrays([fp, words, low, pa.array([text[x:y] for x, y in zip(a.tolist(), b.tolist())], pa.binary())], ["fp", "words", "low", "run"])
+            b, anchor, sums, text = a + n + WINDOW - 1, a + at, _RUN.sums(buf), buf.tobytes()
+            side = lambda has, x, y: pa.array(signed(_RUN.spans(sums, np.where(has, x, 0), np.where(has, y, 0))), mask=~has)
+            after, before = side(at - n + 1 <= SIDE, anchor + GRAM, anchor + GRAM + SIDE), side(at >= SIDE, anchor - SIDE, anchor)
+            yield pa.RecordBatch.from_arrays([fp, words, low, after, before, pa.array([text[x:y] for x, y in zip(a.tolist(), b.tolist())], pa.binary())], ["fp", "words", "low", "after", "before", "run"])
+
+    def met(fp: np.ndarray, side: pa.ChunkedArray) -> np.ndarray:
+        """Whether another run of the anchor has the same bytes on this side."""
+        has = np.asarray(side.is_valid())
+        out, x = np.zeros(len(fp), bool), np.asarray(side.fill_null(0))
+        order = np.lexsort((x[has], fp[has]))
+        f, x = fp[has][order], x[has][order]
+        same = np.append(False, (f[1:] == f[:-1]) & (x[1:] == x[:-1]))[: len(f)]
+        out[np.flatnonzero(has)[order]] = same | np.append(same[1:], False)[: len(f)]
+        return out
 
     def decide(table: pa.Table) -> list[tuple]:
+        key = np.asarray(table.column("fp"))
+        table = table.filter(pa.array(met(key, table.column("after")) | met(key, table.column("before"))))
         fp, words = table.column("fp").to_pylist(), table.column("words").to_pylist()
         found = repeated_windows(table.column("run").to_pylist(), np.asarray(table.column("low")), WINDOW)
         out = []
@@ -241,7 +260,7 @@ def mixed_windows(kinds: DataFrame, batches: DataFrame, buckets: int) -> DataFra
                 out += [(f, w, int(a[i]), int(a[j - 1]) + WINDOW) for i, j in zip(heads, np.append(heads[1:], len(a)))]
         return out
 
-    runs_of = with_lists(batches, by_batch(kinds, "fp", "words", "low", "start", "n"), "inner").transform(short_batches).mapInArrow(fetch, "fp long, words long, low long, run binary")
+    runs_of = with_lists(batches, by_batch(kinds, "fp", "words", "low", "start", "n", "at"), "inner").transform(short_batches).mapInArrow(fetch, "fp long, words long, low long, after long, before long, run binary")
     runs_of = runs_of.withColumn("bucket", F.pmod(F.xxhash64("fp"), F.lit(buckets)).cast("int"))
     return by_group(runs_of, ["bucket"], decide, "fp long, words long, a long, b long", [pa.int64()] * 4)
 
@@ -281,11 +300,12 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     placed = placed_runs(stored(shared_runs(batches, mark(batches, parts), parts), found_at), "")
     drop_path(spark, found_at)
     kinds, mixed, later = kinds_of(placed.where("mixed"), ""), placed.where("mixed"), placed.where("not mixed")
-    hot = kinds.groupBy("fp").count().where(F.col("count") > HOT_KINDS).select("fp")
+    # tables of their own, so that joins with them are broadcast by their size or split by Spark
+    hot = stored(kinds.groupBy("fp").count().where(F.col("count") > HOT_KINDS).select("fp"), fresh_path(spark, "suffix-hot"))
     if not hot.isEmpty():
         cuts = placed_runs(stored(finer(batches, mixed.join(hot, "fp")), found_at), "-finer")
         drop_path(spark, found_at)
-        kinds = kinds.join(hot, "fp", "left_anti").union(kinds_of(cuts.where("mixed"), "-finer"))
+        kinds = stored(kinds.join(hot, "fp", "left_anti").union(kinds_of(cuts.where("mixed"), "-finer")), fresh_path(spark, "suffix-all-kinds"))
         mixed = mixed.join(hot, "fp", "left_anti").select(placed.columns).union(cuts.where("mixed"))
         later = later.union(cuts.where("not mixed"))
     decided = stored(mixed_windows(kinds, batches, max(8, kinds.count() // BUCKET_RUNS)), decided_at)
