@@ -48,12 +48,26 @@ LAST = (1 << 63) - 1
 RUN, RUN_SCHEMA = ["doc", "row", "fp", "words", "start", "n", "at"], "doc long, row long, fp long, words long, start int, n int, at int"
 
 
+def eights(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position as a number, without a copy."""
+    return np.ndarray((max(0, len(buf) - 7),), "<u8", np.ascontiguousarray(buf), 0, (1,))
+
+
+def hashed(words: np.ndarray, *at: np.ndarray) -> np.ndarray:
+    """A hash of the eights at these positions."""
+    out = np.zeros(len(at[0]), U64)
+    with np.errstate(over="ignore"):
+        for i in at:
+            out = mix(out) + words[i] * U64(0xD6E8FEB86659FD93)
+        return mix(out)
+
+
 def grams_of(buf: np.ndarray) -> np.ndarray:
     """A hash of the GRAM bytes from each position, eight at a time."""
     n = len(buf) - GRAM + 1
     if n <= 0:
         return np.zeros(0, U64)
-    words = np.ndarray((len(buf) - 7,), "<u8", np.ascontiguousarray(buf), 0, (1,))
+    words = eights(buf)
     out = words[:n] * U64(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
         for at in range(8, GRAM, 8):
@@ -187,14 +201,14 @@ def finer(batches: DataFrame, found: DataFrame) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, docs, offsets, buf, fields in batch_rows(rows):
             i, start, n, at = (np.asarray(fields["marks"].values.field(k), np.int64) for k in range(4))
-            base, sums = offsets[i] + start, _RUN.sums(buf)
+            base, words8 = offsets[i] + start, eights(buf)
             ids = np.array([LAST if d is None else d for d in docs], np.int64)
             for place in range(0, WINDOW - GRAM + 1, PLACES):
                 first, last = np.maximum(0, at - place - PLACES + 1), np.minimum(n - 1, at - place)
                 use = np.flatnonzero(first <= last)
-                a, core = base[use] + first[use], base[use] + at[use] - place
-                fp = _RUN.spans(sums, core, core + WINDOW - PLACES + 1)
-                words = _RUN.spans(sums, a, base[use] + last[use] + WINDOW)
+                a, b, core = base[use] + first[use], base[use] + last[use] + WINDOW, base[use] + at[use] - place
+                fp = hashed(words8, *(core + k for k in range(0, WINDOW - PLACES + 1, 8)))  # 48 bytes
+                words = hashed(words8, *(a + k for k in range(0, WINDOW - 8, 8)), b - 8) + (b - a).astype(U64)  # all of its 50 to 52
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i[use]]), pa.array((number << 16) + i[use]), pa.array(signed(fp)), pa.array(signed(words)), pa.array((start + first)[use].astype(np.int32)), pa.array((last - first + 1)[use].astype(np.int32)), pa.array((at - first)[use].astype(np.int32))], RUN)
 
     return with_lists(batches, by_batch(found, "start", "n", "at"), "inner").transform(short_batches).mapInArrow(run, RUN_SCHEMA)
@@ -232,9 +246,9 @@ def mixed_windows(kinds: DataFrame, batches: DataFrame, buckets: int) -> DataFra
             i, fp, words, low, start, n, at = (flat.field(k) for k in range(7))
             n, at = np.asarray(n), np.asarray(at)
             a = offsets[np.asarray(i)] + np.asarray(start)
-            b, anchor, sums, text = a + n + WINDOW - 1, a + at, _RUN.sums(buf), buf.tobytes()
-            side = lambda has, x, y: pa.array(signed(_RUN.spans(sums, np.where(has, x, 0), np.where(has, y, 0))), mask=~has)
-            after, before = side(at - n + 1 <= SIDE, anchor + GRAM, anchor + GRAM + SIDE), side(at >= SIDE, anchor - SIDE, anchor)
+            b, anchor, words8, text = a + n + WINDOW - 1, a + at, eights(buf), buf.tobytes()
+            side = lambda has, x: pa.array(signed(hashed(words8, np.where(has, x, 0), np.where(has, x + SIDE - 8, 0))), mask=~has)
+            after, before = side(at - n + 1 <= SIDE, anchor + GRAM), side(at >= SIDE, anchor - SIDE)
             yield pa.RecordBatch.from_arrays([fp, words, low, after, before, pa.array([text[x:y] for x, y in zip(a.tolist(), b.tolist())], pa.binary())], ["fp", "words", "low", "after", "before", "run"])
 
     def met(fp: np.ndarray, side: pa.ChunkedArray) -> np.ndarray:
