@@ -1,19 +1,23 @@
 """Secret scans by corpus-wide ownership frequency, in DataFrame functions only.
 
-Candidates are the three base kinds and long mixed tokens. Their values' hashes are counted by distinct owners and
-repositories over the whole corpus, in steps that pre-aggregate (hash, owner, repository) before each shuffle. A
-value that MANY owners have is a widely copied example; one that only its owner has and that looks random is live.
-The base spans always stay; live long tokens outside of them are added as kind `owned`.
-
-Positions come from the lengths of a text's pieces between matches and of the matches, in code points.
-
-Defined results: null or empty text has no spans; ties and repeated rows each get their own result; a null owner is
-an owner of its own; an empty table gives no rows; columns beside those named are ignored.
+Candidates are the three base kinds and long mixed tokens. Their values' hashes are counted by distinct repositories
+and owners over the whole corpus, in steps that pre-aggregate (hash, owner, repository) before each shuffle. A value
+that MANY owners or MANY repositories have is a widely copied example; one that a single owner has in fewer
+repositories, and that looks random, is live. The base spans always stay; live long tokens outside of them are added
+as kind `owned`.
+
+Positions are sums over a text's matches, in order, of the lengths of the pieces before them and of their own, in code
+points, by a window; whether a long token is free of base spans follows from the ends before and the starts after it.
+So the work grows with the number of matches. What is written in between holds lengths and hashes, no secrets.
+
+Defined results: null or empty text has no spans; a very long text's matches are sorted as one group, bounded by that
+text; ties and repeated rows each get their own result; a null owner is an owner of its own; an empty table gives no
+rows; columns beside those named are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.llm.textops import cut
@@ -29,27 +33,15 @@ KINDS = ("assign", "access", "hex", "owned")
 MANY = 3
 
 
-def _found(text: Column, pattern: str) -> Column:
-    """array of (start, match): pieces between matches and matches alternate."""
-    step = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,m:string>>").alias("out"))
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
-
-    def merge(s: Column, x: Column) -> Column:
-        start = s["at"] + F.length(x["gap"])
-        return F.struct(
-            (start + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"),
-            F.when(x["m"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(F.struct(start.cast("long").alias("start"), x["m"].alias("m"))))).alias("out"),
-        )
-
-    found = F.aggregate(pairs, step, merge, lambda s: s["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:bigint,m:string>>"))
-
-
-def _spans(found: Column, kind: int, value=None, keep=None) -> Column:
-    made = F.transform(found, lambda x: F.struct(
-        x["start"].alias("start"), F.lit(kind).alias("kind"), (x["start"] + F.length(x["m"])).cast("long").alias("end"), (value(x["m"]) if value else x["m"]).alias("value"),
+def _marks(text: Column, kind: int, pattern: str, fits, value=lambda m: m) -> Column:
+    """array of each match in order: its kind, the length of the piece before it, its own, whether it counts, its value's hashes and whether that looks random."""
+    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("long"))
+    pairs = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))  # the piece after the last match has none
+    made = F.transform(F.filter(pairs, lambda x: x["m"].isNotNull()), lambda x: F.struct(
+        F.lit(kind).alias("kind"), x["gap"].alias("gap"), F.length(x["m"]).cast("long").alias("length"), fits(value(x["m"])).alias("fits"),
+        F.xxhash64(value(x["m"])).alias("h1"), F.xxhash64(F.lit("b"), value(x["m"])).alias("h2"), (F.size(F.array_distinct(F.split(value(x["m"]), ""))) >= 10).alias("random"),
     ))
-    return F.filter(made, keep) if keep else made
+    return F.when(text.rlike(pattern), made).otherwise(F.array().cast("array<struct<kind:int,gap:bigint,length:bigint,fits:boolean,h1:bigint,h2:bigint,random:boolean>>"))
 
 
 def _joined(spans: Column) -> Column:
@@ -58,47 +50,47 @@ def _joined(spans: Column) -> Column:
 
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text", repository: Column | None = None, owner: Column | None = None, many: int = MANY) -> DataFrame:
-    """One row a document: counts and digest of the base spans, all spans, and how many are live or widely copied.
+    """One row a document: counts and digest of the base spans, all spans, how many are live or widely copied, and the most owners and repositories that one of its values has.
 
     owner: by default the source; repository: by default the owner's texts of one language.
     """
     owner = F.col("source") if owner is None else owner
-    repository = F.concat_ws("/", F.coalesce(F.col("source"), F.lit("")), F.coalesce(F.col("lang"), F.lit(""))) if repository is None else repository
+    repository = F.coalesce(F.col("lang"), F.lit("")) if repository is None else repository
     d = df.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), owner.cast("string").alias("owner"), repository.cast("string").alias("repository"))
-    d = d.select("doc_id", "owner", "repository", *(_found(F.col("text"), p).alias(n) for n, p in (("fa", ASSIGN), ("fk", ACCESS), ("fh", HEX), ("fl", LONG))))
-    base = F.concat(
-        _spans(F.col("fa"), 0, lambda m: F.regexp_extract(m, ASSIGN, 2), lambda x: F.length(x["value"]) >= 12),
-        _spans(F.col("fk"), 1),
-        _spans(F.col("fh"), 2),
-    )
-    mixed = lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[a-z]") & x["value"].rlike("[A-Z]")
-    d = d.select("doc_id", "owner", "repository", base.alias("base"), _spans(F.col("fl"), 3, None, mixed).alias("long"))
-    free = F.filter("long", lambda x: ~F.exists("base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-    digest = lambda s: F.transform(s, lambda x: F.struct(
-        x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), F.xxhash64(x["value"]).alias("h1"), F.xxhash64(F.lit("b"), x["value"]).alias("h2"),
-        (F.size(F.array_distinct(F.split(x["value"], ""))) >= 10).alias("random"),
-    ))
-    d = cut(d.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repository", digest(F.concat("base", free)).alias("spans")))
+    t, always = F.col("text"), lambda v: F.lit(True)
+    mixed = lambda v: v.rlike("[0-9]") & v.rlike("[a-z]") & v.rlike("[A-Z]")
+    marks = F.concat(
+        _marks(t, 0, ASSIGN, lambda v: F.length(v) >= 12, lambda m: F.regexp_extract(m, ASSIGN, 2)),
+        _marks(t, 1, ACCESS, always), _marks(t, 2, HEX, always), _marks(t, 3, LONG, mixed),
+    )
+    d = cut(d.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repository", marks.alias("marks")))
+
+    each = d.select("row", "owner", "repository", F.posexplode("marks").alias("pos", "s")).select("row", "owner", "repository", "pos", "s.*")
+    each = each.withColumn("end", F.sum(F.col("gap") + F.col("length")).over(Window.partitionBy("row", "kind").orderBy("pos"))).withColumn("start", F.col("end") - F.col("length")).where("fits")
+    by_row, base, ahead = Window.partitionBy("row"), F.col("kind") < 3, (Window.unboundedPreceding, -1)
+    before = F.max(F.when(base, F.col("end"))).over(by_row.orderBy("start", "kind").rowsBetween(*ahead))
+    after = F.min(F.when(base, F.col("start"))).over(by_row.orderBy(F.desc("start"), F.desc("kind")).rowsBetween(*ahead))  # a frame that shrinks would be counted anew for each row
+    free = F.coalesce(before <= F.col("start"), F.lit(True)) & F.coalesce(after >= F.col("end"), F.lit(True))
+    each = cut(each.withColumn("free", free).where("kind < 3 or free").select("row", "owner", "repository", "kind", "start", "end", "h1", "h2", "random"))
 
-    each = d.select("row", "owner", "repository", F.explode("spans").alias("s")).select("row", "owner", "repository", "s.*")
     by_repository = each.groupBy("h1", "h2", "owner", "repository").agg(F.count("*").alias("n"))
-    by_owner = by_repository.groupBy("h1", "h2", "owner").agg(F.count("*").alias("repositories"), F.sum("n").alias("n"))
-    classes = by_owner.groupBy("h1", "h2").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("n").alias("n"))
+    by_owner = by_repository.groupBy("h1", "h2", "owner").agg(F.count("*").alias("repositories"))
+    classes = by_owner.groupBy("h1", "h2").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
     judged = each.join(classes, ["h1", "h2"])
-    live = (F.col("owners") == 1) & F.col("random")
-    added = judged.groupBy("row").agg(
-        F.collect_list(F.when((F.col("kind") == 3) & live, F.struct("start", "kind", "end"))).alias("added"),
-        F.sum(F.when(live, 1).otherwise(0)).alias("n_live"),
-        F.sum(F.when(F.col("owners") >= many, 1).otherwise(0)).alias("n_copied"),
-    )
-    d = d.join(added, "row", "left")
-    own = F.transform(F.filter("spans", lambda x: x["kind"] < 3), lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
-    count = lambda k: F.size(F.filter(own, lambda x: x["kind"] == k)).cast("long")
-    return d.select(
-        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-        F.sha2(_joined(own), 256).alias("base_sha256"),
-        _joined(F.concat(own, F.coalesce("added", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")))).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_copied", F.lit(0)).alias("n_copied"),
+    copied = (F.col("owners") >= many) | (F.col("repositories") >= many)
+    live = (F.col("owners") == 1) & ~copied & F.col("random")
+    span, count = F.struct("start", "kind", "end"), lambda c: F.sum(F.when(c, 1).otherwise(0))
+    per = judged.groupBy("row").agg(
+        *(count(F.col("kind") == k).alias(f"n_{n}") for k, n in enumerate(KINDS[:3])), count(live).alias("n_live"), count(copied).alias("n_copied"),
+        F.max("owners").alias("most_owners"), F.max("repositories").alias("most_repositories"),
+        F.collect_list(F.when(base, span)).alias("base"), F.collect_list(F.when(base | live, span)).alias("spans"),
+    )
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    found = d.select("row", "doc_id").join(per, "row", "left")
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return found.select(
+        "doc_id", *map(number, ("n_assign", "n_access", "n_hex")), F.sha2(_joined(F.coalesce("base", none)), 256).alias("base_sha256"), _joined(F.coalesce("spans", none)).alias("spans"),
+        *map(number, ("n_live", "n_copied", "most_owners", "most_repositories")),
     )
 
 
@@ -112,16 +104,17 @@ def _found_sql(pattern: str) -> str:
 
 
 OP10_SQL = f"""
-with d as (select doc_id, source, coalesce(text, '') as t, row_number() over () as id from documents),
+with d as (select doc_id, source, lang, coalesce(text, '') as t, row_number() over () as id from documents),
 a as ({_found_sql(ASSIGN)}), k as ({_found_sql(ACCESS)}), h as ({_found_sql(HEX)}), l as ({_found_sql(LONG)}),
 b as (select id, 0 as k, s, s + len(m) as e, regexp_extract(m, $q${ASSIGN}$q$, 2) as v from a where len(regexp_extract(m, $q${ASSIGN}$q$, 2)) >= 12
   union all select id, 1, s, s + len(m), m from k union all select id, 2, s, s + len(m), m from h),
 f as (select id, 3 as k, s, s + len(m) as e, m as v from l where regexp_matches(m, '[0-9]') and regexp_matches(m, '[a-z]') and regexp_matches(m, '[A-Z]') and not exists (select 1 from b where b.id = l.id and b.s < l.s + len(l.m) and l.s < b.e)),
 c as (select * from b union all select * from f),
-o as (select v, count(distinct coalesce('s' || source, 'n')) as owners from c join d using (id) group by v),
-j as (select c.*, owners, owners = 1 and len(list_distinct(string_split(v, ''))) >= 10 as live, ['assign', 'access', 'hex', 'owned'][k + 1] || ':' || s::bigint || ':' || e::bigint as text from c join o using (v)),
+o as (select v, count(distinct coalesce('s' || source, 'n')) as owners, count(distinct (coalesce('s' || source, 'n'), coalesce(lang, ''))) as repositories from c join d using (id) group by v),
+j as (select c.*, owners, repositories, owners >= {MANY} or repositories >= {MANY} as copied, owners = 1 and repositories < {MANY} and len(list_distinct(string_split(v, ''))) >= 10 as live, ['assign', 'access', 'hex', 'owned'][k + 1] || ':' || s::bigint || ':' || e::bigint as text from c join o using (v)),
 g as (select id, count(*) filter (k = 0) as n_assign, count(*) filter (k = 1) as n_access, count(*) filter (k = 2) as n_hex, string_agg(text, ',' order by s, k, e) filter (k < 3) as base,
-  string_agg(text, ',' order by s, k, e) filter (k < 3 or live) as spans, count(*) filter (live) as n_live, count(*) filter (owners >= {MANY}) as n_copied from j group by id)
-select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
+  string_agg(text, ',' order by s, k, e) filter (k < 3 or live) as spans, count(*) filter (live) as n_live, count(*) filter (copied) as n_copied, max(owners) as most_owners, max(repositories) as most_repositories from j group by id)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied,
+  coalesce(most_owners, 0) as most_owners, coalesce(most_repositories, 0) as most_repositories
 from d left join g using (id)
 """
