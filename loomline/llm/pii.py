@@ -2,11 +2,14 @@
 
 The field is trained by gradient ascent on the exact likelihood of a small labelled table (label_table(), or any
 DataFrame of sentence, position, token, label) on the driver, and decoded by Viterbi in numpy batches: tokens are
-words, chains are lines, and one step moves all lines of a batch by one token. Added spans are decoded runs that
+words, chains are lines, and one step moves all lines of a batch by one token. Chains of more than BLOCK tokens are
+decoded in blocks, all of them at once for every label before each, and then joined, so that the steps don't grow with
+the longest line; the labels are the same. Added spans are decoded runs that
 are plausible for their kind (digits, Luhn, address parts) and touch no base span; base spans always stay. A run is
 split at base spans, and one that isn't plausible as a whole gives its plausible parts (neighbours of one kind).
 
-Defined results: null or empty text has no spans; repeated rows get equal results; an empty table gives no rows;
+Defined results: null or empty text has no spans; repeated rows get equal results; very long texts and lines are
+decoded whole, in time that grows with their length; an empty table gives no rows;
 columns beside key and text are ignored; equal starts go by kind in the order email, ip, card, phone.
 """
 
@@ -15,8 +18,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +33,7 @@ from loomline.llm.textops import LOWER, Rolling, pieces, short_batches, utf8, wo
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
+BLOCK = 512  # tokens of a long chain that are decoded at once
 
 # Base patterns, fixed by the contract. Anchors and possessive repeats only save time: each keeps the leftmost non-overlapping matches.
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -143,11 +149,19 @@ class Field:
         return e
 
     def decode(self, e: np.ndarray, new: np.ndarray) -> np.ndarray:
-        """The best labels of all chains at once: step t moves each chain that long."""
+        """The best labels of all chains."""
         first = np.flatnonzero(new)
-        if not len(first):
-            return np.zeros(0, np.uint8)
+        out = np.zeros(len(e), np.uint8)
         length = np.diff(np.append(first, len(e)))
+        short = length <= BLOCK
+        if short.any():
+            self._chains(e, first[short], length[short], out)
+        for a, n in zip(first[~short].tolist(), length[~short].tolist()):
+            out[a : a + n] = self._long(e[a : a + n])
+        return out
+
+    def _chains(self, e: np.ndarray, first: np.ndarray, length: np.ndarray, out: np.ndarray) -> None:
+        """Step t moves each chain that long."""
         order = np.argsort(-length, kind="stable")
         first, length = first[order], length[order]
         active = np.searchsorted(-length, -np.arange(1, length[0] + 1), "right")
@@ -162,7 +176,6 @@ class Field:
             back[at] = way.argmax(1)
             best = way.max(1) + e[at]
         ends[: len(best)] = best.argmax(1)
-        out = np.zeros(len(e), np.uint8)
         now = ends
         for t in range(length[0] - 1, -1, -1):
             k = active[t]
@@ -171,7 +184,34 @@ class Field:
                 j = active[t + 1]
                 now[:j] = back[at[:j] + 1, out[at[:j] + 1]]
             out[at] = now[:k]
-        return out
+
+    def _long(self, e: np.ndarray) -> np.ndarray:
+        """One chain in blocks: the best way from each label before a block to each at its end, then the best of these, then the labels inside."""
+        L, blocks = e.shape[1], -(-len(e) // BLOCK)
+        last = len(e) - (blocks - 1) * BLOCK  # tokens of the last block; its rest is filled with tokens that change nothing
+        padded = np.concatenate([e, np.zeros((blocks * BLOCK - len(e), L))]).reshape(blocks, BLOCK, L)
+        stay = np.where(np.eye(L, dtype=bool), 0, -np.inf)
+        way = np.broadcast_to(self.moves, (blocks, L, L)) + padded[:, 0][:, None, :]
+        way[0] = self.first + padded[0, 0]
+        back = np.zeros((blocks, BLOCK, L, L), np.uint8)  # block, token, label before the block, label here
+        for t in range(1, BLOCK):
+            moves = np.broadcast_to(self.moves, (blocks, L, L)) if t < last else np.concatenate([np.broadcast_to(self.moves, (blocks - 1, L, L)), stay[None]])
+            step = way[:, :, :, None] + moves[:, None]
+            back[:, t] = step.argmax(2)
+            way = step.max(2) + padded[:, t][:, None, :]
+        score, came = way[0, 0], np.zeros((blocks, L), np.int64)
+        for b in range(1, blocks):
+            step = score[:, None] + way[b]
+            came[b], score = step.argmax(0), step.max(0)
+        ends, before = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
+        ends[-1] = score.argmax()
+        for b in range(blocks - 1, 0, -1):
+            before[b] = ends[b - 1] = came[b, ends[b]]
+        out, each = np.zeros((blocks, BLOCK), np.uint8), np.arange(blocks)
+        out[:, -1] = ends
+        for t in range(BLOCK - 1, 0, -1):
+            out[:, t - 1] = back[each, t, before, out[:, t]]
+        return out.ravel()[: len(e)]
 
 
 def train(rows: list[tuple[int, int, str, str]], steps: int = 120, penalty: float = 0.02) -> Field:
@@ -306,11 +346,14 @@ def trimmed(text: str, a: int, b: int) -> tuple[int, int]:
 
 
 def apart(tokens: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[list[tuple[int, int]]]:
-    """A run's tokens without those that touch base spans, in stretches between them."""
+    """A run's tokens without those that touch base spans (sorted), in stretches between them."""
     out: list[list[tuple[int, int]]] = [[]]
-    near = [(x, y) for x, _, y in base if x < tokens[-1][1] and tokens[0][0] < y]
+    i, end = 0, 0  # the spans that begin before the token's end, and the last of their ends
     for a, b in tokens:
-        if any(x < b and a < y for x, y in near):
+        while i < len(base) and base[i][0] < b:
+            end = max(end, base[i][2])
+            i += 1
+        if end > a:
             out.append([])
         else:
             out[-1].append((a, b))
@@ -373,16 +416,15 @@ def chain_spans(field: Field, piece: pa.Array, texts: list[str], base: list[list
     tails = np.append(np.flatnonzero(run), len(labels))
     tails = tails[np.searchsorted(tails, heads, "right")] - 1
     doc = np.searchsorted(per, heads, "right") - 1
+    point = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])  # code points before each byte
+    origin = point[offsets[:-1]]
+    began = [[x for x, _, _ in b] for b in base]
+    reach = [list(accumulate((y for _, _, y in b), max)) for b in base]  # where the spans up to each one end at last
     for d, h, t in zip(doc.tolist(), heads.tolist(), tails.tolist()):
-        origin = int(offsets[d])
-        a = len(bytes(buf[origin : starts[h]]).decode())
         kind = int(labels[h]) - 1
-        at, tokens = int(starts[h]), []
-        for x, y in zip(starts[h : t + 1].tolist(), ends[h : t + 1].tolist()):
-            a += len(bytes(buf[at:x]).decode())
-            tokens.append((a, a + len(bytes(buf[x:y]).decode())))
-            a, at = tokens[-1][1], y
-        out[d] += [(x, kind, y) for part in apart(tokens, base[d]) for x, y in parts_of(kind, texts[d], part)]
+        tokens = list(zip((point[starts[h : t + 1]] - origin[d]).tolist(), (point[ends[h : t + 1]] - origin[d]).tolist()))
+        near = base[d][bisect_right(reach[d], tokens[0][0]) : bisect_left(began[d], tokens[-1][1])]
+        out[d] += [(x, kind, y) for part in apart(tokens, near) for x, y in parts_of(kind, texts[d], part)]
     return out
 
 

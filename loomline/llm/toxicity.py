@@ -7,8 +7,9 @@ most SAMPLE labelled documents (those with the least hash of their id), with the
 between the classes (at most FEATURES of them). Scoring is one pass without a shuffle.
 
 Defined results: null or empty text has no features and gets the thresholds' own probabilities, grade 0; with no
-labelled rows, or one class only, nothing is toxic; repeated rows score alike; ties in the sample go by id;
-columns beside those named are ignored; an empty table gives no rows.
+labelled rows, or one class only, nothing is toxic; equal texts score alike, to the last bit, wherever they stand;
+ties in the sample go by id; a sampled doc_id's text is the least of the rows that share it; very long texts count
+each word once; columns beside those named are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,8 +58,8 @@ class Ordinal:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -500, 500)))
 
     def score(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0.0], np.cumsum(self.weights[ids])])
-        return sums[at[1:]] - sums[at[:-1]]
+        """Each document's sum of weights, added in the order of its own features alone."""
+        return np.bincount(np.repeat(np.arange(len(at) - 1), np.diff(at)), self.weights[ids], len(at) - 1)
 
 
 def grades(docs: list[np.ndarray], n_words: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,6 +78,25 @@ def grades(docs: list[np.ndarray], n_words: np.ndarray, toxic: np.ndarray) -> tu
     return np.where(toxic, 1 + np.searchsorted(cuts, share, "left"), 0), use
 
 
+def likelihood(w: np.ndarray, gaps: np.ndarray, row: np.ndarray, col: np.ndarray, y: np.ndarray, penalty: float) -> tuple[float, np.ndarray]:
+    """The penalised log-likelihood of grades y, where document row[i] has feature col[i], and its gradient in (w, gaps)."""
+    n = len(y)
+    theta = np.concatenate([[gaps[0]], gaps[0] + np.cumsum(np.exp(gaps[1:]))])
+    s = np.bincount(row, w[col], n)
+    cum = 1 / (1 + np.exp(np.clip(s[:, None] - theta[None, :], -500, 500)))  # P(y <= k)
+    full = np.concatenate([np.zeros((n, 1)), cum, np.ones((n, 1))], 1)
+    slope = full * (1 - full)
+    i = np.arange(n)
+    p = np.maximum(full[i, y + 1] - full[i, y], 1e-12)
+    ds = -(slope[i, y + 1] - slope[i, y]) / p  # d log p / d s
+    dt = np.zeros((n, GRADES + 2))
+    dt[i, y + 1] += slope[i, y + 1] / p
+    dt[i, y] -= slope[i, y] / p
+    dt = dt[:, 1:-1].sum(0)
+    g_gap = np.concatenate([[dt.sum()], [dt[k:].sum() * np.exp(gaps[k]) for k in range(1, GRADES)]])
+    return float(np.log(p).sum() - penalty / 2 * (w * w).sum()), np.concatenate([np.bincount(col, ds[row], len(w)) - penalty * w, g_gap])
+
+
 def fit(docs: list[np.ndarray], n_words: np.ndarray, toxic: np.ndarray, steps: int = 400, penalty: float = 0.2) -> Ordinal:
     """Full-batch Adam on the penalised likelihood. thresholds = first + sums of exponentials, so they stay ordered."""
     toxic = np.asarray(toxic, bool)
@@ -89,20 +110,7 @@ def fit(docs: list[np.ndarray], n_words: np.ndarray, toxic: np.ndarray, steps: i
     w, gaps = np.zeros(len(use)), np.concatenate([[np.log((~toxic).sum() / toxic.sum())], np.zeros(GRADES - 1)])
     m, v = np.zeros(len(w) + GRADES), np.zeros(len(w) + GRADES)
     for step in range(1, steps + 1):
-        theta = np.concatenate([[gaps[0]], gaps[0] + np.cumsum(np.exp(gaps[1:]))])
-        s = np.bincount(row, w[col], n)
-        cum = 1 / (1 + np.exp(np.clip(s[:, None] - theta[None, :], -500, 500)))  # P(y <= k)
-        full = np.concatenate([np.zeros((n, 1)), cum, np.ones((n, 1))], 1)
-        slope = full * (1 - full)
-        i = np.arange(n)
-        p = np.maximum(full[i, y + 1] - full[i, y], 1e-12)
-        ds = -(slope[i, y + 1] - slope[i, y]) / p  # d log p / d s
-        dt = np.zeros((n, GRADES + 2))
-        dt[i, y + 1] += slope[i, y + 1] / p
-        dt[i, y] -= slope[i, y] / p
-        dt = dt[:, 1:-1].sum(0)
-        g_gap = np.concatenate([[dt.sum()], [dt[k:].sum() * np.exp(gaps[k]) for k in range(1, GRADES)]])
-        g = np.concatenate([np.bincount(col, ds[row], len(w)) - penalty * w, g_gap]) / n
+        g = likelihood(w, gaps, row, col, y, penalty)[1] / n
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, gaps = w + move[: len(w)], gaps + move[len(w) :]
@@ -127,21 +135,15 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays([piece.column("label"), pa.array(n, pa.int64()), list_array(ids, at, pa.int32())], ["label", "n", "ids"])
 
     own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    chosen = own.join(F.broadcast(some), "key")  # at most `sample` narrow rows
-    rows = chosen.select(F.col("label").cast("int").alias("label"), "text", "key").transform(short_batches).mapInArrow(run, "label int, n long, ids array<int>").limit(2 * sample).toArrow()
+    chosen = own.join(F.broadcast(some), "key").groupBy("key").agg(F.max("label").cast("int").alias("label"), F.min("text").alias("text"))  # at most `sample` narrow rows are broadcast; rows that share an id count once
+    rows = chosen.select("label", "text").transform(short_batches).mapInArrow(run, "label int, n long, ids array<int>").toArrow()
     lists = rows.column("ids").combine_chunks()
-    flat, off = np.asarray(lists.flatten(), np.int64), np.concatenate([[0], np.cumsum(np.asarray(pc_lengths(lists)))])
-    order = sorted(range(len(off) - 1), key=lambda i: (off[i + 1] - off[i], flat[off[i] : off[i + 1]].tobytes()))  # the rows' order must not matter
+    flat, off = np.asarray(lists.flatten(), np.int64), np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists)))])
     y, n = np.asarray(rows.column("label")) > 0, np.asarray(rows.column("n"))
+    order = sorted(range(len(off) - 1), key=lambda i: (off[i + 1] - off[i], flat[off[i] : off[i + 1]].tobytes(), y[i], n[i]))  # the rows' order must not matter
     return fit([flat[off[i] : off[i + 1]] for i in order], n[order], y[order])
 
 
-def pc_lengths(lists: pa.ListArray) -> pa.Array:
-    import pyarrow.compute as pc
-
-    return pc.list_value_length(lists)
-
-
 def score(df: DataFrame, model: Ordinal, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, p_toxic, expected_severity, grade, toxic) and the columns in keep (which mustn't have these names), for each row. grade: the most probable severity; toxic: p_toxic above the model's cut."""
     sc = df.sparkSession.sparkContext

@@ -99,6 +99,39 @@ def test_viterbi_equals_brute_force():
         at += n
 
 
+def test_long_chains_are_decoded_in_blocks(monkeypatch):
+    rng = np.random.default_rng(1)
+    f = pii.Field(*(np.zeros((1, 5)) for _ in range(6)), rng.normal(size=(5, 5)), rng.normal(size=5))
+    lengths = [3, 40, 8, 9, 17, 16, 1]
+    e = rng.normal(size=(sum(lengths), 5))
+    new = np.zeros(len(e), bool)
+    new[np.cumsum([0, *lengths[:-1]])] = True
+    whole = f.decode(e, new)
+    monkeypatch.setattr(pii, "BLOCK", 8)
+    assert (f.decode(e, new) == whole).all()
+
+
+def test_pii_long_lines_and_many_spans():
+    """One line of 200,000 words, one text of 40,000 spans: time grows with the length."""
+    import pyarrow as pa
+
+    field = pii.trained()
+    for text in ("alpha beta 12 " * 67_000, "a@b.cd, 1.2.3.4 é " * 20_000):
+        began = time.perf_counter()
+        base = [pii.base_spans(text)]
+        pii.chain_spans(field, pa.array([text]), [text], base)
+        assert time.perf_counter() - began < 15
+    texts = ["é ann at mail dot com", "ü x@y.org ann at mail dot com ü"]
+    got = pii.chain_spans(field, pa.array(texts), texts, [pii.base_spans(t) for t in texts])
+    assert [[t[a:b] for a, _, b in g] for t, g in zip(texts, got)] == [["ann at mail dot com"]] * 2
+
+
+def test_pii_repeated_rows(spark):
+    data = [(i, "call +49 30 1234 5678 or ann at mail dot com") for i in (1, 1, 2)]
+    got = pii.find(spark.createDataFrame(data, "doc_id long, text string"), pii.trained()).collect()
+    assert len(got) == 3 and len({tuple(x)[1:] for x in got}) == 1
+
+
 def test_mixing(docs, empty, spark):
     got = mixing.mix_counts(docs).collect()
     assert len(got) == len(cases.ROWS)
@@ -333,6 +366,41 @@ def test_toxicity(spark, empty):
     assert toxicity.score(d, none).where("toxic").count() == 0
 
 
+def test_toxicity_likelihood_and_gradient_by_brute_force():
+    r = np.random.default_rng(2)
+    docs = [np.unique(r.integers(0, 6, r.integers(0, 5))) for _ in range(25)]
+    y, w, gaps, penalty = r.integers(0, 4, 25), r.normal(size=6), np.array([0.3, -0.5, 0.2]), 0.7
+    row, col = np.repeat(np.arange(25), [len(d) for d in docs]), np.concatenate(docs)
+
+    def plain(w, gaps):
+        cuts = [gaps[0], gaps[0] + np.exp(gaps[1]), gaps[0] + np.exp(gaps[1]) + np.exp(gaps[2])]
+        below = lambda k, s: 0.0 if k < 0 else 1.0 if k > 2 else 1 / (1 + np.exp(s - cuts[k]))
+        return sum(np.log(below(k, sum(w[d])) - below(k - 1, sum(w[d]))) for k, d in zip(y, docs)) - penalty / 2 * sum(w**2)
+
+    value, slope = toxicity.likelihood(w, gaps, row, col, y, penalty)
+    assert np.isclose(value, plain(w, gaps))
+    step = np.eye(9) * 1e-6
+    assert np.allclose(slope, [(plain(w + d[:6], gaps + d[6:]) - plain(w - d[:6], gaps - d[6:])) / 2e-6 for d in step], atol=1e-5)
+    model = toxicity.Ordinal(weights=np.append(w, np.zeros((1 << toxicity.BITS) - 6)), thresholds=np.array([-1.0, 0.5, 2.0]))
+    above = model.above(np.array([0.7]))[0]
+    assert np.allclose(above, [1 / (1 + np.exp(t - 0.7)) for t in (-1.0, 0.5, 2.0)])
+
+
+def test_toxicity_equal_texts_score_alike(spark):
+    """To the last bit, wherever they stand and however the rows are split; the sample doesn't depend on the rows' order."""
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(200)]
+    data = [(i // 2, " ".join(r.choice(words[: 40 if i % 3 else 200]) for _ in range(r.randint(0, 60))), int(i % 3 == 0)) for i in range(600)]
+    clash = spark.createDataFrame(data, "doc_id long, text string, toxic int").withColumns({c: F.lit(1) for c in ("key", "label", "n", "ids", "_0", "p_toxic")})
+    labels = clash.select("doc_id", "toxic")
+    models = [toxicity.train(clash.repartition(n), labels.repartition(n)) for n in (1, 5)]
+    assert (models[0].weights == models[1].weights).all() and (models[0].thresholds == models[1].thresholds).all() and models[0].weights.any()
+    same = data[7][1]
+    odd = spark.createDataFrame([(i, same if i % 7 == 0 else t, 0) for i, (_, t, _) in enumerate(data)], "doc_id long, text string, toxic int")
+    found = {(x.p_toxic, x.expected_severity) for n in (1, 6) for x in toxicity.score(odd.repartition(n), models[0]).where("doc_id % 7 = 0").collect()}
+    assert len(found) == 1
+
+
 def test_near_duplicates(docs, empty, spark):
     got = rows(minhash_dedup.near_duplicates(docs))
     assert {i: tuple(x)[1:] for i, x in got.items()} == cases.near(cases.ROWS)
