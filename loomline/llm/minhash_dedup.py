@@ -64,8 +64,8 @@ def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).transform(short_batches).mapInArrow(run, "doc_id long, f1 long, f2 long, n long, sketch array<long>")
 
 
-def by_group(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], list[tuple]], schema: str, kinds: list[pa.DataType]) -> DataFrame:
-    """fn on all rows of each key, streamed from partitions that are dealt and sorted by key."""
+def by_group(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], list[tuple]], schema: str, kinds: list[pa.DataType], numbered: int = 0) -> DataFrame:
+    """fn on all rows of each key, streamed from partitions that are dealt and sorted by key. numbered: the key counts from 0 below this, and each value gets a partition of its own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*rows)) if rows else [()] * len(kinds)
@@ -95,7 +95,8 @@ def by_group(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], list[tuple
             yield out(fn(pa.concat_tables(waiting).combine_chunks()))
 
     names = [p.split()[0] for p in schema.split(", ")]
-    return df.repartition(*keys).sortWithinPartitions(*keys).transform(short_batches).mapInArrow(run, schema)
+    dealt = df.repartitionById(numbered, F.col(keys[0])) if numbered else df.repartition(*keys)
+    return dealt.sortWithinPartitions(*keys).transform(short_batches).mapInArrow(run, schema)
 
 
 def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:

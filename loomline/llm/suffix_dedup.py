@@ -162,7 +162,7 @@ def mark(batches: DataFrame, parts: int) -> DataFrame:
         return out
 
     sent = batches.transform(short_batches).mapInArrow(send, "part int, batch long, sent binary")
-    return by_group(sent, ["part"], meet, "batch long, part int, bits binary", [pa.int64(), pa.int32(), pa.binary()])
+    return by_group(sent, ["part"], meet, "batch long, part int, bits binary", [pa.int64(), pa.int32(), pa.binary()], parts)
 
 
 def shared_runs(batches: DataFrame, bits: DataFrame, parts: int) -> DataFrame:
