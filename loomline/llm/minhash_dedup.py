@@ -6,8 +6,10 @@ generate overlaps: each class enters only the lists of its rarest values (prefix
 share at least ALPHA of their K values, or their whole prefix if they are small, so they meet in one of these lists);
 lists with the same least member are one group. Inside a group the union sketch's estimate drops pairs that can't
 reach the threshold, and exact Jaccard on the full sets verifies the rest. Groups above CHUNK members are dealt into
-chunks that all hold the group's least member; members that are still apart from it then meet all others of their
-group, block by block. Only a spanning forest of verified links leaves a task; components() joins them.
+chunks that all hold the group's least member. Members that are still apart from it are grouped anew, with all members
+of their groups, by an exact prefix filter on their full sets (the rarest quarter of a set meets any set at the
+threshold), so that what only shares a header falls apart; inside these groups those apart meet all others, block by
+block, by matrix products. Only a spanning forest of verified links leaves a task; components() joins them.
 
 Sets are sets of 64-bit hashes. With K = 32 and ALPHA = 11 a pair at exactly 0.75 fails to share enough values with
 probability about 3e-7, above it with less.
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from loomline.llm.components import Forest, components
 from loomline.llm.textops import LOWER, U64, Rolling, cut, list_array, pieces, short_batches, signed, utf8, word_spans
 
-WIDTH, K, ALPHA, CHUNK = 5, 32, 11, 256
+WIDTH, K, ALPHA, CHUNK, COLUMNS = 5, 32, 11, 256, 4096
 NUMERATOR, DENOMINATOR = 3, 4
 _WORD, _SHINGLE, _A, _B = Rolling(71), Rolling(72), Rolling(73), Rolling(74)
 
@@ -129,6 +131,25 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return DENOMINATOR * both >= NUMERATOR * (n + m - both)
 
 
+def linked(sets: list[np.ndarray]) -> np.ndarray:
+    """Which of these sorted distinct hash sets are similar(), as a matrix. Shared values are counted by products of incidence matrices, COLUMNS values at a time."""
+    size = np.array([len(x) for x in sets])
+    owner, flat = np.repeat(np.arange(len(sets)), size), np.concatenate(sets)
+    _, value, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times > 1
+    column, owner = (np.cumsum(shared) - 1)[value[shared[value]]], owner[shared[value]]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers below 2**24 are exact
+    for at in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (at, at + COLUMNS))
+        seen = np.zeros((len(sets), COLUMNS), np.float32)
+        seen[owner[a:b], column[a:b] - at] = 1
+        both += seen @ seen.T
+    both = both.astype(np.int64)
+    return DENOMINATOR * both >= NUMERATOR * (size[:, None] + size[None, :] - both)
+
+
 def candidate_clusters(table: pa.Table) -> list[tuple]:
     """Members of a group with a possible partner, by cluster of possible links."""
     ids, sketch = np.asarray(table.column("doc_id")), _lists(table.column("sketch"))
@@ -147,10 +168,8 @@ def verified_links(table: pa.Table) -> list[tuple]:
     """A spanning forest of the links among a cluster's members."""
     ids, sets = np.asarray(table.column("doc_id")), _lists(table.column("shingles"))
     forest = Forest(len(ids))
-    for i in range(len(ids)):
-        for j in range(i + 1, len(ids)):
-            if forest.root(i) != forest.root(j) and similar(sets[i], sets[j]):
-                forest.join(i, j)
+    for i, j in np.argwhere(np.triu(linked(sets), 1)).tolist():
+        forest.join(i, j)
     return forest.links(ids)
 
 
@@ -160,10 +179,9 @@ def cross_links(table: pa.Table) -> list[tuple]:
     forest, first = Forest(len(ids)), {}
     for i, c in enumerate(known.tolist()):
         forest.join(i, first.setdefault(c, i))
-    for i in np.flatnonzero(apart).tolist():
-        for j in range(len(ids)):
-            if forest.root(i) != forest.root(j) and similar(sets[i], sets[j]):
-                forest.join(i, j)
+    if apart.any():
+        for i, j in np.argwhere(linked(sets) & apart[:, None]).tolist():
+            forest.join(i, j)
     return [x for x in forest.links(ids) if x[0] != x[1]]
 
 
@@ -221,13 +239,27 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
 
 
+def prefix_members(values: DataFrame) -> DataFrame:
+    """(doc_id, pivot): for (doc_id, n, v), the least members of the lists of each set's rarest n - ceil(3n / 4) + 1 values, where others have them too."""
+    shared = values.groupBy("v").agg(F.count("*").alias("c"), F.min("doc_id").alias("pivot")).where("c > 1")
+    per = values.join(shared, "v").groupBy("doc_id").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("c", "v", "pivot"))).alias("found"))  # a document's
+    room = (F.floor(F.col("n") * (DENOMINATOR - NUMERATOR) / DENOMINATOR) + 1 - (F.col("n") - F.size("found"))).cast("int")
+    return per.where(room > 0).select("doc_id", F.explode(F.array_distinct(F.transform(F.slice("found", 1, room), lambda x: x["pivot"]))).alias("pivot"))
+
+
 def _across(big: DataFrame, joined: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links of big groups' members that are apart from their center, against all members of their group, in blocks of two chunks."""
-    known = big.select("pivot", "doc_id", "center", "chunks").distinct()
+    """Links of big groups' members that are apart from their center, against all members of their groups."""
+    known = big.select("pivot", "doc_id", "center").distinct()
     known = known.join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component_id", "doc_id")).drop("component_id")
     centers = joined.select(F.col("id").alias("center"), F.col("component_id").alias("main"))
     known = known.join(centers, "center", "left").withColumn("apart", F.col("component") != F.coalesce("main", "center"))
-    known = cut(known.select("pivot", "doc_id", "chunks", "component", "apart"))
+    open_groups = known.groupBy("pivot").agg(F.max("apart").alias("open")).where("open").select("pivot")
+    known = cut(known.join(open_groups, "pivot").groupBy("doc_id").agg(F.min("component").alias("component"), F.max("apart").alias("apart")))
+    # exact prefix filter: of sets of n, the rarest n - ceil(3n / 4) + 1 values meet in one at least
+    own = known.select("doc_id").join(sets, "doc_id")
+    member = prefix_members(own.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("v")))
+    known = cut(member.join(known, "doc_id").select("pivot", "doc_id", "component", "apart"))
+    known = known.join(known.groupBy("pivot").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "pivot")
     rests = known.groupBy("pivot").agg(F.ceil(F.sum(F.col("apart").cast("int")) / CHUNK).cast("int").alias("rests")).where("rests > 0")
     known = known.join(rests, "pivot")
     h = F.xxhash64("doc_id")

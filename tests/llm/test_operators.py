@@ -427,6 +427,38 @@ def test_near_duplicates_random(spark, monkeypatch, chunk):
     assert {i: tuple(x)[1:] for i, x in got.items()} == cases.near(data)
 
 
+def test_near_duplicates_with_a_common_header(spark, monkeypatch):
+    """A group that only a header holds together, with near copies inside, some right at the threshold."""
+    monkeypatch.setattr(minhash_dedup, "CHUNK", 10)
+    r = random.Random(1)
+    head = [f"h{i}" for i in range(120)]
+    data = [(i, " ".join(head + [f"w{r.randrange(10**6)}" for _ in range(r.randint(30, 60))])) for i in range(90)]
+    data += [(100 + i, t.rsplit(" ", n)[0]) for n, (i, t) in enumerate(data[:30], 1)]
+    got = rows(minhash_dedup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")))
+    assert {i: tuple(x)[1:] for i, x in got.items()} == cases.near(data)
+
+
+def test_near_duplicates_null_and_repeated_ids(spark):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(30))
+    data = [(None, text("a")), (None, text("a")), (1, text("a")), (2, text("a") + " x"), (5, text("b")), (5, text("c")), (6, text("c") + " y"), (7, text("b") + " y"), (8, None), (8, text("d"))]
+    got = sorted((tuple(x) for x in minhash_dedup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()), key=str)
+    n = lambda t: len(cases.near_sets(t))
+    # rows of one doc_id share a component, those without one have none
+    component = {1: 1, 2: 1, 5: 5, 6: 5, 7: 5, 8: 8}
+    assert got == sorted(((i, n(t), component.get(i), component.get(i) == i if i else False) for i, t in data), key=str)
+
+
+def test_linked_matrix_equals_exact_test():
+    r = np.random.default_rng(5)
+    base = r.integers(-(2**62), 2**62, 40)
+    sets = [np.unique(np.append(r.choice(base, r.integers(20, 40), replace=False), r.integers(-(2**62), 2**62, r.integers(0, 4)))) for _ in range(30)] + [base[:0], np.unique(base)]
+    got = minhash_dedup.linked(sets)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert len(a) == 0 or len(b) == 0 or got[i, j] == minhash_dedup.similar(a, b)
+    assert got.sum() > len(sets)
+
+
 def test_packing(docs, empty):
     import public_tokenizers as P
     from tokenizers import Tokenizer
