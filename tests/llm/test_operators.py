@@ -553,7 +553,8 @@ def test_embedding_links(spark, monkeypatch):
     for name, value in (("LIST_ROWS", 100), ("BLOCK", 64), ("QUERIES", 50)):
         monkeypatch.setattr(embedding_dedup, name, value)
     data, df = vectors(spark)
-    got = rows(embedding_dedup.link_counts(df.withColumn("class", F.lit(0))), "vec_id")
+    # exact probing; the default's recall is measured below
+    got = rows(embedding_dedup.link_counts(df.withColumn("class", F.lit(0)), reach=1.0), "vec_id")
     unit = {}
     for i, v, label in data:
         if label is not None and v and all(y is not None and np.isfinite(y) for y in v) and any(v):
@@ -565,9 +566,44 @@ def test_embedding_links(spark, monkeypatch):
     found = sum(g.n_links for g in got.values())
     assert found >= 0.9 * 2 * len(links)
     assert {i: tuple(g)[1:] for i, g in got.items()} == {r[0]: (n[r[0]], c[r[0]], c[r[0]] == r[0]) for r in data}
+    default = rows(embedding_dedup.link_counts(df), "vec_id")
+    assert sum(g.n_links for g in default.values()) >= 0.99 * 2 * len(links) and all(g.n_links <= n[i] for i, g in default.items())
     assert embedding_dedup.link_counts(df.limit(0)).count() == 0
 
 
+def test_embedding_recall_and_symmetry(spark, monkeypatch):
+    """Links at all cosines down to the threshold, in 64 dimensions and many lists: recall against brute force, and a link counts at both ends."""
+    monkeypatch.setattr(embedding_dedup, "LIST_ROWS", 40)
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(1500, 64))
+    copy = base[:500] + rng.normal(size=(500, 64)) * rng.uniform(0.05, 0.41, 500)[:, None]
+    x = np.concatenate([base, copy]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), i % 500 % 2) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    u = x.astype(float)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    label = np.arange(len(x)) % 500 % 2
+    near = (u @ u.T >= 0.93) & (label[:, None] == label) & ~np.eye(len(x), dtype=bool)
+    got = rows(embedding_dedup.link_counts(df), "vec_id")
+    counts = np.array([got[i].n_links for i in range(len(x))])
+    assert counts.sum() >= 0.99 * near.sum() > 500 and (counts <= near.sum(1)).all() and counts.sum() % 2 == 0
+    pairs = np.argwhere(np.triu(near))
+    assert all((counts[i] > 0) == (counts[j] > 0) for i, j in pairs if near[i].sum() == near[j].sum() == 1)
+
+
+def test_embedding_repeated_ids_and_lengths(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    unit = lambda n, k: [float(v) for v in np.eye(n)[k]]
+    data = [(1, unit(3, 0), 0), (1, unit(3, 1), 0), (2, unit(3, 1), 0), (3, unit(3, 0), 1), (4, unit(3, 0), 0)]
+    data += [(10, [1.0, 0.0], 0), (11, [0.9300001, (1 - 0.9300001**2) ** 0.5], 0), (12, [0.9299999, (1 - 0.9299999**2) ** 0.5], 0)]  # both sides of the threshold
+    data += [(100 + n, (-rng.random(n) - 0.1).tolist(), 0) for n in range(4, 90)] + [(300 + n, [2.0] * n, 0) for n in range(4, 90)] + [(500 + n, [1.0] * n, 0) for n in range(4, 90)]
+    got = defaultdict(set)
+    for r in embedding_dedup.link_counts(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")).collect():
+        got[r.vec_id].add((r.n_links, r.component_id, r.kept))
+    assert got[1] == {(1, 1, True)} and got[2] == {(1, 1, False)} and got[3] == {(0, 3, True)} and got[4] == {(1, 1, False)}
+    assert got[10] == {(1, 10, True)} and {x[1] for x in got[11] | got[12]} == {10} and got[11] == {(2, 10, False)}
+    assert all(got[500 + n] == {(1, 300 + n, False)} for n in range(4, 90))
+
+
 def test_secrets(docs, empty):
     got = rows(secrets.scan(docs))
     for i, text, *_ in cases.ROWS:
