@@ -4,8 +4,8 @@ A picture is 24 samples wide. Files are written here chunk by chunk (zlib) and r
 the signature and each chunk's checksum and undoes all five row filters in numpy. Each row is written under the
 cheapest of the filters none, left and above.
 
-Defined results: a null or empty text is one 24x24 picture of 255s; equal texts give equal files and features;
-columns beside the key and the text are ignored.
+Defined results: a null or empty text is one 24x24 picture of 255s; a very long one is a picture of as many rows as it
+needs; equal texts and repeated rows give equal files and features; an empty table gives no rows; columns beside the key and the text are ignored.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ its middle lies before the target, and the global truncation decides at the end.
 Running counts are prefix sums over hash buckets of about BUCKET_ROWS rows (then over virtual-time ranges), so that
 a source with a third of all rows never meets in one task; only sums per bucket and per source do.
 
-Defined results: null text has size 0 and is taken 0 times; a null source is a source of its own, ordered last;
+Defined results: null text has size 0 and is taken 0 times; very long texts are documents like others; rows without a
+key are dealt by a hash of the whole row; a null source is a source of its own, ordered last;
 an empty table gives no rows; repeated rows are rows of their own; columns beside key, text and source are ignored.
 Targets: sources by code point weigh 1, 2, 3, repeating; a target stops at 3 times its source's size.
 """
@@ -71,17 +72,16 @@ def _keys(df: DataFrame) -> list[Column]:
 
 def mix_counts(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED, whole_documents: bool = False, rows_apart: bool = False) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken, copies) of each row; copies counts whole takes. rows_apart adds `id`, the row's (k1, k2, n)."""
-    tag = _keys(df) if rows_apart else []
-    docs = df.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), *tag)
+    name = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("null:"), F.xxhash64(*df.columns)))  # rows without a key are dealt by what they hold
+    docs = df.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), name.alias("name"), *(_keys(df) if rows_apart else []))
     if rows_apart:
         docs = _numbered(docs).withColumn("id", F.struct("k1", "k2", "n")).drop("k1", "k2", "n")
     docs = cut(docs)
     rows = docs.count()
     buckets = max(1, rows // BUCKET_ROWS)
-    # rows without a key would all share one hash: where rows are told apart, theirs is of the row
-    name = F.coalesce(F.col("doc_id").cast("string"), F.concat_ws(":", "id.k1", "id.k2", "id.n")) if rows_apart else F.col("doc_id").cast("string")
-    docs = docs.withColumn("h", F.md5(F.concat_ws(":", F.lit(str(seed)), name)))
-    docs = docs.withColumn("b", F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") * buckets / 2.0**32).cast("long"))
+    docs = docs.withColumn("h", F.md5(F.concat_ws(":", F.lit(str(seed)), "name"))).drop("name")
+    share = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / 2.0**32
+    docs = docs.withColumn("b", F.floor(share * buckets).cast("long"))
     docs = prefix(docs, ["source"], "b", [F.col("h"), F.col("doc_id"), F.col("size"), *[F.col("id")] * rows_apart], "size").withColumnRenamed("rn", "row").withColumnRenamed("before", "at")
     targets = source_targets(docs).select(F.col("source").alias("_source"), "source_size", "target")
     docs = docs.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -92,7 +92,7 @@ def mix_counts(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
         part = F.when(F.col("start") + F.col("size") / 2 <= F.col("target"), F.col("size")).otherwise(0)
     else:
         part = F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - F.col("start")))
-    turns = turns.withColumn("part", part.cast("long")).withColumn("finish", F.coalesce((F.col("start") + F.col("part")) / F.when(F.col("target") > 0, F.col("target")), F.lit(0.0)))
+    turns = turns.withColumn("part", part.cast("long")).withColumn("finish", F.coalesce((F.col("start") + F.col("part")) / F.when(F.col("target") > 0, F.col("target")), share))  # texts without words have no say in the order: they are spread over it
     turns = turns.withColumn("range", F.floor(F.col("finish") * buckets).cast("long"))
     budget = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("budget"))
     turns = prefix(turns, [], "range", [F.col("finish"), F.col("h"), F.col("doc_id"), F.col("turn"), F.col("row")], "part").crossJoin(F.broadcast(budget))  # budget is one row

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from loomline.llm import embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, suffix_dedup, toxicity
 
 QUERIES = {
@@ -16,7 +15,6 @@ QUERIES = {
     "op8_pack": packing.op8_pack,
     "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
     "op10_secrets": secrets.op10_secrets,
-    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op2_mix": mixing.OP2_SQL,
@@ -26,5 +24,3 @@ ORACLES = {
     "op9_embedding_dedup": embedding_dedup.OP9_SQL,
     "op10_secrets": secrets.OP10_SQL,
 }
-if corpus_pipeline.ORACLE_SQL:
-    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

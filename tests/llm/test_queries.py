@@ -9,9 +9,9 @@ from tests.test_queries import DATA, duck, table  # noqa: F401
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", [*sorted(QUERIES), "pipeline"])
 def test_query(spark, duck, name):  # noqa: F811
-    df = QUERIES[name](spark, str(DATA))
+    df = (QUERIES | {"pipeline": corpus_pipeline.run})[name](spark, str(DATA))
     rows = df.collect()
     if name in ORACLES:
         want = duck.sql(ORACLES[name])
@@ -23,3 +23,19 @@ def test_query(spark, duck, name):  # noqa: F811
 
 def test_stages_are_declared():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "pii", "mixing", "packing"]
+
+
+def test_entry_has_them_all_and_hides_no_failure(monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+
+    assert {*QUERIES, "pipeline"} < set(entry.queries()) and set(ORACLES) < set(entry.oracle_sql())
+    monkeypatch.setattr(entry, "find_spec", lambda name: None if name == "corpus_pipeline" else True)
+    assert set(QUERIES) < set(entry.queries()) and "pipeline" not in entry.queries()
+    monkeypatch.setattr(entry, "find_spec", lambda name: None)
+    assert not {*QUERIES, "pipeline"} & set(entry.queries())
+    monkeypatch.setattr(entry, "find_spec", lambda name: True)
+    monkeypatch.setitem(sys.modules, "loomline.llm.queries", None)
+    with pytest.raises(ImportError):
+        entry.queries()
