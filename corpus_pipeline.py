@@ -6,43 +6,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.llm import minhash_dedup, mixing, packing, pii, toxicity
-from loomline.llm.textops import fresh_path
+from loomline.llm.textops import drop_path, fresh_path, stored
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal model takes for toxic go."""
+    """Documents that the ordinal model takes for toxic go; it is fitted on the labelled rows of the documents table.
+
+    Null and empty texts are judged by the thresholds alone, equal texts alike, rows without a doc_id like others; without labels nobody goes.
+    """
     model = toxicity.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id")).where("not toxic").select(*docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates stays, the one with the least doc_id (null last), then the least hashes.
+    """One row of each group of near-duplicates stays, the one with the least doc_id (null last), then the least hashes of all columns.
 
-    A row is told by two hashes of all its columns, so rows without a doc_id take part, and rows that share a doc_id
-    stay apart unless their texts are near-duplicates. Of rows alike in every column one stays.
+    Rows are told by numbers given to them in a written copy, so rows without a doc_id take part, and rows that share a
+    doc_id stay apart unless their texts are near-duplicates. Rows without words have none, but of rows alike in every
+    column one stays.
     """
-    k1, k2 = F.xxhash64(*docs.columns).alias("k1"), F.xxhash64(F.lit("b"), *docs.columns).alias("k2")
-    found = minhash_dedup.near_duplicates(docs.select(k1, "text"), "k1").select(F.col("doc_id").alias("k1"), "component_id").distinct()
-    rows = docs.select(k1, k2, "doc_id").distinct()
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
-    kept = rows.join(found, "k1").groupBy("component_id").agg(F.min(order).alias("least")).select("least.k1", "least.k2")
     names = [f"c{i}" for i in range(len(docs.columns))]  # columns of any name
-    named = docs.select(k1, k2, *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)))
-    return named.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names)))
+    row = [F.monotonically_increasing_id().alias("id"), F.xxhash64(*docs.columns).alias("k1"), F.xxhash64(F.lit("b"), *docs.columns).alias("k2")]
+    rows = stored(docs.select(*row, "doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names) if c != "text")), fresh_path(spark, "pipeline-rows"))
+    found = minhash_dedup.near_duplicates(rows, "id").withColumnRenamed("doc_id", "id")
+    words = F.col("n_shingles") > 0
+    group = [F.when(words, F.col("component_id")).alias("component"), F.when(~words, F.col("k1")).alias("g1"), F.when(~words, F.col("k2")).alias("g2")]
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2", "id")
+    kept = rows.select("id", "k1", "k2", "doc_id").join(found, "id").groupBy(*group).agg(F.min(order).alias("least")).select("least.id")
+    return rows.join(kept, "id", "left_semi").select(*(F.col("text" if c == "text" else n).alias(c) for c, n in zip(docs.columns, names)))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data gives way to its kind; n_chars follows the text."""
+    """Personal data gives way to its kind; n_chars follows the text. Null texts stay null, no row goes."""
     found = pii.redact_column(docs, pii.trained())
     return found.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it; one without words stays once. Ties go by hashes of the row; a null source is a source."""
     return mixing.mix_documents(docs).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences; a null or empty text is its end id alone, each repeat a document of its own."""
     return packing.pack(docs)
 
 
@@ -50,12 +56,14 @@ STAGES = [("toxicity", toxicity_stage), ("near_duplicates", dedup_stage), ("pii"
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. Each stage but the last is written as Parquet in the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows. Each stage but the last is written as Parquet in the shared folder and read again; a stage's table goes when the next one is written. An empty documents table gives no rows."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = fresh_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = stored(stage(spark, docs, sf_dir), path)
+        if before:
+            drop_path(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
