@@ -1,7 +1,7 @@
 """Connected components of a link table, by alternating large-star and small-star rounds over DataFrames.
 
-Each round's links are written to the shared checkpoint folder, so lineage stays short and lost executors cost one
-round. Only a count and a checksum of a round reach the driver. Hot nodes (one end of many links) meet only in
+Each round's links are written to the shared folder, so lineage stays short and lost executors cost one round; the
+round before goes then. Only a count and a checksum of a round reach the driver. Hot nodes (one end of many links) meet only in
 min() aggregates, which combine before the shuffle, and in joins that Spark can split.
 """
 
@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.textops import cut
+from loomline.llm.textops import cut, forget
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -25,7 +25,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(least, "u").where("v > u").select("v", F.col("m").alias("u")).where("u < v").distinct()
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v")
-        pairs = cut(small.select("v", F.col("m").alias("u")).union(small.where("u > m").select(F.col("u").alias("v"), F.col("m").alias("u"))).distinct())
+        before, pairs = pairs, cut(small.select("v", F.col("m").alias("u")).union(small.where("u > m").select(F.col("u").alias("v"), F.col("m").alias("u"))).distinct())
+        forget(before)
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if now == mark:
             return pairs.select(F.col("v").alias("id"), F.col("u").alias("component_id"))

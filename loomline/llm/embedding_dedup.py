@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.llm.components import Forest, components
-from loomline.llm.textops import cut, short_batches
+from loomline.llm.textops import cut, forget, short_batches
 
 THRESHOLD, REACH, SAMPLE, LIST_ROWS, MOST_LISTS = 0.93, 0.4, 20_000, 2048, 4096
 SUB, CODES, BLOCK, QUERIES, SLACK = 8, 256, 2048, 4096, 1e-6
@@ -212,6 +212,7 @@ def link_counts(df: DataFrame, key: str = "vec_id", vector: str = "embedding", l
         })
 
     hits = cut(dealt.groupBy(*key_cols, "block", "turn").applyInArrow(search, "id long, other long, found long"))
+    forget(reps, placed)
     counts = hits.where("other is null").groupBy(F.col("id").alias("class")).agg(F.sum("found").alias("found"))
     same_id = good.groupBy("vec_id").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("k")).where("k > 1").select("vec_id")
     member = good.join(classes, ["label", "h1", "h2"]).select("vec_id", "class", "n")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.components import Forest, components
-from loomline.llm.textops import LOWER, U64, Rolling, cut, list_array, pieces, short_batches, signed, utf8, word_spans
+from loomline.llm.textops import LOWER, U64, Rolling, cut, forget, list_array, pieces, short_batches, signed, utf8, word_spans
 
 WIDTH, K, ALPHA, CHUNK, COLUMNS = 5, 32, 11, 256, 4096
 NUMERATOR, DENOMINATOR = 3, 4
@@ -230,10 +230,14 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     has_big = not big.isEmpty()
     if has_big:
         sets = cut(sets)
+    forget(member)
     links = cut(by_group(clusters.join(sets, "doc_id"), ["pivot", "chunk", "cluster"], verified_links, "a long, b long", LONGS))
     joined = components(links)
     if has_big:
-        joined = components(links.union(_across(big, joined, sets)))
+        across = cut(_across(big, joined, sets))
+        joined = components(links.union(across))
+        forget(across, sets)
+    forget(reps, dealt, clusters, links)
     out = made.join(classes, ["f1", "f2"], "left").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component_id", "rep")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))

@@ -53,12 +53,6 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a checkpoint in the shared folder."""
-    scratch(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def short_batches(df: DataFrame) -> DataFrame:
     """df, with its session's Arrow batches kept to BATCH_BYTES: texts are long, and workers hold a batch and what they make of it.
 
@@ -82,6 +76,20 @@ def stored(df: DataFrame, path: str, by: tuple[str, ...] = (), **options: str) -
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a table in the shared folder; forget() drops it."""
+    path = fresh_path(df.sparkSession, "cut")
+    out = stored(df, path)
+    out._cut_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Drop tables that cut() wrote, once nothing reads them any more."""
+    for t in tables:
+        drop_path(t.sparkSession, t._cut_at)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
