@@ -27,7 +27,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     names = [f"c{i}" for i in range(len(docs.columns))]  # columns of any name
     row = [F.monotonically_increasing_id().alias("id"), F.xxhash64(*docs.columns).alias("k1"), F.xxhash64(F.lit("b"), *docs.columns).alias("k2")]
-    rows = stored(docs.select(*row, "doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names) if c != "text")), fresh_path(spark, "pipeline-rows"))
+    rows = stored(docs.select(*row, "doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names) if c != "text")), fresh_path(spark, "pipeline-rows"), compression="zstd")
     found = minhash_dedup.near_duplicates(rows, "id").withColumnRenamed("doc_id", "id")
     words = F.col("n_shingles") > 0
     group = [F.when(words, F.col("component_id")).alias("component"), F.when(~words, F.col("k1")).alias("g1"), F.when(~words, F.col("k2")).alias("g2")]
