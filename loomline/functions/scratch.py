@@ -1,7 +1,8 @@
-"""Folders for what has to be written and read again: under spark.checkpoint.dir, which driver and executors share, or a temporary folder where it is unset."""
+"""Folders for what has to be written and read again: under spark.checkpoint.dir, which driver and executors share. Where that is unset, a temporary folder if all run on one machine; a cluster has to name one."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,5 +10,10 @@ from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/loomline"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and the executors of {master} share")
+        base = f"file://{tempfile.gettempdir()}/loomline"
     return f"{base}/{name}-{uuid.uuid4().hex}"

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ipaddress
+import json
+import re
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from urllib.parse import urlparse
+from urllib.request import Request, urlopen
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.functions.text import col, fingerprint, let, n_words, strip, tokens
+from loomline.functions.text import WS, col, fingerprint, has_any, let, n_words, strip, tokens
 
 # Fixed values.
 WEIGHTS = {"quality": 0.30, "safety": 0.25, "cost": 0.15, "domain": 0.15, "performance": 0.10, "usability": 0.05}
@@ -34,17 +40,21 @@ def shuffle_key(seed: int, *columns: str) -> Column:
 def split_train_val(df: DataFrame, ids: Sequence[str], val_ratio: float = 0.15, seed: int = 42) -> DataFrame:
     """df with `split`: the last max(1, floor(n * ratio)) rows of a seeded shuffle are `val`.
 
-    Ranks come from counts per hash bucket (65,536 of them) and a window inside each bucket, so no task sees all rows.
+    Counts per hash bucket (65,536 of them) tell which bucket holds the last training row; only that bucket is put in
+    order, to find this row. All rows are then compared with it where they are, without a shuffle.
     """
-    d = df.withColumn("_k", shuffle_key(seed, *ids))
-    d = d.withColumn("_b", F.conv(F.substring("_k", 1, 4), 16, 10).cast("int"))
-    sizes = d.groupBy("_b").agg(F.count("*").alias("_n"))
-    every = Window.partitionBy()
-    sizes = sizes.select("_b", F.sum("_n").over(every).alias("_total"), F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    d = d.join(F.broadcast(sizes), "_b")  # at most 65,536 rows
-    rank = F.col("_before") + F.row_number().over(Window.partitionBy("_b").orderBy("_k", *ids))
-    n_val = F.greatest(F.lit(1), F.floor(F.col("_total") * val_ratio))
-    return d.withColumn("split", F.when(rank > F.col("_total") - n_val, "val").otherwise("train")).drop("_k", "_b", "_total", "_before")
+    key, bucket = shuffle_key(seed, *ids), lambda k: F.conv(F.substring(k, 1, 4), 16, 10).cast("int")
+    keys = df.select(F.struct(key.alias("k"), *(F.col(c).alias(f"i{n}") for n, c in enumerate(ids))).alias("_at")).withColumn("_b", bucket(F.col("_at.k")))
+    sizes = keys.groupBy("_b").agg(F.count("*").alias("_n"))
+    ahead, total = F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), F.sum("_n").over(Window.partitionBy())
+    sizes = sizes.select("_b", "_n", ahead.alias("_before"), total.alias("_total"))
+    need = F.col("_total") - F.greatest(F.lit(1), F.floor(F.col("_total") * val_ratio)) - F.col("_before")
+    edge = sizes.withColumn("_need", need).where("_need > 0 and _need <= _n").select("_b", "_need")
+    inside = keys.join(F.broadcast(edge), "_b").withColumn("_rank", F.row_number().over(Window.partitionBy("_b").orderBy("_at")))  # one row is broadcast
+    last = inside.where("_rank = _need").agg(F.max("_at").alias("_last"))  # null where no row is left for training
+    mine = F.struct(key.alias("k"), *(F.col(c).alias(f"i{n}") for n, c in enumerate(ids)))
+    out = df.crossJoin(F.broadcast(last)).withColumn("split", F.when(mine <= F.col("_last"), "train").otherwise("val"))
+    return out.drop("_last")
 
 
 # ---- judge
@@ -145,6 +155,63 @@ def gate(confidence: Column, threshold: float = 0.6) -> Column:
 SCORES = tuple(WEIGHTS)
 
 
+# Default wording.
+JUDGE_TASK = "You are a strict judge of question and answer pairs. Reply with one JSON object that has a number from 0 to 1 for each of: {names}. No other text."
+JUDGE_PAIR = "QUESTION: {question}\n\nANSWER: {answer}"
+
+
+def judge_messages(question: Column, answer: Column, task: str = JUDGE_TASK, pair: str = JUDGE_PAIR) -> Column:
+    """The chat that asks a model for the six scores; null where question or answer is blank. task and pair are the caller's wording."""
+    q, a = strip(question), strip(answer)
+    before, rest = pair.split("{question}")
+    between, after = rest.split("{answer}")
+    says = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
+    chat = F.array(says("system", F.lit(task.format(names=", ".join(SCORES)))), says("user", F.concat(F.lit(before), q, F.lit(between), a, F.lit(after))))
+    return F.when((q != "") & (a != ""), chat)
+
+
+def local_backend(complete: Callable[[list[dict]], str]) -> Callable[[Column], Column]:
+    """A backend from a function on one chat (a list of role and content): replies by Arrow batches on the executors; a call that fails or a null chat replies null."""
+    @F.pandas_udf("string")
+    def replies(chats: pd.Series) -> pd.Series:
+        def one(chat) -> str | None:
+            try:
+                return None if chat is None else complete([dict(m) for m in chat])
+            except Exception:  # a failed call is a missing reply; the heuristic judge stands in
+                return None
+
+        return chats.map(one)
+
+    return replies
+
+
+def http_backend(url: str, model: str, timeout: float = 30.0) -> Callable[[Column], Column]:
+    """A backend that posts chats to a local completion server. Hosts that aren't local are refused."""
+    host = urlparse(url).hostname or ""
+    if not (host == "localhost" or host.endswith(".local") or _is_private(host)):
+        raise ValueError(f"{host or url} isn't a local host")
+
+    def complete(chat: list[dict]) -> str:
+        body = json.dumps({"model": model, "messages": chat, "temperature": 0}).encode()
+        with urlopen(Request(url, body, {"Content-Type": "application/json"}), timeout=timeout) as got:
+            return json.load(got)["choices"][0]["message"]["content"]
+
+    return local_backend(complete)
+
+
+def _is_private(host: str) -> bool:
+    try:
+        return ipaddress.ip_address(host).is_private or ipaddress.ip_address(host).is_loopback
+    except ValueError:
+        return False
+
+
+def model_judged(df: DataFrame, backend: Callable[[Column], Column], question: str = "question", answer: str = "answer", **options) -> DataFrame:
+    """hybrid_judged() with the backend's replies to judge_messages()."""
+    asked = df.withColumn("_reply", backend(judge_messages(F.col(question), F.col(answer))))
+    return hybrid_judged(asked, "_reply", question=question, answer=answer, **options).drop("_reply")
+
+
 def parse_model_scores(reply: Column) -> Column:
     """struct of the six scores clamped to 0..1 from a model's reply (fences and text around the object allowed), or null if any is missing."""
     body = F.regexp_replace(F.coalesce(reply, F.lit("")), r"```(?:json)?", "")
@@ -165,6 +232,41 @@ def hybrid_judged(df: DataFrame, reply: str, **options) -> DataFrame:
     return out.withColumn("level", level(F.col("confidence"))).withColumn("action", judge_action(F.col("confidence"))).drop("_m")
 
 
+# Size classes of a dataset's rows.
+SIZE_CLASSES = (50, 200, 1000)
+
+
+def size_class(n: Column) -> Column:
+    """<50, <200, <1000 or >=1000."""
+    out = F.lit(f">={SIZE_CLASSES[-1]}")
+    for most in reversed(SIZE_CLASSES):
+        out = F.when(n < most, f"<{most}").otherwise(out)
+    return out
+
+
+def size_classes(df: DataFrame, n: str = "n_chars") -> DataFrame:
+    """(bucket, n, chars): how many rows of each size class, and their total size."""
+    return df.groupBy(size_class(F.col(n)).alias("bucket")).agg(F.count("*").alias("n"), F.sum(n).alias("chars"))
+
+
+def systematic_sample(df: DataFrame, k: int = 15, seq: str = "seq") -> DataFrame:
+    """Every max(1, n // k)-th row by its position (from 0)."""
+    step = df.agg(F.greatest(F.floor(F.count("*") / k), F.lit(1)).alias("_step"))  # one row
+    return df.crossJoin(F.broadcast(step)).where(F.pmod(F.col(seq), F.col("_step")) == 0).drop("_step")
+
+
+def token_overlap(a: Column, b: Column, pattern: str = "[a-z]{3,}") -> Column:
+    """struct of how many different tokens two texts share, have together, and how many only the first has."""
+    return let(F.struct(F.array_distinct(tokens(a, pattern)).alias("a"), F.array_distinct(tokens(b, pattern)).alias("b")), lambda s: F.struct(
+        F.size(F.array_intersect(s["a"], s["b"])).alias("common"), F.size(F.array_union(s["a"], s["b"])).alias("total"), F.size(F.array_except(s["a"], s["b"])).alias("only_first"),
+    ))
+
+
+def ready(df: DataFrame) -> DataFrame:
+    """One row: whether there is anything to train on. Reads one row at most."""
+    return df.limit(1).agg((F.count("*") > 0).alias("ready"))
+
+
 # ---- demonstrations
 
 
@@ -178,7 +280,7 @@ def candidate_pair(df: DataFrame) -> tuple[Column, Column]:
 
 
 def ranked(df: DataFrame, order: Sequence[Column], k: int | None = None, within: Sequence[str] = ()) -> DataFrame:
-    """df with `rank` from 1 by order; at most k."""
+    """df with `rank` from 1 by order; at most k. Without k and groups one task ranks all rows: such ranks are for reports."""
     if not within and k is not None:
         df = df.orderBy(*order).limit(k)
     out = df.withColumn("rank", F.row_number().over(Window.partitionBy(*within).orderBy(*order)))
@@ -224,6 +326,14 @@ MEDICAL_PATTERNS = (
 )
 
 
+CLINICAL_WORDS = ("patient", "medication", "treatment", "diagnosis", "protocol", "dosage")
+
+
+def add_pattern(patterns: Sequence[ErrorPattern], new: ErrorPattern) -> tuple[ErrorPattern, ...]:
+    """The bank with one more pattern, by confidence."""
+    return tuple(_bank([*patterns, new]))
+
+
 def _bank(patterns: Sequence[ErrorPattern]) -> list[ErrorPattern]:
     return sorted(patterns, key=lambda p: -p.confidence)
 
@@ -232,9 +342,26 @@ def _match(p: ErrorPattern) -> Column:
     return F.struct(F.lit(p.name).alias("name"), F.lit(p.confidence).alias("confidence"), F.lit(p.phase).alias("phase"), F.lit(p.fix_hint).alias("fix_hint"), F.lit(p.error_code).alias("error_code"))
 
 
+def _stem(alternative: str) -> str | None:
+    """The longest text that each match of a regular expression without alternatives holds, or None where that isn't plain."""
+    plain = re.sub(r"\\.[+*?]?|\.[+*?]?|.[?*]", "\0", alternative)
+    return None if re.search(r"[\[\](){}^$+|]", plain) else max(plain.split("\0"), key=len) or None
+
+
 def _hits(p: ErrorPattern, text: Column, low: Column) -> Column:
-    """Whether the pattern is found in any case; a pattern without capitals is looked for in the lower-cased text, which is faster."""
-    return low.rlike(p.pattern) if p.pattern == p.pattern.lower() else text.rlike("(?iu)" + p.pattern)
+    """Whether the pattern is found in any case. A pattern without capitals is looked for in the lower-cased text: its
+    alternatives' plain texts are searched for first, which is much faster than an expression, and decide alone where
+    an alternative is nothing else."""
+    if p.pattern != p.pattern.lower():
+        return text.rlike("(?iu)" + p.pattern)
+    alternatives = p.pattern.split("|")
+    stems = [_stem(a) for a in alternatives]
+    if any(s is None for s in stems):
+        return low.rlike(p.pattern)
+    out = F.lit(False)
+    for a, s in sorted(zip(alternatives, stems), key=lambda x: x[0] != x[1]):  # plain ones first
+        out = out | (low.contains(s) if a == s else low.contains(s) & low.rlike(a))
+    return out
 
 
 def best_match(text: Column, patterns: Sequence[ErrorPattern] = MEDICAL_PATTERNS) -> Column:
@@ -254,8 +381,10 @@ def all_matches(text: Column, patterns: Sequence[ErrorPattern] = MEDICAL_PATTERN
 
 def plain_confidence(text: Column) -> Column:
     """Confidence without a match: long or structured texts are harder."""
-    hard = text.rlike(r"(?iU)\b(patient|medication|treatment|diagnosis|protocol|dosage)\b") | text.contains("```") | text.rlike(r"(?U)\bdef\b|\bclass\b")
-    return F.greatest(F.lit(0.5), F.least(F.lit(0.72) - F.when(n_words(text) > 100, 0.10).otherwise(0.0) - F.when(hard, 0.05).otherwise(0.0), F.lit(0.75)))
+    low = F.lower(text)
+    hard = has_any(low, CLINICAL_WORDS) & text.rlike(rf"(?iU)\b({'|'.join(CLINICAL_WORDS)})\b") | text.contains("```") | has_any(text, ("def", "class")) & text.rlike(r"(?U)\bdef\b|\bclass\b")
+    long = F.size(F.split(strip(text), WS + "+", 101)) > 100  # looks no further than the 101st word
+    return F.greatest(F.lit(0.5), F.least(F.lit(0.72) - F.when(long, 0.10).otherwise(0.0) - F.when(hard, 0.05).otherwise(0.0), F.lit(0.75)))
 
 
 def curriculum(df: DataFrame, text: Column | str | None = None, patterns: Sequence[ErrorPattern] = MEDICAL_PATTERNS) -> DataFrame:

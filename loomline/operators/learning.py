@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,6 +15,7 @@ class Canary:
     fraction: float = 0.10
     min_samples: int = 10
     alpha: float = 0.05
+    test: str = "welch"  # or "step": significant above a difference of 5 points
 
 
 @dataclass(frozen=True)
@@ -49,17 +51,40 @@ def arm(key: Column, fraction: float = 0.10) -> Column:
     return F.when(F.conv(F.substring(F.md5(key.cast("string")), 1, 6), 16, 10).cast("double") / 16.0**6 < fraction, "treatment").otherwise("control")
 
 
+STEPS = 400
+
+
+def t_tail(t: Column, df: Column) -> Column:
+    """P(|T| >= t) of Student's t with df degrees of freedom, by Simpson's rule over the angle atan(t / sqrt(df)), whose density is cos ** (df - 1). Beyond 12 deviations nothing counts."""
+    def integral(a: Column, b: Column) -> Column:
+        at = lambda i: F.pow(F.greatest(F.lit(0.0), F.cos(a + (b - a) * i / STEPS)), df - 1)
+        weight = lambda i: F.when((i == 0) | (i == STEPS), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+        return (b - a) * F.aggregate(F.sequence(F.lit(0), F.lit(STEPS)), F.lit(0.0), lambda s, i: s + weight(i) * at(i))
+
+    most = F.least(F.lit(math.pi / 2), F.lit(12.0) / F.sqrt(df))
+    return integral(F.least(F.atan(t / F.sqrt(df)), most), most) / integral(F.lit(0.0), most)
+
+
+def welch(c: Column, vc: Column, nc: Column, t: Column, vt: Column, nt: Column) -> Column:
+    """Two-sided p value of Welch's t test from means, sample variances and counts. Without any variance: 0 for different means, NaN for equal ones."""
+    a, b = vc / nc, vt / nt
+    df = (a + b) * (a + b) / (a * a / (nc - 1) + b * b / (nt - 1))
+    return F.when(a + b > 0, t_tail(F.abs(t - c) / F.sqrt(a + b), df)).when(t != c, 0.0).otherwise(F.lit(float("nan")))
+
+
 def canaries(events: DataFrame, key: str, cfg: Canary = Canary(), pattern: str = "pattern") -> DataFrame:
-    """Per pattern with enough samples in both arms: rates, p value (a step at 5 points), recommendation."""
+    """Per pattern with enough samples in both arms: rates, p value of Welch's t test (or a step at 5 points), recommendation. One aggregate with means, variances and counts."""
     d = events.withColumn("_arm", arm(F.col(key), cfg.fraction)).withColumn("_v", F.col("success").cast("double"))
     def of(name: str, f) -> Column:
         return f(F.when(F.col("_arm") == name, F.col("_v")))
 
-    out = d.groupBy(pattern).agg(of("control", F.avg).alias("c"), of("treatment", F.avg).alias("t"), of("control", F.count).alias("n_control"), of("treatment", F.count).alias("n_treatment"))
+    out = d.groupBy(pattern).agg(of("control", F.avg).alias("c"), of("treatment", F.avg).alias("t"), of("control", F.count).alias("n_control"), of("treatment", F.count).alias("n_treatment"), of("control", F.var_samp).alias("vc"), of("treatment", F.var_samp).alias("vt"))
     out = out.where((F.col("n_control") >= cfg.min_samples) & (F.col("n_treatment") >= cfg.min_samples))
-    out = out.withColumn("p_value", F.when(F.abs(F.col("t") - F.col("c")) > 0.05, 0.04).otherwise(0.5)).withColumn("significant", F.col("p_value") < cfg.alpha)
+    step = F.when(F.abs(F.col("t") - F.col("c")) > 0.05, 0.04).otherwise(0.5)
+    p = welch(*map(F.col, ("c", "vc", "n_control", "t", "vt", "n_treatment"))) if cfg.test == "welch" else step
+    out = out.withColumn("p_value", p).withColumn("significant", F.col("p_value") < cfg.alpha)
     out = out.withColumn("recommendation", F.when(F.col("significant") & (F.col("t") > F.col("c")), "promote").when(F.col("significant"), "rollback").otherwise("inconclusive"))
-    return out.select(pattern, F.round("c", 4).alias("control_sr"), F.round("t", 4).alias("treatment_sr"), "p_value", "significant", "recommendation", "n_control", "n_treatment")
+    return out.select(pattern, F.round("c", 4).alias("control_sr"), F.round("t", 4).alias("treatment_sr"), F.round("p_value", 4).alias("p_value"), "significant", "recommendation", "n_control", "n_treatment")
 
 
 def proposals(found: DataFrame, tests: DataFrame, protected: Sequence[str] = (), most: int = 10, pattern: str = "pattern") -> DataFrame:
@@ -77,10 +102,45 @@ def apply_proposals(found: DataFrame, autonomy: str, breaker_state: str = "CLOSE
     return found.withColumn("status", F.lit(status))
 
 
-def approve(pending: DataFrame, pattern: str) -> DataFrame:
-    """pending with the first proposal of the pattern approved."""
-    first = F.row_number().over(Window.partitionBy("pattern").orderBy("rank")) == 1
-    return pending.withColumn("status", F.when((F.col("pattern") == pattern) & first, "approved").otherwise(F.col("status")))
+def approve(proposed: DataFrame, pattern, column: str = "pattern") -> DataFrame:
+    """proposed with the pattern's first pending proposal approved. pattern: a value, or a Column that says which rows' pattern is meant."""
+    mine = (F.col(column) == pattern) & (F.col("status") == "pending")
+    first = F.row_number().over(Window.partitionBy(column, "status").orderBy("rank")) == 1
+    return proposed.withColumn("status", F.when(mine & first, "approved").otherwise(F.col("status")))
+
+
+def pending(proposed: DataFrame) -> DataFrame:
+    return proposed.where("status = 'pending'")
+
+
+def history(proposed: DataFrame) -> DataFrame:
+    """Proposals that were applied, approved, logged or blocked, in order."""
+    return proposed.where("status <> 'pending'").orderBy("rank")
+
+
+# ---- training runs
+
+
+def loss_summary(points: DataFrame, step: str = "step", loss: str = "loss") -> DataFrame:
+    """One row: first, last and best loss and the best one's first step."""
+    at = F.struct(loss, step)
+    return points.where(F.col(loss).isNotNull()).agg(F.min_by(loss, step).alias("first_loss"), F.max_by(loss, step).alias("last_loss"), F.min(loss).alias("best_loss"), F.min_by(step, at).alias("best_step"))
+
+
+def run_quality(final_loss: Column, eval_loss: Column, first_loss: Column) -> Column:
+    """A run's label by its evaluation loss, or else its training loss, and by how many percent the training loss fell; empty without a loss."""
+    main = F.coalesce(eval_loss, final_loss)
+    fell = F.when(first_loss > 0, (first_loss - final_loss) / first_loss * 100)
+    by = lambda most, least: (main < most) & F.coalesce(fell > least, F.lit(True))
+    return F.when(final_loss.isNull(), "").when(by(1.2, 40), "Excellent").when(by(1.8, 25), "Good").when(by(2.2, 10), "Okay").when(main < 2.8, "Fair").otherwise("Poor")
+
+
+def loss_runs(points: DataFrame, run: str = "run", step: str = "step", loss: str = "loss", eval_loss: str = "eval_loss") -> DataFrame:
+    """Each run's first, last and best loss, last evaluation loss and quality."""
+    had = lambda c, at: F.when(F.col(c).isNotNull(), at)
+    ends = lambda c, f, name: f(c, had(c, F.col(step))).alias(name)
+    out = points.groupBy(run).agg(ends(loss, F.min_by, "first_loss"), ends(loss, F.max_by, "last_loss"), F.min(loss).alias("best_loss"), ends(eval_loss, F.max_by, "last_eval_loss"))
+    return out.withColumn("quality", run_quality(F.col("last_loss"), F.col("last_eval_loss"), F.col("first_loss")))
 
 
 STATE = "struct<state:string,fails:int,oks:int,opened:double,opens:int>"

@@ -51,6 +51,21 @@ def interactions(log: DataFrame, approved_only: bool = False, session_id: str |
     return out.limit(limit) if limit else out
 
 
+def usable(log: DataFrame) -> DataFrame:
+    """Approved records with a question and an answer: what training takes from the log."""
+    return log.where(F.col("approved").eqNullSafe(True) & (F.trim("question") != "") & (F.trim("answer") != ""))
+
+
+def pick_list(log: DataFrame, limit: int = 100, seq: str = "seq") -> DataFrame:
+    """(label): the newest records, as id | status time question's start."""
+    status = F.when(F.col("approved"), "approved").when(~F.col("approved"), "rejected").otherwise("pending")
+    return interactions(log, limit=limit, seq=seq).select(F.format_string("%s | %s %s %s", F.col("id"), status, F.col("timestamp"), F.substring("question", 1, 60)).alias("label"))
+
+
+def by_id(log: DataFrame, record: str) -> DataFrame:
+    return log.where(F.col("id") == record)
+
+
 def set_approval(log: DataFrame, updates: DataFrame, seq: str = "seq") -> DataFrame:
     """log with `approved` from updates (id, approved), in the first record of each id."""
     first = F.row_number().over(Window.partitionBy("id").orderBy(seq)) == 1
@@ -249,3 +264,22 @@ def recent_text(turns: DataFrame, session: str = "session", order: str = "turn",
 
 def last_messages(turns: DataFrame, n: int = 6, session: str = "session", order: str = "turn") -> DataFrame:
     return turns.withColumn("_n", F.row_number().over(Window.partitionBy(session).orderBy(F.desc(order)))).where(F.col("_n") <= n).drop("_n")
+
+
+def segment_stats(turns: DataFrame, session: str = "session", order: str = "turn", text: str = "text", budgets: Budgets = Budgets()) -> DataFrame:
+    """(session, messages, l1_messages, l1_tokens, l1_share): what the live segment of each session holds, and how full it is."""
+    d = live_turns(turns, session, order, text, budgets.l1)
+    used = F.sum(F.when(F.col("in_l1"), F.col("tokens")).otherwise(0))
+    return d.groupBy(session).agg(F.count("*").alias("messages"), F.count_if("in_l1").alias("l1_messages"), used.alias("l1_tokens"), F.round(used / budgets.l1, 4).alias("l1_share"))
+
+
+def messages(turns: DataFrame, session: str = "session", order: str = "turn", text: str = "text", budget: int = 10_000) -> DataFrame:
+    """(session, messages): the live turns as role and content, in order."""
+    live = live_turns(turns, session, order, text, budget).where("in_l1")
+    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), "role", F.col(text).alias("content"))))  # a session's
+    return live.groupBy(session).agg(F.transform(rows, lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages"))
+
+
+def cleared(turns: DataFrame, sessions: DataFrame, session: str = "session") -> DataFrame:
+    """turns without those of the given sessions, whose conversation starts again; fixed text and kernel aren't kept with turns and stay."""
+    return turns.join(sessions.select(session).distinct(), session, "left_anti")

@@ -169,8 +169,8 @@ def captions(text: Column | str) -> Column:
     return F.transform(F.regexp_extract_all(F.coalesce(col(text), F.lit("")), F.lit(CAPTION), F.lit(0)), strip)
 
 
-def structured_blocks(text: Column | str, domain: Domain = Domain()) -> Column:
-    return F.transform(F.filter(F.split(F.coalesce(col(text), F.lit("")), "\n\n+"), domain.structured), strip)
+def structured_blocks(text: Column | str, domain: Domain = Domain(), separator: str = "\n\n+") -> Column:
+    return F.transform(F.filter(F.split(F.coalesce(col(text), F.lit("")), separator), domain.structured), strip)
 
 
 def manual_label(path: Column | str) -> Column:

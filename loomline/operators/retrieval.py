@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.text import first_nonempty, nonempty, sentences, strip, tokens
 
 # Fixed values.
-KEYWORD_STOP = (
-    "a an the is are was were be been being have has had do does did will would could should may might can to of in on at by "
-    "for with about as into through and or but not what when how why which who where show me an example give tell explain describe "
-    "use used using define i my you your sql query function it this that if"
-).split()
-TFIDF_STOP = (
-    "a an the is are was were be been have has had do does did will would could should may might can to of in "
-    "on at by for with about as into through and or but not this that if it its from also use used using"
-).split()
+KEYWORD_STOP = [
+    "a", "an", "the", "is", "are", "was", "were", "be", "been", "being", "have", "has", "had", "do", "does", "did", "will", "would", "could",
+    "should", "may", "might", "can", "to", "of", "in", "on", "at", "by", "for", "with", "about", "as", "into", "through", "and", "or", "but", "not",
+    "what", "when", "how", "why", "which", "who", "where", "show", "me", "an", "example", "give", "tell", "explain", "describe", "use", "used",
+    "using", "define", "i", "my", "you", "your", "sql", "query", "function", "it", "this", "that", "if",
+]
+TFIDF_STOP = [
+    "a", "an", "the", "is", "are", "was", "were", "be", "been", "have", "has", "had", "do", "does", "did", "will", "would", "could", "should", "may",
+    "might", "can", "to", "of", "in", "on", "at", "by", "for", "with", "about", "as", "into", "through", "and", "or", "but", "not", "this", "that",
+    "if", "it", "its", "from", "also", "use", "used", "using",
+]
 TOKEN = "[a-zA-Z][a-zA-Z0-9_]*"
 
 
@@ -41,28 +43,38 @@ def term_points(t: Column, name: Column, title: Column, body: Column) -> Column:
 def keyword_search(questions: DataFrame, library: DataFrame, question: str = "question", by: str = "query_id", k: int = 2, min_score: int = 3) -> DataFrame:
     """(by, seq, score, rank): for each question the k library rows (name, title, body, seq) of highest score, and of those the ones that reach min_score.
 
-    A term matches inside words, and only inside a run of its own characters. So each different run of the library (its
-    vocabulary) is searched once for the stated questions' different terms (one array beside it), and rows meet the
-    terms by their runs; names and titles are searched the same way, once for each different pair.
+    A term matches inside words, and only inside a run of its own characters. So terms are looked for in the library's
+    different runs, names and titles: a term meets those that hold its rarest three characters, by a join, and then has
+    to be in them. Rows meet the terms by their runs, names and titles.
     """
     asked = questions.select(by, F.explode(query_terms(question)).alias("term")).groupBy(by, "term").agg(F.count("*").alias("times"))
-    every = F.broadcast(asked.agg(F.collect_set("term").alias("_terms")))  # one row
     rows = library.select("seq", *(F.lower(F.coalesce(c, F.lit(""))).alias(c) for c in ("name", "title", "body")))
-    runs = rows.select("seq", F.explode(F.array_distinct(tokens("body", "[a-z0-9_]{3,}"))).alias("run"))
-    spread = library.sparkSession.sparkContext.defaultParallelism  # the vocabulary is small, its search is not
-    holding = runs.select("run").distinct().repartition(spread).crossJoin(every).select("run", F.explode(F.filter("_terms", lambda t: F.col("run").contains(t))).alias("term"))
-    inside = runs.join(holding, "run").select("seq", "term").distinct().withColumn("points", F.lit(1))
-    headed = rows.select("name", "title").distinct().crossJoin(every)
-    points = lambda t: term_points(t, F.col("name"), F.col("title"), F.lit(""))
-    held = F.filter(F.transform("_terms", lambda t: F.struct(t.alias("term"), points(t).alias("points"))), lambda x: x["points"] > 0)
-    headed = headed.select("name", "title", F.explode(held).alias("h")).select("name", "title", "h.term", "h.points")
-    found = inside.unionByName(rows.select("seq", "name", "title").join(headed, ["name", "title"]).select("seq", "term", "points"))
-    found = found.groupBy("seq", "term").agg(F.max("points").alias("points"))
+    runs = rows.select("seq", F.explode(F.array_distinct(tokens("body", "[a-z0-9_]{3,}"))).alias("string"))
+    heads = rows.select("seq", F.explode(F.array("name", "title")).alias("string"))
+    wanted = asked.select("term").distinct()
+    inside = runs.join(holding(runs.select("string").distinct(), wanted), "string").select("seq", "term", F.lit(1).alias("points"))
+    points = F.when(F.col("term") == F.col("string"), 10).otherwise(5)
+    headed = heads.join(holding(heads.select("string").distinct(), wanted), "string").select("seq", "term", points.alias("points"))
+    found = inside.unionByName(headed).groupBy("seq", "term").agg(F.max("points").alias("points"))
     scored = found.join(asked, "term").groupBy(by, "seq").agg(F.sum(F.col("points") * F.col("times")).cast("int").alias("score"))
     best = scored.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("score"), "seq"))).where(F.col("rank") <= k)
     return best.where(F.col("score") >= min_score)
 
 
+def _grams(c: str) -> Column:
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substring(F.col(c), i, F.lit(3))))
+
+
+def holding(strings: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(string, term): the distinct strings that hold each of the distinct terms, of three characters or more."""
+    grams = strings.where(F.length("string") > 2).select("string", F.explode(_grams("string")).alias("gram"))
+    of = wanted.select("term", F.explode(_grams("term")).alias("gram"))
+    times = grams.join(of.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("times"))
+    # a term with three characters that no string holds is in none
+    rarest = of.join(times, "gram", "left").groupBy("term").agg(F.min_by("gram", F.struct(F.coalesce("times", F.lit(0)).alias("n"), F.col("gram").alias("g"))).alias("gram"))
+    return grams.join(rarest, "gram").where(F.contains("string", "term")).select("string", "term")
+
+
 def term_counts(docs: DataFrame, doc: str, text: str) -> DataFrame:
     """(doc, term, c, n): counts of each term, and the document's number of terms."""
     t = docs.select(doc, terms(text, TFIDF_STOP).alias("t"))
@@ -86,15 +98,55 @@ def tfidf_search(queries: DataFrame, docs: DataFrame, query_id: str, query: str,
     n = docs.count()
     dc = term_counts(docs, doc, text)
     idf = document_frequency(dc, n)
-    dw = tfidf(dc, idf, n, doc)
+    return _searched(queries, tfidf(dc, idf, n, doc), idf, n, query_id, query, doc, k, min_score)
+
+
+def _searched(queries: DataFrame, weights: DataFrame, idf: DataFrame, n: int, query_id: str, query: str, doc: str, k: int, min_score: float, norms: DataFrame | None = None) -> DataFrame:
+    """Norms are one aggregate over all weights; only the weights of the queries' terms meet the queries."""
+    norm = lambda w, i, name: w.groupBy(i).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(name))
     qw = tfidf(term_counts(queries, query_id, query), idf, n, query_id)
-    dn, qn = (w.groupBy(i).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(name)) for w, i, name in ((dw, doc, "dn"), (qw, query_id, "qn")))
-    dots = qw.withColumnRenamed("w", "qw").join(dw, "term").groupBy(query_id, doc).agg(F.sum(F.col("qw") * F.col("w")).alias("dot"))
-    scored = dots.join(dn, doc).join(qn, query_id).withColumn("score", F.round(F.col("dot") / (F.col("dn") * F.col("qn")), 4))
+    dots = qw.withColumnRenamed("w", "qw").join(weights, "term").groupBy(query_id, doc).agg(F.sum(F.col("qw") * F.col("w")).alias("dot"))
+    scored = dots.join(norm(weights, doc, "dn") if norms is None else norms, doc).join(norm(qw, query_id, "qn"), query_id).withColumn("score", F.round(F.col("dot") / (F.col("dn") * F.col("qn")), 4))
     best = scored.withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(doc)))).where(F.col("rank") <= k)
     return best.where(F.col("score") >= min_score).select(query_id, doc, "score", "rank")
 
 
+class TfidfIndex:
+    """Term weights, document frequencies and norms under a folder, made once and read by each search; a session that finds the folder opens it without the documents."""
+
+    def __init__(self, spark: SparkSession, path: str, doc: str = "doc"):
+        self.spark, self.path, self.doc = spark, path, doc
+        self.reload()
+
+    @classmethod
+    def build(cls, docs: DataFrame, path: str, doc: str, text: str) -> TfidfIndex:
+        """A new index of docs; an older one at the path gives way."""
+        n = docs.count()
+        counts = term_counts(docs, doc, text)
+        frequency = document_frequency(counts, n)
+        frequency.withColumn("documents", F.lit(n)).write.mode("overwrite").parquet(f"{path}/frequency")
+        idf = docs.sparkSession.read.parquet(f"{path}/frequency")
+        tfidf(counts, idf, n, doc).repartition("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/weights")  # a search reads few row groups
+        weights = docs.sparkSession.read.parquet(f"{path}/weights")
+        weights.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dn")).write.mode("overwrite").parquet(f"{path}/norms")
+        return cls(docs.sparkSession, path, doc)
+
+    def reload(self) -> None:
+        """Forget what was read; the next search sees the folder as it is then."""
+        self._read: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.path}/{name}")
+        return self._read[name]
+
+    def search(self, queries: DataFrame, query_id: str, query: str, k: int = 3, min_score: float = 0.05) -> DataFrame:
+        """As tfidf_search() over the documents of the index."""
+        frequency = self._table("frequency")
+        n = frequency.agg(F.max("documents")).first()[0] or 0
+        return _searched(queries, self._table("weights"), frequency.drop("documents"), n, query_id, query, self.doc, k, min_score, self._table("norms"))
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

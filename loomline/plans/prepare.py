@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from loomline.functions.config import DATA_PREP, Domain
 from loomline.operators.chunking import chunks, exploded, structured_chunks
 from loomline.operators.curation import dedup_first, split_train_val
-from loomline.operators.pages import extract_manuals, manual_label, section_parts
+from loomline.operators.memory import usable
+from loomline.operators.pages import extract_manuals, is_boilerplate, is_index, is_substantive, is_toc, manual_label, question_type, section_parts
 from loomline.operators.patterns import pattern_conversations, pattern_qa, vocabulary_qa
 from loomline.operators.qa import chunk_pairs, section_conversation, section_qa
 from loomline.sources.sinks import sharegpt, write_training
@@ -24,8 +25,8 @@ def _pairs(df: DataFrame, rank: int, origin: str, order: list) -> DataFrame:
 
 def document_pairs(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source", size: int = DATA_PREP["chunk_size"], overlap: int = DATA_PREP["chunk_overlap"], separator: str = "\n\n+", domain: Domain = Domain(), structured: bool = False) -> DataFrame:
     made = structured_chunks(text, size, overlap, domain, separator) if structured else chunks(text, size, overlap, separator)
-    rows = exploded(docs.select(doc, F.col(source).alias("_src"), text), made).select(doc, "seq", F.posexplode(chunk_pairs(F.col("chunk"), F.coalesce("_src", F.lit("doc")), domain)).alias("part", "p"))
-    return rows.select(F.col(doc).alias("doc"), F.col("seq").alias("chunk"), "part", "p.question", "p.answer")
+    rows = exploded(docs.select(doc, F.col(source).alias("_src"), text), made).select(doc, "_src", "seq", F.posexplode(chunk_pairs(F.col("chunk"), F.coalesce("_src", F.lit("doc")), domain)).alias("part", "p"))
+    return rows.select(F.col(doc).alias("doc"), F.col("_src").alias("source"), F.col("seq").alias("chunk"), "part", "p.question", "p.answer")
 
 
 def prepare(documents: DataFrame | None = None, csv: dict[str, DataFrame] | None = None, patterns: DataFrame | None = None, vocabularies: DataFrame | None = None, memory: DataFrame | None = None,
@@ -50,8 +51,7 @@ def prepare(documents: DataFrame | None = None, csv: dict[str, DataFrame] | None
         parts.append(made)
         talks.append(made.select(F.concat(F.lit("0/"), "seq").alias("seq"), F.lit(0).alias("i"), sharegpt()))
     if memory is not None:
-        good = memory.where(F.col("approved").eqNullSafe(True) & (F.trim("question") != "") & (F.trim("answer") != ""))
-        made = _pairs(good, 4, "memory", [("timestamp", "string"), ("id", "string")])
+        made = _pairs(usable(memory), 4, "memory", [("timestamp", "string"), ("id", "string")])
         parts.append(made)
         talks.append(made.select(F.concat(F.lit("2/"), "seq").alias("seq"), F.lit(0).alias("i"), sharegpt()))
     out: dict[str, DataFrame] = {}
@@ -80,13 +80,31 @@ def write(prepared: dict[str, DataFrame], path: str, formats: tuple[str, ...] =
     write_training(prepared["pairs"], path, formats, prepared.get("multiturn"), by)
 
 
-def report(pages: DataFrame, **skip: bool) -> DataFrame:
-    """(stage, n, min_chars, avg_chars, max_chars): what extraction keeps at each stage."""
+def report(pages: DataFrame, domain: Domain = Domain(), size: int = DATA_PREP["chunk_size"], overlap: int = DATA_PREP["chunk_overlap"], **skip: bool) -> DataFrame:
+    """(stage, name, n, min_chars, avg_chars, max_chars): what extraction keeps at each stage, pages by class, questions by
+    kind before and after deduplication, and chunks with and without regard to structure, all and structured ones."""
     got = extract_manuals(pages, **skip)
-    stages = {"pages": (pages, "text"), "kept": (got["pages"], "text"), "sections": (got["sections"], "text"), "documents": (got["documents"], "full_text")}
-    out = None
-    for name, (df, c) in stages.items():
-        n = F.length(F.coalesce(c, F.lit("")))
-        row = df.agg(F.lit(name).alias("stage"), F.count("*").alias("n"), F.min(n).alias("min_chars"), F.avg(n).alias("avg_chars"), F.max(n).alias("max_chars"))
-        out = row if out is None else out.unionByName(row)
+    typed = section_qa(got["sections"], ["doc", "section"], domain=domain)
+    seq = F.struct("section", "block_no", "item", "pos")
+    kept = dedup_first(typed.withColumn("seq", seq), within=["doc"])
+    full = got["documents"].select("doc", "full_text")
+    plain, aware = (exploded(full, f).select("chunk") for f in (chunks("full_text", size, overlap), structured_chunks("full_text", size, overlap, domain)))
+    talks = got["sections"].select(section_conversation(F.col("heading"), section_parts("text")).alias("c")).where("c is not null")
+
+    def row(stage: str, name: str | Column, df: DataFrame, text: str | None = None) -> DataFrame:
+        n = F.length(F.coalesce(text, F.lit(""))) if text else F.lit(None).cast("int")
+        name = F.lit(name) if isinstance(name, str) else name
+        return df.groupBy(F.lit(stage).alias("stage"), name.alias("name")).agg(F.count("*").alias("n"), F.min(n).alias("min_chars"), F.avg(n).alias("avg_chars"), F.max(n).alias("max_chars"))
+
+    classes = F.explode(F.array_compact(F.array(*(F.when(test("text"), F.lit(name)) for name, test in (("toc", is_toc), ("boilerplate", is_boilerplate), ("index", is_index))), F.when(~is_substantive("text"), F.lit("not substantive")))))
+    rows = [
+        row("pages", "all", pages, "text"), row("pages", F.col("class"), pages.select(classes.alias("class"))), row("pages", "kept", got["pages"], "text"), row("running lines", F.col("side"), got["running"]),
+        row("sections", "all", got["sections"], "text"), row("documents", "all", full, "full_text"), row("questions", "all", typed, "answer"), row("questions", "different", kept, "answer"),
+        row("question kinds", question_type("question"), kept), row("conversations", "all", talks),
+    ]
+    for name, c in (("plain", plain), ("aware", aware)):
+        rows += [row("chunks", name, c, "chunk"), row("chunks", f"{name}, structured", c.where(domain.structured(F.col("chunk"))), "chunk")]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
     return out

@@ -16,8 +16,9 @@ from loomline.functions.config import Domain
 from loomline.functions.questions import QUESTIONS
 from loomline.functions.scratch import scratch_path
 from loomline.operators import chunking, curation, learning, memory, pages, patterns, qa, retrieval
-from loomline.plans.prepare import document_pairs
+from loomline.plans.prepare import document_pairs, write
 from loomline.sources import readers, sinks
+from loomline.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +28,7 @@ DOMAIN = Domain(keywords=("the", "und", "les", "que"), min_matches=3)
 
 def query(name: str, sql: str | None = None):
     def add(f: Callable[[Callable[[str], DataFrame]], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: f(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
+        QUERIES[name] = lambda spark, sf_dir: f(lambda t: readers.read_table(spark, f"{sf_dir}/{t}.parquet"))
         QUERIES[name].__name__ = name
         if sql:
             ORACLES[name] = sql
@@ -106,14 +107,14 @@ flag_query("src10_valid_text", pages.valid_text, f"(len(t) >= 50 and len(ls) >=
 flag_query("flt6_structured", lambda c: DOMAIN.structured(F.col(c)), f"(len(list_filter({s_tokens('text', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3)")
 
 
-@query("flt5_page_chain", f"with {S_LS} select source, count(*) as pages, count(*) filter ({S_KEEP}) as kept from l group by source")
+@query("flt5_page_chain", f"with {S_LS} select doc_id, source, {S_KEEP} as kept from l")
 def _(t):
-    return t("documents").groupBy("source").agg(F.count("*").alias("pages"), F.count_if(pages.keep_page("text")).alias("kept"))
+    return t("documents").select("doc_id", "source", pages.keep_page("text").alias("kept"))
 
 
-@query("flt7_heading_lines", f"with {S_LS}, x as (select doc_id, unnest(ls) as line from l) select doc_id, count(*) as n_lines, count(*) filter ({s_heading('line')}) as n_headings from x group by doc_id")
+@query("flt7_heading_lines", f"with {S_LS} select doc_id, len(ls)::int as n_lines, list_filter(ls, lambda x: {s_heading('x')}) as headings from l")
 def _(t):
-    return t("documents").select("doc_id", F.explode(pages.lines("text")).alias("line")).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(pages.is_heading("line")).alias("n_headings"))
+    return t("documents").select("doc_id", pages.lines("text").alias("l")).select("doc_id", F.size("l").alias("n_lines"), F.filter("l", pages.is_heading).alias("headings"))
 
 
 @query("chk7_page_heading", f"with {S_LS} select doc_id, list_filter(ls[1:5], lambda x: {s_heading('x')})[1] as heading from l")
@@ -133,10 +134,10 @@ def _(t):
     return pages.running_lines(t("documents"), "source", "text", 0.02)
 
 
-@query("chk6_stripped_pages", f"with {S_RUN}, k as (select source, list(distinct line) as ks from r group by source) select doc_id, len(case when ks is null then text else array_to_string(list_filter(string_split(text, chr(10)), lambda l: not list_contains(ks, {S_KEY('l')}) and not regexp_matches(l, '^\\s*\\d{{1,4}}\\s*$')), chr(10)) end) as n_chars from documents d left join k on k.source = d.source")
+@query("chk6_stripped_pages", f"with {S_RUN}, k as (select source, list(distinct line) as ks from r group by source) select doc_id, md5(case when ks is null then text else array_to_string(list_filter(string_split(text, chr(10)), lambda l: not list_contains(ks, {S_KEY('l')}) and not regexp_matches(l, '^\\s*\\d{{1,4}}\\s*$')), chr(10)) end) as md5 from documents d left join k on k.source = d.source")
 def _(t):
     docs = t("documents").select("doc_id", "source", "text")
-    return pages.strip_running(docs, pages.running_lines(docs, "source", "text", 0.02), "source").select("doc_id", F.length("text").cast("long").alias("n_chars"))
+    return pages.strip_running(docs, pages.running_lines(docs, "source", "text", 0.02), "source").select("doc_id", F.md5("text").alias("md5"))
 
 
 S_SECT = f"""h as (select doc_id, source, t, list_filter(ls[1:5], lambda x: {s_heading('x')})[1] as h from l),
@@ -145,14 +146,14 @@ g as (select *, case when now <> lag(now) over (partition by source order by doc
 s as (select *, sum(new) over (partition by source order by doc_id rows between unbounded preceding and current row) as section from g)"""
 
 
-@query("chk8_sections", f"with {S_LS}, {S_SECT} select source, section::bigint as section, now as heading, min(doc_id) as page_start, max(doc_id) as page_end, count(*) as pages, sum(len(t) + 2)::bigint - 2 as n_chars from s group by all")
+@query("chk8_sections", f"with {S_LS}, {S_SECT} select source, section::bigint as section, now as heading, min(doc_id) as page_start, max(doc_id) as page_end, count(*) as pages, md5(string_agg(t, chr(10) || chr(10) order by doc_id)) as md5 from s group by all")
 def _(t):
-    return pages.sections(t("documents"), "source", "doc_id").select("source", "section", "heading", "page_start", "page_end", "pages", F.length("text").cast("long").alias("n_chars"))
+    return pages.sections(t("documents"), "source", "doc_id").select("source", "section", "heading", "page_start", "page_end", "pages", F.md5("text").alias("md5"))
 
 
-@query("chk12_captions", "select doc_id, len(regexp_extract_all(text, '(?i)(?:Figure|Fig\\.?)\\s+[\\d\\-\\.]+\\s*[:\\-]\\s*(.+)'))::int as n from documents")
+@query("chk12_captions", f"select doc_id, list_transform(regexp_extract_all(text, '(?i)(?:Figure|Fig\\.?)\\s+[\\d\\-\\.]+\\s*[:\\-]\\s*(.+)'), lambda x: trim(x, {_SP})) as found from documents")
 def _(t):
-    return t("documents").select("doc_id", F.size(pages.captions("text")).alias("n"))
+    return t("documents").select("doc_id", pages.captions("text").alias("found"))
 
 
 @query("chk13_manual_label", "select distinct source, trim(lower(regexp_replace(source, '[^\\w\\-]', '_', 'g')), '_') as label from documents")
@@ -160,26 +161,32 @@ def _(t):
     return t("documents").select("source").distinct().select("source", pages.manual_label(F.concat(F.lit("/x/"), "source", F.lit(".pdf"))).alias("label"))
 
 
-@query("chk14_manual_report", f"""with {S_LS}, k as (select * from l where {S_KEEP}) select 'pages' as stage, count(*) as n, sum(len(text))::bigint as chars from documents
-union all select 'kept', count(*), sum(len(text))::bigint from k""")
+def s_manuals() -> str:
+    """c: the pages that extraction keeps, without running lines."""
+    running = S_RUN.replace("from documents)", "from kp)", 1).replace("from documents group by", "from kp group by").replace("floor(p * 0.02)", "floor(p * 0.3)")
+    clean = f"case when ks is null then text else array_to_string(list_filter(string_split(text, chr(10)), lambda l: not list_contains(ks, {S_KEY('l')}) and not regexp_matches(l, '^\\s*\\d{{1,4}}\\s*$')), chr(10)) end"
+    again = S_SUBST.replace("string_split(t, chr(10))", "string_split(text, chr(10))")
+    return f"""{S_LS}, kp as (select doc_id, source, text from l where {S_KEEP.replace(S_SUBST, again)}), {running}, ks as (select source, list(distinct line) as ks from r group by source),
+x as (select doc_id, source, {clean} as text from kp left join ks using (source)), y as (select *, {s_strip('text')} as t from x), cp as (select * from y where {again})"""
+
+
+@query("chk14_manual_report", f"""with {s_manuals()}, n as (select source, count(*) as total from documents group by source)
+select source as doc, total as num_pages_total, count(doc_id) as num_pages_kept, md5(coalesce(string_agg(t, chr(10) || chr(10) order by doc_id) filter (t <> ''), '')) as md5 from n left join cp using (source) group by all""")
 def _(t):
-    d = t("documents")
-    kept = d.where(pages.keep_page("text"))
-    row = lambda x, name: x.agg(F.lit(name).alias("stage"), F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
-    return row(d, "pages").unionByName(row(kept, "kept"))
+    got = pages.extract_manuals(t("documents").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), "text"))
+    return got["documents"].select("doc", "num_pages_total", "num_pages_kept", F.md5("full_text").alias("md5"))
 
 
 @query("chk15_diagnostic_report")
 def _(t):
     from loomline.plans.prepare import report
 
-    return report(t("documents").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), "text"))
+    return report(t("documents").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), "text"), DOMAIN)
 
 
-@query("chk9_structured_blocks", f"with x as (select doc_id, unnest(regexp_split_to_array(text, '\\n+')) as p from documents) select doc_id, count(*) as n from x where len(list_filter({s_tokens('p', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3 group by doc_id")
+@query("chk9_structured_blocks", f"with x as (select doc_id, list_filter(regexp_split_to_array(text, '\\n+'), lambda p: len(list_filter({s_tokens('p', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3) as ps from documents) select doc_id, len(ps)::int as n, md5(array_to_string(list_transform(ps, lambda p: trim(p, {_SP})), chr(10))) as md5 from x")
 def _(t):
-    parts = t("documents").select("doc_id", F.explode(F.split("text", "\n+")).alias("p"))
-    return parts.where(DOMAIN.structured(F.col("p"))).groupBy("doc_id").agg(F.count("*").alias("n"))
+    return t("documents").select("doc_id", pages.structured_blocks("text", DOMAIN, "\n+").alias("b")).select("doc_id", F.size("b").alias("n"), F.md5(F.array_join("b", "\n")).alias("md5"))
 
 
 # ---- chunking
@@ -221,29 +228,32 @@ def _(t):
     return d.select("doc_id", "seq", F.length("chunk").alias("n_chars"), F.md5("chunk").alias("md5"))
 
 
-@query("chk10_example_parts")
+@query("chk10_example_parts", f"with {S_QA} select seq, md5({s_strip('question')}) as input, md5({s_strip('answer')}) as structured, 'Done.' as output from qa")
 def _(t):
     text = F.concat(F.lit("Input:\n"), "question", F.lit("\n\nProtocol:\n"), "answer", F.lit("\n\nOutput:\nDone."))
     return pairs(t).select("seq", pages.example_parts(text).alias("p")).select("seq", F.md5("p.input").alias("input"), F.md5("p.structured").alias("structured"), "p.output")
 
 
-@query("chk11_section_parts")
+@query("chk11_section_parts", f"with {S_QA} select seq, " + ", ".join(f"md5({ {'description': s_strip('question'), 'syntax': s_strip('answer'), 'notes': "'Take care.'", 'examples': "'One example of it.'"}.get(k, "''") }) as {k}" for k in pages.PART_LABELS) + " from qa")
 def _(t):
     text = F.concat("question", F.lit("\n\nSyntax:\n"), "answer", F.lit("\n\nNotes\n\nTake care.\n\nExample:\nOne example of it."))
-    return pairs(t).select("seq", pages.section_parts(text).alias("p")).select("seq", *(F.size(f"p.{k}").alias(k) for k in pages.PART_LABELS))
+    return pairs(t).select("seq", pages.section_parts(text).alias("p")).select("seq", *(F.md5(F.array_join(f"p.{k}", "|")).alias(k) for k in pages.PART_LABELS))
 
 
 # ---- generation
 
-@query("gen1_chunk_questions", f"""with recursive {s_chunks(0)}, q as (select doc_id, source, seq, chunk, len(list_filter({s_tokens('chunk', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3 as st,
-  string_split(chunk, chr(10) || chr(10)) as ps from c),
-h as (select *, {s_strip('ps[1]')} as head, {s_strip("array_to_string(ps[2:], chr(10) || chr(10))")} as body from q)
-select case when len(ps) >= 2 and len(head) < 150 and len(body) > 30 and {s_heading('head')} then 'heading' when st then 'structured' else 'documentation' end as kind, count(*) as n from h
-where st or len(chunk) > 50 or (len(ps) >= 2 and len(head) < 150 and len(body) > 30 and {s_heading('head')}) group by kind""")
+def s_generated(overlap: int) -> str:
+    """g: question and answer of each chunk that asks something."""
+    return f"""{s_chunks(overlap)}, q as (select doc_id, source, seq, chunk, len(list_filter({s_tokens('chunk', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3 as st, string_split(chunk, chr(10) || chr(10)) as ps from c),
+h as (select *, {s_strip('ps[1]')} as head, {s_strip("array_to_string(ps[2:], chr(10) || chr(10))")} as body from q),
+a as (select *, len(ps) >= 2 and len(head) < 150 and len(body) > 30 and {s_heading('head')} as hd from h),
+g as (select doc_id, seq, source, case when hd then case when ends_with(head, '?') then head else 'What is ' || head || '?' end when st then 'Show me a structured example from ' || source || '.' else 'What does the documentation say about the following from ' || source || '?' end as question, case when hd then body else chunk end as answer from a where hd or st or len(chunk) > 50)"""
+
+
+@query("gen1_chunk_questions", f"with recursive {s_generated(0)} select doc_id as doc, seq::int as chunk, md5(question) as question, md5(answer) as answer from g")
 def _(t):
     p = document_pairs(t("documents"), size=800, overlap=0, separator="\n+", domain=DOMAIN)
-    kind = F.when(F.col("question").startswith("Show me a structured example"), "structured").when(F.col("question").startswith("What does the documentation"), "documentation").otherwise("heading")
-    return p.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+    return p.select("doc", "chunk", F.md5("question").alias("question"), F.md5("answer").alias("answer"))
 
 
 @query("gen2_section_questions")
@@ -254,22 +264,23 @@ def _(t):
 
 def s_general() -> str:
     g = QUESTIONS["general"]
-    tests = " + ".join(f"case when {' or '.join(f'contains(lower(text), $q${s}$q$)' for s in sig)} then {len(g[k])} else 0 end" for k, sig in qa.SIGNALS.items())
-    return f"select doc_id, {len(g['overview']) + len(g['detail'])} + {tests} as n from documents"
+    tests = {"overview": "true", "detail": "true"} | {k: " or ".join(f"contains(lower(text), $q${x}$q$)" for x in sig) for k, sig in qa.SIGNALS.items()}
+    asked = " union all ".join(f"select doc_id, source, text, unnest({s_list(g[k])}) as q from documents where {test}" for k, test in tests.items())
+    return f"select doc_id, md5(replace(q, '{{fn}}', source)) as question, md5(text) as answer from ({asked})"
 
 
 @query("gen3_general_questions", s_general())
 def _(t):
     d = t("documents")
     made = qa.expand(d, qa.general_facts(F.col("source"), F.col("text")), qa.template_table(d.sparkSession, qa.section_templates()), ["doc_id"])
-    return made.groupBy("doc_id").agg(F.count("*").cast("int").alias("n"))
+    return made.select("doc_id", F.md5("question").alias("question"), F.md5("answer").alias("answer"))
 
 
-@query("gen4_section_conversations")
+@query("gen4_section_conversations", f"""with {S_QA} select seq, 'user|What is Topic ' || conv_id || '?|assistant|' || {s_strip('question')} || '|user|What is the syntax for Topic ' || conv_id || '?|assistant|' || {s_strip('answer')} as talk from qa where {s_strip('question')} <> '' and {s_strip('answer')} <> ''""")
 def _(t):
     text = F.concat("question", F.lit("\n\nSyntax:\n"), "answer")
     c = pairs(t).select("seq", qa.section_conversation(F.concat(F.lit("Topic "), "conv_id"), pages.section_parts(text)).alias("c"))
-    return c.where("c is not null").select("seq", F.size("c").alias("turns"))
+    return c.where("c is not null").select("seq", F.array_join(F.transform("c", lambda m: F.concat_ws("|", m["role"], m["content"])), "|").alias("talk"))
 
 
 def nations(t) -> DataFrame:
@@ -289,24 +300,33 @@ def _(t):
 
 
 def s_vocabulary() -> str:
-    def n(g: str, k: str) -> int:
-        return sum(patterns.placeholders(q) == ["fn"] for q in QUESTIONS[g][k])
-
-    fields = n("technical", "description") + n("technical", "category") + n("technical", "use_case") + n("technical", "notes") + n("general", "overview")
-    related = sum(set(patterns.placeholders(q)) == {"fn", "related"} for q in QUESTIONS["technical"]["comparison"])
-    return f"select n_name as source, ({fields} + {related} * 2)::bigint as n from nation"
-
-
-def vocabulary(t) -> DataFrame:
+    """All questions and answers that the nations' entries give: (source, question, answer)."""
+    own = lambda g, k: [q for q in QUESTIONS[g][k] if patterns.placeholders(q) == ["fn"]]
+    described = own("technical", "description") + own("technical", "use_case") + own("technical", "notes") + own("general", "overview")
+    related = [q for q in QUESTIONS["technical"]["comparison"] if set(patterns.placeholders(q)) == {"fn", "related"}]
+    alone = own("technical", "comparison")
+    ask = lambda qs, answer, extra="": f"select n_name as source, replace(unnest({s_list(qs)}), '{{fn}}', n_name) as question, {answer} as answer from e{extra}"
+    parts = [ask(described, "d"), ask(own("technical", "category"), "r_name")]
+    parts.append(f"select source, replace(question, '{{related}}', rel) as question, answer || '\n\nCompare with ' || rel || ' for differences in behavior and use cases.' as answer from (select rel, {ask(related, "n_name || ': ' || d")[7:]}, (select unnest([0, 1]) as i) k, lateral (select case when i = 0 then r_name else 'the sea' end as rel))".replace("'\n\n", "chr(10) || chr(10) || '"))
+    if alone:
+        parts.append(ask(alone, "n_name || ': ' || d", ", (select unnest([0, 1]))"))
+    return "with e as (select n_name, r_name, 'A nation of ' || r_name || '. It trades with many others.' as d from nation join region on n_regionkey = r_regionkey) " + " union all ".join(parts)
+
+
+def vocabulary_entries(t) -> DataFrame:
     n = nations(t).withColumn("domain", F.lit("general")).withColumn("related", F.array("category", F.lit("the sea")))
     for c in ("one_sentence", "syntax", "null_behavior", "performance_tips", "analysis_notes", "errors", "first_example", "source_file"):
         n = n.withColumn(c, F.lit(None).cast("string"))
-    return patterns.vocabulary_qa(n)
+    return n
+
+
+def vocabulary(t) -> DataFrame:
+    return patterns.vocabulary_qa(vocabulary_entries(t))
 
 
 @query("gen10_vocabulary_questions", s_vocabulary())
 def _(t):
-    return vocabulary(t).groupBy("source").agg(F.count("*").alias("n"))
+    return vocabulary(t).select("source", "question", "answer")
 
 
 @query("gen11_comparison_questions", "select n_name as source, 'How does ' || n_name || ' differ from ' || r_name || '?' as question from nation join region on n_regionkey = r_regionkey union all select n_name, 'How does ' || n_name || ' differ from the sea?' from nation")
@@ -314,10 +334,12 @@ def _(t):
     return vocabulary(t).where("question like 'How does % differ from %' and question not like '%other approaches%'").select("source", "question")
 
 
-@query("gen13_placeholders", r"select item_id, regexp_extract_all('What of {fn} and {related} in ' || item_id || '?', '\{(\w+)\}', 1) as names from benchmark")
+_TEMPLATES = [(g, k, q) for g, ks in QUESTIONS.items() for k, qs in ks.items() for q in qs]
+
+
+@query("gen13_placeholders", "select g, k, q, regexp_extract_all(q, '\\{(\\w+)\\}', 1) as names from (values " + ", ".join(f"('{g}', '{k}', {s_list([q])[1:-1]})" for g, k, q in _TEMPLATES) + ") as t(g, k, q)")
 def _(t):
-    q = t("benchmark").select("item_id", F.concat(F.lit("What of {fn} and {related} in "), F.col("item_id").cast("string"), F.lit("?")).alias("q"))
-    return q.select("item_id", F.regexp_extract_all("q", F.lit(r"\{(\w+)\}"), F.lit(1)).alias("names"))
+    return t("region").sparkSession.createDataFrame([(g, k, q, patterns.placeholders(q)) for g, k, q in _TEMPLATES], "g string, k string, q string, names array<string>")
 
 
 # ---- dedup, split
@@ -362,7 +384,7 @@ S_SC = f"""{S_QA}, w as (select *, {s_words('question')} as qw, {s_words('answer
 o as (select *, len(list_intersect(qs, sa)) / greatest(len(qs), 1) as ov, len(aw) / greatest(len(qw), 1) as ra,
   len(list_filter(toks, lambda x: regexp_full_match(x, 'use|run|execute|call|select|insert|update|delete|create|drop|set|get|return|example|below|following|steps?|first|then|finally'))) / greatest(len(aw), 1) as act,
   len(list_filter(toks, lambda x: list_contains({s_list('maybe perhaps might could possibly generally typically usually sometimes often'.split())}, x))) / greatest(len(aw), 1) as hed from w),
-j as (select seq, conv_id, question, answer,
+j as (select seq, conv_id, turn, question, answer,
   case when {s_strip('answer')} = '' then 0.0 else round(least((case when refused then greatest(0.0, ov - 0.4) else ov end) * 0.6::double + least(len(answer) / greatest(len(question) * 1.5::double, 50.0::double), 1.0::double) * 0.4::double, 1.0::double), 4) end as quality,
   case when harmful then 0.0 when refused then 0.6 else 1.0 end::double as safety,
   round(case when ra <= 4 then 1.0::double when ra <= 8 then 1 - (ra - 4) / 8 else greatest(0.0::double, 0.5::double - (ra - 8) / 16) end, 4) as cost,
@@ -380,9 +402,12 @@ for _i, _k in enumerate(curation.SCORES, 1):
     query(f"jdg{_i}_{_k}", f"with {S_SC} select seq, {_k}::double as score from j")(lambda t, k=_k: judged(t).select("seq", F.col(k).cast("double").alias("score")))
 
 
-@query("jdg7_flags", f"""with {S_SC} select seq, list_filter([case when {s_strip('answer')} = '' then 'empty answer' end, case when {s_strip('answer')} <> '' and refused then 'refusal detected' end, case when harmful then 'harmful content detected' end,
+S_FLAGS = f"""list_filter([case when {s_strip('answer')} = '' then 'empty answer' end, case when {s_strip('answer')} <> '' and refused then 'refusal detected' end, case when harmful then 'harmful content detected' end,
   case when not harmful and refused then 'refusal / uncertainty' end, case when ra > 4 and ra <= 8 then 'verbose answer' end, case when ra > 8 then 'very verbose answer' end, case when domain < 0.3 then 'low domain vocabulary coverage' end,
-  case when not coded and not listed and na < 20 then 'very short / unstructured answer' end, case when hed > 0.05 then 'hedging language detected' end], lambda x: x is not null) as flags from j""")
+  case when not coded and not listed and na < 20 then 'very short / unstructured answer' end, case when hed > 0.05 then 'hedging language detected' end], lambda x: x is not null)"""
+
+
+@query("jdg7_flags", f"with {S_SC} select seq, {S_FLAGS} as flags from j")
 def _(t):
     return judged(t).select("seq", "flags")
 
@@ -397,7 +422,8 @@ def _(t):
     return judged(t).select("seq", "confidence", curation.gate(F.col("confidence")).alias("passes"))
 
 
-@query("jdg10_model_scores")
+@query("jdg10_model_scores", f"""with {S_SC}, m as (select *, {S_CONF} as c, {S_FLAGS} as fl from j) select seq, case when turn = 0 then 0.5::double else quality end as quality, case when turn = 0 then 0.5::double else c end as confidence,
+  case when turn = 0 then []::varchar[] else list_append(fl, 'heuristic_fallback') end as flags from m""")
 def _(t):
     import json
 
@@ -484,13 +510,12 @@ def _(t):
     return memory.status_counts(log(t))
 
 
-S_SHORTQ = f"{S_LOG}, q as (select *, split_part(question, ' ', 1) as w from log)"
+S_KEYQ = f"{S_LOG}, k as (select *, trim(regexp_replace(lower(question), '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g'), {_SP}) as key from log)"
 
 
-@query("agg2_frequent_questions", f"with {S_SHORTQ}, k as (select *, trim(regexp_replace(lower(w), '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g'), {_SP}) as key from q) select key, count(*) as n, max_by(w, (timestamp, seq)) as question from k group by key having count(*) >= 2")
+@query("agg2_frequent_questions", f"with {S_KEYQ} select key, count(*) as n, max_by(question, (timestamp, seq)) as question, max_by(answer, (timestamp, seq)) as answer from k group by key having count(*) >= 2")
 def _(t):
-    q = log(t).withColumn("question", F.split("question", " ")[0])
-    return memory.frequent_questions(q).select("key", "n", "question")
+    return memory.frequent_questions(log(t)).select("key", "n", "question", "answer")
 
 
 @query("agg12_question_types", "with q as (select lower(text) as q from conversations where role = 'user') select case " + " ".join("when " + " or ".join(f"starts_with(q, '{k[1:]}')" if k[0] == "^" else f"contains(q, '{k}')" for k in ks) + f" then '{n}'" for n, ks in pages.QUESTION_TYPES) + " end as kind, count(*) as n from q group by kind")
@@ -532,12 +557,18 @@ def tiers(t) -> DataFrame:
     return memory.promote(scored.where("seq % 2 = 0"), scored.where("seq % 2 = 1"), F.lit(1e9), memory.Promotion(threshold=0.4, archive=0.6))
 
 
-@query("str6_promotion")
+S_TIERS = f"""{S_REL}, p as (select a.seq, max(c / (a.n + a.m - c)) as jaccard from (select a.seq, a.n, b.n as m, b.seq as o, count(*)::double as c from (select x.* from x join v using (seq) where x.seq % 2 = 0 and relevance >= 0.4) a join (select * from x where seq % 2 = 1) b on a.w = b.w and a.id <> b.id group by all) a group by a.seq),
+u as (select seq, round(round(least(coalesce(jaccard, 0) * 2, 1.0), 4)::double * 0.3::double + complexity * 0.25::double + effectiveness * 0.25::double + feedback * 0.2::double, 4) as relevance from v left join p using (seq) where seq % 2 = 0 and relevance >= 0.4),
+mt as (select seq, relevance from v where seq % 2 = 1 union all select * from u), mr as (select *, row_number() over (order by seq desc) > 10000 as evicted from mt),
+ti as (select seq, case when evicted or relevance >= 0.6 then 'long_term' else 'mid_term' end as tier, relevance from mr union all select seq, 'short_term', relevance from v where seq % 2 = 0 and relevance < 0.4)"""
+
+
+@query("str6_promotion", f"with {S_TIERS} select seq, tier, relevance from ti")
 def _(t):
     return tiers(t).select("seq", "tier", "relevance")
 
 
-@query("agg4_tier_stats")
+@query("agg4_tier_stats", f"with {S_TIERS} select t.tier, t.capacity, count(seq) as n, coalesce(round(avg(relevance), 4), 0.0) as avg_relevance from (values ('short_term', 500::bigint), ('mid_term', 10000), ('long_term', null)) as t(tier, capacity) left join ti using (tier) group by all")
 def _(t):
     return memory.tier_stats(tiers(t))
 
@@ -547,9 +578,9 @@ def _(t):
     return memory.interactions(log(t), approved_only=True, limit=20).select("seq", "question")
 
 
-@query("snk6_set_approval", f"with {S_LOG} select seq, case when seq = min(seq) over (partition by id) and id::bigint < 20 then true else approved end as approved from log")
+@query("snk6_set_approval", f"with {S_LOG}, u as (select id, max_by(len(answer) > len(question), seq) as said from log group by id) select seq, case when seq = min(seq) over (partition by id) then coalesce(said, approved) else approved end as approved from log left join u using (id)")
 def _(t):
-    updates = log(t).where("cast(id as long) < 20").select("id", F.lit(True).alias("approved")).distinct()
+    updates = log(t).groupBy("id").agg(F.max_by(F.length("answer") > F.length("question"), "seq").alias("approved"))  # each conversation's last answer decides
     return memory.set_approval(log(t), updates).select("seq", "approved")
 
 
@@ -596,9 +627,7 @@ def _(t):
 
 @query("msc9_pick_list", f"with {S_LOG} select id || ' | ' || case when approved then 'approved' when not approved then 'rejected' else 'pending' end || ' ' || timestamp || ' ' || substr(question, 1, 60) as label from log order by seq desc limit 100")
 def _(t):
-    status = F.when(F.col("approved"), "approved").when(~F.col("approved"), "rejected").otherwise("pending")
-    label = F.format_string("%s | %s %s %s", F.col("id"), status, F.col("timestamp"), F.substring("question", 1, 60))
-    return memory.interactions(log(t), limit=100).select(label.alias("label"))
+    return memory.pick_list(log(t))
 
 
 # ---- retrieval
@@ -673,15 +702,20 @@ def _(t):
     return learning.metrics(executions(t)).select("pattern", "recommend")
 
 
+S_SIMPSON = lambda a: f"list_sum(list_transform(range(0, {learning.STEPS + 1}), lambda i: (case when i = 0 or i = {learning.STEPS} then 1 when i % 2 = 1 then 4 else 2 end) * pow(greatest(0.0, cos({a} + (most - {a}) * i / {learning.STEPS})), df - 1)))"
 S_CAN = f"""{S_EV}, ar as (select *, case when ('0x' || substr(md5(event_id::varchar), 1, 6))::bigint / pow(16.0, 6) < 0.3 then 'treatment' else 'control' end as arm from ev),
-ca as (select pattern, avg(success::int) filter (arm = 'control') as c, avg(success::int) filter (arm = 'treatment') as t, count(*) filter (arm = 'control') as n_control, count(*) filter (arm = 'treatment') as n_treatment from ar group by pattern having n_control >= 10 and n_treatment >= 10),
-cr as (select *, case when abs(t - c) > 0.05 then case when t > c then 'promote' else 'rollback' end else 'inconclusive' end as recommendation from ca)"""
+ca as (select pattern, avg(success::int) filter (arm = 'control') as c, avg(success::int) filter (arm = 'treatment') as t, count(*) filter (arm = 'control') as n_control, count(*) filter (arm = 'treatment') as n_treatment,
+  var_samp(success::int) filter (arm = 'control') / count(*) filter (arm = 'control') as va, var_samp(success::int) filter (arm = 'treatment') / count(*) filter (arm = 'treatment') as vb from ar group by pattern having n_control >= 10 and n_treatment >= 10),
+cd as (select *, (va + vb) * (va + vb) / (va * va / (n_control - 1) + vb * vb / (n_treatment - 1)) as df from ca),
+ce as (select *, least(pi() / 2, 12 / sqrt(df)) as most from cd), cf as (select *, least(atan(abs(t - c) / sqrt(va + vb) / sqrt(df)), most) as lo from ce),
+cp as (select *, case when va + vb > 0 then (most - lo) * {S_SIMPSON('lo')} / (most * {S_SIMPSON('0.0::double')}) when t <> c then 0.0 else 'nan'::double end as p from cf),
+cr as (select *, case when p < 0.05 then case when t > c then 'promote' else 'rollback' end else 'inconclusive' end as recommendation from cp)"""
 
 
-@query("agg9_canaries", f"with {S_CAN} select pattern, round(c, 4) as control_sr, round(t, 4) as treatment_sr, recommendation, n_control, n_treatment from cr")
+@query("agg9_canaries", f"with {S_CAN} select pattern, round(c, 4) as control_sr, round(t, 4) as treatment_sr, case when isnan(p) then p else round(p, 4) end as p_value, coalesce(p < 0.05, false) as significant, recommendation, n_control, n_treatment from cr")
 def _(t):
     c = learning.canaries(executions(t), "event_id", learning.Canary(fraction=0.3))
-    return c.select("pattern", "control_sr", "treatment_sr", "recommendation", "n_control", "n_treatment")
+    return c.select("pattern", "control_sr", "treatment_sr", "p_value", "significant", "recommendation", "n_control", "n_treatment")
 
 
 @query("agg10_proposals", f"""with {S_MET}, {S_CAN.replace(S_EV + ', ', '')}, u as (select 0 as o, 'metrics' as source, pattern, recommend as action from mr where recommend in ('PROMOTE', 'DEMOTE', 'REMOVE') and pattern <> 1
@@ -708,7 +742,8 @@ def _(t):
     return learning.breaker_runs(executions(t), cfg=learning.Breaker(failures=2, cooldown=100_000))
 
 
-@query("str5_cycle")
+@query("str5_cycle", f"""with {S_MET}, {S_CAN.replace(S_EV + ', ', '')}, u as (select 0 as o, 'metrics' as source, pattern, recommend as action from mr where recommend in ('PROMOTE', 'DEMOTE', 'REMOVE')
+  union all select 1, 'canary', pattern, case recommendation when 'promote' then 'PROMOTE' else 'ROLLBACK' end from cr where recommendation <> 'inconclusive') select source, pattern, action, 'applied' as status from u order by o, pattern limit 10""")
 def _(t):
     e = executions(t)
     found = learning.proposals(learning.metrics(e), learning.canaries(e, "event_id", learning.Canary(fraction=0.3)))
@@ -748,15 +783,16 @@ def _(t):
     return talks(t).select("conv_id", sinks.from_scratch(F.col("conversations")).alias("line")).where("line is not null")
 
 
-@query("fmt_training_messages", "select conv_id, count(*)::int as n, count(*) filter (role = 'user')::int as users from conversations group by conv_id")
+@query("fmt_training_messages", "select conv_id, md5(string_agg(case when role = 'user' then 'user' else 'assistant' end || ':' || text, chr(10) order by turn)) as md5 from conversations group by conv_id")
 def _(t):
     c = talks(t).select("conv_id", sinks.training_text(F.col("conversations")).alias("m"))
-    return c.select("conv_id", F.size("m").alias("n"), F.size(F.filter("m", lambda x: x["role"] == "user")).alias("users"))
+    return c.select("conv_id", F.md5(F.array_join(F.transform("m", lambda x: F.concat_ws(":", x["role"], x["content"])), "\n")).alias("md5"))
 
 
 @query("snk7_export_approved", f"with {S_LOG} select question, answer from log where approved")
 def _(t):
-    return log(t).where(F.col("approved").eqNullSafe(True)).select("question", "answer")
+    c = lambda i: F.col("conversations")[i]["content"]
+    return sinks.approved_rows(log(t)).select(c(0).alias("question"), c(1).alias("answer"))
 
 
 @query("snk8_upsert_latest", "select o_custkey, max_by(o_orderkey, (o_orderdate, o_orderkey)) as o_orderkey from orders group by o_custkey")
@@ -778,9 +814,7 @@ def _(t):
 
 @query("agg13_size_buckets", "select case when n_chars < 50 then '<50' when n_chars < 200 then '<200' when n_chars < 1000 then '<1000' else '>=1000' end as bucket, count(*) as n, sum(n_chars)::bigint as chars from documents group by bucket")
 def _(t):
-    n = F.col("n_chars")
-    bucket = F.when(n < 50, "<50").when(n < 200, "<200").when(n < 1000, "<1000").otherwise(">=1000")
-    return t("documents").groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+    return curation.size_classes(t("documents"))
 
 
 S_LINES = "ln as (select event_id, '{''loss'': ' || round(value, 2)::varchar || '} step: ' || event_id as value from events)"
@@ -792,34 +826,37 @@ def _(t):
     return readers.log_metrics(lines).select("event_id", "step", F.round("loss", 2).alias("loss"))
 
 
-@query("agg14_loss_summary", "select arg_min(value, event_id) as first_loss, arg_max(value, event_id) as last_loss, min(value) as best_loss, arg_min(event_id, (value, event_id)) as best_step from events")
+@query("agg14_loss_summary", """with g as (select user_id as run, arg_min(value, event_id) as first_loss, arg_max(value, event_id) as last_loss, min(value) as best_loss, arg_max(value / 100, event_id) filter (event_type = 'view' or event_type = 'error') as last_eval_loss from events group by user_id),
+q as (select *, coalesce(last_eval_loss, last_loss) as main, case when first_loss > 0 then (first_loss - last_loss) / first_loss * 100 end as fell from g)
+select run, first_loss, last_loss, best_loss, last_eval_loss, case when last_loss is null then '' when main < 1.2 and coalesce(fell > 40, true) then 'Excellent' when main < 1.8 and coalesce(fell > 25, true) then 'Good' when main < 2.2 and coalesce(fell > 10, true) then 'Okay' when main < 2.8 then 'Fair' else 'Poor' end as quality from q""")
 def _(t):
-    e = t("events")
-    return e.agg(F.min_by("value", "event_id").alias("first_loss"), F.max_by("value", "event_id").alias("last_loss"), F.min("value").alias("best_loss"), F.min_by("event_id", F.struct("value", "event_id")).alias("best_step"))
+    measured = F.when(F.col("event_type").isin("view", "error"), F.col("value") / 100)
+    return learning.loss_runs(t("events").select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss"), measured.alias("eval_loss")))
+
+
+@query("agg14_best_step", "select arg_min(value, event_id) as first_loss, arg_max(value, event_id) as last_loss, min(value) as best_loss, arg_min(event_id, (value, event_id)) as best_step from events")
+def _(t):
+    return learning.loss_summary(t("events").select(F.col("event_id").alias("step"), F.col("value").alias("loss")))
 
 
 @query("flt13_last_lines", "select event_id from events where event_type = 'error' order by event_id desc limit 15")
 def _(t):
-    return t("events").where(F.col("event_type").rlike("(?i)error")).orderBy(F.desc("event_id")).limit(15).select("event_id")
+    return readers.last_matching(t("events"), "(?i)error", 15, "event_id", "event_type").select("event_id")
 
 
 @query("ord10_systematic_sample", "select doc_id from documents, (select greatest(count(*) // 15, 1) as step from documents) where doc_id % step = 0")
 def _(t):
-    d = t("documents")
-    step = d.agg(F.greatest(F.floor(F.count("*") / 15), F.lit(1)).alias("step"))
-    return d.select("doc_id").crossJoin(F.broadcast(step)).where("pmod(doc_id, step) = 0").select("doc_id")
+    return curation.systematic_sample(t("documents").select("doc_id"), 15, "doc_id")
 
 
 @query("set1_union_sources", "select 'documents' as origin, count(*) as n from documents union all select 'conversations', count(*) from conversations union all select 'pages', count(*) from pages")
 def _(t):
-    rows = [t(n).select(F.lit(n).alias("origin")) for n in ("documents", "conversations", "pages")]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy("origin").agg(F.count("*").alias("n"))
+    return sinks.union_sources(**{n: t(n) for n in ("documents", "conversations", "pages")}).groupBy("origin").agg(F.count("*").alias("n"))
 
 
 @query("set3_token_sets", f"with {S_QA}, s as (select seq, list_distinct({s_tokens('question', '[a-z]{3,}')}) as a, list_distinct({s_tokens('answer', '[a-z]{3,}')}) as b from qa) select seq, len(list_intersect(a, b))::int as common, len(list_distinct(list_concat(a, b)))::int as total, (len(a) - len(list_intersect(a, b)))::int as only_question from s")
 def _(t):
-    s = pairs(t).select("seq", *(F.array_distinct(tx.tokens(c, "[a-z]{3,}")).alias(n) for c, n in (("question", "a"), ("answer", "b"))))
-    return s.select("seq", F.size(F.array_intersect("a", "b")).alias("common"), F.size(F.array_union("a", "b")).alias("total"), F.size(F.array_except("a", "b")).alias("only_question"))
+    return pairs(t).select("seq", curation.token_overlap(F.col("question"), F.col("answer")).alias("o")).select("seq", "o.common", "o.total", F.col("o.only_first").alias("only_question"))
 
 
 def _again(df: DataFrame, name: str, write: Callable[[DataFrame, str], None]) -> str:
@@ -913,7 +950,7 @@ def _(t):
 
 @query("flt9_approved", f"with {S_LOG} select seq from log where approved and trim(question) <> '' and trim(answer) <> ''")
 def _(t):
-    return log(t).where(F.col("approved").eqNullSafe(True) & (F.trim("question") != "") & (F.trim("answer") != "")).select("seq")
+    return memory.usable(log(t)).select("seq")
 
 
 @query("flt10_harm_refusal", f"select doc_id, regexp_matches(text, $q${curation.HARM}$q$) as harm, regexp_matches(text, $q${curation.REFUSAL}$q$) as refusal from documents")
@@ -932,10 +969,9 @@ def _(t):
     return library(t).select("name", F.explode(patterns.pattern_conversations()).alias("c")).select("name", F.size("c").alias("messages"), F.col("c")[0]["content"].alias("first"))
 
 
-@query("gen12_vocabulary_conversations", f"select sum(n)::bigint as n, 2::int as messages from ({s_vocabulary()})")
+@query("gen12_vocabulary_conversations", f"select 'user: ' || question || ' assistant: ' || answer as talk from ({s_vocabulary()})")
 def _(t):
-    c = vocabulary(t).select(sinks.sharegpt())
-    return c.groupBy(F.size("conversations").alias("messages")).agg(F.count("*").alias("n"))
+    return vocabulary(t).select(sinks.sharegpt()).select(F.array_join(F.transform("conversations", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), " ").alias("talk"))
 
 
 def library(t) -> DataFrame:
@@ -999,32 +1035,270 @@ select pattern, action, rank, case when rank = 1 then 'approved' else 'pending'
 def _(t):
     found = learning.metrics(executions(t))
     p = learning.apply_proposals(learning.proposals(found, learning.canaries(executions(t), "event_id").limit(0)), "human_approval")
-    first = p.where("rank = 1").select(F.col("pattern").alias("_p"))
-    out = p.join(F.broadcast(first), how="cross")
-    return out.select("pattern", "action", "rank", F.when(F.col("pattern") == F.col("_p"), "approved").otherwise(F.col("status")).alias("status"))
+    first = p.where("rank = 1").select(F.col("pattern").alias("_p"))  # one row
+    return learning.approve(p.crossJoin(F.broadcast(first)), F.col("_p")).select("pattern", "action", "rank", "status")
 
 
-@query("msc10_frequent_view", f"with {S_SHORTQ}, k as (select *, trim(regexp_replace(lower(w), '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g'), {_SP}) as key from q) select key, count(*) as n from k group by key having count(*) >= 2 order by n desc, max(seq) desc limit 20")
+@query("msc6_history", f"""with {S_MET}, u as (select pattern, recommend as action, row_number() over (order by pattern)::int as rank from mr where recommend in ('PROMOTE', 'DEMOTE', 'REMOVE') qualify rank <= 10)
+select 'history' as place, pattern, rank from u where rank = 1 union all select 'pending', pattern, rank from u where rank > 1""")
 def _(t):
-    q = log(t).withColumn("question", F.split("question", " ")[0])
-    return memory.frequent_questions(q).limit(20).select("key", "n")
+    p = learning.apply_proposals(learning.proposals(learning.metrics(executions(t)), learning.canaries(executions(t), "event_id").limit(0)), "human_approval")
+    done = learning.approve(p.crossJoin(F.broadcast(p.where("rank = 1").select(F.col("pattern").alias("_p")))), F.col("_p"))
+    row = lambda df, name: df.select(F.lit(name).alias("place"), "pattern", "rank")
+    return row(learning.history(done), "history").unionByName(row(learning.pending(done), "pending"))
+
+
+@query("msc10_frequent_view", f"with {S_KEYQ} select key, count(*) as n, max_by(question, (timestamp, seq)) as question from k group by key having count(*) >= 2 order by n desc, max(seq) desc limit 20")
+def _(t):
+    return memory.frequent_questions(log(t)).limit(20).select("key", "n", "question")
 
 
 @query("msc11_approval_gate", "select count(*) > 0 as ready from documents")
 def _(t):
-    return t("documents").agg((F.count("*") > 0).alias("ready"))
+    return curation.ready(t("documents"))
+
+
+# ---- files, streams, listings
+
+@query("src3_library", "select r_name as name, 2::int as uses from region where r_regionkey % 2 = 0")
+def _(t):
+    """A flat folder: files of its sub-folders aren't entries."""
+    d = t("region")
+    y = F.when(F.col("r_regionkey") % 2 == 0, F.format_string("name: %s\nuse_cases: [first, second]", "r_name")).otherwise("use_cases: [nameless]")
+    path = _again(d.select(y.alias("value")).repartition(5, "value"), "library", lambda x, at: x.write.option("maxRecordsPerFile", 1).text(at))
+    _write_under(d.select(y.alias("value")), f"{path}/deeper")
+    return readers.read_library(d.sparkSession, path, "*.txt").select("name", F.size("use_cases").alias("uses"))
+
+
+def _write_under(df: DataFrame, path: str) -> None:
+    df.write.option("maxRecordsPerFile", 1).text(path)
+
+
+S_PAPER = "select n_nationkey as k, case when n_nationkey % 3 = 0 then 'too short' else 'About ' || n_name || chr(10) || 'It is one of many nations that trade with each other.' || chr(10) || 'Goods go by ship, by train and by truck; orders come in every day of the year.' end as body from nation"
+
+
+def _page_texts(content: bytes) -> list[str]:
+    return content.decode().strip().split("\f")
+
+
+def _no_odd(content: bytes) -> list[str]:
+    if b"key 1" in content:
+        raise ValueError("damaged")
+    return _page_texts(content)
+
+
+@query("src8_parser_chain", f"with p as ({S_PAPER}) select case when k % 3 = 0 or k % 2 = 1 then 'recognised' else 'standard' end as method, 2::int as num_pages, md5('key ' || k % 2 || chr(10) || chr(10) || body) as md5 from p")
+def _(t):
+    n = F.col("n_nationkey")
+    body = F.when(n % 3 == 0, "too short").otherwise(F.concat(F.lit("About "), "n_name", F.lit("\nIt is one of many nations that trade with each other.\nGoods go by ship, by train and by truck; orders come in every day of the year.")))
+    paper = t("nation").select(F.concat(F.lit("key "), (n % 2).cast("string"), F.lit("\f"), body).alias("value"), n.alias("n"))
+    path = _again(paper.repartition(25, "n").select("value"), "papers", lambda d, at: d.write.option("maxRecordsPerFile", 1).text(at))
+    got = readers.read_documents(paper.sparkSession, path, [("standard", _no_odd), ("recognised", _page_texts)], "*.txt")
+    return got.select("method", "num_pages", F.md5("full_text").alias("md5"))
+
+
+@query("src11_document_folder", f"with p as ({S_PAPER}) select count(*) as n from p where k % 3 <> 0 and k % 2 = 0")
+def _(t):
+    """With one parser that is a recognition and fails on half of the files: failed documents have no text and go."""
+    n = F.col("n_nationkey")
+    paper = t("nation").where(n % 3 != 0).select(F.concat(F.lit("key "), (n % 2).cast("string"), F.lit("\f"), F.lit("text")).alias("value"), n.alias("n"))
+    path = _again(paper.repartition(25, "n").select("value"), "papers", lambda d, at: d.write.option("maxRecordsPerFile", 1).text(at))
+    return readers.read_document_folder(paper.sparkSession, path, [("only", _no_odd)], "*.txt").agg(F.count("*").alias("n"))
+
+
+@query("src13_config", "select * from (values ('chunk_overlap', '150'), ('chunk_size', '800'), ('seed', '7'), ('val_ratio', '0.15')) as t(key, value)")
+def _(t):
+    from loomline.functions.config import load_config, merged
+
+    prep = merged(load_config()["data_prep"], seed=7, chunk_size=None)
+    return t("region").sparkSession.createDataFrame([(k, str(v)) for k, v in prep.items()], "key string, value string")
+
+
+@query("src15_follow_lines", "select event_type || ' ' || event_id as value from events")
+def _(t):
+    lines = t("events").select(F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("value"))
+    spark, path, out = lines.sparkSession, _again(lines, "lines", lambda d, at: d.write.text(at)), scratch_path(lines.sparkSession, "followed")
+    stream = readers.follow_lines(spark, path).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start()
+    stream.awaitTermination()
+    return spark.read.schema("value string").parquet(out)
+
+
+@query("str1_interaction_log", f"with {S_LOG} select id, question, approved from log")
+def _(t):
+    rows = log(t).drop("seq")
+    spark = rows.sparkSession
+    path, out = _again(rows.select(F.to_json(F.struct("*")).alias("value")), "log", lambda d, at: d.write.text(at)), scratch_path(spark, "appended")
+    jobs.append_log(readers.read_interactions(spark, path, stream=True), out, f"{out}-state").awaitTermination()
+    return readers.read_interactions(spark, out).select("id", "question", "approved")
+
+
+@query("str3_running_metrics", f"with {S_MET} select pattern, total_uses, success_count, round(sr, 4) as success_rate, recommend from mr")
+def _(t):
+    e = executions(t).select("pattern", "success", "cost_tokens", "latency_ms")
+    spark, path = e.sparkSession, _again(e, "executions", lambda d, at: d.write.parquet(at))
+    name = f"metrics_{path.rpartition('-')[2]}"
+    jobs.running_metrics(spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 4).parquet(path), name, f"{path}-state").awaitTermination()
+    return spark.table(name).select("pattern", "total_uses", "success_count", "success_rate", "recommend")
+
+
+@query("str13_log_phases", """with x as (select user_id as run, event_id as seq, case event_id % 7 when 0 then 'Loading dataset' when 1 then 'Starting training: 10 examples' when 2 then 'Merging LoRA weights' end as said, case when event_id % 7 = 3 then event_id end as step from events)
+select run, seq, case coalesce(last_value(said ignore nulls) over w, '') when 'Loading dataset' then 'dataset' when 'Starting training: 10 examples' then 'training' when 'Merging LoRA weights' then 'saving' else 'loading' end as phase, coalesce(last_value(step ignore nulls) over w, 0) as at_step
+from x window w as (partition by run order by seq rows between unbounded preceding and current row)""")
+def _(t):
+    k = F.col("event_id") % 7
+    said = F.when(k == 0, "Loading dataset").when(k == 1, "Starting training: 10 examples").when(k == 2, "Merging LoRA weights").when(k == 3, F.concat(F.lit("step: "), F.col("event_id").cast("string"))).otherwise("...")
+    return readers.log_phases(t("events").select(F.col("user_id").alias("run"), F.col("event_id").alias("seq"), said.alias("value"))).select("run", "seq", "phase", "at_step")
+
+
+@query("snk4_by_manual", f"with {S_QA}, k as (select *, row_number() over (order by md5('42' || chr(31) || seq), seq) > count(*) over () - greatest(1, floor(count(*) over () * 0.15)) as val from qa) select 'manual_' || conv_id % 3 as label, case when val then 'val' else 'train' end as split, question as instruction, answer as output from k")
+def _(t):
+    p = curation.split_train_val(pairs(t), ["seq"]).withColumn("label", F.concat(F.lit("manual_"), (F.col("conv_id") % 3).cast("string")))
+    path = _again(p, "manuals", lambda d, at: write({"pairs": d}, at, ("alpaca",), ("label", "split")))
+    return p.sparkSession.read.json(f"{path}/alpaca").select("label", "split", "instruction", "output")
+
+
+@query("snk15_snapshot", f"with {S_QA} select question, answer from qa where conv_id % 2 = 0")
+def _(t):
+    """A dataset is saved, overwritten, and restored."""
+    p = pairs(t)
+    spark, path = p.sparkSession, _again(p.where("conv_id % 2 = 0").select("question", "answer"), "dataset", lambda d, at: d.write.parquet(at))
+    sinks.snapshot(spark, path, f"{path}-saved")
+    p.select("question").write.mode("overwrite").parquet(path)
+    sinks.restore(spark, f"{path}-saved", path)
+    return spark.read.schema("question string, answer string").parquet(path)
+
+
+@query("gen14_answers_of_any_shape", "select r_name as name, 'one of ' || r_name || chr(10) || 'two' as description, 'a: b' || chr(10) || 'c: d' as syntax, 'error: e; cause: c' as errors, null as category from region")
+def _(t):
+    d = t("region")
+    y = F.format_string("topics:\n  - name: %s\n    description: [one of %s, two]\n    syntax: {a: b, c: d}\n    common_errors: [{error: e, cause: c}]\n    category: []", "r_name", "r_name")
+    path = _again(d.select(y.alias("value")).repartition(5, "value"), "vocabulary", lambda x, at: x.write.option("maxRecordsPerFile", 1).text(at))
+    return readers.read_vocabularies(d.sparkSession, path, "*.txt").select("name", "description", "syntax", "errors", "category")
+
+
+@query("gen18_formatting", "select n_name as name, chr(10) || '- ' || n_name || chr(10) || '- ' || r_name as listed, '**' || n_name || '** (type: nation) (optional) — one of ' || r_name || ' Example: ' || n_nationkey as parameter from nation join region on n_regionkey = r_regionkey")
+def _(t):
+    n = nations(t)
+    p = F.struct(F.col("name"), F.lit("nation").alias("type"), F.lit(False).alias("required"), F.concat(F.lit("one of "), "category").alias("description"), F.col("entry").cast("string").alias("example"), F.lit(None).cast("string").alias("default"))
+    return n.select("name", tx.bullets(F.array("name", "category")).alias("listed"), patterns.shown_parameter(p).alias("parameter"))
+
+
+@query("set2_multiturn_union", f"""with {S_LOG}, m as (select timestamp || '/' || id as k from log where approved and trim(question) <> '' and trim(answer) <> ''), v as (select distinct {S_FP('question || chr(10) || answer')} as fp from ({s_vocabulary()}))
+select '0' as part, count(*) as n from v union all select '2', count(*) from m""")
+def _(t):
+    from loomline.plans.prepare import prepare
+
+    made = prepare(vocabularies=vocabulary_entries(t), memory=log(t))["multiturn"]
+    return made.groupBy(F.substring("seq", 1, 1).alias("part")).agg(F.count("*").alias("n"))
+
+
+@query("jn11_by_id", f"with {S_LOG} select seq, question from log where id = '3'")
+def _(t):
+    return memory.by_id(log(t), "3").select("seq", "question")
+
+
+@query("cur3_added_pattern", f"select doc_id, case when regexp_matches(text, '(?i)the\\s+[a-z]{{4}}\\b') then 'article' else {S_BEST} end as name from documents")
+def _(t):
+    bank = curation.add_pattern(curation.MEDICAL_PATTERNS, curation.ErrorPattern("article", r"the\s+[a-z]{4}\b", 0.99))
+    return t("documents").select("doc_id", curation.best_match(F.col("text"), bank)["name"].alias("name"))
+
+
+@query("cur5_text_keys", S_CUR)
+def _(t):
+    """The text is found under the first name there is."""
+    return curation.curriculum(t("documents").select("doc_id", F.col("text").alias("content"), F.lit("not this").alias("instruction"))).select("doc_id", "confidence")
+
+
+@query("msc3_alias_questions", "select n_name as name, 'What is Land of ' || n_name || '?' as question, 'A nation of ' || r_name || '. It trades with many others.' as answer from nation join region on n_regionkey = r_regionkey where n_nationkey % 2 = 0")
+def _(t):
+    alias = F.when(F.col("entry") % 2 == 0, F.concat(F.lit("Land of "), "name")).otherwise(F.lower("name"))  # in other capitals it is no alias
+    made = patterns.pattern_qa(library(t).withColumn("pattern_alias", alias), ["name"])
+    return made.where(F.col("question").startswith("What is Land of") | (F.col("question") == F.concat(F.lit("What is "), F.lower("name"), F.lit("?")))).select("name", "question", "answer")
+
+
+@query("msc8_messages", f"""with k as (select conv_id, turn, role, text, {S_TOK('text')} as tokens from conversations), l as (select *, (turn = max(turn) over (partition by conv_id) or sum(tokens) over (partition by conv_id order by turn rows between current row and unbounded following) <= 120) as live from k)
+select conv_id, list(role || ':' || text order by turn) as said from l where live group by conv_id""")
+def _(t):
+    m = memory.messages(t("conversations"), "conv_id", budget=120)
+    return m.select("conv_id", F.transform("messages", lambda x: F.concat_ws(":", x["role"], x["content"])).alias("said"))
+
+
+@query("str12_segment_stats", f"""with k as (select conv_id, turn, {S_TOK('text')} as tokens from conversations where conv_id % 3 <> 0), l as (select *, (turn = max(turn) over (partition by conv_id) or sum(tokens) over (partition by conv_id order by turn rows between current row and unbounded following) <= 120) as live from k)
+select conv_id, count(*) as messages, count(*) filter (live) as l1_messages, coalesce(sum(tokens) filter (live), 0)::bigint as l1_tokens, round(coalesce(sum(tokens) filter (live), 0) / 120, 4) as l1_share from l group by conv_id""")
+def _(t):
+    c = t("conversations")
+    kept = memory.cleared(c, c.where("conv_id % 3 = 0"), "conv_id")
+    return memory.segment_stats(kept, "conv_id", budgets=memory.Budgets(l1=120))
+
+
+@query("str11_kernel", "with k as (select conv_id, list('turn ' || turn || ': ' || text order by turn) as ls, list(text order by turn) as vs from conversations group by conv_id) select conv_id, array_to_string(ls, chr(10)) as kernel from k where floor(len(list_filter(regexp_split_to_array(array_to_string(ls, chr(10)), '\\s+'), lambda w: w <> '')) * 1.3::double) <= 60")
+def _(t):
+    rows = F.array_sort(F.collect_list(F.struct("turn", F.concat(F.lit("turn "), F.col("turn").cast("string")).alias("key"), F.col("text").alias("value"))))
+    k = t("conversations").groupBy("conv_id").agg(F.transform(rows, lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value"))).alias("kv"))
+    whole = F.array_join(F.transform("kv", lambda x: F.concat_ws(": ", x["key"], x["value"])), "\n")
+    return k.where(tx.token_estimate(whole) <= 60).select("conv_id", memory.kernel(F.col("kv"), 60).alias("kernel"))
+
+
+@query("agg12_view_types", "with q as (select lower(text) as q from conversations where role = 'user') select case " + " ".join("when " + " or ".join(f"starts_with(q, '{k[1:]}')" if k[0] == "^" else f"contains(q, '{k}')" for k in ks) + f" then '{n}'" for n, ks in pages.QUESTION_TYPES_VIEW) + " end as kind, count(*) as n from q group by kind")
+def _(t):
+    return t("conversations").where("role = 'user'").groupBy(pages.question_type("text", view=True).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query("jdg10_messages", f"with {S_QA} select seq, 'QUESTION: ' || {s_strip('question')} || chr(10) || chr(10) || 'ANSWER: ' || {s_strip('answer')} as asked, 2::int as messages from qa where {s_strip('question')} <> '' and {s_strip('answer')} <> ''")
+def _(t):
+    m = pairs(t).select("seq", curation.judge_messages(F.col("question"), F.col("answer")).alias("m")).where("m is not null")
+    return m.select("seq", F.col("m")[1]["content"].alias("asked"), F.size("m").alias("messages"))
+
+
+@query("jdg12_backend", f"with {S_SC} select seq, case when contains(answer, 'the') then 0.75::double else quality end as quality, not contains(answer, 'the') as fell_back from j")
+def _(t):
+    """A backend that answers some chats and fails on others."""
+    def complete(chat: list[dict]) -> str:
+        if "the" not in chat[1]["content"].partition("ANSWER: ")[2]:
+            raise ValueError("no reply")
+        return '{"quality": 0.75, "safety": 1, "cost": 1, "domain": 1, "performance": 1, "usability": 1}'
+
+    j = curation.model_judged(pairs(t), curation.local_backend(complete), keywords=KEYWORDS)
+    return j.select("seq", "quality", F.array_contains("flags", "heuristic_fallback").alias("fell_back"))
+
+
+@query("ret5_cached_index", ORACLES["tfi5_search"])
+def _(t):
+    docs = t("documents").select("doc_id", "text")
+    index = retrieval.TfidfIndex.build(docs, scratch_path(docs.sparkSession, "tfidf"), "doc_id", "text")
+    index.reload()
+    return index.search(t("benchmark").select("item_id", F.col("text").alias("query")), "item_id", "query")
+
+
+@query("msc12_first_training_file", "select 'role=assistant' as folder")
+def _(t):
+    c = t("conversations").select("role", "text")
+    path = _again(c, "files", lambda d, at: d.coalesce(1).write.partitionBy("role").text(at))
+    found = readers.first_training_file(c.sparkSession, path, "part-*.txt")
+    return c.sparkSession.createDataFrame([(found.split("/")[-2],)], "folder string")
+
+
+@query("msc13_artifacts", "select 'role=' || role as artifact, true as filled, null as metadata from conversations group by role")
+def _(t):
+    c = t("conversations").select("role", "text")
+    path = _again(c, "artifacts", lambda d, at: d.write.partitionBy("role").text(at))
+    return readers.artifacts(c.sparkSession, path).select("artifact", (F.col("bytes") > 0).alias("filled"), F.col("metadata").cast("string").alias("metadata"))
+
+
+@query("msc14_uploads", "select count(distinct r_name) as n from region")
+def _(t):
+    r = t("region").select("r_name")
+    path = _again(r.repartition(5, "r_name"), "uploads", lambda d, at: d.write.option("maxRecordsPerFile", 1).csv(at))
+    r.coalesce(1).write.mode("append").text(path)
+    return readers.uploads(r.sparkSession, path).agg(F.count("*").alias("n"))
 
 
 # ---- flagship
 
-@query("flagship_prepare", f"""with recursive {s_chunks(150)}, q as (select doc_id, source, seq, chunk, len(list_filter({s_tokens('chunk', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3 as st, string_split(chunk, chr(10) || chr(10)) as ps from c),
-h as (select *, {s_strip('ps[1]')} as head, {s_strip("array_to_string(ps[2:], chr(10) || chr(10))")} as body from q),
-a as (select *, len(ps) >= 2 and len(head) < 150 and len(body) > 30 and {s_heading('head')} as hd from h),
-g as (select source, case when hd then 'What is ' || head || '?' when st then 'Show me a structured example from ' || source || '.' else 'What does the documentation say about the following from ' || source || '?' end as question, case when hd then body else chunk end as answer from a where hd or st or len(chunk) > 50),
+@query("flagship_prepare", f"""with recursive {s_generated(150)},
 u as (select distinct source, {S_FP('question || chr(10) || answer')} as fp from g), n as (select count(*) as n from u)
 select 'train' as split, (n - greatest(1, floor(n * 0.15)))::bigint as n from n union all select 'val', greatest(1, floor(n * 0.15))::bigint from n""")
 def _(t):
-    d = t("documents")
-    p = document_pairs(d, size=800, overlap=150, separator="\n+", domain=DOMAIN).join(d.select(F.col("doc_id").alias("doc"), "source"), "doc")
+    p = document_pairs(t("documents"), size=800, overlap=150, separator="\n+", domain=DOMAIN)
     kept = curation.dedup_first(p, within=["source"], order=["doc", "chunk", "part"])
     return curation.split_train_val(kept, ["doc", "chunk", "part"]).groupBy("split").agg(F.count("*").alias("n"))

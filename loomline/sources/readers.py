@@ -6,14 +6,15 @@ Files are listed and read by Spark alone, so any store works. Malformed rows and
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.text import strip
 from loomline.operators.memory import RECORD
+from loomline.operators.pages import valid_text
 from loomline.operators.patterns import ENTRY, PATTERN
 
 
@@ -139,13 +140,13 @@ def read_patterns(spark: SparkSession, path: str) -> DataFrame:
     return read_yaml(spark, path, _named, PATTERN, recursive=True)
 
 
-def read_library(spark: SparkSession, path: str) -> DataFrame:
+def read_library(spark: SparkSession, path: str, glob: str = "*.yaml") -> DataFrame:
     """A flat library folder; files whose name starts with _ aren't entries."""
-    return read_yaml(spark, path, _named, PATTERN)
+    return read_yaml(spark, path, _named, PATTERN, glob=glob)
 
 
-def read_vocabularies(spark: SparkSession, path: str) -> DataFrame:
-    return read_yaml(spark, path, vocabulary_records, ENTRY, glob="*_vocabulary.yaml")
+def read_vocabularies(spark: SparkSession, path: str, glob: str = "*_vocabulary.yaml") -> DataFrame:
+    return read_yaml(spark, path, vocabulary_records, ENTRY, glob=glob)
 
 
 def read_interactions(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
@@ -214,11 +215,101 @@ def read_pages(spark: SparkSession, path: str, parser: Callable[[bytes], list[st
     return files.mapInPandas(run, "doc string, page int, text string")
 
 
-# What a training log's lines say.
+def read_documents(spark: SparkSession, path: str, parsers: Sequence[tuple[str, Callable[[bytes], list[str]]]], glob: str = "*.pdf", least: int = 100) -> DataFrame:
+    """(source_file, method, num_pages, pages, full_text) of binary documents by a chain of parsers (name, bytes -> texts of pages).
+
+    A parser's text counts if it has over `least` characters and is valid text; the last one's, by custom optical
+    recognition, as it is. A parser that fails gives way to the next; with none left the method is `failed`.
+    """
+    last = len(parsers) - 1
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([(p, *_parsed(bytes(c), parsers)) for p, c in zip(batch["path"], batch["content"])], columns=["path", "tried"])
+
+    def _parsed(content: bytes, chain) -> tuple[list[dict]]:
+        tried = []
+        for i, (name, parse) in enumerate(chain):
+            try:
+                pages = [t.strip() for t in parse(content)]
+            except Exception:  # the next one may do
+                continue
+            tried.append({"method": name, "final": i == last, "pages": pages})
+        return (tried,)
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
+    got = files.mapInPandas(run, "path string, tried array<struct<method:string,final:boolean,pages:array<string>>>")
+    text = lambda x: F.array_join(F.filter(x["pages"], lambda t: t != ""), "\n\n")
+    good = F.try_element_at(F.filter("tried", lambda x: x["final"] | ((F.length(strip(text(x))) > least) & valid_text(text(x)))), F.lit(1))
+    out = got.withColumn("good", good)
+    none = F.array().cast("array<string>")
+    return out.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("source_file"), F.coalesce("good.method", F.lit("failed")).alias("method"), F.coalesce(F.size("good.pages"), F.lit(0)).alias("num_pages"), F.coalesce("good.pages", none).alias("pages"), F.coalesce(text(F.col("good")), F.lit("")).alias("full_text"))
+
+
+def read_document_folder(spark: SparkSession, path: str, parsers: Sequence[tuple[str, Callable[[bytes], list[str]]]], glob: str = "*.pdf") -> DataFrame:
+    """read_documents() without documents that have no text."""
+    return read_documents(spark, path, parsers, glob).where("full_text <> ''")
+
+
+def read_table(spark: SparkSession, path: str, least: int = 4 << 20) -> DataFrame:
+    """A Parquet table. One that is too small for a split a core (its files may hold a single row group, which is one
+    task whatever it takes) but above `least` bytes is dealt over the cores; larger ones are read as they lie."""
+    df, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    return df.repartition(cores) if least <= size < cores * least else df
+
+
+def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:
+    """(name, path, bytes, modified) of the files of a folder, by name; contents aren't read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(path)
+    return files.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")).orderBy("name", "path")
+
+
+def uploads(spark: SparkSession, path: str) -> DataFrame:
+    """The documents and tables among a folder's files."""
+    return list_files(spark, path, "*.{pdf,csv}")
+
+
+def first_training_file(spark: SparkSession, path: str, name: str = "train_alpaca.jsonl") -> str | None:
+    """The path of the first such file: one at the root comes before those of sub-folders, and these go by name."""
+    depth = F.size(F.split("path", "/"))
+    found = list_files(spark, path, name, True).orderBy(depth, "path").select("path").first()
+    return found["path"] if found else None
+
+
+def artifacts(spark: SparkSession, path: str, metadata: str = "metadata.json") -> DataFrame:
+    """(artifact, files, bytes, metadata) of each sub-folder: the number and size of its files, and its metadata file as JSON text."""
+    files = list_files(spark, path, "*", True).select(F.regexp_extract("path", r"([^/]*)/[^/]*$", 1).alias("artifact"), "bytes", "path", "name")
+    facts = files.groupBy("artifact").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+    own = files.where(F.col("name") == metadata)
+    if own.isEmpty():
+        return facts.withColumn("metadata", F.lit(None).cast("string"))
+    said = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", metadata).text(path).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)/[^/]*$", 1).alias("artifact"), F.col("value").alias("metadata"))
+    return facts.join(said, "artifact", "left")
+
+
+# What a training log's lines say, and the lines that open its phases.
+PHASES = (("loading", r"Loading base model:"), ("lora", r"Adding LoRA adapters"), ("dataset", r"Loading dataset"), ("training", r"Starting training: (\d+) examples"), ("saving", r"Merging LoRA weights"))
 STEP, LOSS, METRIC = r"(?:step|Step)\s*[:=]?\s*(\d+)", r"'?(?<!eval_)loss'?\s*[:=]\s*([0-9.]+(?:e-?\d+)?)", r"'?eval_loss'?\s*[:=]\s*([0-9.]+(?:e-?\d+)?)"
 
 
 def log_metrics(lines: DataFrame, line: str = "value") -> DataFrame:
-    """lines with step, loss and eval_loss where they say so. Works on streams."""
+    """lines with step, loss and eval_loss where they say so, and the phase that a line opens. Works on streams."""
     pick = lambda p, t: F.regexp_extract(line, p, 1).try_cast(t)
-    return lines.withColumn("step", pick(STEP, "long")).withColumn("loss", pick(LOSS, "double")).withColumn("eval_loss", pick(METRIC, "double"))
+    opened = F.lit(None).cast("string")
+    for name, pattern in reversed(PHASES):
+        opened = F.when(F.col(line).rlike(pattern), name).otherwise(opened)
+    return lines.withColumn("step", pick(STEP, "long")).withColumn("loss", pick(LOSS, "double")).withColumn("eval_loss", pick(METRIC, "double")).withColumn("opens", opened)
+
+
+def log_phases(lines: DataFrame, run: str = "run", seq: str = "seq", line: str = "value") -> DataFrame:
+    """log_metrics() with the phase and the step that each line of a run falls in: the last ones said before or in it; a run begins with loading, at step 0."""
+    so_far = Window.partitionBy(run).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = lambda c, first: F.coalesce(F.last(c, ignorenulls=True).over(so_far), F.lit(first))
+    return log_metrics(lines, line).withColumn("phase", last("opens", "loading")).withColumn("at_step", last("step", 0)).drop("opens")
+
+
+def last_matching(lines: DataFrame, pattern: str, n: int = 15, seq: str = "seq", line: str = "value") -> DataFrame:
+    """The last n lines that match, newest first: a top-k."""
+    return lines.where(F.col(line).rlike(pattern)).orderBy(F.desc(seq)).limit(n)

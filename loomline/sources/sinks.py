@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.text import col
@@ -60,7 +60,7 @@ def append_records(df: DataFrame, path: str) -> None:
 
 def export_approved(log: DataFrame, path: str, seq: str = "seq") -> int:
     """Approved interactions as conversations, oldest first; no file for none."""
-    rows = log.where(F.col("approved").eqNullSafe(True)).select(F.col(seq).alias("_seq"), sharegpt())
+    rows = approved_rows(log, seq)
     n = rows.count()
     if n:
         write_jsonl(rows.sort("_seq"), path, order=["_seq"])
@@ -101,6 +101,35 @@ def library_stats(index: DataFrame) -> tuple[DataFrame, DataFrame]:
     return index.agg(F.count("*").alias("total_patterns"), F.coalesce(F.sum("qa_count"), F.lit(0)).alias("total_qa_pairs")), index.groupBy(kind).agg(F.count("*").alias("n"))
 
 
+def snapshot(spark: SparkSession, source: str, target: str) -> None:
+    """A copy of a dataset's folder, file by file, by the store that holds it; an older copy at the target gives way."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    if not a.getFileSystem(conf).exists(a):
+        raise FileNotFoundError(source)
+    b.getFileSystem(conf).delete(b, True)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf)
+
+
+def restore(spark: SparkSession, saved: str, target: str) -> None:
+    """The dataset's folder as it was at the snapshot."""
+    snapshot(spark, saved, target)
+
+
+def union_sources(**sources: DataFrame) -> DataFrame:
+    """All rows with `origin`, the name they are given under; columns that a source lacks are null."""
+    out = None
+    for name, df in sources.items():
+        rows = df.withColumn("origin", F.lit(name))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+def approved_rows(log: DataFrame, seq: str = "seq") -> DataFrame:
+    """What export_approved() writes, with its order."""
+    return log.where(F.col("approved").eqNullSafe(True)).select(F.col(seq).alias("_seq"), sharegpt())
+
+
 def concat_jsonl(first: DataFrame, *rest: DataFrame) -> DataFrame:
     """The non-blank lines of all, as they are."""
     for r in rest:

@@ -1,5 +1,6 @@
 import json
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,7 +125,14 @@ def test_manuals(spark):
     assert one(spark, pages.manual_label("t"), t="/m/My Manual.v2.pdf") == "my_manual_v2"
     made = prepare.prepare_manuals(manual(spark))
     assert made["pairs"].where("split = 'val'").count() >= 1 and made["pairs"].select("label").distinct().first().label == "my_manual"
-    assert prepare.report(manual(spark)).count() == 4
+    report = {(r.stage, r.name): r for r in prepare.report(manual(spark)).collect()}
+    whole = got["documents"].first().full_text
+    assert (report["pages", "all"].n, report["pages", "kept"].n, report["sections", "all"].n) == (9, 8, 2) and report["documents", "all"].max_chars == len(whole)
+    typed = qa.section_qa(got["sections"], ["doc", "section"]).collect()
+    assert report["questions", "all"].n == len(typed) and report["questions", "different"].n == len({(r.question.lower(), r.answer[:400]) for r in typed})
+    kinds = {name: r.n for (stage, name), r in report.items() if stage == "question kinds"}
+    assert sum(kinds.values()) == report["questions", "different"].n and kinds["What is / Describe / Purpose"] > 0
+    assert report["chunks", "plain"].n == len(plain_chunks(whole, 800, 150)) and report["chunks", "aware"].n >= 1
 
 
 def test_example_parts(spark):
@@ -340,8 +348,11 @@ def test_memory(spark, tmp_path):
     assert [r[i].frequency for i in range(3)] == [0.0, 1.0, 0.0] and [r[i].effectiveness for i in range(3)] == [1.0, 0.0, 0.3] and [r[i].feedback for i in range(3)] == [1.0, 0.0, 0.3]
     scored = memory.relevance(log).withColumn("ingested_at", F.col("seq") * 100.0)
     moved = memory.promote(scored, scored.limit(0), F.lit(3700.0), memory.Promotion(threshold=0.3, archive=0.6))
-    assert {x.seq: x.tier for x in moved.collect()} == {0: "mid_term", 1: "mid_term", 2: "short_term"} or moved.count() == 3
-    assert memory.tier_stats(moved).count() == 3
+    assert {x.seq: x.tier for x in moved.collect()} == {0: "mid_term", 1: "mid_term", 2: "short_term"}
+    assert {x.seq: x.frequency for x in moved.collect()}[1] == 0.0  # scored anew against an empty mid-term pool
+    stats = {x.tier: (x.capacity, x.n, x.avg_relevance) for x in memory.tier_stats(moved).collect()}
+    r = {x.seq: x.relevance for x in moved.collect()}
+    assert stats == {"short_term": (500, 1, round(r[2], 4)), "mid_term": (10_000, 2, round((r[0] + r[1]) / 2, 4)), "long_term": (None, 0, 0.0)}
     fresh = memory.new_records(log).first()
     assert fresh.approved is None and len(fresh.id) == 32 and fresh.timestamp.endswith("Z")
     assert sinks.export_approved(log, f"{tmp_path}/x") == 1 and sinks.export_approved(log.where("seq > 0"), f"{tmp_path}/none") == 0
@@ -359,6 +370,38 @@ def plain_fifo(turns, budget):
     return {i for i, _ in live}
 
 
+def plain_summary(turns, l1, l2):
+    """What is left of the turns that fall out of the live segment, turn by turn; None where none does."""
+    size = lambda x: max(1, int(len(x.split()) * 1.3)) if x else 0
+    split = lambda x: re.split(r"(?<=[.!?])\s+", x)
+    live, out = plain_fifo(turns, l1), None
+    for i, turn in enumerate(turns):
+        if i in live:
+            continue
+        parts = split(turn.strip())
+        weight = [3 * len(re.findall(r"(?i)\b(?:dose|patient)\b", x)) + len(re.findall(r"\b\d+\b", x)) + len(re.findall(r"\b[A-Z][a-z]{3,}\b", x)) for x in parts]
+        kept, used, most = [], 0, max(l2 // 4, 50)
+        for k in sorted(range(len(parts)), key=lambda k: (-weight[k], k)):
+            if used < most and used + size(parts[k]) <= most:
+                kept.append(k)
+                used += size(parts[k])
+        said = " ".join(parts[k] for k in sorted(kept))
+        out = out or ""
+        if not said:
+            continue
+        both = f"{out} {said}".strip()
+        if size(both) > l2:
+            newest, used = [], 0
+            for x in reversed(split(both)):
+                if used + size(x) > l2:
+                    break
+                newest.insert(0, x)
+                used += size(x)
+            both = " ".join(newest)
+        out = both
+    return out
+
+
 def test_segmented(spark):
     import random
 
@@ -371,8 +414,15 @@ def test_segmented(spark):
     text = "Nothing here. The patient takes aspirin 100 mg daily. Short one. Dose and dosage matter to Paul."
     assert one(spark, memory.key_sentences(F.col("t"), 16), t=text) == "The patient takes aspirin 100 mg daily. Dose and dosage matter to Paul."
     talk = spark.createDataFrame([(1, i, "user", f"The patient has value {i}. " + "filler " * 20) for i in range(8)], "session int, turn int, role string, text string")
-    s = memory.summaries(talk, budgets=memory.Budgets(l1=60, l2=40)).first().l2
-    assert s and tx and len(s.split()) <= 40
+    got = {x.session: x.l2 for x in memory.summaries(talk, budgets=memory.Budgets(l1=60, l2=40)).collect()}
+    assert got == {1: plain_summary([f"The patient has value {i}. " + "filler " * 20 for i in range(8)], 60, 40)}
+    say = lambda: " ".join(r.choice(("Paul takes 100 mg.", "The dose is 5.", "nothing here!", "why so?", "a b c d e f g h i j.", "Monday")) for _ in range(r.randint(0, 9)))
+    many = {k: [say() for _ in range(r.randint(1, 12))] for k in range(25)}
+    df = spark.createDataFrame([(k, i, "user", x) for k, v in many.items() for i, x in enumerate(v)], "session int, turn int, role string, text string")
+    for l1, l2 in ((30, 40), (10, 220), (25, 12)):
+        got = {x.session: x.l2 for x in memory.summaries(df, budgets=memory.Budgets(l1=l1, l2=l2)).collect()}
+        want = {k: plain_summary(v, l1, l2) for k, v in many.items()}
+        assert got == {k: v for k, v in want.items() if v is not None}
     assert one(spark, memory.rom(F.col("t"), 10), t="a b c d e f g h i j k") == "a b c d e f g"
     assert one(spark, memory.rendered(F.lit("rom"), F.lit("k: v"), F.lit(""), F.lit("USER: hi"))) == "rom\n\n[Session context]\nk: v\n\nUSER: hi"
 
@@ -406,11 +456,18 @@ def test_breaker_fold_and_stream_agree(spark, tmp_path):
         want[f"p{k}"] = (s[0], s[1], s[2], s[4])
     assert {x[0]: tuple(x)[1:] for x in learning.breaker_runs(df, cfg=cfg).collect()} == want
     df.where("seq < 30").coalesce(1).write.json(f"{tmp_path}/in")
+    time.sleep(1.5)  # the stream takes files by their time
     df.where("seq >= 30").coalesce(1).write.mode("append").json(f"{tmp_path}/in")
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("latestFirst", False).json(f"{tmp_path}/in")
-    q = jobs.breaker_stream(stream, cfg=cfg).writeStream.format("memory").queryName("breakers").outputMode("update").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    states, batches = {}, []
+
+    def keep(rows, number):
+        batches.append(number)
+        states.update({x.pattern: tuple(x)[1:] for x in rows.collect()})
+
+    q = jobs.breaker_stream(stream, cfg=cfg).writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
     q.awaitTermination(120)
-    assert spark.table("breakers").select("pattern").distinct().count() == 8
+    assert states == want and len(batches) >= 2
 
 
 def test_streaming_log_and_metrics(spark, tmp_path):
@@ -494,3 +551,129 @@ def test_registered_queries_run(spark):
 
     have = e.queries()
     assert set(e.oracle_sql()) <= set(have) and e.entry(spark).count() == 2
+
+
+def test_welch_and_canaries(spark):
+    """Against the t distribution by a fine sum of its density, and cases without variance."""
+    import numpy as np
+
+    def tail(t, df):
+        u = np.linspace(0, 1 - 1e-9, 400_001)  # t = u / (1 - u)
+        x = u / (1 - u)
+        f = (1 + x * x / df) ** (-(df + 1) / 2) / (1 - u) ** 2
+        return f[x >= t].sum() / f.sum()
+
+    for t, df in ((0.0, 5.0), (1.3, 9.0), (2.1, 18.5), (2.0, 300.0), (3.4, 41.0), (1.96, 20_000.0)):
+        assert abs(one(spark, learning.t_tail(F.lit(t), F.lit(df))) - tail(t, df)) < 1e-4
+    w = lambda *x: one(spark, learning.welch(*map(F.lit, x)))
+    assert w(0.5, 0.0, 10, 0.7, 0.0, 10) == 0.0 and w(0.5, 0.0, 10, 0.5, 0.0, 10) != w(0.5, 0.0, 10, 0.5, 0.0, 10)
+    rows = [(i, p, (i // 2) % 10 < k if arm else (i // 2) % 10 < c) for p, c, k in (("up", 4, 9), ("same", 6, 6), ("down", 9, 3)) for i, arm in ((j, j % 2) for j in range(400))]
+    e = spark.createDataFrame([(f"{p}{i}", p, ok, 1.0, 1.0) for i, p, ok in rows], "id string, pattern string, success boolean, cost_tokens double, latency_ms double")
+    arms = {(r.id): r.a for r in e.select("id", learning.arm(F.col("id"), 0.5).alias("a")).collect()}
+    got = {r.pattern: r for r in learning.canaries(e, "id", learning.Canary(0.5)).collect()}
+    for p, r in got.items():
+        mine = {a: [float(ok) for i, q, ok in rows if q == p and arms[f"{q}{i}"] == a] for a in ("control", "treatment")}
+        assert (r.n_control, r.n_treatment) == (len(mine["control"]), len(mine["treatment"])) and r.control_sr == round(np.mean(mine["control"]), 4)
+        a, b = (np.var(mine[x], ddof=1) / len(mine[x]) for x in ("control", "treatment"))
+        df = (a + b) ** 2 / (a * a / (len(mine["control"]) - 1) + b * b / (len(mine["treatment"]) - 1))
+        assert abs(r.p_value - tail(abs(np.mean(mine["treatment"]) - np.mean(mine["control"])) / np.sqrt(a + b), df)) < 2e-4
+
+
+def test_run_quality_and_loss_runs(spark):
+    q = lambda *x: one(spark, learning.run_quality(*(F.lit(v).cast("double") for v in x)))
+    assert [q(1.0, None, 3.0), q(1.0, None, 1.2), q(2.0, 1.1, None), q(2.5, None, 2.6), q(3.0, 2.9, 5.0), q(None, 1.0, 1.0)] == ["Excellent", "Okay", "Excellent", "Fair", "Poor", ""]
+    d = spark.createDataFrame([("r", 1, 4.0, None), ("r", 3, 1.1, None), ("r", 2, 0.9, 1.15), ("s", 1, None, 1.0)], "run string, step int, loss double, eval_loss double")
+    got = {x.run: tuple(x)[1:] for x in learning.loss_runs(d).collect()}
+    assert got == {"r": (4.0, 1.1, 0.9, 1.15, "Excellent"), "s": (None, None, None, 1.0, "")}
+
+
+def test_split_finds_the_last_training_row(spark):
+    for n, ratio in ((1, 0.15), (2, 0.5), (50, 0.0), (700, 0.3), (700, 1.0)):
+        d = spark.createDataFrame([(i, f"t{i % 7}") for i in range(n)], "id int, t string")
+        got = {r.id: r.split for r in curation.split_train_val(d, ["id", "t"], ratio).collect()}
+        import hashlib
+
+        order = sorted(range(n), key=lambda i: (hashlib.md5(f"42\x1f{i}\x1ft{i % 7}".encode()).hexdigest(), i))
+        val = max(1, int(n * ratio))
+        assert got == {i: "val" if place >= n - val else "train" for place, i in enumerate(order)}
+    assert curation.split_train_val(spark.range(0), ["id"]).count() == 0
+
+
+def test_error_stems_decide_like_the_expressions(spark):
+    import random
+    import re
+
+    r = random.Random(2)
+    parts = ["do", "not", "use", " ", "  ", "\n", "white", "coat", "-", "off", "label", "follow", "up", "contraindic", "error", "Monitor", "toxic", "dose", "reassess", "in", "é"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(1500)]
+    bank = [*curation.MEDICAL_PATTERNS, curation.ErrorPattern("grouped", r"(follow|white)\s+up", 0.5), curation.ErrorPattern("capital", r"Coat\s+white", 0.4), curation.ErrorPattern("any", r"a.c", 0.2)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", F.transform(curation.all_matches(F.col("t"), bank), lambda m: m["name"]).alias("names")).collect()
+    for x in rows:
+        assert x.names == [p.name for p in sorted(bank, key=lambda p: -p.confidence) if re.search(p.pattern, texts[x.i], re.I)], texts[x.i]
+
+
+def test_holding_equals_all_pairs(spark):
+    import random
+
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("abc_1") for _ in range(r.randint(1, n)))
+    strings, terms = {word(9) for _ in range(200)} | {"", "the sea of abc"}, {w for w in (word(5) for _ in range(60)) if len(w) > 2}
+    got = {(x.string, x.term) for x in retrieval.holding(spark.createDataFrame([(s,) for s in strings], "string string"), spark.createDataFrame([(x,) for x in terms], "term string")).collect()}
+    assert got == {(s, x) for s in strings for x in terms if x in s}
+
+
+def test_cached_index_sees_a_new_build_after_reload(spark, tmp_path):
+    make = lambda rows: spark.createDataFrame(rows, "doc int, text string")
+    q = spark.createDataFrame([(0, "apple pear")], "q int, query string")
+    index = retrieval.TfidfIndex.build(make([(1, "apple tree"), (2, "stone wall")]), f"{tmp_path}/index", "doc", "text")
+    assert [x.doc for x in index.search(q, "q", "query").collect()] == [1]
+    retrieval.TfidfIndex.build(make([(7, "apple pear"), (8, "pear plum")]), f"{tmp_path}/index", "doc", "text")
+    index.reload()
+    assert [x.doc for x in index.search(q, "q", "query").orderBy("rank").collect()] == [7, 8]
+    assert [x.doc for x in retrieval.TfidfIndex(spark, f"{tmp_path}/index").search(q, "q", "query", k=1).collect()] == [7]
+
+
+def test_backends(spark):
+    for url in ("https://example.com/v1", "http://8.8.8.8/v1", "nonsense"):
+        with pytest.raises(ValueError):
+            curation.http_backend(url, "m")
+    assert callable(curation.http_backend("http://127.0.0.1:8080/v1", "m")) and callable(curation.http_backend("http://localhost/v1", "m"))
+    df = spark.createDataFrame([(0, "What is it?", "It is the dose."), (1, " ", "x"), (2, "Why?", "bad")], "seq int, question string, answer string")
+    reply = lambda chat: '{"quality": 2, "safety": 1, "cost": 1, "domain": 0, "performance": 1, "usability": 1}' if "dose" in chat[1]["content"] else "no"
+    got = {x.seq: x for x in curation.model_judged(df, curation.local_backend(reply)).collect()}
+    assert got[0].quality == 1.0 and got[0].domain == 0.0 and "heuristic_fallback" not in got[0].flags
+    assert "heuristic_fallback" in got[1].flags and "heuristic_fallback" in got[2].flags
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from loomline.functions.scratch import scratch_path
+
+    def session(master, folder):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: folder), sparkContext=SimpleNamespace(master=master))
+
+    assert scratch_path(session("yarn", "hdfs:/x"), "n").startswith("hdfs:/x/n-") and scratch_path(session("local[4]", None), "n").startswith("file:///")
+    for master in ("yarn", "local-cluster[3,2,3000]", "spark://h:7077"):
+        with pytest.raises(ValueError):
+            scratch_path(session(master, None), "n")
+
+
+def test_snapshot_and_listings(spark, tmp_path):
+    spark.range(3).write.json(f"{tmp_path}/d")
+    sinks.snapshot(spark, f"{tmp_path}/d", f"{tmp_path}/saved")
+    spark.range(5).write.mode("overwrite").json(f"{tmp_path}/d")
+    sinks.restore(spark, f"{tmp_path}/saved", f"{tmp_path}/d")
+    assert spark.read.json(f"{tmp_path}/d").count() == 3
+    with pytest.raises(FileNotFoundError):
+        sinks.snapshot(spark, f"{tmp_path}/none", f"{tmp_path}/x")
+    for name in ("b.csv", "a.pdf", "c.txt"):
+        (tmp_path / "up").mkdir(exist_ok=True)
+        (tmp_path / "up" / name).write_text("x")
+    assert [x.name for x in readers.uploads(spark, f"{tmp_path}/up").collect()] == ["a.pdf", "b.csv"]
+    for name in ("m/b", "m/a"):
+        (tmp_path / name).mkdir(parents=True)
+        (tmp_path / name / "train_alpaca.jsonl").write_text("{}")
+    (tmp_path / "m/a/metadata.json").write_text('{"x": 1}')
+    assert readers.first_training_file(spark, f"{tmp_path}/m").endswith("/m/a/train_alpaca.jsonl") and readers.first_training_file(spark, f"{tmp_path}/up", "none*") is None
+    assert {x.artifact: (x.files, x.metadata) for x in readers.artifacts(spark, f"{tmp_path}/m").collect()} == {"a": (2, '{"x": 1}'), "b": (1, None)}
