@@ -398,14 +398,34 @@ def parts_of(kind: int, text: str, tokens: list[tuple[int, int]]) -> list[tuple[
     return out
 
 
+def hopeful_lines(buf: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Which lines can hold a plausible span: each kind but email needs a digit, and email an @ or the word at (bytes that aren't ASCII count as its ends)."""
+    low = LOWER[buf]
+    hit = (low == ord("@")) | (low >= ord("0")) & (low <= ord("9"))
+    if len(low) > 1:
+        inside = (low >= ord("a")) & (low <= ord("z")) | (low == ord("_"))
+        at = (low[:-1] == ord("a")) & (low[1:] == ord("t"))
+        at[1:] &= ~inside[:-2]
+        at[:-1] &= ~inside[2:]
+        hit[:-1] |= at
+    out = np.zeros(int(line[-1]) + 1, bool)
+    out[line[:-1][hit]] = True
+    return out
+
+
 def chain_spans(field: Field, piece: pa.Array, texts: list[str], base: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
-    """Each text's added spans: decoded runs clear of base spans, trimmed, as a whole or in plausible parts."""
+    """Each text's added spans: decoded runs clear of base spans, trimmed, as a whole or in plausible parts. Lines that can't hold any aren't decoded; chains are lines, so the others' labels stay."""
     buf, offsets = utf8(piece)
     starts, ends, per = word_spans(buf, offsets)
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     if not len(starts):
         return out
     lines = np.concatenate([[0], np.cumsum(buf == 10)])
+    keep = hopeful_lines(buf, lines)[lines[starts]]
+    starts, ends = starts[keep], ends[keep]
+    per = np.searchsorted(starts, offsets)
+    if not len(starts):
+        return out
     new = np.ones(len(starts), bool)
     new[1:] = lines[starts[1:]] != lines[starts[:-1]]
     new[per[:-1][np.diff(per) > 0]] = True

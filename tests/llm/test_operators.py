@@ -126,6 +126,19 @@ def test_pii_long_lines_and_many_spans():
     assert [[t[a:b] for a, _, b in g] for t, g in zip(texts, got)] == [["ann at mail dot com"]] * 2
 
 
+def test_pii_lines_left_out_hold_nothing(monkeypatch):
+    """Leaving lines out changes no span."""
+    import pyarrow as pa
+
+    r, field = random.Random(8), pii.trained()
+    parts = ["ann", "bob.org", " at ", " At ", "(at)", "[at]", "that", "x-at-y", " dot ", "[dot]", "com", "4111 1111", "030", "@", "call", "\n", " ", "é", "at", "\nat ", "cat\n", "_at_"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(800)] + ["", "at", "ann at mail dot com", "call 030 123 4567 now"]
+    base = [pii.base_spans(t) for t in texts]
+    got = pii.chain_spans(field, pa.array(texts), texts, base)
+    monkeypatch.setattr(pii, "hopeful_lines", lambda buf, line: np.ones(int(line[-1]) + 1, bool))
+    assert got == pii.chain_spans(field, pa.array(texts), texts, base) and any(got)
+
+
 def test_pii_repeated_rows(spark):
     data = [(i, "call +49 30 1234 5678 or ann at mail dot com") for i in (1, 1, 2)]
     got = pii.find(spark.createDataFrame(data, "doc_id long, text string"), pii.trained()).collect()
