@@ -197,7 +197,8 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 j = min(piece.num_rows, i + 512)
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id").slice(i, j - i), list_array(signed(flat[at[i] : at[j]]), at[i : j + 1] - at[i], pa.int64())], ["doc_id", "shingles"])
 
-    return docs.join(ids.distinct(), "doc_id").select("doc_id", "text").transform(short_batches).mapInArrow(run, "doc_id long, shingles array<long>")
+    # ids grow with the documents: the same join at every size
+    return docs.join(ids.distinct().hint("merge"), "doc_id").select("doc_id", "text").transform(short_batches).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
