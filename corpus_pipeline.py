@@ -33,7 +33,8 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     group = [F.when(words, F.col("component_id")).alias("component"), F.when(~words, F.col("k1")).alias("g1"), F.when(~words, F.col("k2")).alias("g2")]
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2", "id")
     kept = rows.select("id", "k1", "k2", "doc_id").join(found, "id").groupBy(*group).agg(F.min(order).alias("least")).select("least.id")
-    return rows.join(kept, "id", "left_semi").select(*(F.col("text" if c == "text" else n).alias(c) for c, n in zip(docs.columns, names)))
+    # ids grow with the documents: the same join at every size
+    return rows.join(kept.hint("merge"), "id", "left_semi").select(*(F.col("text" if c == "text" else n).alias(c) for c, n in zip(docs.columns, names)))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
