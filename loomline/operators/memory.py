@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomline.functions.scratch import scratch_path
 from loomline.functions.text import n_words, sentences, strip, token_estimate, tokens
 from loomline.operators.curation import has_code, has_list
 
@@ -108,20 +109,55 @@ def feedback(approved: Column) -> Column:
     return F.when(approved.eqNullSafe(True), 1.0).when(approved.eqNullSafe(False), 0.0).otherwise(0.3)
 
 
+ENOUGH = 0.5  # a similarity from here on gives the full frequency score
+
+
 def best_overlap(targets: DataFrame, pool: DataFrame, earlier: bool, seq: str = "seq") -> DataFrame:
-    """(seq, jaccard): each target's highest Jaccard similarity of question words with another record of the pool, by a join on words.
+    """(seq, jaccard): each target's highest Jaccard similarity of question words with another record of the pool; from ENOUGH on, some value of at least that.
 
-    Words' frequencies decide: an inverted list is split by the join, counts combine before their shuffle.
+    Records with the same words are one set, of which the earliest record and the earliest of another id decide whether
+    a target may meet it. Equal sets come first. The rest meet by their rarest words: sets of similarity ENOUGH share
+    one of the rarest half, so that frequent words pair nothing. Only targets that find nothing so similar go through
+    all their words. Both sides' word sets are written once to the shared folder, as several steps read them.
     """
-    def sets(d: DataFrame, s: str) -> DataFrame:
-        w = d.select(F.col(seq).alias(f"{s}seq"), F.coalesce("id", F.lit("")).alias(f"{s}id"), F.array_distinct(tokens("question", "[a-z]{3,}")).alias("w"))
-        return w.select(f"{s}seq", f"{s}id", F.size("w").alias(f"{s}n"), F.explode("w").alias("word"))
-
-    a, b = sets(targets, "a"), sets(pool, "b")
-    pairs = a.join(b, "word").where(F.col("aid") != F.col("bid"))
-    pairs = pairs.where(F.col("bseq") < F.col("aseq")) if earlier else pairs
-    both = pairs.groupBy("aseq", "bseq").agg(F.count("*").alias("c"), F.first("an").alias("an"), F.first("bn").alias("bn"))
-    return both.groupBy(F.col("aseq").alias(seq)).agg(F.max(F.col("c") / (F.col("an") + F.col("bn") - F.col("c"))).alias("jaccard"))
+    def written(df: DataFrame) -> DataFrame:
+        path = scratch_path(df.sparkSession, "questions")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def sets(d: DataFrame) -> DataFrame:
+        w = F.array_sort(F.array_distinct(tokens("question", "[a-z]{3,}")))
+        return d.select(F.col(seq).alias("s"), F.coalesce("id", F.lit("")).alias("i"), w.alias("w")).where(F.size("w") > 0).withColumn("k", F.md5(F.array_join("w", " ")))
+
+    records = written(sets(pool))
+    a = (records if targets is pool else written(sets(targets))).withColumnsRenamed({"s": "aseq", "i": "aid", "w": "aw"})
+    first = records.groupBy("k").agg(F.min(F.struct("s", "i")).alias("one"), F.first("w").alias("bw"))
+    other = records.join(first.select("k", F.col("one.i").alias("oi")), "k").where("i <> oi").groupBy("k").agg(F.min(F.struct("s", "i")).alias("two"))
+    b = written(first.join(other, "k", "left"))
+    may = lambda x: (F.col(f"{x}.i") != F.col("aid")) & ((F.col(f"{x}.s") < F.col("aseq")) if earlier else F.lit(True))
+    fits = may("one") | F.coalesce(may("two"), F.lit(False))
+
+    equal = a.join(b, "k").where(fits).select("aseq", F.lit(1.0).alias("j"))
+    left = a.join(equal.select("aseq"), "aseq", "left_anti").drop("k")
+    often = b.select(F.explode("bw").alias("word")).groupBy("word").agg(F.count("*").alias("f"))
+
+    def rarest(df: DataFrame, words: str) -> DataFrame:
+        """df's rows, one for each of the rarest words of which sets at ENOUGH share one."""
+        keys = [c for c in df.columns if c not in ("one", "two")]
+        e = df.select(*keys, F.explode(words).alias("word")).join(often, "word", "left")
+        per = e.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "word"))).alias("o"))  # a question's words
+        n = F.size(words)
+        return per.select(*keys, F.explode(F.slice("o", 1, n - F.ceil(n * ENOUGH).cast("int") + 1)).alias("o")).select(*keys, F.col("o.word").alias("word"))
+
+    ours, theirs = rarest(left, "aw"), rarest(b.drop("one", "two"), "bw").join(b.select("k", "one", "two"), "k")
+    shared = F.size(F.array_intersect("aw", "bw"))
+    near = ours.join(theirs, "word").where(fits).select("aseq", (shared / (F.size("aw") + F.size("bw") - shared)).alias("j")).where(F.col("j") >= ENOUGH)
+    near = near.groupBy("aseq").agg(F.max("j").alias("j"))
+    apart = left.join(near.select("aseq"), "aseq", "left_anti")
+    pairs = apart.select("aseq", "aid", F.size("aw").alias("an"), F.explode("aw").alias("word")).join(b.select("k", "one", "two", F.size("bw").alias("bn"), F.explode("bw").alias("word")), "word").where(fits)
+    both = pairs.groupBy("aseq", "k").agg(F.count("*").alias("c"), F.first("an").alias("an"), F.first("bn").alias("bn"))
+    far = both.groupBy("aseq").agg(F.max(F.col("c") / (F.col("an") + F.col("bn") - F.col("c"))).alias("j"))
+    return equal.union(near).union(far).groupBy(F.col("aseq").alias(seq)).agg(F.max("j").alias("jaccard"))
 
 
 def relevance(records: DataFrame, pool: DataFrame | None = None, seq: str = "seq") -> DataFrame:

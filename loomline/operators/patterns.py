@@ -189,6 +189,7 @@ def pattern_qa(patterns: DataFrame, keep: list[str], domain: Domain = Domain(),
     return expand(patterns, pattern_facts(domain), template_table(patterns.sparkSession, pattern_templates(questions)), keep)
 
 
+# The wordings of the turns.
 def pattern_conversations() -> Column:
     """array of conversations from up to four angles: exploration, debugging, efficiency, adoption. Each has four messages at least."""
     none = F.array().cast("array<struct<role:string,content:string>>")

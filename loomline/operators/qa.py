@@ -63,6 +63,7 @@ def chunk_pairs(chunk: Column, source: Column | str = "doc", domain: Domain = Do
     return let(F.struct(strip(chunk).alias("c"), src.alias("src")), lambda x: _chunk_pairs(x["c"], x["src"], domain))
 
 
+# The wordings of the questions.
 def _chunk_pairs(c: Column, src: Column, domain: Domain) -> Column:
     marker = "|".join(domain.label_regex(k)[len(r"^\s*(?:") : -len(r")\s*:?\s*$")] for k in ("input", "structured", "output"))
     part, name, structured = example_parts(c, domain)["structured"], domain.named(c), domain.structured(c)
@@ -98,6 +99,7 @@ SIGNALS = {
 CATEGORY_WORDS = ("window", "aggregate", "table function", "ordered analytical", "olap", "analytic")
 
 
+# The wordings beside those of the question file.
 def section_templates(questions: dict = QUESTIONS) -> list[tuple[str, str, str, str]]:
     tech, general = questions["technical"], questions["general"]
     use_case_asked = any("use case" in q.lower() for k in ("syntax", "argument", "notes") for q in tech[k])
@@ -174,6 +176,7 @@ def asked(question: Column, answer: Column) -> Column:
     return F.array(turn("user", question), turn("assistant", answer))
 
 
+# The wordings of the turns.
 def section_conversation(heading: Column, p: Column) -> Column:
     """description, syntax, first example as turns; null for under four messages."""
     h = strip(heading)

@@ -1,11 +1,12 @@
 """The registered queries: each operator on the driver's tables, and DuckDB SQL for the same rows where SQL can express it.
 
-Stand-ins: documents are pages of a manual named by their source; consecutive user and assistant turns are questions
+Stand-ins: documents are pages of manuals, of at most 500 pages each, named by their source and number; consecutive user and assistant turns are questions
 and answers; events are executions of a pattern named by their user; benchmark texts are retrieval queries.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -140,15 +141,22 @@ def _(t):
     return pages.strip_running(docs, pages.running_lines(docs, "source", "text", 0.02), "source").select("doc_id", F.md5("text").alias("md5"))
 
 
-S_SECT = f"""h as (select doc_id, source, t, list_filter(ls[1:5], lambda x: {s_heading('x')})[1] as h from l),
+S_MANUAL = "source || '/' || (doc_id // 500)"
+
+
+def manuals(t) -> DataFrame:
+    return t("documents").select(F.concat_ws("/", "source", F.floor(F.col("doc_id") / 500).cast("string")).alias("doc"), F.col("doc_id").alias("page"), "text")
+
+
+S_SECT = f"""h as (select doc_id, {S_MANUAL} as source, t, list_filter(ls[1:5], lambda x: {s_heading('x')})[1] as h from l),
 n as (select *, coalesce(last_value(h ignore nulls) over (partition by source order by doc_id rows between unbounded preceding and current row), 'Introduction') as now from h),
 g as (select *, case when now <> lag(now) over (partition by source order by doc_id) then 1 else 0 end as new from n),
 s as (select *, sum(new) over (partition by source order by doc_id rows between unbounded preceding and current row) as section from g)"""
 
 
-@query("chk8_sections", f"with {S_LS}, {S_SECT} select source, section::bigint as section, now as heading, min(doc_id) as page_start, max(doc_id) as page_end, count(*) as pages, md5(string_agg(t, chr(10) || chr(10) order by doc_id)) as md5 from s group by all")
+@query("chk8_sections", f"with {S_LS}, {S_SECT} select source as doc, section::bigint as section, now as heading, min(doc_id) as page_start, max(doc_id) as page_end, count(*) as pages, md5(string_agg(t, chr(10) || chr(10) order by doc_id)) as md5 from s group by all")
 def _(t):
-    return pages.sections(t("documents"), "source", "doc_id").select("source", "section", "heading", "page_start", "page_end", "pages", F.md5("text").alias("md5"))
+    return pages.sections(manuals(t)).select("doc", "section", "heading", "page_start", "page_end", "pages", F.md5("text").alias("md5"))
 
 
 @query("chk12_captions", f"select doc_id, list_transform(regexp_extract_all(text, '(?i)(?:Figure|Fig\\.?)\\s+[\\d\\-\\.]+\\s*[:\\-]\\s*(.+)'), lambda x: trim(x, {_SP})) as found from documents")
@@ -166,14 +174,14 @@ def s_manuals() -> str:
     running = S_RUN.replace("from documents)", "from kp)", 1).replace("from documents group by", "from kp group by").replace("floor(p * 0.02)", "floor(p * 0.3)")
     clean = f"case when ks is null then text else array_to_string(list_filter(string_split(text, chr(10)), lambda l: not list_contains(ks, {S_KEY('l')}) and not regexp_matches(l, '^\\s*\\d{{1,4}}\\s*$')), chr(10)) end"
     again = S_SUBST.replace("string_split(t, chr(10))", "string_split(text, chr(10))")
-    return f"""{S_LS}, kp as (select doc_id, source, text from l where {S_KEEP.replace(S_SUBST, again)}), {running}, ks as (select source, list(distinct line) as ks from r group by source),
+    return f"""{S_LS}, kp as (select doc_id, {S_MANUAL} as source, text from l where {S_KEEP.replace(S_SUBST, again)}), {running}, ks as (select source, list(distinct line) as ks from r group by source),
 x as (select doc_id, source, {clean} as text from kp left join ks using (source)), y as (select *, {s_strip('text')} as t from x), cp as (select * from y where {again})"""
 
 
-@query("chk14_manual_report", f"""with {s_manuals()}, n as (select source, count(*) as total from documents group by source)
+@query("chk14_manual_report", f"""with {s_manuals()}, n as (select {S_MANUAL} as source, count(*) as total from documents group by all)
 select source as doc, total as num_pages_total, count(doc_id) as num_pages_kept, md5(coalesce(string_agg(t, chr(10) || chr(10) order by doc_id) filter (t <> ''), '')) as md5 from n left join cp using (source) group by all""")
 def _(t):
-    got = pages.extract_manuals(t("documents").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), "text"))
+    got = pages.extract_manuals(manuals(t))
     return got["documents"].select("doc", "num_pages_total", "num_pages_kept", F.md5("full_text").alias("md5"))
 
 
@@ -181,7 +189,7 @@ def _(t):
 def _(t):
     from loomline.plans.prepare import report
 
-    return report(t("documents").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), "text"), DOMAIN)
+    return report(manuals(t), DOMAIN)
 
 
 @query("chk9_structured_blocks", f"with x as (select doc_id, list_filter(regexp_split_to_array(text, '\\n+'), lambda p: len(list_filter({s_tokens('p', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3) as ps from documents) select doc_id, len(ps)::int as n, md5(array_to_string(list_transform(ps, lambda p: trim(p, {_SP})), chr(10))) as md5 from x")
@@ -258,8 +266,8 @@ def _(t):
 
 @query("gen2_section_questions")
 def _(t):
-    s = pages.sections(t("documents"), "source", "doc_id")
-    return qa.section_qa(s, ["source", "section"], label="manual", domain=DOMAIN).groupBy("source", "section").agg(F.count("*").alias("n"), F.countDistinct("question").alias("questions"))
+    s = pages.sections(manuals(t))
+    return qa.section_qa(s, ["doc", "section"], label="manual", domain=DOMAIN).groupBy("doc", "section").agg(F.count("*").alias("n"), F.countDistinct("question").alias("questions"))
 
 
 def s_general() -> str:
@@ -288,7 +296,29 @@ def nations(t) -> DataFrame:
     return n.select(F.col("n_nationkey").cast("int").alias("entry"), F.col("n_name").alias("name"), F.col("r_name").alias("category"), F.concat(F.lit("A nation of "), "r_name", F.lit(". It trades with many others.")).alias("description"))
 
 
-@query("gen5_pattern_questions")
+def s_filled(template: str, values: dict[str, str]) -> str:
+    """SQL for a template with {names} whose values are SQL."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return " || ".join(values[x] if i % 2 else "'" + x.replace("'", "''") + "'" for i, x in enumerate(parts) if x)
+
+
+def s_pattern_questions() -> str:
+    """What the nations ask as patterns with two uses, one limit and their region for a related pattern."""
+    uses = ("shipping goods", "counting orders")
+    listed = "chr(10) || '- shipping goods' || chr(10) || '- counting orders'"
+    first, desc = "'A nation of ' || r_name || '.'", "'A nation of ' || r_name || '. It trades with many others.'"
+    own = {"fn": "n_name", "desc": desc, "first": first, "cat": f"n_name || ' is a ' || r_name || ' function. ' || {first}", "uc_text": listed, "gl": "chr(10) || '- no exports'", "rel": "r_name"}
+    on = {"desc": ("short", "category"), "uses": ("desc",), "use": ("desc",), "limits": (), "related": ()}
+    asked = []
+    for block, needs, q, a in patterns.pattern_templates():
+        if block in on and set(needs.split()) <= set(on[block]):
+            for use in uses if block == "use" else ("",):
+                values = own | {"uc": f"'{use}'", "uc_low": f"'{use}'"}
+                asked.append(f"select n_name as name, {s_filled(q, values)} as question, {s_filled(a, values)} as answer from e")
+    return "with e as (select n_name, r_name from nation join region on n_regionkey = r_regionkey) " + " union all ".join(asked)
+
+
+@query("gen5_pattern_questions", s_pattern_questions())
 def _(t):
     n = nations(t)
     blank = {f: F.lit(None) for f in ("title", "pattern_alias", "source_file")}
@@ -296,7 +326,7 @@ def _(t):
     for c, kind in patterns.PATTERN_TYPES.items():
         if c not in p.columns:
             p = p.withColumn(c, F.lit(None).cast(kind))
-    return patterns.pattern_qa(p, ["name"]).groupBy("name").agg(F.count("*").alias("n"))
+    return patterns.pattern_qa(p, ["name"]).select("name", "question", "answer")
 
 
 def s_vocabulary() -> str:
@@ -964,9 +994,19 @@ def _(t):
     return t("documents").select("doc_id", named.named(F.col("text")).alias("name"))
 
 
-@query("gen6_pattern_conversations")
+S_TALKS = (
+    ("What is {fn}?", "{desc}", "What are the use cases for {fn}?", "{nl}- shipping goods{nl}- counting orders", "Can you show me the syntax for {fn}?", "show it:{nl}{nl}visit {fn}"),
+    ("My {fn} example did not produce the expected outcome. How do I debug it?", "When {fn} fails or looks wrong, check inputs, required parameters, and common pitfalls first.{nl}{nl}Description of {fn}: {desc}", "Can you show me a diagnostic example I can start with?", "Start with this template and verify each step:{nl}{nl}visit {fn}"),
+    ("How do I use {fn} more efficiently?", "Efficiency for {fn} depends on scope, data quality, and following recommended practices. {desc}", "Are there any hard limits or restrictions I should know about?", "{nl}- no exports"),
+    ("We currently handle this manually with ad hoc steps. Should we adopt {fn}?", "{fn} provides a structured approach that can replace inconsistent manual workflows. {desc}", "What does a basic {fn} example look like?", "visit {fn}", "Are there related functions I should also know about?", "Related patterns to consider alongside {fn}: {rel}"),
+)
+_NATION = {"fn": "n_name", "desc": "'A nation of ' || r_name || '. It trades with many others.'", "rel": "r_name", "nl": "chr(10)"}
+
+
+@query("gen6_pattern_conversations", " union all ".join(f"select n_name as name, {s_filled('|'.join(('user', 'assistant')[i % 2] + ':' + x for i, x in enumerate(talk)), _NATION)} as talk from nation join region on n_regionkey = r_regionkey" for talk in S_TALKS))
 def _(t):
-    return library(t).select("name", F.explode(patterns.pattern_conversations()).alias("c")).select("name", F.size("c").alias("messages"), F.col("c")[0]["content"].alias("first"))
+    talks = library(t).select("name", F.explode(patterns.pattern_conversations()).alias("c"))
+    return talks.select("name", F.array_join(F.transform("c", lambda m: F.concat_ws(":", m["role"], m["content"])), "|").alias("talk"))
 
 
 @query("gen12_vocabulary_conversations", f"select 'user: ' || question || ' assistant: ' || answer as talk from ({s_vocabulary()})")
@@ -1000,7 +1040,13 @@ def _(t):
     return patterns.pattern_to_form(patterns.form_to_pattern(forms(t))).select("title", "use_cases_text", "parameters_text", "worked_example", "example_output", "common_errors_text", "best_practices")
 
 
-@query("ret4_contexts")
+S_BLOCKS = f"""e as (select n_nationkey, n_name, r_name, {_NATION['desc']} as d from nation join region on n_regionkey = r_regionkey),
+b as (select *, lower(n_name || ' ' || r_name || ' ' || d || ' shipping goods counting orders') as body, '### ' || n_name || chr(10) || 'A nation of ' || r_name || '.' || chr(10) || 'It trades with many others.' || chr(10) || 'Use cases: shipping goods; counting orders' || chr(10) || 'Worked example:' || chr(10) || 'visit ' || n_name as block from e)"""
+
+
+@query("ret4_contexts", f"""with {S_BLOCKS}, q as (select n_nationkey as query_id, {s_tokens("'What is ' || n_name || '?'", retrieval.TOKEN)} as all_terms from nation), k as (select query_id, list_filter(all_terms, lambda x: len(x) > 2 and not list_contains({s_list(retrieval.KEYWORD_STOP)}, x)) as ts from q),
+p as (select query_id, n_nationkey as seq, block, list_sum(list_transform(ts, lambda x: case when x = lower(n_name) then 10 when contains(lower(n_name), x) then 5 when contains(body, x) then 1 else 0 end)) as score from k cross join b where len(ts) > 0),
+r as (select *, row_number() over (partition by query_id order by score desc, seq) as rank from p) select query_id, md5({s_filled(retrieval.KEYWORD_HEADER, {})} || string_agg(block, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by rank)) as md5 from r where rank <= 2 and score >= 3 group by query_id""")
 def _(t):
     lib = library(t).withColumn("seq", F.col("entry").cast("long"))
     q = t("nation").select(F.col("n_nationkey").alias("query_id"), F.concat(F.lit("What is "), "n_name", F.lit("?")).alias("question"))
@@ -1009,7 +1055,13 @@ def _(t):
     return retrieval.contexts(best, "query_id").select("query_id", F.md5("context").alias("md5"))
 
 
-@query("tfi7_contexts")
+@query("tfi7_contexts", f"""with {S_BLOCKS}, x as (select n_nationkey as doc_id, n_name || ' ' || r_name || ' ' || d || ' shipping goods counting orders ' || r_name || ' no exports visit ' || n_name as text from e),
+{S_TF.replace('from documents', 'from x')}, dw as (select doc_id, term, c / n * idf as w from tc join f using (term)), q as (select n_nationkey as item_id, {S_TT("'What is ' || n_name || '?'")} as t from nation), qc as (select item_id, len(t) as n, unnest(t) as term from q),
+qt as (select item_id, term, any_value(n) as n, count(*) as c from qc group by item_id, term), qw as (select item_id, qt.term, c / n * coalesce(idf, ln(nd + 1.0) + 1.0) as w from qt left join f on f.term = qt.term, nd),
+dn as (select doc_id, sqrt(sum(w * w)) as dn from dw group by doc_id), qn as (select item_id, sqrt(sum(w * w)) as qn from qw group by item_id), s as (select item_id, doc_id, sum(qw.w * dw.w) as dot from qw join dw on qw.term = dw.term group by item_id, doc_id),
+r as (select item_id, doc_id, round(dot / (dn * qn), 4) as score from s join dn using (doc_id) join qn using (item_id)), k as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from r),
+o as (select item_id, rank, '### ' || n_name || '  (similarity: ' || printf('%.2f', score) || ')' || chr(10) || d || chr(10) || 'Use cases: shipping goods; counting orders' || chr(10) || 'Example:' || chr(10) || '```' || chr(10) || 'visit ' || n_name || chr(10) || '```' as block from k join e on n_nationkey = doc_id where rank <= 3 and score >= 0.05)
+select item_id as query_id, md5({s_filled(retrieval.SIMILARITY_HEADER, {})} || string_agg(block, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by rank)) as md5 from o group by item_id""")
 def _(t):
     lib = library(t).withColumn("seq", F.col("entry").cast("long"))
     docs = lib.select("seq", retrieval.pattern_text(lib).alias("text"))

@@ -677,3 +677,22 @@ def test_snapshot_and_listings(spark, tmp_path):
     (tmp_path / "m/a/metadata.json").write_text('{"x": 1}')
     assert readers.first_training_file(spark, f"{tmp_path}/m").endswith("/m/a/train_alpaca.jsonl") and readers.first_training_file(spark, f"{tmp_path}/up", "none*") is None
     assert {x.artifact: (x.files, x.metadata) for x in readers.artifacts(spark, f"{tmp_path}/m").collect()} == {"a": (2, '{"x": 1}'), "b": (1, None)}
+
+
+@pytest.mark.parametrize("earlier", [True, False])
+def test_best_overlap_by_brute_force(spark, earlier):
+    import random
+
+    r = random.Random(5)
+    words = ["the"] * 6 + ["dose", "aspirin", "daily", "risk", "take", "pain", "when", "child", "night", "safe"]
+    say = lambda: " ".join(r.choice(words) for _ in range(r.randint(0, 8)))
+    rows = [(i, r.choice([None, "a", "b", f"x{i}"]), say()) for i in range(150)] + [(200 + i, f"y{i % 3}", "the same question again") for i in range(6)]
+    df = spark.createDataFrame(rows, "seq long, id string, question string")
+    targets, pool = (df, df) if earlier else (df.where("seq % 2 = 0"), df.where("seq % 2 = 1"))
+    got = {x.seq: x.jaccard for x in memory.best_overlap(targets, pool, earlier).collect()}
+    sets = [(s, i or "", set(re.findall("[a-z]{3,}", q))) for s, i, q in rows]
+    for s, i, a in sets:
+        if not earlier and s % 2:
+            continue
+        best = max((len(a & b) / len(a | b) for t, j, b in sets if j != i and a & b and (t < s if earlier else t % 2)), default=None)
+        assert got.get(s) == best or best >= memory.ENOUGH <= got[s] <= best, (s, best, got.get(s))
