@@ -199,17 +199,21 @@ def _(t):
 
 # ---- chunking
 
-def s_chunks(overlap: int, size: int = 800) -> str:
-    return f"""p as (select doc_id, source, len(text) as n_text, {s_strip('text')} as t, list_filter(list_transform(regexp_split_to_array(text, '\\n+'), lambda x: trim(x, {_SP})), lambda x: x <> '') as ps from documents),
-m as (select *, list_transform(ps, lambda x: len(x)) as ns from p),
+def s_chunks(overlap: int, size: int = 800, parts: str = f"list_filter(list_transform(regexp_split_to_array(text, '\\n+'), lambda x: trim(x, {_SP})), lambda x: x <> '')", joint: int = 2, sep: str = "chr(10) || chr(10)", fixed: str = "false", alone: bool = True) -> str:
+    """c: chunks (doc_id, source, seq, chunk) of SQL parts. fixed: SQL that says of a part x whether no overlap reaches over it; alone: whether a chunk of one part may be carried."""
+    fits = f"list_filter(range(s, i), lambda q: coalesce(list_sum(ns[q:i - 1]), 0) <= {overlap} and not list_contains(fs[q:i - 1], true))"
+    carried = f"case when {'true' if alone else 'i - s > 1'} then len({fits}) else 0 end"
+    used = f"ns[i] + {joint}" if not overlap else f"case when {'true' if alone else 'i - s > 1'} then coalesce(list_sum(ns[i - k:i - 1]), 0) + ns[i] + {joint} * k else ns[i] + {joint} end"
+    return f"""p as (select doc_id, source, text, len(text) as n_text, {s_strip('text')} as t, {parts} as ps from documents),
+m as (select *, list_transform(ps, lambda x: len(x)) as ns, list_transform(ps, lambda x: {fixed}) as fs from p),
 r(doc_id, i, s, used, bounds) as (
   select doc_id, 1, 1, 0, []::integer[][] from m where n_text > {size}
   union all
-  select doc_id, i + 1, (case when flush then i - k else s end)::integer, (case when flush then {'ns[i] + 2' if not overlap else 'coalesce(list_sum(ns[i - k:i - 1]), 0) + ns[i] + 2 * k'} else used + ns[i] + 2 end)::integer, case when flush then list_append(bounds, [s, (i - 1)::integer]) else bounds end
-  from (select r.*, ns, used + ns[i] + 2 > {size} and i > s as flush, {'0' if not overlap else f'len(list_filter(range(s, i), lambda q: coalesce(list_sum(ns[q:i - 1]), 0) <= {overlap}))'} as k from r join m using (doc_id) where i <= len(ns))),
+  select doc_id, i + 1, (case when flush then i - k else s end)::integer, (case when flush then {used} else used + ns[i] + {joint} end)::integer, case when flush then list_append(bounds, [s, (i - 1)::integer]) else bounds end
+  from (select r.*, ns, fs, used + ns[i] + {joint} > {size} and i > s as flush, {carried if overlap else '0'} as k from r join m using (doc_id) where i <= len(ns))),
 f as (select r.doc_id, case when s <= len(ns) then list_append(bounds, [s, len(ns)::integer]) else bounds end as bounds from r join m using (doc_id) where i = len(ns) + 1),
 c as (select doc_id, source, generate_subscripts(cs, 1) - 1 as seq, unnest(cs) as chunk from (
-  select doc_id, source, case when t = '' then [] when n_text <= {size} then [t] else list_transform(bounds, lambda b: array_to_string(ps[b[1]:b[2]], chr(10) || chr(10))) end as cs from m left join f using (doc_id)))"""
+  select doc_id, source, case when t = '' then [] when n_text <= {size} then [t] when len(ps) = 0 then [text] else list_transform(bounds, lambda b: array_to_string(ps[b[1]:b[2]], {sep})) end as cs from m left join f using (doc_id)))"""
 
 
 @query("chk2_chunks", f"with recursive {s_chunks(0)} select doc_id, seq::int as seq, len(chunk)::int as n_chars, md5(chunk) as md5 from c")
@@ -224,13 +228,17 @@ def _(t):
     return d.select("doc_id", "seq", F.length("chunk").alias("n_chars"), F.md5("chunk").alias("md5"))
 
 
-@query("chk3_structured_chunks")
+S_STRUCTURED = f"len(list_filter({s_tokens('x', '[\\p{L}\\p{N}_]+')}, lambda w: list_contains({s_list(DOMAIN.keywords)}, w))) >= 3"
+S_SENTENCES = f"list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x, {_SP})), lambda x: len(x) > 10)"
+
+
+@query("chk3_structured_chunks", f"with recursive {s_chunks(150, fixed=S_STRUCTURED)} select doc_id, seq::int as seq, len(chunk)::int as n_chars, md5(chunk) as md5 from c")
 def _(t):
     d = chunking.exploded(t("documents").select("doc_id", "text"), chunking.structured_chunks("text", 800, 150, DOMAIN, "\n+"))
     return d.select("doc_id", "seq", F.length("chunk").alias("n_chars"), F.md5("chunk").alias("md5"))
 
 
-@query("chk4_sentence_chunks")
+@query("chk4_sentence_chunks", f"with recursive {s_chunks(150, parts=S_SENTENCES, joint=1, sep="' '", alone=False)} select doc_id, seq::int as seq, len(chunk)::int as n_chars, md5(chunk) as md5 from c")
 def _(t):
     d = chunking.exploded(t("documents").select("doc_id", "text"), chunking.sentence_chunks("text", 800, 150))
     return d.select("doc_id", "seq", F.length("chunk").alias("n_chars"), F.md5("chunk").alias("md5"))
