@@ -158,9 +158,9 @@ def link_counts(df: DataFrame, key: str = "vec_id", vector: str = "embedding", l
     label_type = reps.schema["label"].dataType.simpleString()
     placed = cut(reps.transform(short_batches).mapInArrow(place, f"label {label_type}, dim int, list int, home int, stored boolean, class long, n long, codes binary, error double, vector array<{kind}>"))
     key_cols = ["label", "dim", "list"]
-    sizes = placed.groupBy(*key_cols).agg(
+    sizes = cut(placed.groupBy(*key_cols).agg(
         F.greatest(F.ceil(F.sum(F.col("stored").cast("int")) / BLOCK), F.lit(1)).cast("int").alias("blocks"), F.greatest(F.ceil(F.sum((~F.col("stored")).cast("int")) / QUERIES), F.lit(1)).cast("int").alias("turns"),
-    ).where("blocks > 0")
+    ).where("blocks > 0"))
     h = F.xxhash64("class")
     dealt = placed.join(sizes, key_cols)
     dealt = dealt.withColumn("block", F.explode(F.when(F.col("stored"), F.array(F.pmod(h, F.col("blocks")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
@@ -212,7 +212,7 @@ def link_counts(df: DataFrame, key: str = "vec_id", vector: str = "embedding", l
         })
 
     hits = cut(dealt.groupBy(*key_cols, "block", "turn").applyInArrow(search, "id long, other long, found long"))
-    forget(reps, placed)
+    forget(reps, placed, sizes)
     counts = hits.where("other is null").groupBy(F.col("id").alias("class")).agg(F.sum("found").alias("found"))
     same_id = good.groupBy("vec_id").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("k")).where("k > 1").select("vec_id")
     member = good.join(classes, ["label", "h1", "h2"]).select("vec_id", "class", "n")

@@ -219,7 +219,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     room = (s - need + 1 - (s - F.size("found"))).cast("int")
     member = reps.join(per, "doc_id").where(room > 0).select("doc_id", F.explode(F.array_distinct(F.transform(F.slice("found", 1, room), lambda x: x["pivot"]))).alias("pivot"))
     member = cut(member.distinct())
-    sizes = member.groupBy("pivot").agg(F.count("*").alias("m"), F.min("doc_id").alias("center")).where("m > 1")
+    sizes = cut(member.groupBy("pivot").agg(F.count("*").alias("m"), F.min("doc_id").alias("center")).where("m > 1"))  # a table of its own: Spark then splits a large group's join
     dealt = member.join(sizes, "pivot").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
     dealt = dealt.withColumn("chunk", F.explode(F.when(F.col("doc_id") == F.col("center"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")))))
     dealt = cut(dealt.select("pivot", "chunk", "chunks", "doc_id", "center"))
@@ -231,7 +231,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     has_big = not big.isEmpty()
     if has_big:
         sets = cut(sets)
-    forget(member)
+    forget(member, sizes)
     links = cut(by_group(clusters.join(sets, "doc_id"), ["pivot", "chunk", "cluster"], verified_links, "a long, b long", LONGS))
     joined = components(links)
     if has_big:
@@ -258,15 +258,15 @@ def _across(big: DataFrame, joined: DataFrame, sets: DataFrame) -> DataFrame:
     known = known.join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component_id", "doc_id")).drop("component_id")
     centers = joined.select(F.col("id").alias("center"), F.col("component_id").alias("main"))
     known = known.join(centers, "center", "left").withColumn("apart", F.col("component") != F.coalesce("main", "center"))
-    open_groups = known.groupBy("pivot").agg(F.max("apart").alias("open")).where("open").select("pivot")
+    known = cut(known.select("pivot", "doc_id", "component", "apart"))
+    open_groups = cut(known.groupBy("pivot").agg(F.max("apart").alias("open")).where("open").select("pivot"))
     known = cut(known.join(open_groups, "pivot").groupBy("doc_id").agg(F.min("component").alias("component"), F.max("apart").alias("apart")))
     # exact prefix filter: of sets of n, the rarest n - ceil(3n / 4) + 1 values meet in one at least
     own = known.select("doc_id").join(sets, "doc_id")
     member = prefix_members(own.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("v")))
     known = cut(member.join(known, "doc_id").select("pivot", "doc_id", "component", "apart"))
-    known = known.join(known.groupBy("pivot").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "pivot")
-    rests = known.groupBy("pivot").agg(F.ceil(F.sum(F.col("apart").cast("int")) / CHUNK).cast("int").alias("rests")).where("rests > 0")
-    known = known.join(rests, "pivot")
+    sizes = known.groupBy("pivot").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.ceil(F.sum(F.col("apart").cast("int")) / CHUNK).cast("int").alias("rests"))
+    known = known.join(cut(sizes.where("rests > 0")), "pivot")
     h = F.xxhash64("doc_id")
     columns = F.sequence(F.lit(0), F.col("chunks") - 1)
     ours = known.where("apart").withColumn("rest", F.pmod(h, F.col("rests")).cast("int")).withColumn("chunk", F.explode(columns))
