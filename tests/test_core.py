@@ -696,3 +696,11 @@ def test_best_overlap_by_brute_force(spark, earlier):
             continue
         best = max((len(a & b) / len(a | b) for t, j, b in sets if j != i and a & b and (t < s if earlier else t % 2)), default=None)
         assert got.get(s) == best or best >= memory.ENOUGH <= got[s] <= best, (s, best, got.get(s))
+
+
+def test_small_tables_are_dealt_over_the_cores(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/t")
+    dealt = readers.read_table(spark, f"{tmp_path}/t", least=1000)
+    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and sorted(x.id for x in dealt.collect()) == list(range(1000))
+    assert "Exchange" not in readers.read_table(spark, f"{tmp_path}/t")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in readers.read_table(spark, f"{tmp_path}/t", least=1)._jdf.queryExecution().executedPlan().toString()  # larger than a split a core
