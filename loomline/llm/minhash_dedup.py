@@ -9,7 +9,7 @@ reach the threshold, and exact Jaccard on the full sets verifies the rest. Group
 chunks that all hold the group's least member. Members that are still apart from it are grouped anew, with all members
 of their groups, by an exact prefix filter on their full sets (the rarest quarter of a set meets any set at the
 threshold), so that what only shares a header falls apart; inside these groups those apart meet all others, block by
-block, by matrix products. Only a spanning forest of verified links leaves a task; components() joins them.
+block, by bit counts. Only a spanning forest of verified links leaves a task; components() joins them.
 
 Sets are sets of 64-bit hashes. With K = 32 and ALPHA = 11 a pair at exactly 0.75 fails to share enough values with
 probability about 3e-7, above it with less.
@@ -132,7 +132,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def linked(sets: list[np.ndarray]) -> np.ndarray:
-    """Which of these sorted distinct hash sets are similar(), as a matrix. Shared values are counted by products of incidence matrices, COLUMNS values at a time."""
+    """Which of these sorted distinct hash sets are similar(), as a matrix. Shared values are counted as common bits of the sets' rows of an incidence matrix, COLUMNS values at a time."""
     size = np.array([len(x) for x in sets])
     owner, flat = np.repeat(np.arange(len(sets)), size), np.concatenate(sets)
     _, value, times = np.unique(flat, return_inverse=True, return_counts=True)
@@ -140,13 +140,14 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
     column, owner = (np.cumsum(shared) - 1)[value[shared[value]]], owner[shared[value]]
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
-    both = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers below 2**24 are exact
+    both = np.zeros((len(sets), len(sets)), np.int64)
     for at in range(0, int(shared.sum()), COLUMNS):
         a, b = np.searchsorted(column, (at, at + COLUMNS))
-        seen = np.zeros((len(sets), COLUMNS), np.float32)
-        seen[owner[a:b], column[a:b] - at] = 1
-        both += seen @ seen.T
-    both = both.astype(np.int64)
+        seen = np.zeros((len(sets), COLUMNS), bool)
+        seen[owner[a:b], column[a:b] - at] = True
+        bits = np.packbits(seen, axis=1).view(U64)
+        for i in range(len(sets)):
+            both[i] += np.bitwise_count(bits[i] & bits).sum(1, dtype=np.int64)
     return DENOMINATOR * both >= NUMERATOR * (size[:, None] + size[None, :] - both)
 
 
@@ -236,7 +237,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     joined = components(links)
     if has_big:
         across = cut(_across(big, joined, sets))
-        joined = components(links.union(across))
+        joined = components(joined.select(F.col("id").alias("a"), F.col("component_id").alias("b")).union(across))
         forget(across, sets)
     forget(reps, dealt, clusters, links)
     out = made.join(classes, ["f1", "f2"], "left").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
