@@ -10,7 +10,7 @@ Running counts are prefix sums over hash buckets of about BUCKET_ROWS rows (then
 a source with a third of all rows never meets in one task; only sums per bucket and per source do.
 
 Defined results: null text has size 0 and is taken 0 times; very long texts are documents like others; rows without a
-key are dealt by a hash of the whole row; a null source is a source of its own, ordered last;
+key are dealt by a hash of text and source; a null source is a source of its own, ordered last;
 an empty table gives no rows; repeated rows are rows of their own; columns beside key, text and source are ignored.
 Targets: sources by code point weigh 1, 2, 3, repeating; a target stops at 3 times its source's size.
 """
@@ -72,7 +72,7 @@ def _keys(df: DataFrame) -> list[Column]:
 
 def mix_counts(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED, whole_documents: bool = False, rows_apart: bool = False) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken, copies) of each row; copies counts whole takes. rows_apart adds `id`, the row's (k1, k2, n)."""
-    name = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("null:"), F.xxhash64(*df.columns)))  # rows without a key are dealt by what they hold
+    name = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("null:"), F.xxhash64(F.col(text), F.col(source))))  # rows without a key are dealt by what they hold
     docs = df.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), name.alias("name"), *(_keys(df) if rows_apart else []))
     if rows_apart:
         docs = _numbered(docs).withColumn("id", F.struct("k1", "k2", "n")).drop("k1", "k2", "n")
