@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomline.llm.textops import pieces, short_batches
+from loomline.sources.readers import read_table
 
 BLOCK, WIDTH, LEVEL = 576, 24, 1
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -166,5 +167,5 @@ def media_features(df: DataFrame, key: str = "doc_id", media: str = "media", oth
 
 
 def op5_media(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = read_table(spark, f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return media_features(encode_media(docs), others=("n_bytes",))

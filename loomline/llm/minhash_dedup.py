@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from loomline.llm.components import Forest, components
 from loomline.llm.textops import LOWER, U64, Rolling, cut, forget, list_array, pieces, short_batches, signed, utf8, word_spans
+from loomline.sources.readers import read_table
 
 WIDTH, K, ALPHA, CHUNK, COLUMNS = 5, 32, 11, 256, 4096
 NUMERATOR, DENOMINATOR = 3, 4
@@ -279,7 +280,7 @@ def _across(big: DataFrame, joined: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def op7_minhash_dedup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(read_table(spark, f"{sf_dir}/documents.parquet"))
 
 
 OP7_SQL = r"""

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.llm.textops import cut
+from loomline.sources.readers import read_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 MOST_REPEATS, BUCKET_ROWS, SEED = 3, 4_000, 17
@@ -119,7 +120,7 @@ def mix_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source
 
 
 def op2_mix(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_table(spark, f"{sf_dir}/documents.parquet")
     return mix_counts(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomline.llm.textops import pieces, short_batches
+from loomline.sources.readers import read_table
 
 WINDOW, SHORTEST, END_ID, FLUSH, STEP_SEQUENCES = 1024, 128, 0, 8192, 64
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
@@ -195,4 +196,4 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = W
 
 
 def op8_pack(spark, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack(read_table(spark, f"{sf_dir}/documents.parquet"))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomline.llm.textops import LOWER, Rolling, pieces, short_batches, utf8, word_spans
+from loomline.sources.readers import read_table
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
@@ -504,4 +505,4 @@ def trained(spark=None, table: DataFrame | None = None) -> Field:
 
 
 def op1_pii(spark, sf_dir: str) -> DataFrame:
-    return find(spark.read.parquet(f"{sf_dir}/documents.parquet"), trained())
+    return find(read_table(spark, f"{sf_dir}/documents.parquet"), trained())

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.llm.textops import cut
+from loomline.sources.readers import read_table
 
 #: Fixed by the contract. {16,} and {14,} take the same maximal runs as + and a test of the length.
 QUOTE = "[\"']?"
@@ -95,7 +96,7 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", repository: Col
 
 
 def op10_secrets(spark, sf_dir: str) -> DataFrame:
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan(read_table(spark, f"{sf_dir}/documents.parquet"))
 
 
 def _found_sql(pattern: str) -> str:

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from loomline.llm.anchors import runs
 from loomline.llm.textops import Rolling, drop_path, fresh_path, pieces, settings, short_batches, signed, stored, utf8, word_spans
+from loomline.sources.readers import read_table
 
 WINDOW, GRAM, FANOUT, BATCHES = 35, 6, 4, 5
 ROW = ["r1", "r2"]  # a row's 128-bit hash
@@ -239,7 +240,7 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", batches:
 
 
 def op4_substring_index(spark, sf_dir: str) -> DataFrame:
-    return deduplicate(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return deduplicate(read_table(spark, f"{sf_dir}/documents.parquet"))
 
 
 OP4_SQL = r"""

@@ -38,6 +38,7 @@ from loomline.llm.anchors import runs
 from loomline.llm.bwt import repeated_windows
 from loomline.llm.minhash_dedup import by_group
 from loomline.llm.textops import U64, Rolling, drop_path, fresh_path, mix, pieces, short_batches, signed, stored, utf8
+from loomline.sources.readers import read_table
 
 WINDOW, GRAM, BATCH_BYTES, PART_BYTES, BUCKET_RUNS = 50, 24, 2 << 20, 32 << 20, 8000
 HOT_KINDS, PLACES = 2000, 3  # a finer anchor is that of PLACES consecutive windows
@@ -335,7 +336,7 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    return deduplicate(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return deduplicate(read_table(spark, f"{sf_dir}/documents.parquet"))
 
 
 OP3_SQL = """
