@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomline.llm import embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, suffix_dedup, toxicity
+from loomline.llm import divergence, embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_pack": packing.op8_pack,
     "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
     "op10_secrets": secrets.op10_secrets,
+    "op11_divergence": divergence.op11_divergence,
 }
 ORACLES = {
     "op2_mix": mixing.OP2_SQL,
@@ -23,4 +24,5 @@ ORACLES = {
     "op7_minhash_dedup": minhash_dedup.OP7_SQL,
     "op9_embedding_dedup": embedding_dedup.OP9_SQL,
     "op10_secrets": secrets.OP10_SQL,
+    "op11_divergence": divergence.OP11_SQL,
 }

@@ -121,10 +121,14 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 
 def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, per-document offsets into them) of all words; no word crosses documents."""
-    if not len(buf):
+    return marked_spans(~_SPACE[buf], offsets)
+
+
+def marked_spans(word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, per-document offsets into them) of all maximal runs of marked bytes; no run crosses documents. `word` is used up."""
+    if not len(word):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = ~_SPACE[buf]
-    edge = np.zeros(len(buf) + 1, bool)
+    edge = np.zeros(len(word) + 1, bool)
     edge[offsets] = True
     first = word.copy()
     first[1:] &= ~word[:-1] | edge[1:-1]
@@ -134,6 +138,15 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
+def span_codes(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(a number for each of the strings that lie end to end in data, the distinct strings by number); equal numbers are equal bytes."""
+    offsets = np.zeros(len(lengths) + 1, np.int64)
+    np.cumsum(lengths, out=offsets[1:])
+    strings = pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
+    coded = strings.dictionary_encode()
+    return np.asarray(coded.indices, np.int64), coded.dictionary
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift-multiply)."""
     with np.errstate(over="ignore"):
