@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomline.llm import divergence, embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, suffix_dedup, toxicity
+from loomline.llm import divergence, embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, suffix_dedup, toxicity, vector_codes
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_embedding_dedup": embedding_dedup.op9_embedding_dedup,
     "op10_secrets": secrets.op10_secrets,
     "op11_divergence": divergence.op11_divergence,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
 }
 ORACLES = {
     "op2_mix": mixing.OP2_SQL,
@@ -25,4 +26,5 @@ ORACLES = {
     "op9_embedding_dedup": embedding_dedup.OP9_SQL,
     "op10_secrets": secrets.OP10_SQL,
     "op11_divergence": divergence.OP11_SQL,
+    "op12_vector_codes": vector_codes.OP12_SQL,
 }
