@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomline.llm import divergence, embedding_dedup, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, suffix_dedup, toxicity, vector_codes
+from loomline.llm import divergence, embedding_dedup, line_quality, media, minhash_dedup, mixing, packing, pii, secrets, substring_index, suffix_dedup, toxicity, vector_codes
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_secrets": secrets.op10_secrets,
     "op11_divergence": divergence.op11_divergence,
     "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_line_quality": line_quality.op13_line_quality,
 }
 ORACLES = {
     "op2_mix": mixing.OP2_SQL,
