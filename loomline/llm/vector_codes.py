@@ -11,11 +11,11 @@ beside them; codebooks (at most 256 entries a part) are the only thing that the
 State travels compactly: components as 16-bit integers where a vector's fit, else as doubles; bounds as 16-bit units
 of SCALE, rounded down, so a bound may be weaker than it could be, never too strong.
 
-Defined results: rows whose vector is null or holds a null or non-finite component (or one whose product with 1024 isn't
-finite) are left out; shorter vectors count as filled up with zeros to the longest one's length, and that to a multiple
+Defined results: rows whose vector is null or holds a null or non-finite component (or one whose product with 1024 no
+long holds) are left out; shorter vectors count as filled up with zeros to the longest one's length, and that to a multiple
 of 4; fewer than 256 rows make a smaller codebook; rows that share a vec_id are rows of their own, the first codebook
-takes them by their components, a null vec_id last; a null label is a label; parts beyond 2**23 in size are
-measured in Python integers, and an error that no long holds is null; an empty table gives no rows; columns beside
+takes them by their components, a null vec_id last; a null label is a label; components beyond 2**23 / 1024 are
+measured in Python integers, and an error or a label's sum that no long holds is null; an empty table gives no rows; columns beside
 those named are ignored.
 """
 
@@ -59,7 +59,7 @@ def unpacked(rows: list[bytes], width: int) -> np.ndarray:
 
 def exact(*arrays: np.ndarray) -> bool:
     """Whether squared distances among these rows are exact in doubles."""
-    most = max((float(np.abs(a).max(initial=0)) for a in arrays), default=0.0)
+    most = max(float(np.abs(a).max(initial=0)) for a in arrays)
     return most < 1 << 23 and (2 * most) ** 2 * max(1, arrays[0].shape[1]) < 2.0**53
 
 
@@ -70,6 +70,11 @@ def whole(a: np.ndarray) -> np.ndarray:
     return out
 
 
+def tidy(a: np.ndarray) -> np.ndarray:
+    """Whole numbers as doubles, where these hold them exactly."""
+    return a.astype(np.float64) if not a.size or np.abs(a).max() < 1 << 53 else a
+
+
 def distances(x: np.ndarray, entries: np.ndarray) -> np.ndarray:
     """Exact squared distances (rows x entries): doubles that hold integers, or Python integers."""
     if exact(x, entries):
@@ -84,21 +89,21 @@ def roots(squared: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Codebook:
-    entries: np.ndarray  # k x width, whole-numbered doubles
+    entries: np.ndarray  # k x width, whole numbers
     groups: list[np.ndarray] = field(default_factory=list)  # indexes, ascending
     of: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # the group of each entry
     drift: np.ndarray = field(default_factory=lambda: np.zeros(0))  # the greatest of each group
 
     def grouped(self, groups: int = GROUPS) -> Codebook:
         """Entries clustered by a few plain rounds from evenly spread ones; any grouping gives the same codes."""
-        k = len(self.entries)
-        centers = self.entries[np.unique(np.linspace(0, k - 1, min(groups, k)).astype(int))] if k else self.entries
+        k, plain = len(self.entries), self.entries.astype(np.float64)
+        centers = plain[np.unique(np.linspace(0, k - 1, min(groups, k)).astype(int))] if k else plain
         of = np.zeros(k, np.int64)
         for _ in range(5):
             if k:
-                gap = ((self.entries[:, None] - centers[None]) ** 2).sum(2)
+                gap = ((plain[:, None] - centers[None]) ** 2).sum(2)
                 of = gap.argmin(1)
-                centers = np.stack([self.entries[of == g].mean(0) if (of == g).any() else c for g, c in enumerate(centers)])
+                centers = np.stack([plain[of == g].mean(0) if (of == g).any() else c for g, c in enumerate(centers)])
         self.groups = [np.flatnonzero(of == g) for g in np.unique(of)]
         self.of = np.unique(of, return_inverse=True)[1] if k else of
         self.drift = np.zeros(len(self.groups))
@@ -106,7 +111,7 @@ class Codebook:
 
     def moved(self, entries: np.ndarray) -> Codebook:
         """The next round's codebook: the same groups, and how far their entries went."""
-        step = np.sqrt(((entries - self.entries) ** 2).sum(1)) * (1 + 1e-9)
+        step = np.sqrt(((entries - self.entries).astype(np.float64) ** 2).sum(1)) * (1 + 1e-9)
         return Codebook(entries, self.groups, self.of, np.array([step[g].max() for g in self.groups]))
 
 
@@ -226,23 +231,23 @@ def updated(books: list[Codebook], sums: DataFrame, part: int) -> list[Codebook]
     """Each used entry becomes floor(sum / count), component by component; at most PARTS * ENTRIES entries reach the driver."""
     counts = {(r["part"], r["entry"]): r["n"] for r in sums.groupBy("part", "entry").agg(F.sum("count").alias("n")).collect()}
     each = sums.select("part", "entry", F.posexplode("sums").alias("at", "v")).groupBy("part", "entry", "at").agg(F.sum("v").alias("v"))
-    new = [b.entries.copy() for b in books]
+    new = [whole(b.entries) for b in books]
     for r in each.collect():
-        new[r["part"]][r["entry"], r["at"]] = float(int(r["v"]) // counts[r["part"], r["entry"]])
-    return [b.moved(e) for b, e in zip(books, new)]
+        new[r["part"]][r["entry"], r["at"]] = int(r["v"]) // counts[r["part"], r["entry"]]
+    return [b.moved(tidy(e)) for b, e in zip(books, new)]
 
 
 def compress(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", rounds: int = ROUNDS) -> DataFrame:
     """(vec_id, code, error, label_error, codebooks_sha256) of each row with a vector of finite components."""
     spark = df.sparkSession
     own = df.select(F.col(key).cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(vector).cast("array<double>").alias("v"))
-    sound = own.where(F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(1.7976931348623157e308 / UNIT))))
+    sound = own.where(F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(2.0**63 / UNIT))))
     width = sound.agg(F.max(F.size("v")).alias("m")).first()["m"] or 0
     width = -(-width // PARTS) * PARTS
     part = width // PARTS
     filled = sound.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("v"))))
     start = filled.orderBy(F.col("vec_id").asc_nulls_last(), F.transform("v", lambda x: F.floor(x * UNIT))).limit(ENTRIES).select("v").toArrow()
-    seeds = np.array(floats(start.column("v").combine_chunks())).reshape(-1, width) if start.num_rows else np.zeros((0, width))
+    seeds = np.array(floats(start.column("v").combine_chunks())).reshape(start.num_rows, width) if start.num_rows else np.zeros((0, width))
     books = [Codebook(seeds[:, p * part : (p + 1) * part]).grouped() for p in range(PARTS)]
 
     def packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +268,7 @@ def compress(df: DataFrame, key: str = "vec_id", vector: str = "embedding", labe
     if before:
         drop_path(spark, before)
     digest = hashlib.sha256(",".join(str(int(v)) for b in books for v in b.entries.ravel()).encode()).hexdigest()
-    by_label = cut(made.groupBy("label").agg(F.sum("error").alias("label_error"))).select(F.col("label").alias("_label"), "label_error")
+    by_label = cut(made.groupBy("label").agg(F.try_sum("error").alias("label_error"))).select(F.col("label").alias("_label"), "label_error")
     out = made.join(by_label, F.col("label").eqNullSafe(F.col("_label")))
     return out.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
 
