@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.llm import minhash_dedup, mixing, packing, pii, toxicity
-from loomline.llm.textops import drop_path, fresh_path, stored
+from loomline.llm.textops import drop_path, fresh_path, quoted, stored
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +15,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null and empty texts are judged by the thresholds alone, equal texts alike, rows without a doc_id like others; without labels nobody goes.
     """
     model = toxicity.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id")).where("not toxic").select(*docs.columns)
+    return toxicity.clean_rows(docs, model)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +26,8 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     column one stays.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]  # columns of any name
-    row = [F.monotonically_increasing_id().alias("id"), F.xxhash64(*docs.columns).alias("k1"), F.xxhash64(F.lit("b"), *docs.columns).alias("k2")]
-    rows = stored(docs.select(*row, "doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names) if c != "text")), fresh_path(spark, "pipeline-rows"), compression="zstd")
+    row = [F.monotonically_increasing_id().alias("id"), F.xxhash64(*map(quoted, docs.columns)).alias("k1"), F.xxhash64(F.lit("b"), *map(quoted, docs.columns)).alias("k2")]
+    rows = stored(docs.select(*row, "doc_id", "text", *(F.col(quoted(c)).alias(n) for c, n in zip(docs.columns, names) if c != "text")), fresh_path(spark, "pipeline-rows"), compression="zstd")
     found = minhash_dedup.near_duplicates(rows, "id").withColumnRenamed("doc_id", "id")
     words = F.col("n_shingles") > 0
     group = [F.when(words, F.col("component_id")).alias("component"), F.when(~words, F.col("k1")).alias("g1"), F.when(~words, F.col("k2")).alias("g2")]
@@ -40,12 +40,12 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to its kind; n_chars follows the text. Null texts stay null, no row goes."""
     found = pii.redact_column(docs, pii.trained())
-    return found.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*docs.columns)
+    return found.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*map(quoted, docs.columns))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; one without words stays once. Ties go by hashes of the row; a null source is a source."""
-    return mixing.mix_documents(docs).select(*docs.columns)
+    return mixing.mix_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
