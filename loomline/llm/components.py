@@ -24,10 +24,10 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         # a table of its own: Spark then splits what the links of one node (a group's center) bring to the join
         least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = cut(both.join(least, "u").where("v > u").select("v", F.col("m").alias("u")).where("u < v"))
-        low = large.groupBy("v").agg(F.min("u").alias("m"))
+        low = cut(large.groupBy("v").agg(F.min("u").alias("m")))
         small = large.join(low, "v")
         before, pairs = pairs, cut(small.select("v", F.col("m").alias("u")).union(small.where("u > m").select(F.col("u").alias("v"), F.col("m").alias("u"))).distinct())
-        forget(before, least, large)
+        forget(before, least, large, low)
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if now == mark:
             return pairs.select(F.col("v").alias("id"), F.col("u").alias("component_id"))

@@ -121,7 +121,7 @@ def link_counts(df: DataFrame, key: str = "vec_id", vector: str = "embedding", l
     rows = df.select(F.col(key).alias("vec_id"), F.col(label).alias("label"), F.col(vector).cast(f"array<{kind}>").alias("vector"))
     rows = rows.withColumn("fine", F.coalesce(fine, F.lit(False))).withColumn("h1", F.xxhash64("vector")).withColumn("h2", F.xxhash64(F.lit("b"), "vector"))
     good = rows.where("fine and vec_id is not null")
-    classes = good.groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("class"), F.count("*").alias("n"))
+    classes = cut(good.groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("class"), F.count("*").alias("n")))  # a table of its own: Spark then splits a repeated vector's join
     # equal vectors share their class's least id; one row that has that id brings the vector
     reps = good.join(classes.withColumnRenamed("class", "vec_id"), ["label", "h1", "h2", "vec_id"]).groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("class"), F.first("n").alias("n"), F.min("vector").alias("vector"))
     reps = cut(reps.select("label", "class", "n", "vector", F.size("vector").alias("dim")))
@@ -213,7 +213,7 @@ def link_counts(df: DataFrame, key: str = "vec_id", vector: str = "embedding", l
 
     hits = cut(dealt.groupBy(*key_cols, "block", "turn").applyInArrow(search, "id long, other long, found long"))
     forget(reps, placed, sizes)
-    counts = hits.where("other is null").groupBy(F.col("id").alias("class")).agg(F.sum("found").alias("found"))
+    counts = cut(hits.where("other is null").groupBy(F.col("id").alias("class")).agg(F.sum("found").alias("found")))
     same_id = good.groupBy("vec_id").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("k")).where("k > 1").select("vec_id")
     member = good.join(classes, ["label", "h1", "h2"]).select("vec_id", "class", "n")
     twins = member.join(same_id, "vec_id").select(F.col("vec_id").alias("a"), F.col("class").alias("b"))

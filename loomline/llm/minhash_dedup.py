@@ -11,7 +11,7 @@ of their groups, by an exact prefix filter on their full sets (the rarest quarte
 threshold), so that what only shares a header falls apart; inside these groups those apart meet all others, block by
 block, by bit counts. Only a spanning forest of verified links leaves a task; components() joins them.
 
-Sets are sets of 64-bit hashes. With K = 32 and ALPHA = 11 a pair at exactly 0.75 fails to share enough values with
+Sets are sets of 64-bit hashes of words' 64-bit hashes; classes are told by two such hashes, each from word hashes of its own. With K = 32 and ALPHA = 11 a pair at exactly 0.75 fails to share enough values with
 probability about 3e-7, above it with less.
 
 Defined results: null, empty and blank texts have the empty set and link with nothing; fewer than five words are one
@@ -29,27 +29,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.components import Forest, components
-from loomline.llm.textops import LOWER, U64, Rolling, cut, forget, list_array, pieces, short_batches, signed, utf8, word_spans
+from loomline.llm.textops import LOWER, U64, cut, forget, list_array, pieces, sequence_hashes, short_batches, signed, span_hashes, utf8, window_hashes, word_spans
 from loomline.sources.readers import read_table
 
 WIDTH, K, ALPHA, CHUNK, COLUMNS = 5, 32, 11, 256, 4096
 NUMERATOR, DENOMINATOR = 3, 4
-_WORD, _SHINGLE, _A, _B = Rolling(71), Rolling(72), Rolling(73), Rolling(74)
+_WORDS, _SHINGLE, _SHORT, _WHOLE = (71, 72), 73, 74, (75, 76)  # seeds
 
 
 def shingle_sets(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(distinct shingle hashes of all texts, each text's sorted; offsets; two hashes of each whole word sequence)."""
     buf, offsets = utf8(text)
     starts, ends, per = word_spans(buf, offsets)
-    words = _WORD.words(LOWER[buf], starts, ends)
+    low = LOWER[buf]
+    words, others = (span_hashes(low, starts, ends, seed) for seed in _WORDS)
     first, n = per[:-1], np.diff(per)
-    sums = [r.sums(words) for r in (_SHINGLE, _A, _B)]
-    grams = _SHINGLE.spans(sums[0], np.arange(max(0, len(words) - WIDTH + 1)), np.arange(WIDTH, len(words) + 1) if len(words) >= WIDTH else np.zeros(0, np.int64))
-    short = _SHINGLE.spans(sums[0], first, per[1:])
+    grams, short = window_hashes(words, WIDTH, _SHINGLE), sequence_hashes(words, per, _SHORT)
     sets = []
     for i, (a, k) in enumerate(zip(first.tolist(), n.tolist())):
         sets.append(np.unique(grams[a : a + k - WIDTH + 1]) if k >= WIDTH else short[i : i + 1] if k else short[:0])
-    whole = [r.spans(s, first, per[1:]) for r, s in ((_A, sums[1]), (_B, sums[2]))]
+    whole = [sequence_hashes(w, per, seed) for w, seed in zip((words, others), _WHOLE)]
     return np.concatenate(sets) if sets else np.zeros(0, U64), np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64), *whole
 
 
@@ -213,7 +212,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     reps = cut(reps)
 
     values = reps.select("doc_id", F.explode("sketch").alias("v"))
-    shared = values.groupBy("v").agg(F.count("*").alias("c"), F.min("doc_id").alias("pivot")).where("c > 1")
+    shared = cut(values.groupBy("v").agg(F.count("*").alias("c"), F.min("doc_id").alias("pivot")).where("c > 1"))  # a table of its own: Spark then splits a frequent value's join
     per = values.join(shared, "v").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("c", "v", "pivot"))).alias("found"))  # at most K each
     s = F.size("sketch")
     # a set of at most 24 meets only sets that are their own sketches: the exact prefix holds
@@ -221,6 +220,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     room = (s - need + 1 - (s - F.size("found"))).cast("int")
     member = reps.join(per, "doc_id").where(room > 0).select("doc_id", F.explode(F.array_distinct(F.transform(F.slice("found", 1, room), lambda x: x["pivot"]))).alias("pivot"))
     member = cut(member.distinct())
+    forget(shared)
     sizes = cut(member.groupBy("pivot").agg(F.count("*").alias("m"), F.min("doc_id").alias("center")).where("m > 1"))  # a table of its own: Spark then splits a large group's join
     dealt = member.join(sizes, "pivot").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
     dealt = dealt.withColumn("chunk", F.explode(F.when(F.col("doc_id") == F.col("center"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")))))
@@ -246,12 +246,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
 
 
-def prefix_members(values: DataFrame) -> DataFrame:
-    """(doc_id, pivot): for (doc_id, n, v), the least members of the lists of each set's rarest n - ceil(3n / 4) + 1 values, where others have them too."""
-    shared = values.groupBy("v").agg(F.count("*").alias("c"), F.min("doc_id").alias("pivot")).where("c > 1")
+def prefix_members(values: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, pivot): for (doc_id, n, v), the least members of the lists of each set's rarest n - ceil(3n / 4) + 1 values, where others have them too. And the table of lists, to be dropped once they are read."""
+    shared = cut(values.groupBy("v").agg(F.count("*").alias("c"), F.min("doc_id").alias("pivot")).where("c > 1"))
     per = values.join(shared, "v").groupBy("doc_id").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("c", "v", "pivot"))).alias("found"))  # a document's
     room = (F.floor(F.col("n") * (DENOMINATOR - NUMERATOR) / DENOMINATOR) + 1 - (F.col("n") - F.size("found"))).cast("int")
-    return per.where(room > 0).select("doc_id", F.explode(F.array_distinct(F.transform(F.slice("found", 1, room), lambda x: x["pivot"]))).alias("pivot"))
+    return per.where(room > 0).select("doc_id", F.explode(F.array_distinct(F.transform(F.slice("found", 1, room), lambda x: x["pivot"]))).alias("pivot")), shared
 
 
 def _across(big: DataFrame, joined: DataFrame, sets: DataFrame) -> DataFrame:
@@ -265,8 +265,9 @@ def _across(big: DataFrame, joined: DataFrame, sets: DataFrame) -> DataFrame:
     known = cut(known.join(open_groups, "pivot").groupBy("doc_id").agg(F.min("component").alias("component"), F.max("apart").alias("apart")))
     # exact prefix filter: of sets of n, the rarest n - ceil(3n / 4) + 1 values meet in one at least
     own = known.select("doc_id").join(sets, "doc_id")
-    member = prefix_members(own.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("v")))
+    member, shared = prefix_members(own.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("v")))
     known = cut(member.join(known, "doc_id").select("pivot", "doc_id", "component", "apart"))
+    forget(shared)
     sizes = known.groupBy("pivot").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.ceil(F.sum(F.col("apart").cast("int")) / CHUNK).cast("int").alias("rests"))
     known = known.join(cut(sizes.where("rests > 0")), "pivot")
     h = F.xxhash64("doc_id")

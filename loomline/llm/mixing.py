@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.llm.textops import cut
+from loomline.llm.textops import cut, quoted
 from loomline.sources.readers import read_table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -68,7 +68,7 @@ def _numbered(df: DataFrame) -> DataFrame:
 
 
 def _keys(df: DataFrame) -> list[Column]:
-    return [F.xxhash64(*df.columns).alias("k1"), F.xxhash64(F.lit("b"), *df.columns).alias("k2")]
+    return [F.xxhash64(*map(quoted, df.columns)).alias("k1"), F.xxhash64(F.lit("b"), *map(quoted, df.columns)).alias("k2")]
 
 
 def mix_counts(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED, whole_documents: bool = False, rows_apart: bool = False) -> DataFrame:
@@ -115,7 +115,7 @@ def mix_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source
     times = F.when(F.col("size") > 0, F.col("copies")).otherwise(1)
     counts = counts.select("id.*", times.cast("int").alias("times")).where("times > 0")
     names = [f"c{i}" for i in range(len(df.columns))]  # columns of any name
-    rows = _numbered(df.select(*_keys(df), *(F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names))))
+    rows = _numbered(df.select(*_keys(df), *(F.col(quoted(c)).alias(n) for c, n in zip(df.columns, names))))
     return rows.join(counts, ["k1", "k2", "n"]).withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*(F.col(n).alias(c) for c, n in zip(df.columns, names)))
 
 

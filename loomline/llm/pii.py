@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.textops import LOWER, Rolling, pieces, short_batches, utf8, word_spans
+from loomline.llm.textops import LOWER, Rolling, pieces, quoted, short_batches, utf8, word_spans
 from loomline.sources.readers import read_table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -493,9 +493,9 @@ def find(df: DataFrame, field: Field, key: str = "doc_id", text: str = "text", r
 def redact_column(df: DataFrame, field: Field, text: str = "text") -> DataFrame:
     """df with its text redacted; all other columns and the number of rows stay."""
     rest = [c for c in df.columns if c != text]
-    packed = df.select(F.struct(*rest).alias("rest"), F.col(text).alias("text"))
+    packed = df.select(F.struct(*(F.col(quoted(c)) for c in rest)).alias("rest"), F.col(text).alias("text"))
     out = find(packed, field, "rest", "text", redacted=True)
-    return out.select("rest.*", F.col("redacted").alias(text)).select(*df.columns)
+    return out.select("rest.*", F.col("redacted").alias(text)).select(*map(quoted, df.columns))
 
 
 def trained(spark=None, table: DataFrame | None = None) -> Field:

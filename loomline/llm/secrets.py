@@ -76,7 +76,7 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", repository: Col
 
     by_repository = each.groupBy("h1", "h2", "owner", "repository").agg(F.count("*").alias("n"))
     by_owner = by_repository.groupBy("h1", "h2", "owner").agg(F.count("*").alias("repositories"))
-    classes = by_owner.groupBy("h1", "h2").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    classes = cut(by_owner.groupBy("h1", "h2").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories")))  # a table of its own: Spark then splits a widely copied value's join
     judged = each.join(classes, ["h1", "h2"])
     copied = (F.col("owners") >= many) | (F.col("repositories") >= many)
     live = (F.col("owners") == 1) & ~copied & F.col("random")

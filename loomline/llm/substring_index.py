@@ -7,7 +7,7 @@ fingerprint. Each new batch of documents becomes a run, which is merge-joined wi
 shuffle or a sort; FANOUT runs are merged into one, two at a time, the same way. What a batch met is then looked
 up among all entries of the call, so that earlier copies are found as well. Fingerprints seen once can't be repeated
 windows. Where all entries of a fingerprint hold the same words, all their windows are repeated. The rest is verified
-window by window, for one entry of each kind, by 128-bit hashes of the windows' words, which stand for the words. An
+window by window, for one entry of each kind, by two 64-bit hashes of the windows' words, each from word hashes of its own, which stand for the words. An
 index that outlives the call also holds its entries' kinds and its documents' texts, so that its windows are verified
 like the call's own.
 
@@ -32,30 +32,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.llm.anchors import runs
-from loomline.llm.textops import Rolling, drop_path, fresh_path, pieces, settings, short_batches, signed, stored, utf8, word_spans
+from loomline.llm.textops import U64, drop_path, fresh_path, mix, pieces, settings, short_batches, signed, span_hashes, stored, utf8, window_hashes, word_spans
 from loomline.sources.readers import read_table
 
 WINDOW, GRAM, FANOUT, BATCHES = 35, 6, 4, 5
 ROW = ["r1", "r2"]  # a row's 128-bit hash
-_WORD, _GRAM, _ENTRY, _A, _B = Rolling(41), Rolling(42), Rolling(43), Rolling(44), Rolling(45)
+_WORDS, _GRAM, _ENTRY, _WINDOWS = (41, 42), 43, 44, (45, 46)  # seeds
 
 
-def words_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def words_of(text: pa.Array, *seeds: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The words' hashes by each seed, and the documents' offsets into them."""
     buf, offsets = utf8(text)
     starts, ends, per = word_spans(buf, offsets)
-    return _WORD.words(buf, starts, ends), per
+    return [span_hashes(buf, starts, ends, seed) for seed in seeds], per
 
 
 def entries(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(r1, r2, fp, words, start, n): each run of windows with its fingerprint, the hash of its words, first word and number of windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            words, per = words_of(piece.column("text"))
+            (words,), per = words_of(piece.column("text"), _WORDS[0])
             if len(words) < window:
                 continue
-            grams = _GRAM.windows(words, GRAM)
+            grams, whole = window_hashes(words, GRAM, _GRAM), window_hashes(words, window, _ENTRY)
             doc, start, n, anchor = runs(grams, per, window, GRAM)
-            h = _ENTRY.spans(_ENTRY.sums(words), start, start + n + window - 1)
+            with np.errstate(over="ignore"):  # a run has at most as many windows as one has words, so its first and last hold all of its words
+                h = mix(whole[start] + mix(whole[start + n - 1] + n.astype(U64)))
             rows = [piece.column(r).take(pa.array(doc)) for r in ROW]
             yield pa.RecordBatch.from_arrays([*rows, pa.array(signed(grams[anchor])), pa.array(signed(h)), pa.array((start - per[doc]).astype(np.int32)), pa.array(n.astype(np.int32))], [*ROW, "fp", "words", "start", "n"])
 
@@ -159,11 +161,11 @@ class FingerprintIndex:
         self.runs = []
 
 
-def window_hashes(docs: DataFrame, wanted: DataFrame, window: int = WINDOW) -> DataFrame:
+def wanted_windows(docs: DataFrame, wanted: DataFrame, window: int = WINDOW) -> DataFrame:
     """(r1, r2, at, w1, w2, times) of each window of the wanted entries (r1, r2, start, n, times), from the texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            words, per = words_of(piece.column("text"))
+            words, per = words_of(piece.column("text"), *_WORDS)
             lists = piece.column("wanted")
             flat = lists.flatten()
             doc = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
@@ -171,7 +173,7 @@ def window_hashes(docs: DataFrame, wanted: DataFrame, window: int = WINDOW) -> D
             entry = np.repeat(np.arange(len(n)), n)
             at = start[entry] + np.arange(len(entry)) - np.repeat(np.cumsum(n) - n, n)
             place = per[doc[entry]] + at
-            a, b = (r.spans(r.sums(words), place, place + window) for r in (_A, _B))
+            a, b = (window_hashes(w, window, seed)[place] for w, seed in zip(words, _WINDOWS))
             rows = [piece.column(r).take(pa.array(doc[entry])) for r in ROW]
             yield pa.RecordBatch.from_arrays([*rows, pa.array(at.astype(np.int32)), pa.array(signed(a)), pa.array(signed(b)), pa.array(times[entry])], [*ROW, "at", "w1", "w2", "times"])
 
@@ -227,7 +229,7 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", batches:
     else:
         mixed = matched.where("kinds > 1").groupBy("fp", "words").agg(F.min(F.struct(*ROW, "start", "n")).alias("one"), F.count("*").alias("times"))
     mixed = stored(mixed.select("fp", "words", "times", "one.*"), paths["mixed"])  # tables of their own, as for seen
-    hashes = stored(window_hashes(spark.read.parquet(*used.texts) if used.lasting else docs, mixed, window), paths["windows"])
+    hashes = stored(wanted_windows(spark.read.parquet(*used.texts) if used.lasting else docs, mixed, window), paths["windows"])
     often = stored(hashes.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1").select("w1", "w2"), paths["repeated"])
     if index is None:
         used.close()

@@ -95,6 +95,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark takes it, whatever is in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The texts' bytes in one array, and offsets of each text in it."""
     if isinstance(column, pa.ChunkedArray):
@@ -155,8 +160,68 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
+_ODD, _STEP = U64(0xD6E8FEB86659FD93), U64(0x9E3779B97F4A7C15)
+_LONG, _RUN = 256, 32  # bytes of a word hashed one eight after another; blocks of longer ones
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of the bytes of each span, eight at a time through mix(): no pattern of bytes makes it collide. Spans longer
+    than _LONG are hashed as sequences of their blocks."""
+    n = ends - starts
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[: len(buf)] = buf
+    eights = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))
+    at = np.flatnonzero(n > 0) if (n <= _LONG).all() else np.flatnonzero((n > 0) & (n <= _LONG))
+    with np.errstate(over="ignore"):
+        out = mix(n.astype(U64) * _STEP + U64(seed))
+        for k in range(0, _LONG, 8):
+            if k:
+                at = at[n[at] > k]
+            if not len(at):
+                break
+            left = np.minimum(n[at] - k, 8)
+            out[at] = mix(out[at] ^ (eights[starts[at] + k] & (U64(2**64 - 1) >> (U64(64) - left.astype(U64) * U64(8)))) * _ODD)
+        long = np.flatnonzero(n > _LONG)
+        if len(long):
+            blocks = -(-n[long] // _RUN)
+            first = np.cumsum(blocks) - blocks
+            a = np.repeat(starts[long], blocks) + (np.arange(blocks.sum()) - np.repeat(first, blocks)) * _RUN
+            inner = span_hashes(buf, a, np.minimum(a + _RUN, np.repeat(ends[long], blocks)), seed + 1)
+            out[long] = mix(out[long] + sequence_hashes(inner, np.append(first, blocks.sum()), seed + 2))
+    return out
+
+
+def sequence_hashes(symbols: np.ndarray, offsets: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each sequence of hashed symbols, from one of offsets to the next: sums of mixed (symbol, place) pairs."""
+    n = np.diff(offsets)
+    with np.errstate(over="ignore"):
+        place = (np.arange(len(symbols)) - np.repeat(offsets[:-1], n)).astype(U64)
+        sums = np.zeros(len(symbols) + 1, U64)
+        np.cumsum(mix(symbols ^ mix(place * _STEP + U64(seed))), out=sums[1:])
+        return mix(sums[offsets[1:]] - sums[offsets[:-1]] + n.astype(U64) * _STEP)
+
+
+def window_hashes(symbols: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """A hash of each run of `width` hashed symbols, by start, put together from runs of powers of two. Runs may cross documents: mask them."""
+    n = len(symbols) - width + 1
+    if n <= 0:
+        return np.zeros(0, U64)
+    with np.errstate(over="ignore"):
+        run, have, at, out = mix(symbols + U64(seed)), 1, 0, None
+        while True:
+            if width & have:
+                part = run[at : at + n]
+                out = part if out is None else mix(out * _ODD + part)
+                at += have
+            if 2 * have > width:
+                return out
+            run = mix(run[:-have] * _ODD + run[have:])
+            have *= 2
+
+
 class Rolling:
-    """Polynomial hashes modulo 2**64 of any spans of a sequence, from one running sum.
+    """Polynomial hashes modulo 2**64 of any spans of a sequence, from one running sum. Patterns of 1,024 symbols and more
+    can make them collide: where equality is decided, use the functions above.
 
     Symbols go through a seeded random table (bytes) or are random 64-bit values already (word hashes).
     """

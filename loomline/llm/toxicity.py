@@ -9,7 +9,8 @@ between the classes (at most FEATURES of them). Scoring is one pass without a sh
 Defined results: null or empty text has no features and gets the thresholds' own probabilities, grade 0; with no
 labelled rows, or one class only, nothing is toxic; equal texts score alike, to the last bit, wherever they stand;
 ties in the sample go by id; a sampled doc_id's text is the least of the rows that share it; very long texts count
-each word once; columns beside those named are ignored; an empty table gives no rows.
+each word once; columns beside those named are ignored, in clean_rows() they are carried, whatever their names;
+an empty table gives no rows. All punctuation at a word's ends is left out; of a word of nothing else its last mark stays.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.textops import LOWER, Rolling, list_array, pieces, short_batches, utf8, word_spans
+from loomline.llm.textops import LOWER, Rolling, list_array, pieces, quoted, short_batches, utf8, word_spans
 
 SAMPLE, BITS, FEATURES, GRADES, SURE = 6000, 18, 20_000, 3, 3.5
 _HASH = Rolling(6)
@@ -37,9 +38,11 @@ def features(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     buf, offsets = utf8(text)
     starts, ends, per = word_spans(buf, offsets)
     buf = LOWER[buf]
-    for _ in range(4):
-        starts = starts + ((starts < ends - 1) & _PUNCT[buf[np.minimum(starts, len(buf) - 1)]] if len(buf) else 0)
-        ends = ends - ((starts < ends - 1) & _PUNCT[buf[ends - 1]] if len(buf) else 0)
+    if len(starts):
+        # a word of marks alone keeps its last
+        plain = np.append(np.flatnonzero(~_PUNCT[buf]), len(buf))
+        starts = np.minimum(plain[np.searchsorted(plain, starts)], ends - 1)
+        ends = np.maximum(np.append(-1, plain[:-1])[np.searchsorted(plain[:-1], ends)] + 1, starts + 1)
     word = _HASH.words(buf, starts, ends) >> np.uint64(64 - BITS)
     doc = np.repeat(np.arange(len(per) - 1, dtype=np.uint64), np.diff(per))
     both = np.unique(doc << np.uint64(BITS) | word)
@@ -164,12 +167,20 @@ def score(df: DataFrame, model: Ordinal, key: str = "doc_id", text: str = "text"
     had = ["_text" if c == text else f"_{i}" for i, c in enumerate(wanted)]
     found = ["p_toxic", "expected_severity", "grade", "toxic"]
     named = dict(zip([*had, "_text"], [*wanted, text]))
-    source = df.select(*(F.col(f"`{c}`").alias(n) for n, c in named.items()))
+    source = df.select(*(F.col(quoted(c)).alias(n) for n, c in named.items()))
     kinds = [T.StructField(found[0], T.DoubleType()), T.StructField(found[1], T.DoubleType()), T.StructField(found[2], T.LongType()), T.StructField(found[3], T.BooleanType())]
     out = source.transform(short_batches).mapInArrow(run, T.StructType([*(source.schema[n] for n in had), *kinds]))
     return out.select(*(F.col(n).alias(c) for n, c in zip(had, wanted)), *found)
 
 
+def clean_rows(df: DataFrame, model: Ordinal, text: str = "text") -> DataFrame:
+    """The rows of df, whatever its columns are called, whose text isn't toxic."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    plain = df.select(*(F.col(quoted(c)).alias(n) for n, c in zip(names, df.columns)))
+    kept = score(plain, model, names[0], names[df.columns.index(text)], tuple(names)).where("not toxic")
+    return kept.select(*(F.col(n).alias(c) for n, c in zip(names, df.columns)))
+
+
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     return score(docs, train(docs, labels))
