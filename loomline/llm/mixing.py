@@ -1,13 +1,14 @@
 """Mixing sources to target weights by weighted fair queueing, in DataFrame functions only.
 
-Each source's documents are shuffled by a hash of their key. A document's virtual finish time is the source's
-running word count up to its end, repeats of the whole source included, over the source's target. All documents
-are then put in order of that time over all sources and truncated at the total budget. By default the document
-that straddles its source's target gives only its words up to it; with whole_documents it is taken as a whole if
-its middle lies before the target, and the global truncation decides at the end.
+Each source's documents are shuffled by a hash of their key and queue up to MOST_REPEATS times, the whole source once
+more each time. A turn's virtual finish time is the source's running word count up to its end over the source's
+target. All turns of all sources are put in order of that time and truncated at the total budget: the order and the
+budget alone decide. By default a turn queues in packets of QUANTUM words, the last one taken gives what the budget has
+left, and so a source's words stray from its target by a packet a source at most. With whole_documents a
+turn is one packet, taken if its middle lies before its source's target and the budget has room for all of it.
 
-Running counts are prefix sums over hash buckets of about BUCKET_ROWS rows (then over virtual-time ranges), so that
-a source with a third of all rows never meets in one task; only sums per bucket and per source do.
+Running counts are prefix sums over hash buckets of about BUCKET_ROWS rows (then over virtual-time ranges), and over
+SPAN buckets at a time, so that a source with a third of all rows never meets in one task; only sums do.
 
 Defined results: null text has size 0 and is taken 0 times; very long texts are documents like others; rows without a
 key are dealt by a hash of text and source; a null source is a source of its own, ordered last;
@@ -24,7 +25,7 @@ from loomline.llm.textops import cut, quoted
 from loomline.sources.readers import read_table
 
 WORD = r"[^\x20\x09-\x0D]+"
-MOST_REPEATS, BUCKET_ROWS, SEED = 3, 4_000, 17
+MOST_REPEATS, QUANTUM, BUCKET_ROWS, SPAN, SEED = 3, 128, 4_000, 4_096, 17
 WEIGHTS = (1, 2, 3)
 
 
@@ -50,16 +51,22 @@ def source_targets(sizes: DataFrame, most: int = MOST_REPEATS, weights: tuple[in
 
 def prefix(df: DataFrame, part: list[str], bucket: str, order: list[Column], value: str) -> DataFrame:
     """df with `before`, the sum of `value` over the rows ahead in (bucket, order) within `part`, and row_number `rn` in its bucket."""
-    keys = [*part, bucket]
-    sums = df.groupBy(*keys).agg(F.sum(value).alias("_sum"))
-    ahead = Window.partitionBy(*part) if part else Window.partitionBy()
-    sums = sums.select(*(F.col(k).alias(f"_{k}") for k in keys), F.coalesce(F.sum("_sum").over(ahead.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    def same(names: list[str]) -> Column:
+        on = F.lit(True)
+        for k in names:
+            on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        return on
+
+    keys, before = [*part, bucket], (Window.unboundedPreceding, -1)
+    sums = df.groupBy(*keys).agg(F.sum(value).alias("_sum")).withColumn("span", F.floor(F.col(bucket) / SPAN))
+    spans = sums.groupBy(*part, "span").agg(F.sum("_sum").alias("_sum"))
+    far = F.coalesce(F.sum("_sum").over(Window.partitionBy(*part).orderBy("span").rowsBetween(*before)), F.lit(0))
+    spans = spans.select(*(F.col(k).alias(f"_{k}") for k in (*part, "span")), far.alias("_far"))
+    near = F.coalesce(F.sum("_sum").over(Window.partitionBy(*part, "span").orderBy(bucket).rowsBetween(*before)), F.lit(0))
+    sums = sums.withColumn("_near", near).join(spans, same([*part, "span"])).select(*(F.col(k).alias(f"_{k}") for k in keys), (F.col("_far") + F.col("_near")).alias("_ahead"))
     inside = Window.partitionBy(*keys).orderBy(*order)
     here = F.coalesce(F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.join(sums, on).withColumn("before", F.col("_ahead") + here).withColumn("rn", F.row_number().over(inside)).drop("_ahead", *(f"_{k}" for k in keys))
+    return df.join(sums, same(keys)).withColumn("before", F.col("_ahead") + here).withColumn("rn", F.row_number().over(inside)).drop("_ahead", *(f"_{k}" for k in keys))
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -87,16 +94,22 @@ def mix_counts(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
     targets = source_targets(docs).select(F.col("source").alias("_source"), "source_size", "target")
     docs = docs.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
-    turns = docs.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(MOST_REPEATS - 1))))
-    turns = turns.withColumn("start", F.col("at") + F.col("turn") * F.col("source_size")).where("turn = 0 or start < target")
+    total = cut(targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("budget"), F.count("*").alias("sources")))
+    turns = docs.crossJoin(F.broadcast(total)).withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(MOST_REPEATS - 1))))  # one row
+    turns = turns.withColumn("start", F.col("at") + F.col("turn") * F.col("source_size"))
     if whole_documents:
         part = F.when(F.col("start") + F.col("size") / 2 <= F.col("target"), F.col("size")).otherwise(0)
+        turns = turns.where("turn = 0 or start < target").withColumn("packet", F.lit(0))
     else:
-        part = F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - F.col("start")))
+        # the budget is the sum of the targets: what the sources leave of theirs is less than a packet each, and a source's
+        # own packets from its target to this bound would use it up before a later one
+        first = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("size") / QUANTUM) - 1, F.lit(0)).cast("int"))
+        turns = turns.withColumn("packet", F.explode(first)).withColumn("start", F.col("start") + F.col("packet") * QUANTUM)
+        part = F.least(F.col("size") - F.col("packet") * QUANTUM, F.lit(QUANTUM))
+        turns = turns.where(f"turn = 0 or start < target + sources * {QUANTUM}")
     turns = turns.withColumn("part", part.cast("long")).withColumn("finish", F.coalesce((F.col("start") + F.col("part")) / F.when(F.col("target") > 0, F.col("target")), share))  # texts without words have no say in the order: they are spread over it
     turns = turns.withColumn("range", F.floor(F.col("finish") * buckets).cast("long"))
-    budget = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("budget"))
-    turns = prefix(turns, [], "range", [F.col("finish"), F.col("h"), F.col("doc_id"), F.col("turn"), F.col("row")], "part").crossJoin(F.broadcast(budget))  # budget is one row
+    turns = prefix(turns, [], "range", [F.col("finish"), F.col("h"), F.col("doc_id"), F.col("turn"), F.col("row"), F.col("packet")], "part")
     if whole_documents:
         taken = F.when(F.col("before") + F.col("part") <= F.col("budget"), F.col("part")).otherwise(0)
     else:
@@ -132,9 +145,11 @@ l as (select *, (sum(source_size::double) over () - coalesce(sum(most) over (ord
     / sum(w) over (order by most / w, n rows between current row and unbounded following) as level from w),
 c as (select arg_min(level, (most / w, n)) as level from l where level * w <= most),
 t as (select source, source_size, least(most, c.level * w) as target from l, c),
-p as (select d.*, source_size, target, coalesce(sum(size) over (partition by d.source order by md5('17:' || doc_id), doc_id, size rows between unbounded preceding and 1 preceding), 0) as pos
-    from d join t on d.source is not distinct from t.source)
-select doc_id, size::bigint as size, source_size, target,
-  (greatest(0, least(size, floor(target) - pos)) + greatest(0, least(size, floor(target) - pos - source_size)) + greatest(0, least(size, floor(target) - pos - 2 * source_size)))::bigint as taken
-from p
+p as (select d.*, row_number() over () as id, md5('17:' || doc_id) as h, source_size, target, coalesce(sum(size) over (partition by d.source order by md5('17:' || doc_id), doc_id, size rows between unbounded preceding and 1 preceding), 0) as pos
+    from d join t on d.source is not distinct from t.source),
+q as (select p.*, turn, k, least(size - k * 128, 128) as part from p, range(3) r(turn), lateral (select unnest(range(greatest(1, (size + 127) // 128))) as k)),
+f as (select *, (pos + turn * source_size + k * 128 + part)::double / target as finish from q where part > 0),
+b as (select *, coalesce(sum(part) over (order by finish, h, doc_id, turn, k, size rows between unbounded preceding and 1 preceding), 0) as before, (select sum(source_size) from t) as budget from f),
+s2 as (select id, sum(greatest(0, least(part, budget - before))) as taken from b group by id)
+select doc_id, size::bigint as size, source_size, target, coalesce(taken, 0)::bigint as taken from p left join s2 using (id)
 """
