@@ -14,6 +14,9 @@ from loomline.operators.patterns import pattern_conversations, pattern_qa, vocab
 from loomline.operators.qa import chunk_pairs, section_conversation, section_qa
 from loomline.sources.sinks import sharegpt, write_training
 
+#: What tells prepared rows apart, of documents and of manuals: the columns of their shuffle.
+PAIR_IDS = (("origin_rank", "seq", "question", "answer"), ("doc", "kind", "a", "b", "c", "d"))
+TALK_IDS = (("seq", "i"), ("doc", "section"))
 PAIRS = ("origin_rank", "origin", "seq", "question", "answer")
 
 
@@ -55,7 +58,7 @@ def prepare(documents: DataFrame | None = None, csv: dict[str, DataFrame] | None
         parts.append(made)
         talks.append(made.select(F.concat(F.lit("2/"), "seq").alias("seq"), F.lit(0).alias("i"), sharegpt()))
     out: dict[str, DataFrame] = {}
-    for name, tables, ids in (("pairs", parts, ["origin_rank", "seq", "question", "answer"]), ("multiturn", talks, ["seq", "i"])):
+    for name, tables, ids in (("pairs", parts, PAIR_IDS[0]), ("multiturn", talks, TALK_IDS[0])):
         if tables:
             whole = tables[0]
             for t in tables[1:]:
@@ -73,11 +76,16 @@ def prepare_manuals(pages: DataFrame, domain: Domain = Domain(), val_ratio: floa
     pairs = typed.unionByName(plain).withColumn("seq", F.struct("kind", "a", "b", "c", "d"))
     pairs = dedup_first(pairs, within=["doc"]).withColumn("label", manual_label("doc")).drop("seq")
     talks = got["sections"].select("doc", "section", section_conversation(F.col("heading"), section_parts("text")).alias("conversations")).where("conversations is not null").withColumn("label", manual_label("doc"))
-    return {"pairs": split_train_val(pairs, ["doc", "kind", "a", "b", "c", "d"], val_ratio, seed), "multiturn": split_train_val(talks, ["doc", "section"], val_ratio, seed), **got}
+    return {"pairs": split_train_val(pairs, PAIR_IDS[1], val_ratio, seed), "multiturn": split_train_val(talks, TALK_IDS[1], val_ratio, seed), **got}
 
 
-def write(prepared: dict[str, DataFrame], path: str, formats: tuple[str, ...] = ("alpaca", "sharegpt"), by: tuple[str, ...] = ("split",)) -> None:
-    write_training(prepared["pairs"], path, formats, prepared.get("multiturn"), by)
+def write(prepared: dict[str, DataFrame], path: str, formats: tuple[str, ...] = ("alpaca", "sharegpt"), by: tuple[str, ...] = ("split",), seed: int = DATA_PREP["seed"]) -> None:
+    """Training files in the order of the shuffle that the rows were split by; rows of another shape lie as they come."""
+    def ids(df: DataFrame | None, known: tuple[tuple[str, ...], ...]) -> tuple[str, ...]:
+        return next((k for k in known if df is not None and set(k) <= set(df.columns)), ())
+
+    pairs, talks = prepared["pairs"], prepared.get("multiturn")
+    write_training(pairs, path, formats, talks, by, ids(pairs, PAIR_IDS), ids(talks, TALK_IDS), seed)
 
 
 def report(pages: DataFrame, domain: Domain = Domain(), size: int = DATA_PREP["chunk_size"], overlap: int = DATA_PREP["chunk_overlap"], **skip: bool) -> DataFrame:

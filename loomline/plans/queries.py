@@ -1362,3 +1362,6 @@ def _(t):
     p = document_pairs(t("documents"), size=800, overlap=150, separator="\n+", domain=DOMAIN)
     kept = curation.dedup_first(p, within=["source"], order=["doc", "chunk", "part"])
     return curation.split_train_val(kept, ["doc", "chunk", "part"]).groupBy("split").agg(F.count("*").alias("n"))
+
+
+from loomline.plans import stateful  # noqa: E402, F401  registers the rest

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions.text import col
 from loomline.operators.memory import RECORD
+from loomline.sources.shuffled import ROWS_PER_FILE, write_shuffled
 
 
 def alpaca(question: Column | str = "question", answer: Column | str = "answer") -> list[Column]:
@@ -45,13 +46,22 @@ def write_jsonl(df: DataFrame, path: str, partition_by: Sequence[str] = (), orde
     (writer.partitionBy(*partition_by) if partition_by else writer).json(path)
 
 
-def write_training(qa: DataFrame, path: str, formats: Sequence[str] = ("alpaca", "sharegpt"), multiturn: DataFrame | None = None, by: Sequence[str] = ("split",)) -> None:
-    """{path}/{format}/split=.. for each format, and multiturn with sharegpt. qa: question, answer, split; multiturn: conversations, split."""
+def write_training(qa: DataFrame, path: str, formats: Sequence[str] = ("alpaca", "sharegpt"), multiturn: DataFrame | None = None, by: Sequence[str] = ("split",),
+                   ids: Sequence[str] = (), talk_ids: Sequence[str] = (), seed: int = 42, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """{path}/{format}/split=.. for each format, and multiturn with sharegpt. qa: question, answer, split; multiturn: conversations, split.
+
+    ids, talk_ids: columns that tell rows apart; the files are then a seeded shuffle of the rows, the one that
+    split_train_val() cuts. Without them rows lie as they come."""
+    def put(df: DataFrame, made: Sequence[Column | str], at: str, own: Sequence[str]) -> None:
+        if own:
+            write_shuffled(df, made, at, own, seed, by, rows_per_file)
+        else:
+            write_jsonl(df.select(*by, *made), at, by)
+
     for f in formats:
-        made = alpaca() if f == "alpaca" else [sharegpt()]
-        write_jsonl(qa.select(*by, *made), f"{path}/{f}", by)
+        put(qa, alpaca() if f == "alpaca" else [sharegpt()], f"{path}/{f}", ids)
     if multiturn is not None and "sharegpt" in formats:
-        write_jsonl(multiturn.select(*by, "conversations"), f"{path}/multiturn", by)
+        put(multiturn, ["conversations"], f"{path}/multiturn", talk_ids)
 
 
 def append_records(df: DataFrame, path: str) -> None:
