@@ -36,7 +36,12 @@ def recommendation(rate: Column, confidence: Column) -> Column:
 def metrics(events: DataFrame, pattern: str = "pattern") -> DataFrame:
     """Per pattern: uses, successes, rate, mean cost and latency, confidence, recommendation. Works on streams in update mode too."""
     ok = F.count_if(F.col("success"))
-    out = events.groupBy(pattern).agg(F.count("*").alias("total_uses"), ok.alias("success_count"), F.sum("cost_tokens").alias("total_cost"), F.sum("latency_ms").alias("total_latency"))
+    return judged(events.groupBy(pattern).agg(F.count("*").alias("total_uses"), ok.alias("success_count"), F.sum("cost_tokens").alias("total_cost"), F.sum("latency_ms").alias("total_latency")), pattern)
+
+
+def judged(totals: DataFrame, pattern: str = "pattern") -> DataFrame:
+    """metrics() from each pattern's totals."""
+    out = totals.select(pattern, "total_uses", "success_count", "total_cost", "total_latency")
     rate = F.col("success_count") / F.col("total_uses")
     out = out.withColumn("success_rate", F.round(rate, 4)).withColumn("avg_cost", F.round(F.col("total_cost") / F.col("total_uses"), 2)).withColumn("avg_latency", F.round(F.col("total_latency") / F.col("total_uses"), 2))
     return out.withColumn("confidence", F.round(metric_confidence(F.col("total_uses")), 4)).withColumn("recommend", recommendation(rate, metric_confidence(F.col("total_uses"))))
@@ -79,10 +84,29 @@ def canaries(events: DataFrame, key: str, cfg: Canary = Canary(), pattern: str =
         return f(F.when(F.col("_arm") == name, F.col("_v")))
 
     out = d.groupBy(pattern).agg(of("control", F.avg).alias("c"), of("treatment", F.avg).alias("t"), of("control", F.count).alias("n_control"), of("treatment", F.count).alias("n_treatment"), of("control", F.var_samp).alias("vc"), of("treatment", F.var_samp).alias("vt"))
-    out = out.where((F.col("n_control") >= cfg.min_samples) & (F.col("n_treatment") >= cfg.min_samples))
+    return judged_means(out, cfg, pattern)
+
+
+def arm_totals(events: DataFrame, key: str, cfg: Canary = Canary(), pattern: str = "pattern") -> DataFrame:
+    """Per pattern: what metrics and canaries need, as sums that add up over batches."""
+    d = events.withColumn("_arm", arm(F.col(key), cfg.fraction))
+    mine = [f(F.when(F.col("_arm") == a, c)).cast("long").alias(f"{n}_{a}") for a in ("control", "treatment") for n, f, c in (("n", F.count, F.lit(1)), ("s", F.count_if, F.col("success")))]
+    return d.groupBy(pattern).agg(F.count("*").alias("total_uses"), F.count_if("success").alias("success_count"), F.sum("cost_tokens").cast("double").alias("total_cost"), F.sum("latency_ms").cast("double").alias("total_latency"), *mine)
+
+
+def judged_arms(totals: DataFrame, cfg: Canary = Canary(), pattern: str = "pattern") -> DataFrame:
+    """canaries() from arm_totals(): a mean's variance follows from its counts."""
+    mean = lambda a: F.col(f"s_{a}") / F.when(F.col(f"n_{a}") > 0, F.col(f"n_{a}"))
+    spread = lambda a: mean(a) * (1 - mean(a)) * F.col(f"n_{a}") / F.when(F.col(f"n_{a}") > 1, F.col(f"n_{a}") - 1)
+    return judged_means(totals.select(pattern, mean("control").alias("c"), mean("treatment").alias("t"), "n_control", "n_treatment", spread("control").alias("vc"), spread("treatment").alias("vt")), cfg, pattern)
+
+
+def judged_means(means: DataFrame, cfg: Canary = Canary(), pattern: str = "pattern") -> DataFrame:
+    """(pattern, control_sr, treatment_sr, p_value, significant, recommendation, counts) from means c and t, variances and counts."""
+    out = means.where((F.col("n_control") >= cfg.min_samples) & (F.col("n_treatment") >= cfg.min_samples))
     step = F.when(F.abs(F.col("t") - F.col("c")) > 0.05, 0.04).otherwise(0.5)
     p = welch(*map(F.col, ("c", "vc", "n_control", "t", "vt", "n_treatment"))) if cfg.test == "welch" else step
-    out = out.withColumn("p_value", p).withColumn("significant", F.col("p_value") < cfg.alpha)
+    out = out.withColumn("p_value", F.explode(F.array(p))).withColumn("significant", F.col("p_value") < cfg.alpha)  # filters stay above, so the sums are made once
     out = out.withColumn("recommendation", F.when(F.col("significant") & (F.col("t") > F.col("c")), "promote").when(F.col("significant"), "rollback").otherwise("inconclusive"))
     return out.select(pattern, F.round("c", 4).alias("control_sr"), F.round("t", 4).alias("treatment_sr"), F.round("p_value", 4).alias("p_value"), "significant", "recommendation", "n_control", "n_treatment")
 
@@ -96,10 +120,11 @@ def proposals(found: DataFrame, tests: DataFrame, protected: Sequence[str] = (),
     return best.withColumn("rank", F.row_number().over(Window.partitionBy().orderBy("o", pattern))).drop("o")
 
 
-def apply_proposals(found: DataFrame, autonomy: str, breaker_state: str = "CLOSED") -> DataFrame:
-    """found with `status`: manual logs, human_approval queues, full applies unless the breaker is open."""
-    status = {"manual": "logged", "human_approval": "pending"}.get(autonomy, "blocked" if breaker_state == "OPEN" else "applied")
-    return found.withColumn("status", F.lit(status))
+def apply_proposals(found: DataFrame, autonomy: str, breaker_state: str | Column = "CLOSED") -> DataFrame:
+    """found with `status`: manual logs, human_approval queues, full applies unless the breaker is open. breaker_state: one for all, or a Column that says each row's."""
+    free = F.when((F.lit(breaker_state) if isinstance(breaker_state, str) else breaker_state) == "OPEN", "blocked").otherwise("applied")
+    fixed = {"manual": "logged", "human_approval": "pending"}.get(autonomy)
+    return found.withColumn("status", F.lit(fixed) if fixed else free)
 
 
 def approve(proposed: DataFrame, pattern, column: str = "pattern") -> DataFrame:
@@ -162,7 +187,24 @@ def breaker_step(s: Column, ok: Column, at: Column, cfg: Breaker = Breaker()) ->
 
 def breaker_runs(events: DataFrame, key: str = "pattern", at: str = "at", tie: str = "seq", cfg: Breaker = Breaker()) -> DataFrame:
     """The breaker of each key after its last event: one ordered fold a key."""
+    out = breaker_from(events, None, key, at, tie, cfg)
+    return out.select(key, "state", F.col("fails").alias("consec_failures"), F.col("oks").alias("consec_successes"), "opens")
+
+
+def breaker_from(events: DataFrame, states: DataFrame | None, key: str = "pattern", at: str = "at", tie: str = "seq", cfg: Breaker = Breaker()) -> DataFrame:
+    """(key, state, fails, oks, opened, opens) of each key that has events, after them, from where `states` (the same columns) left it."""
     rows = F.array_sort(F.collect_list(F.struct(F.col(at).alias("at"), F.col(tie).alias("tie"), F.col("success").alias("ok"))))
-    start = F.struct(F.lit("CLOSED").alias("state"), F.lit(0).alias("fails"), F.lit(0).alias("oks"), F.lit(0.0).alias("opened"), F.lit(0).alias("opens")).cast(STATE)
-    out = events.groupBy(key).agg(rows.alias("_e")).withColumn("s", F.aggregate("_e", start, lambda s, x: breaker_step(s, x["ok"], x["at"], cfg).cast(STATE)))
-    return out.select(key, "s.state", F.col("s.fails").alias("consec_failures"), F.col("s.oks").alias("consec_successes"), F.col("s.opens").alias("opens"))
+    fresh = F.struct(F.lit("CLOSED").alias("state"), F.lit(0).alias("fails"), F.lit(0).alias("oks"), F.lit(0.0).alias("opened"), F.lit(0).alias("opens")).cast(STATE)
+    out = events.groupBy(key).agg(rows.alias("_e"))
+    if states is None:
+        start = fresh
+    else:
+        out = out.join(states.select(key, F.struct("state", "fails", "oks", "opened", "opens").cast(STATE).alias("_was")), key, "left")
+        start = F.coalesce("_was", fresh)
+    return out.withColumn("s", F.aggregate("_e", start, lambda s, x: breaker_step(s, x["ok"], x["at"], cfg).cast(STATE))).select(key, "s.*")
+
+
+def cooled_down(states: DataFrame, now: Column, cfg: Breaker = Breaker()) -> DataFrame:
+    """breaker_from()'s rows as they are at `now` (seconds): open ones whose cool-down has ended are half open, without an event."""
+    over = (F.col("state") == "OPEN") & (now - F.col("opened") >= cfg.cooldown)
+    return states.withColumn("oks", F.when(over, 0).otherwise(F.col("oks"))).withColumn("state", F.when(over, "HALF_OPEN").otherwise(F.col("state")))

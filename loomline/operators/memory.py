@@ -139,7 +139,7 @@ def best_overlap(targets: DataFrame, pool: DataFrame, earlier: bool, seq: str =
 
     equal = a.join(b, "k").where(fits).select("aseq", F.lit(1.0).alias("j"))
     left = a.join(equal.select("aseq"), "aseq", "left_anti").drop("k")
-    often = b.select(F.explode("bw").alias("word")).groupBy("word").agg(F.count("*").alias("f"))
+    often = written(b.select(F.explode("bw").alias("word")).groupBy("word").agg(F.count("*").alias("f")))  # a table of its own: Spark then splits a frequent word's join
 
     def rarest(df: DataFrame, words: str) -> DataFrame:
         """df's rows, one for each of the rarest words of which sets at ENOUGH share one."""

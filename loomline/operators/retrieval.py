@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomline.functions.scratch import scratch_path
 from loomline.functions.text import first_nonempty, nonempty, sentences, strip, tokens
 
 # Fixed values.
@@ -75,6 +76,12 @@ def holding(strings: DataFrame, wanted: DataFrame) -> DataFrame:
     return grams.join(rarest, "gram").where(F.contains("string", "term")).select("string", "term")
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def term_counts(docs: DataFrame, doc: str, text: str) -> DataFrame:
     """(doc, term, c, n): counts of each term, and the document's number of terms."""
     t = docs.select(doc, terms(text, TFIDF_STOP).alias("t"))
@@ -96,8 +103,8 @@ def tfidf(counts: DataFrame, frequency: DataFrame, n_docs: int, doc: str) -> Dat
 def tfidf_search(queries: DataFrame, docs: DataFrame, query_id: str, query: str, doc: str, text: str, k: int = 3, min_score: float = 0.05) -> DataFrame:
     """(query_id, doc, score, rank) of the k documents of highest cosine, kept where it reaches min_score. Queries without shared terms get none."""
     n = docs.count()
-    dc = term_counts(docs, doc, text)
-    idf = document_frequency(dc, n)
+    dc = _written(term_counts(docs, doc, text), "counts")  # several steps read them
+    idf = _written(document_frequency(dc, n), "frequencies")  # a table of its own: Spark then splits a frequent term's join
     return _searched(queries, tfidf(dc, idf, n, doc), idf, n, query_id, query, doc, k, min_score)
 
 

@@ -1291,12 +1291,14 @@ def _(t):
     return memory.segment_stats(kept, "conv_id", budgets=memory.Budgets(l1=120))
 
 
-@query("str11_kernel", "with k as (select conv_id, list('turn ' || turn || ': ' || text order by turn) as ls, list(text order by turn) as vs from conversations group by conv_id) select conv_id, array_to_string(ls, chr(10)) as kernel from k where floor(len(list_filter(regexp_split_to_array(array_to_string(ls, chr(10)), '\\s+'), lambda w: w <> '')) * 1.3::double) <= 60")
+@query("str11_kernel", f"""with recursive k as (select conv_id, list('turn ' || turn || ': ' || text order by turn) as ls, list(text order by turn) as vs from conversations group by conv_id),
+  r(conv_id, i, used, kept) as (select conv_id, 1, 0, []::varchar[] from k union all
+    select conv_id, i + 1, (case when used + n <= 60 then used + n else used end)::int, case when used + n <= 60 then list_append(kept, ls[i]) else kept end from (select r.*, ls, {S_TOK("vs[i]")} as n from r join k using (conv_id) where i <= len(ls)))
+  select conv_id, case when {S_TOK("array_to_string(ls, chr(10))")} > 60 then array_to_string(kept, chr(10)) else array_to_string(ls, chr(10)) end as kernel from k join r using (conv_id) where i = len(ls) + 1""")
 def _(t):
     rows = F.array_sort(F.collect_list(F.struct("turn", F.concat(F.lit("turn "), F.col("turn").cast("string")).alias("key"), F.col("text").alias("value"))))
     k = t("conversations").groupBy("conv_id").agg(F.transform(rows, lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value"))).alias("kv"))
-    whole = F.array_join(F.transform("kv", lambda x: F.concat_ws(": ", x["key"], x["value"])), "\n")
-    return k.where(tx.token_estimate(whole) <= 60).select("conv_id", memory.kernel(F.col("kv"), 60).alias("kernel"))
+    return k.select("conv_id", memory.kernel(F.col("kv"), 60).alias("kernel"))
 
 
 @query("agg12_view_types", "with q as (select lower(text) as q from conversations where role = 'user') select case " + " ".join("when " + " or ".join(f"starts_with(q, '{k[1:]}')" if k[0] == "^" else f"contains(q, '{k}')" for k in ks) + f" then '{n}'" for n, ks in pages.QUESTION_TYPES_VIEW) + " end as kind, count(*) as n from q group by kind")

@@ -303,6 +303,41 @@ def log_metrics(lines: DataFrame, line: str = "value") -> DataFrame:
     return lines.withColumn("step", pick(STEP, "long")).withColumn("loss", pick(LOSS, "double")).withColumn("eval_loss", pick(METRIC, "double")).withColumn("opens", opened)
 
 
+# What other lines of a training log look like.
+EPOCH, PROGRESS = r"--- Epoch (\d+)/(\d+) ---", r"step (\d+)/(\d+) (\d+)%"
+WEIGHTS, TRAINABLE = r"Loading weights:\s+(\d+)%", r"trainable params:\s*([\d,]+).*?all params:\s*([\d,]+).*?(\d+\.\d+)%"
+#: What a run's log says of it, by name; those in LOG_FIRST keep their first value, the others their last.
+LOG_FIELDS = {
+    "phase": "string", "epoch": "long", "epochs": "long", "step": "long", "total_steps": "long", "percent": "double", "n_examples": "long", "weights_percent": "long", "trainable_params": "long", "all_params": "long", "trainable_percent": "double",
+    "initial_loss": "double", "loss": "double", "eval_loss": "double", "failed": "string",
+}
+LOG_FIRST = ("initial_loss", "failed")
+
+
+def line_fields(lines: DataFrame, line: str = "value") -> DataFrame:
+    """lines with those LOG_FIELDS that each of them says. Works on streams."""
+    c = F.col(line)
+    pick = lambda p, i, t: F.regexp_replace(F.regexp_extract(c, p, i), ",", "").try_cast(t)
+    opened = F.lit(None).cast("string")
+    for name, pattern in reversed(PHASES):
+        opened = F.when(c.rlike(pattern), name).otherwise(opened)
+    text = strip(c)
+    failed = F.when(c.contains("Traceback (most recent call last)"), "error").when(text.startswith("Error") & F.substring(text, 1, 40).contains(":"), text)
+    said = {
+        "phase": opened, "epoch": pick(EPOCH, 1, "long"), "epochs": pick(EPOCH, 2, "long"), "step": F.coalesce(pick(PROGRESS, 1, "long"), pick(STEP, 1, "long")), "total_steps": pick(PROGRESS, 2, "long"), "percent": pick(PROGRESS, 3, "double"),
+        "n_examples": pick(PHASES[3][1], 1, "long"), "weights_percent": pick(WEIGHTS, 1, "long"), "trainable_params": pick(TRAINABLE, 1, "long"), "all_params": pick(TRAINABLE, 2, "long"), "trainable_percent": pick(TRAINABLE, 3, "double"),
+        "initial_loss": pick(LOSS, 1, "double"), "loss": pick(LOSS, 1, "double"), "eval_loss": pick(METRIC, 1, "double"), "failed": failed,
+    }
+    return lines.withColumns(said)
+
+
+def log_fields(lines: DataFrame, run: str = "run", seq: str = "seq", line: str = "value") -> DataFrame:
+    """(run, seq, LOG_FIELDS): each line with what its run's log has said up to it. A run's lines meet in one window."""
+    so_far = Window.partitionBy(run).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pick = lambda n: F.first if n in LOG_FIRST else F.last
+    return line_fields(lines, line).select(run, seq, *(pick(n)(n, ignorenulls=True).over(so_far).alias(n) for n in LOG_FIELDS))
+
+
 def log_phases(lines: DataFrame, run: str = "run", seq: str = "seq", line: str = "value") -> DataFrame:
     """log_metrics() with the phase and the step that each line of a run falls in: the last ones said before or in it; a run begins with loading, at step 0."""
     so_far = Window.partitionBy(run).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -74,8 +74,12 @@ class KeyedStore:
         numbers = self._numbers()
         if not numbers:
             return None
-        rows = self.spark.read.text(f"{self.path}/manifest/{numbers[-1] if version is None else version:012d}.json", wholetext=True).collect()
-        return json.loads(rows[0][0])
+        fs, place = self._at(self.spark, f"{self.path}/manifest/{numbers[-1] if version is None else version:012d}.json")
+        opened = fs.open(place)
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8"))
+        finally:
+            opened.close()
 
     def _commit(self, change) -> bool:
         """change(manifest) -> the next one's content, or None to leave all as it is. Another writer's version is read and the change tried again."""
