@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from loomline.llm.textops import LOWER, Rolling, list_array, pieces, quoted, short_batches, utf8, word_spans
 
-SAMPLE, BITS, FEATURES, GRADES, SURE = 6000, 18, 20_000, 3, 3.5
+SAMPLE, BITS, FEATURES, GRADES, SURE, ROUNDS = 6000, 18, 20_000, 3, 3.5, 8
 _HASH = Rolling(6)
 _PUNCT = np.zeros(256, bool)
 _PUNCT[[i for i in range(33, 127) if not chr(i).isalnum()]] = True
@@ -38,11 +38,21 @@ def features(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     buf, offsets = utf8(text)
     starts, ends, per = word_spans(buf, offsets)
     buf = LOWER[buf]
-    if len(starts):
-        # a word of marks alone keeps its last
-        plain = np.append(np.flatnonzero(~_PUNCT[buf]), len(buf))
-        starts = np.minimum(plain[np.searchsorted(plain, starts)], ends - 1)
-        ends = np.maximum(np.append(-1, plain[:-1])[np.searchsorted(plain[:-1], ends)] + 1, starts + 1)
+    # a word of marks alone keeps its last; only words that still have a mark at an end are looked at again, those with many one by one
+    at = np.arange(len(starts))
+    for _ in range(ROUNDS):
+        at = at[(starts[at] < ends[at] - 1) & _PUNCT[buf[starts[at]]]]
+        starts[at] += 1
+    for i in at[(starts[at] < ends[at] - 1) & _PUNCT[buf[starts[at]]]].tolist():
+        own = _PUNCT[buf[starts[i] : ends[i] - 1]]
+        starts[i] += len(own) if own.all() else int(own.argmin())
+    at = np.arange(len(ends))
+    for _ in range(ROUNDS):
+        at = at[(starts[at] < ends[at] - 1) & _PUNCT[buf[ends[at] - 1]]]
+        ends[at] -= 1
+    for i in at[(starts[at] < ends[at] - 1) & _PUNCT[buf[ends[at] - 1]]].tolist():
+        own = _PUNCT[buf[starts[i] + 1 : ends[i]][::-1]]
+        ends[i] -= len(own) if own.all() else int(own.argmin())
     word = _HASH.words(buf, starts, ends) >> np.uint64(64 - BITS)
     doc = np.repeat(np.arange(len(per) - 1, dtype=np.uint64), np.diff(per))
     both = np.unique(doc << np.uint64(BITS) | word)
