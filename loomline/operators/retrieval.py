@@ -48,15 +48,30 @@ def keyword_search(questions: DataFrame, library: DataFrame, question: str = "qu
     different runs, names and titles: a term meets those that hold its rarest three characters, by a join, and then has
     to be in them. Rows meet the terms by their runs, names and titles.
     """
-    asked = questions.select(by, F.explode(query_terms(question)).alias("term")).groupBy(by, "term").agg(F.count("*").alias("times"))
-    rows = library.select("seq", *(F.lower(F.coalesce(c, F.lit(""))).alias(c) for c in ("name", "title", "body")))
-    runs = rows.select("seq", F.explode(F.array_distinct(tokens("body", "[a-z0-9_]{3,}"))).alias("string"))
-    heads = rows.select("seq", F.explode(F.array("name", "title")).alias("string"))
+    runs, heads = _runs(library), _heads(library)
+    asked = _asked(questions, question, by)
     wanted = asked.select("term").distinct()
-    inside = runs.join(holding(runs.select("string").distinct(), wanted), "string").select("seq", "term", F.lit(1).alias("points"))
+    held = [holding(gram_postings(x.select("string").distinct()), wanted) for x in (runs, heads)]
+    return _keyword_ranked(asked, runs.join(held[0], "string"), heads.join(held[1], "string"), by, k, min_score)
+
+
+def _asked(questions: DataFrame, question: str, by: str) -> DataFrame:
+    return questions.select(by, F.explode(query_terms(question)).alias("term")).groupBy(by, "term").agg(F.count("*").alias("times"))
+
+
+def _runs(library: DataFrame) -> DataFrame:
+    """(seq, string): the runs of characters of which terms are made, of each body."""
+    return library.select("seq", F.explode(F.array_distinct(tokens("body", "[a-z0-9_]{3,}"))).alias("string"))
+
+
+def _heads(library: DataFrame) -> DataFrame:
+    return library.select("seq", F.explode(F.array(*(F.lower(F.coalesce(c, F.lit(""))) for c in ("name", "title")))).alias("string"))
+
+
+def _keyword_ranked(asked: DataFrame, inside: DataFrame, headed: DataFrame, by: str, k: int, min_score: int) -> DataFrame:
+    """(by, seq, score, rank) from the rows (seq, string, term) that hold terms in their bodies' runs and in their names or titles."""
     points = F.when(F.col("term") == F.col("string"), 10).otherwise(5)
-    headed = heads.join(holding(heads.select("string").distinct(), wanted), "string").select("seq", "term", points.alias("points"))
-    found = inside.unionByName(headed).groupBy("seq", "term").agg(F.max("points").alias("points"))
+    found = inside.select("seq", "term", F.lit(1).alias("points")).unionByName(headed.select("seq", "term", points.alias("points"))).groupBy("seq", "term").agg(F.max("points").alias("points"))
     scored = found.join(asked, "term").groupBy(by, "seq").agg(F.sum(F.col("points") * F.col("times")).cast("int").alias("score"))
     best = scored.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("score"), "seq"))).where(F.col("rank") <= k)
     return best.where(F.col("score") >= min_score)
@@ -66,16 +81,62 @@ def _grams(c: str) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substring(F.col(c), i, F.lit(3))))
 
 
-def holding(strings: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(string, term): the distinct strings that hold each of the distinct terms, of three characters or more."""
-    grams = strings.where(F.length("string") > 2).select("string", F.explode(_grams("string")).alias("gram"))
+def gram_postings(strings: DataFrame) -> DataFrame:
+    """(string, gram): the distinct three characters that follow one another in each string."""
+    return strings.where(F.length("string") > 2).select("string", F.explode(_grams("string")).alias("gram"))
+
+
+def holding(grams: DataFrame, wanted: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """(string, term): the strings that hold each of the distinct terms, of three characters or more. grams: postings of distinct strings; counts: how many each gram has, if that is known."""
     of = wanted.select("term", F.explode(_grams("term")).alias("gram"))
-    times = grams.join(of.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("times"))
+    times = counts if counts is not None else grams.join(of.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("times"))
     # a term with three characters that no string holds is in none
     rarest = of.join(times, "gram", "left").groupBy("term").agg(F.min_by("gram", F.struct(F.coalesce("times", F.lit(0)).alias("n"), F.col("gram").alias("g"))).alias("gram"))
     return grams.join(rarest, "gram").where(F.contains("string", "term")).select("string", "term")
 
 
+class KeywordIndex:
+    """keyword_search() over a library whose strings are indexed under a folder: their three-character grams with counts, and the rows that have them.
+
+    A search reads counts of the terms' grams, the postings of each term's rarest one, and the rows of the strings that
+    hold a term; no text of the library. Tables are sorted, so that it reads few row groups of them, and dealt by ranges
+    of (gram, string), so that a frequent gram has several files. A session that finds the folder opens it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.reload()
+
+    @classmethod
+    def build(cls, library: DataFrame, path: str) -> KeywordIndex:
+        """A new index of library rows (name, title, body, seq); an older one at the path gives way."""
+        spark = library.sparkSession
+
+        def put(df: DataFrame, name: str, *order: str) -> DataFrame:
+            df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{path}/{name}")
+            return spark.read.parquet(f"{path}/{name}")
+
+        runs, heads = put(_runs(library), "runs", "string", "seq"), put(_heads(library), "heads", "string", "seq")
+        grams = put(gram_postings(runs.select("string").union(heads.select("string")).distinct()), "grams", "gram", "string")
+        put(grams.groupBy("gram").agg(F.count("*").alias("times")), "counts", "gram")
+        return cls(spark, path)
+
+    def reload(self) -> None:
+        """Forget what was read; the next search sees the folder as it is then."""
+        self._read: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.path}/{name}")
+        return self._read[name]
+
+    def search(self, questions: DataFrame, question: str = "question", by: str = "query_id", k: int = 2, min_score: int = 3) -> DataFrame:
+        """As keyword_search() over the library of the index."""
+        asked = _asked(questions, question, by)
+        held = _written(holding(self._table("grams"), asked.select("term").distinct(), self._table("counts")), "held")
+        return _keyword_ranked(asked, self._table("runs").join(held, "string"), self._table("heads").join(held, "string"), by, k, min_score)
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions.scratch import scratch_path
-from loomline.operators import curation, learning, memory
-from loomline.plans.queries import S_BRK, S_CAN, S_EV, S_MET, S_QA, S_TOK, _again, executions, pairs, query
+from loomline.operators import curation, learning, memory, retrieval
+from loomline.plans.queries import ORACLES, S_BRK, S_CAN, S_EV, S_MET, S_QA, S_TOK, _again, executions, pairs, query
 from loomline.sources import readers, shuffled, sinks
 from loomline.sources.store import KeyedStore
 from loomline.streaming import stateful
@@ -63,6 +63,16 @@ def _(t):
     return both_ways(store)
 
 
+@query("ret5_keyword_index", ORACLES["ret3_keyword_search"])
+def _(t):
+    """The keyword search from an index that is built, left, and opened again."""
+    library = t("documents").select(F.col("doc_id").alias("seq"), F.col("source").alias("name"), F.col("lang").alias("title"), F.col("text").alias("body"))
+    path = scratch_path(library.sparkSession, "keywords")
+    retrieval.KeywordIndex.build(library, path)
+    found = retrieval.KeywordIndex(library.sparkSession, path).search(t("benchmark").select("item_id", F.col("text").alias("question")), by="item_id")
+    return found.select("item_id", F.col("seq").alias("doc_id"), "score", "rank")
+
+
 # ---- streams with state: each slice of the table is a run of its own from the checkpoint
 
 SLICES = 3
