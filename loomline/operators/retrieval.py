@@ -51,7 +51,7 @@ def keyword_search(questions: DataFrame, library: DataFrame, question: str = "qu
     runs, heads = _runs(library), _heads(library)
     asked = _asked(questions, question, by)
     wanted = asked.select("term").distinct()
-    held = [holding(gram_postings(x.select("string").distinct()), wanted) for x in (runs, heads)]
+    held = [holding(x.select("string").distinct(), wanted) for x in (runs, heads)]
     return _keyword_ranked(asked, runs.join(held[0], "string"), heads.join(held[1], "string"), by, k, min_score)
 
 
@@ -86,8 +86,13 @@ def gram_postings(strings: DataFrame) -> DataFrame:
     return strings.where(F.length("string") > 2).select("string", F.explode(_grams("string")).alias("gram"))
 
 
-def holding(grams: DataFrame, wanted: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-    """(string, term): the strings that hold each of the distinct terms, of three characters or more. grams: postings of distinct strings; counts: how many each gram has, if that is known."""
+def holding(strings: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(string, term): the distinct strings that hold each of the distinct terms, of three characters or more."""
+    return posted(gram_postings(strings), wanted)
+
+
+def posted(grams: DataFrame, wanted: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """holding() from the strings' postings. counts: how many each gram has, if that is known."""
     of = wanted.select("term", F.explode(_grams("term")).alias("gram"))
     times = counts if counts is not None else grams.join(of.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("times"))
     # a term with three characters that no string holds is in none
@@ -133,7 +138,7 @@ class KeywordIndex:
     def search(self, questions: DataFrame, question: str = "question", by: str = "query_id", k: int = 2, min_score: int = 3) -> DataFrame:
         """As keyword_search() over the library of the index."""
         asked = _asked(questions, question, by)
-        held = _written(holding(self._table("grams"), asked.select("term").distinct(), self._table("counts")), "held")
+        held = _written(posted(self._table("grams"), asked.select("term").distinct(), self._table("counts")), "held")
         return _keyword_ranked(asked, self._table("runs").join(held, "string"), self._table("heads").join(held, "string"), by, k, min_score)
 
 
