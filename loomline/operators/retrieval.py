@@ -228,12 +228,98 @@ def dense_cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)) + 1e-9)
 
 
+VECTORS, QUERIES = 1024, 256  # a block
+
+
+def _blocks(vectors: DataFrame, key: str, vector: str, rows: int, prefix: str) -> DataFrame:
+    """Vectors packed as matrices of at most `rows` of one length: (ids, dim, matrix), names with the prefix. Vectors that are null or hold null or non-finite components are left out."""
+    held = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))))
+    ids = held.schema["id"].dataType.simpleString()
+
+    def pack(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            v, dims = batch.column("v"), np.diff(batch.column("v").offsets.to_numpy())
+            for dim in np.unique(dims):
+                at = np.flatnonzero(dims == dim)
+                for lo in range(0, len(at), rows):
+                    mine = pa.array(at[lo : lo + rows])
+                    matrix = v.take(mine).flatten().to_numpy(zero_copy_only=False)
+                    yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(mine)], batch.column("id").take(mine)), pa.array([int(dim)], pa.int32()), pa.array([matrix.tobytes()])], names=[f"{prefix}ids", f"{prefix}dim", f"{prefix}matrix"])
+
+    return held.mapInArrow(pack, f"{prefix}ids array<{ids}>, {prefix}dim int, {prefix}matrix binary")
+
+
+def _dots(a, b):
+    """Sums of products of the rows of a and b, added in the order of components as dot() adds them."""
+    import numpy as np
+
+    out = np.zeros(len(a))
+    for d in range(a.shape[1]):
+        out += a[:, d] * b[:, d]
+    return out
+
+
+def _nearest(q, v, k: int, min_score: float):
+    """(query, vector, score): the pairs of a block's rows that may be among a query's k best by score at four places, then by the lower row; few more.
+
+    One matrix product gives scores to within rounding; those near the k-th or above are computed anew as the expressions
+    compute them. Of rows with one score at four places the first k are enough, so copies of a vector don't add rows.
+    """
+    import numpy as np
+
+    norm_q, norm_v = np.sqrt(_dots(q, q)), np.sqrt(_dots(v, v))
+    with np.errstate(over="ignore", invalid="ignore"):
+        near = (q @ v.T) / (np.outer(norm_q, norm_v) + 1e-9)
+    near[~np.isfinite(near)] = np.inf  # out of range: computed anew
+    cut = np.full(len(q), -np.inf) if len(v) <= k else np.partition(near, len(v) - k, axis=1)[:, len(v) - k]
+    i, j = np.nonzero(near >= np.maximum(cut - 1.1e-4, min_score - 1.1e-4)[:, None])
+    with np.errstate(over="ignore", invalid="ignore"):
+        score = _dots(q[i], v[j]) / (norm_q[i] * norm_v[j] + 1e-9)
+    places = score * 1e4
+    sure = np.abs(places - np.floor(places) - 0.5) > 1e-6  # else the rounding is left to Spark
+    same = np.where(sure, np.floor(places + 0.5), score)
+    order = np.lexsort((j, same, sure, i))
+    i, j, score, sure, same = (x[order] for x in (i, j, score, sure, same))
+    new = np.ones(len(i), bool)
+    new[1:] = (i[1:] != i[:-1]) | (sure[1:] != sure[:-1]) | (same[1:] != same[:-1])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(i)), 0))
+    keep = np.arange(len(i)) - first < k
+    return i[keep], j[keep], score[keep]
+
+
 def dense_search(queries: DataFrame, vectors: DataFrame, query_id: str = "query_id", vec_id: str = "vec_id", k: int = 3, min_score: float = 0.05) -> DataFrame:
-    """The k nearest vectors of each query vector (columns qv and embedding): stated queries against all rows. Spark broadcasts the queries where
-    it finds them small and else goes through blocks of both sides; the k best are cut per task before they are shuffled."""
-    pairs = vectors.join(queries, how="cross").withColumn("score", F.round(dense_cosine(F.col("qv"), F.col("embedding")), 4))
-    best = pairs.withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(vec_id)))).where(F.col("rank") <= k)
-    return best.where(F.col("score") >= min_score).select(query_id, vec_id, "score", "rank")
+    """The k nearest vectors of each query vector (columns qv and embedding): stated queries against all rows, block by block.
+
+    Both sides are packed as matrices where they lie; a block of vectors meets each block of queries in one product, of
+    which only what may be among a query's k best leaves the task. So work is the product itself, and rows are the
+    queries' times the blocks of vectors. The queries' blocks are a written table: Spark sends it to all tasks where it
+    finds it small, and else deals pairs of partitions. Vectors that are null or hold null or non-finite components, and
+    those of another length than a query's, aren't found.
+    """
+    asked = _written(_blocks(queries, query_id, "qv", QUERIES, "q_"), "queries")
+    held = _blocks(vectors.select(vec_id, "embedding").sortWithinPartitions(vec_id), vec_id, "embedding", VECTORS, "v_")  # rows of a block in the order that ties follow
+    q_type, v_type = queries.schema[query_id].dataType, vectors.schema[vec_id].dataType
+
+    def meet(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for n in range(batch.num_rows):
+                x = {c: batch.column(c)[n] for c in batch.schema.names}
+                dim = x["q_dim"].as_py()
+                if dim == 0 or dim != x["v_dim"].as_py():
+                    continue
+                q, v = (np.frombuffer(x[f"{s}_matrix"].as_buffer(), np.float64).reshape(-1, dim) for s in "qv")
+                i, j, score = _nearest(q, v, k, min_score)
+                yield pa.RecordBatch.from_arrays([x["q_ids"].values.take(pa.array(i)), x["v_ids"].values.take(pa.array(j)), pa.array(score)], names=["q", "v", "s"])
+
+    found = held.crossJoin(asked).mapInArrow(meet, f"q {q_type.simpleString()}, v {v_type.simpleString()}, s double")
+    scored = found.select(F.col("q").alias(query_id), F.col("v").alias(vec_id), F.round("s", 4).alias("score")).where(F.col("score") >= min_score)
+    return scored.withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(vec_id)))).where(F.col("rank") <= k)
 
 
 def _template(p: str = "templates") -> Column:
