@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -17,3 +17,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and the executors of {master} share")
         base = f"file://{tempfile.gettempdir()}/loomline"
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table under the shared folder: its rows and order are fixed, its size is known."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.config import Domain
+from loomline.functions.scratch import written
 from loomline.functions.text import col, lines, n_words, strip, words
 
 # Fixed values.
@@ -111,6 +112,41 @@ def sections(pages: DataFrame, doc: str = "doc", page: str = "page", text: str =
     return made.withColumn("text", F.array_join(F.transform("_rows", lambda r: r["t"]), "\n\n")).drop("_rows")
 
 
+def long_sections(pages: DataFrame, doc: str = "doc", page: str = "page", text: str = "text") -> DataFrame:
+    """sections() for documents of any length: no task holds more of a document than one part of it.
+
+    Pages are dealt by ranges of (document, page), so that a long document has several parts, and written once with
+    numbers in their order. Of each part only its last heading and its number of new sections count for the parts after
+    it; these two are carried over a document's parts, a few rows a document, and joined back. Texts meet by part first
+    and then by section. A page number that occurs twice in a document has its pages in no fixed order.
+    """
+    spark = pages.sparkSession
+    dealt = pages.select(F.col(doc).alias("d"), F.col(page).alias("p"), page_heading(text).alias("h"), strip(text).alias("t")).repartitionByRange("d", "p").sortWithinPartitions("d", "p")
+    numbered = written(dealt.withColumn("n", F.monotonically_increasing_id()), "pages").withColumn("part", F.shiftright("n", 33))
+    parts = Window.partitionBy("d").orderBy("part")
+    before = parts.rowsBetween(Window.unboundedPreceding, -1)
+
+    ends = numbered.groupBy("d", "part").agg(F.max_by("h", F.when(F.col("h").isNotNull(), F.col("n"))).alias("e"))
+    came = ends.select("d", "part", F.coalesce(F.last("e", ignorenulls=True).over(before), F.lit("Introduction")).alias("came"), (F.row_number().over(parts) == 1).alias("opens"))
+
+    def scanned(p: DataFrame, carried: DataFrame) -> DataFrame:
+        """p with the heading in force and whether it is a new one."""
+        order = Window.partitionBy("d", "part").orderBy("n")
+        c = carried.withColumnsRenamed({"d": "cd", "part": "cpart"})
+        now = F.coalesce(F.last("h", ignorenulls=True).over(order), F.col("came"))
+        p = p.join(c, F.col("d").eqNullSafe(F.col("cd")) & (F.col("part") == F.col("cpart"))).drop("cd", "cpart").withColumn("now", now)
+        was = F.coalesce(F.lag("now").over(order), F.when(~F.col("opens"), F.col("came")))
+        return p.withColumn("new", F.coalesce((F.col("now") != was).cast("long"), F.lit(0)))
+
+    found = scanned(numbered.drop("t"), came).groupBy("d", "part").agg(F.first("came").alias("came"), F.first("opens").alias("opens"), F.sum("new").alias("new"))
+    carried = written(found.select("d", "part", "came", "opens", F.coalesce(F.sum("new").over(before), F.lit(0)).alias("base")), "parts")  # a table of its own: the join back can then be split or sent to all
+    p = scanned(numbered, carried).withColumn("section", F.col("base") + F.sum("new").over(Window.partitionBy("d", "part").orderBy("n")))
+    joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", c))), lambda r: r[c]), "\n\n")
+    pieces = p.groupBy("d", "part", "section", "now").agg(joined("t").alias("t"), F.min("n").alias("n"), F.min("p").alias("low"), F.max("p").alias("high"), F.count("*").alias("pages"))
+    made = pieces.groupBy("d", "section", "now").agg(joined("t").alias("text"), F.min("low").alias("page_start"), F.max("high").alias("page_end"), F.sum("pages").alias("pages"))
+    return made.select(F.col("d").alias(doc), "section", F.col("now").alias("heading"), "page_start", "page_end", "pages", "text")
+
+
 def example_parts(text: Column | str, domain: Domain = Domain()) -> Column:
     """struct(input, structured, output): the last filled block under each kind of label."""
     kinds = ("input", "structured", "output")

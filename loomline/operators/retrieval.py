@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomline.functions.scratch import scratch_path
+from loomline.functions.scratch import written
 from loomline.functions.text import first_nonempty, nonempty, sentences, strip, tokens
 
 # Fixed values.
@@ -138,16 +138,10 @@ class KeywordIndex:
     def search(self, questions: DataFrame, question: str = "question", by: str = "query_id", k: int = 2, min_score: int = 3) -> DataFrame:
         """As keyword_search() over the library of the index."""
         asked = _asked(questions, question, by)
-        held = _written(posted(self._table("grams"), asked.select("term").distinct(), self._table("counts")), "held")
+        held = written(posted(self._table("grams"), asked.select("term").distinct(), self._table("counts")), "held")
         return _keyword_ranked(asked, self._table("runs").join(held, "string"), self._table("heads").join(held, "string"), by, k, min_score)
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def term_counts(docs: DataFrame, doc: str, text: str) -> DataFrame:
     """(doc, term, c, n): counts of each term, and the document's number of terms."""
     t = docs.select(doc, terms(text, TFIDF_STOP).alias("t"))
@@ -169,8 +163,8 @@ def tfidf(counts: DataFrame, frequency: DataFrame, n_docs: int, doc: str) -> Dat
 def tfidf_search(queries: DataFrame, docs: DataFrame, query_id: str, query: str, doc: str, text: str, k: int = 3, min_score: float = 0.05) -> DataFrame:
     """(query_id, doc, score, rank) of the k documents of highest cosine, kept where it reaches min_score. Queries without shared terms get none."""
     n = docs.count()
-    dc = _written(term_counts(docs, doc, text), "counts")  # several steps read them
-    idf = _written(document_frequency(dc, n), "frequencies")  # a table of its own: Spark then splits a frequent term's join
+    dc = written(term_counts(docs, doc, text), "counts")  # several steps read them
+    idf = written(document_frequency(dc, n), "frequencies")  # a table of its own: Spark then splits a frequent term's join
     return _searched(queries, tfidf(dc, idf, n, doc), idf, n, query_id, query, doc, k, min_score)
 
 
@@ -299,7 +293,7 @@ def dense_search(queries: DataFrame, vectors: DataFrame, query_id: str = "query_
     finds it small, and else deals pairs of partitions. Vectors that are null or hold null or non-finite components, and
     those of another length than a query's, aren't found.
     """
-    asked = _written(_blocks(queries, query_id, "qv", QUERIES, "q_"), "queries")
+    asked = written(_blocks(queries, query_id, "qv", QUERIES, "q_"), "queries")
     held = _blocks(vectors.select(vec_id, "embedding").sortWithinPartitions(vec_id), vec_id, "embedding", VECTORS, "v_")  # rows of a block in the order that ties follow
     q_type, v_type = queries.schema[query_id].dataType, vectors.schema[vec_id].dataType
 

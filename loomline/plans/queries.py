@@ -159,6 +159,13 @@ def _(t):
     return pages.sections(manuals(t)).select("doc", "section", "heading", "page_start", "page_end", "pages", F.md5("text").alias("md5"))
 
 
+@query("chk8_long_sections", f"with {S_LS}, {S_SECT.replace(S_MANUAL, 'source')} select source as doc, section::bigint as section, now as heading, min(doc_id) as page_start, max(doc_id) as page_end, count(*) as pages, md5(string_agg(t, chr(10) || chr(10) order by doc_id)) as md5 from s group by all")
+def _(t):
+    """All pages of a source as one document, however many they are."""
+    made = pages.long_sections(t("documents").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), "text"))
+    return made.select("doc", "section", "heading", "page_start", "page_end", "pages", F.md5("text").alias("md5"))
+
+
 @query("chk12_captions", f"select doc_id, list_transform(regexp_extract_all(text, '(?i)(?:Figure|Fig\\.?)\\s+[\\d\\-\\.]+\\s*[:\\-]\\s*(.+)'), lambda x: trim(x, {_SP})) as found from documents")
 def _(t):
     return t("documents").select("doc_id", pages.captions("text").alias("found"))
@@ -740,7 +747,7 @@ def _(t):
     return learning.metrics(executions(t)).select("pattern", "recommend")
 
 
-S_SIMPSON = lambda a: f"list_sum(list_transform(range(0, {learning.STEPS + 1}), lambda i: (case when i = 0 or i = {learning.STEPS} then 1 when i % 2 = 1 then 4 else 2 end) * pow(greatest(0.0, cos({a} + (most - {a}) * i / {learning.STEPS})), df - 1)))"
+S_SIMPSON = lambda a: f"list_sum(list_transform(range(0, {401}), lambda i: (case when i = 0 or i = {400} then 1 when i % 2 = 1 then 4 else 2 end) * pow(greatest(0.0, cos({a} + (most - {a}) * i / {400})), df - 1)))"
 S_CAN = f"""{S_EV}, ar as (select *, case when ('0x' || substr(md5(event_id::varchar), 1, 6))::bigint / pow(16.0, 6) < 0.3 then 'treatment' else 'control' end as arm from ev),
 ca as (select pattern, avg(success::int) filter (arm = 'control') as c, avg(success::int) filter (arm = 'treatment') as t, count(*) filter (arm = 'control') as n_control, count(*) filter (arm = 'treatment') as n_treatment,
   var_samp(success::int) filter (arm = 'control') / count(*) filter (arm = 'control') as va, var_samp(success::int) filter (arm = 'treatment') / count(*) filter (arm = 'treatment') as vb from ar group by pattern having n_control >= 10 and n_treatment >= 10),
