@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import ipaddress
 import json
 import re
@@ -356,7 +357,7 @@ def _hits(p: ErrorPattern, text: Column, low: Column) -> Column:
         return text.rlike("(?iu)" + p.pattern)
     alternatives = p.pattern.split("|")
     stems = [_stem(a) for a in alternatives]
-    if any(s is None for s in stems):
+    if r"\|" in p.pattern or any(s is None for s in stems):
         return low.rlike(p.pattern)
     out = F.lit(False)
     for a, s in sorted(zip(alternatives, stems), key=lambda x: x[0] != x[1]):  # plain ones first
@@ -364,6 +365,90 @@ def _hits(p: ErrorPattern, text: Column, low: Column) -> Column:
     return out
 
 
+_MATCH = "struct<name:string,confidence:double,phase:string,fix_hint:string,error_code:string>"
+_PLAIN = re.compile(r"(?:\\[sdwSDW][+*]?|\\[^A-Za-z0-9\s]|[^\\.?*+]|\.|[?*])+")  # alternatives of which Python and Java think alike
+
+
+class PatternBank:
+    """A bank of any number of patterns, looked for at once.
+
+    The plain texts that the patterns' alternatives hold (their stems) make one automaton, which reads each text once; an
+    alternative's expression runs only where its stem is found. A pattern that has capitals, or an alternative without a
+    stem, is looked for by an expression of its own. The automaton is made once by each Python worker.
+    """
+
+    def __init__(self, patterns: Sequence[ErrorPattern]):
+        self.patterns = _bank(patterns)
+        self.stems: dict[str, list[tuple[int, str | None]]] = {}  # stem: patterns and what they ask for beside it
+        self.single = []
+        for n, p in enumerate(self.patterns):
+            alternatives = p.pattern.split("|")
+            stems = [_stem(a) for a in alternatives]
+            if p.pattern != p.pattern.lower() or r"\|" in p.pattern or any(s is None or not _PLAIN.fullmatch(a) for a, s in zip(alternatives, stems)):
+                self.single.append(n)
+                continue
+            for a, s in zip(alternatives, stems):
+                self.stems.setdefault(s, []).append((n, None if a == s else re.sub(r"(\\.)|\.", lambda m: m[1] or r"[^\n\r\u0085\u2028\u2029]", a)))
+
+    def found(self, text: Column) -> Column:
+        """The places in the bank, by confidence, of the patterns that are found; null for a null text."""
+        low, parts = F.lower(text), []
+        if self.stems:
+            parts.append(_automaton_udf(self.stems)(low))
+        if self.single:
+            parts.append(F.array_compact(F.array(*(F.when(_hits(self.patterns[n], text, low), F.lit(n)) for n in self.single))))
+        both = F.array_sort(F.concat(*parts)) if parts else F.array().cast("array<int>")
+        return F.when(text.isNotNull(), both)
+
+    def _entries(self) -> Column:
+        """The bank as one literal."""
+        rows = [{"name": p.name, "confidence": p.confidence, "phase": p.phase, "fix_hint": p.fix_hint, "error_code": p.error_code} for p in self.patterns]
+        return F.from_json(F.lit(json.dumps(rows)), f"array<{_MATCH}>")
+
+    def best_match(self, text: Column) -> Column:
+        """As best_match() with this bank."""
+        return F.try_element_at(self._entries(), F.array_min(self.found(text)) + 1)
+
+    def all_matches(self, text: Column) -> Column:
+        """As all_matches() with this bank; a null text has none."""
+        bank = self._entries()
+        return F.transform(F.coalesce(self.found(text), F.array().cast("array<int>")), lambda n: F.element_at(bank, n + 1))
+
+
+_AUTOMATA: dict[str, object] = {}  # of this worker
+
+
+def _automaton_udf(stems: dict[str, list[tuple[int, str | None]]]):
+    """array<int> of the patterns found in lower-cased texts, ascending."""
+    key = hashlib.md5(repr(stems).encode()).hexdigest()
+
+    def find(low: pd.Series) -> pd.Series:
+        import ahocorasick
+
+        from loomline.operators.curation import _AUTOMATA
+
+        if key not in _AUTOMATA:
+            made = ahocorasick.Automaton()
+            for s, asked in stems.items():
+                made.add_word(s, (s, [n for n, x in asked if x is None], [(n, re.compile(x, re.ASCII)) for n, x in asked if x is not None]))
+            made.make_automaton()
+            _AUTOMATA[key] = made
+        words = _AUTOMATA[key]
+
+        def one(text: str | None) -> list[int]:
+            got, tried = set(), set()
+            for _, (stem, plain, asked) in words.iter(text) if text else ():
+                if stem not in tried:
+                    tried.add(stem)
+                    got.update(plain)
+                    got.update(n for n, x in asked if n not in got and x.search(text))
+            return sorted(got)
+
+        return pd.Series([one(t) for t in low])
+
+    return F.pandas_udf(find, "array<int>")
+
+
 def best_match(text: Column, patterns: Sequence[ErrorPattern] = MEDICAL_PATTERNS) -> Column:
     """The pattern of highest confidence that is found, or null."""
     def first(low: Column) -> Column:

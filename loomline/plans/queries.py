@@ -522,6 +522,12 @@ def _(t):
     return t("documents").select("doc_id", F.transform(curation.all_matches(F.col("text")), lambda m: m["name"]).alias("names"))
 
 
+@query("cur2_bank_matches", "select b.doc_id, a.name as best, b.names from (" + ORACLES["cur1_best_match"] + ") a join (" + ORACLES["cur2_all_matches"] + ") b using (doc_id)")
+def _(t):
+    bank = curation.PatternBank(curation.MEDICAL_PATTERNS)
+    return t("documents").select("doc_id", bank.best_match(F.col("text"))["name"].alias("best"), F.transform(bank.all_matches(F.col("text")), lambda m: m["name"]).alias("names"))
+
+
 S_CUR = f"select doc_id, round(coalesce({S_BEST_C}, greatest(0.5::double, least({S_PLAIN}, 0.75::double))), 4) as confidence from documents"
 
 
