@@ -16,7 +16,8 @@ RECORD = "id string, timestamp string, session_id string, question string, answe
 
 # Fixed values.
 RELEVANCE_WEIGHTS = {"frequency": 0.30, "complexity": 0.25, "effectiveness": 0.25, "feedback": 0.20}
-CLINICAL = r"(?iU)\b(hypertension|aspirin|contraindication|dosage|dose|monitoring|diagnosis|guideline|adverse|interaction|blood pressure|therapy|treatment|prescrib|patient)\b"
+CLINICAL_WORDS = ("hypertension", "aspirin", "contraindication", "dosage", "dose", "monitoring", "diagnosis", "guideline", "adverse", "interaction", "blood pressure", "therapy", "treatment", "prescrib", "patient")
+CLINICAL = rf"(?iU)\b({'|'.join(CLINICAL_WORDS)})\b"
 
 
 @dataclass(frozen=True)

@@ -654,9 +654,21 @@ def _(t):
     return memory.summaries(t("conversations"), "conv_id", budgets=memory.Budgets(l1=60, l2=200)).select("conv_id", F.md5("l2").alias("md5"), tx.token_estimate("l2").alias("tokens"))
 
 
-@query("str9_key_sentences")
+S_WORDS = lambda x: f"regexp_extract_all({x}, '[\\p{{L}}\\p{{M}}\\p{{N}}\\p{{Pc}}]+')"
+S_PRIORITY = f"""(3 * (len(list_filter({S_WORDS('lower(s)')}, lambda w: list_contains({s_list(memory.CLINICAL_WORDS)}, w))) + len(list_filter(list_zip({S_WORDS('lower(s)')}[:-2], {S_WORDS('lower(s)')}[2:]), lambda z: z[1] = 'blood' and z[2] = 'pressure' and contains(lower(s), 'blood pressure'))))
+  + len(list_filter({S_WORDS('s')}, lambda w: regexp_full_match(w, '\\p{{Nd}}+') or regexp_full_match(w, '[A-Z][a-z]{{3,}}'))))"""
+
+
+S_BREAKS = "string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))"
+
+
+@query("str9_key_sentences", f"""with recursive x as materialized (select doc_id, {S_BREAKS} as ss from (select doc_id, {s_strip('text')} as text from documents)), r as materialized (select doc_id, unnest(range(1, len(ss) + 1)) as i, unnest(ss) as s from x),
+o as materialized (select doc_id, i, s, {S_TOK('s')} as t, row_number() over (partition by doc_id order by {S_PRIORITY} desc, i) as n from r),
+k as (select doc_id, 0::bigint as n, 0::bigint as i, '' as s, 0::bigint as used, false as got from documents union all select o.doc_id, o.n, o.i, o.s, case when used < 100 and used + t <= 100 then used + t else used end, used < 100 and used + t <= 100 from k join o on o.doc_id = k.doc_id and o.n = k.n + 1),
+g as (select doc_id, coalesce(string_agg(s, ' ' order by i) filter (where got), '') as made from k group by doc_id) select doc_id, len(made)::int as n_chars, md5(made) as md5 from g""")
 def _(t):
-    return t("documents").select("doc_id", F.length(memory.key_sentences(F.col("text"), 100)).alias("n_chars"))
+    made = memory.key_sentences(F.col("text"), 100)
+    return t("documents").select("doc_id", made.alias("made")).select("doc_id", F.length("made").alias("n_chars"), F.md5("made").alias("md5"))
 
 
 @query("str11_rom_kernel", f"select doc_id, len(array_to_string({s_words('text')}[1:76], ' '))::int as n from documents where floor(len({s_words('text')}) * 1.3::double) > 100")

@@ -698,6 +698,29 @@ def test_best_overlap_by_brute_force(spark, earlier):
         assert got.get(s) == best or best >= memory.ENOUGH <= got[s] <= best, (s, best, got.get(s))
 
 
+@pytest.mark.parametrize("earlier", [True, False])
+def test_best_overlap_of_questions_that_share_little(spark, earlier):
+    """Most share a frequent word or two and nothing else, so that low similarities decide."""
+    import random
+
+    r = random.Random(9)
+    often, rare = ["the", "what", "how"], [f"w{a}{b}" for a in "abcdefghijklm" for b in "nopqrstuvwxyz"]
+    say = lambda: " ".join(r.sample(often, r.randint(0, 3)) + r.choices(rare, k=r.choice((0, 1, 3, 6, 12))))
+    rows = [(i, r.choice([None, "a", f"x{i}"]), say()) for i in range(250)]
+    df = spark.createDataFrame(rows, "seq long, id string, question string")
+    targets, pool = (df, df) if earlier else (df.where("seq % 2 = 0"), df.where("seq % 2 = 1"))
+    got = {x.seq: x.jaccard for x in memory.best_overlap(targets, pool, earlier).collect()}
+    sets = [(s, i or "", set(re.findall("[a-z]{3,}", q))) for s, i, q in rows]
+    low = 0
+    for s, i, a in sets:
+        if not earlier and s % 2:
+            continue
+        best = max((len(a & b) / len(a | b) for t, j, b in sets if j != i and a & b and (t < s if earlier else t % 2)), default=None)
+        assert got.get(s) == best or best >= memory.ENOUGH <= got[s] <= best, (s, best, got.get(s))
+        low += best is not None and best < memory.ENOUGH / 2
+    assert low > 20
+
+
 def test_small_tables_are_dealt_over_the_cores(spark, tmp_path):
     spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/t")
     dealt = readers.read_table(spark, f"{tmp_path}/t", least=1000)
