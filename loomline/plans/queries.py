@@ -649,11 +649,6 @@ def _(t):
     return memory.live_turns(t("conversations"), "conv_id", budget=120).select("conv_id", "turn", "tokens", "in_l1")
 
 
-@query("str8_summaries")
-def _(t):
-    return memory.summaries(t("conversations"), "conv_id", budgets=memory.Budgets(l1=60, l2=200)).select("conv_id", F.md5("l2").alias("md5"), tx.token_estimate("l2").alias("tokens"))
-
-
 S_WORDS = lambda x: f"regexp_extract_all({x}, '[\\p{{L}}\\p{{M}}\\p{{N}}\\p{{Pc}}]+')"
 S_PRIORITY = f"""(3 * (len(list_filter({S_WORDS('lower(s)')}, lambda w: list_contains({s_list(memory.CLINICAL_WORDS)}, w))) + len(list_filter(list_zip({S_WORDS('lower(s)')}[:-2], {S_WORDS('lower(s)')}[2:]), lambda z: z[1] = 'blood' and z[2] = 'pressure' and contains(lower(s), 'blood pressure'))))
   + len(list_filter({S_WORDS('s')}, lambda w: regexp_full_match(w, '\\p{{Nd}}+') or regexp_full_match(w, '[A-Z][a-z]{{3,}}'))))"""
@@ -662,10 +657,28 @@ S_PRIORITY = f"""(3 * (len(list_filter({S_WORDS('lower(s)')}, lambda w: list_con
 S_BREAKS = "string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))"
 
 
-@query("str9_key_sentences", f"""with recursive x as materialized (select doc_id, {S_BREAKS} as ss from (select doc_id, {s_strip('text')} as text from documents)), r as materialized (select doc_id, unnest(range(1, len(ss) + 1)) as i, unnest(ss) as s from x),
-o as materialized (select doc_id, i, s, {S_TOK('s')} as t, row_number() over (partition by doc_id order by {S_PRIORITY} desc, i) as n from r),
-k as (select doc_id, 0::bigint as n, 0::bigint as i, '' as s, 0::bigint as used, false as got from documents union all select o.doc_id, o.n, o.i, o.s, case when used < 100 and used + t <= 100 then used + t else used end, used < 100 and used + t <= 100 from k join o on o.doc_id = k.doc_id and o.n = k.n + 1),
-g as (select doc_id, coalesce(string_agg(s, ' ' order by i) filter (where got), '') as made from k group by doc_id) select doc_id, len(made)::int as n_chars, md5(made) as md5 from g""")
+def s_key_sentences(rows: str, keys: str, budget: int) -> str:
+    """g: (keys, made) of rows (keys, text): the sentences of highest priority that fit the budget, tried one after another."""
+    same = " and ".join(f"o.{k.strip()} = k.{k.strip()}" for k in keys.split(","))
+    mine = ", ".join(f"o.{k.strip()}" for k in keys.split(","))
+    return f"""a as materialized (select {keys}, {s_strip('text')} as text from {rows}), x as materialized (select {keys}, {S_BREAKS} as ss from a), r as materialized (select {keys}, unnest(range(1, len(ss) + 1)) as i, unnest(ss) as s from x),
+o as materialized (select {keys}, i, s, {S_TOK('s')} as t, row_number() over (partition by {keys} order by {S_PRIORITY} desc, i) as n from r),
+k as (select {keys}, 0::bigint as n, 0::bigint as i, '' as s, 0::bigint as used, false as got from a union all select {mine}, o.n, o.i, o.s, case when used < {budget} and used + t <= {budget} then used + t else used end, used < {budget} and used + t <= {budget} from k join o on {same} and o.n = k.n + 1),
+g as materialized (select {keys}, coalesce(string_agg(s, ' ' order by i) filter (where got), '') as made from k group by {keys})"""
+
+
+S_SUFFIX = f"array_to_string(ss[coalesce(list_min(list_filter(range(1, len(ss) + 1), lambda q: list_sum(list_transform(ss[q:], lambda z: {S_TOK('z')})) <= 200)), len(ss) + 1):], ' ')"  # the last sentences that fit together
+
+
+@query("str8_summaries", f"""with recursive w as materialized (select conv_id, turn, text, {S_TOK("coalesce(text, '')")} as tokens from conversations), l as (select *, turn = max(turn) over (partition by conv_id) or sum(tokens) over (partition by conv_id order by turn rows between current row and unbounded following) <= 60 as live from w),
+e as materialized (select conv_id, turn, text from l where not live), {s_key_sentences('e', 'conv_id, turn', 50)}, h as materialized (select *, row_number() over (partition by conv_id order by turn) as n from g),
+f as (select distinct conv_id, 0::bigint as n, '' as l2 from h union all select conv_id, n, case when made = '' then l2 when {S_TOK('text')} > 200 then {S_SUFFIX} else text end from (select *, {S_BREAKS} as ss from (select h.conv_id, h.n, h.made, f.l2, {s_strip("f.l2 || ' ' || h.made")} as text from f join h on h.conv_id = f.conv_id and h.n = f.n + 1))),
+m as (select conv_id, max_by(l2, n) as l2 from f group by conv_id) select conv_id, md5(l2) as md5, {S_TOK('l2')} as tokens from m""")
+def _(t):
+    return memory.summaries(t("conversations"), "conv_id", budgets=memory.Budgets(l1=60, l2=200)).select("conv_id", F.md5("l2").alias("md5"), tx.token_estimate("l2").alias("tokens"))
+
+
+@query("str9_key_sentences", f"with recursive {s_key_sentences('documents', 'doc_id', 100)} select doc_id, len(made)::int as n_chars, md5(made) as md5 from g")
 def _(t):
     made = memory.key_sentences(F.col("text"), 100)
     return t("documents").select("doc_id", made.alias("made")).select("doc_id", F.length("made").alias("n_chars"), F.md5("made").alias("md5"))
