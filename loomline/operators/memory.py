@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.functions.scratch import scratch_path
+from loomline.functions.scratch import written
 from loomline.functions.text import n_words, sentences, strip, token_estimate, tokens
 from loomline.operators.curation import has_code, has_list
 
@@ -113,52 +113,143 @@ def feedback(approved: Column) -> Column:
 ENOUGH = 0.5  # a similarity from here on gives the full frequency score
 
 
+TARGETS, POOL = 4096, 32768  # sets of a block
+
+
 def best_overlap(targets: DataFrame, pool: DataFrame, earlier: bool, seq: str = "seq") -> DataFrame:
     """(seq, jaccard): each target's highest Jaccard similarity of question words with another record of the pool; from ENOUGH on, some value of at least that.
 
     Records with the same words are one set, of which the earliest record and the earliest of another id decide whether
     a target may meet it. Equal sets come first. The rest meet by their rarest words: sets of similarity ENOUGH share
-    one of the rarest half, so that frequent words pair nothing. Only targets that find nothing so similar go through
-    all their words. Both sides' word sets are written once to the shared folder, as several steps read them.
+    one of the rarest half, so that frequent words pair nothing. Only targets that find nothing so similar meet all sets
+    with a word in common, block by block: no pair of them is a row. What several steps read is written once to the
+    shared folder, the result too.
     """
-    def written(df: DataFrame) -> DataFrame:
-        path = scratch_path(df.sparkSession, "questions")
-        df.write.parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-
     def sets(d: DataFrame) -> DataFrame:
         w = F.array_sort(F.array_distinct(tokens("question", "[a-z]{3,}")))
         return d.select(F.col(seq).alias("s"), F.coalesce("id", F.lit("")).alias("i"), w.alias("w")).where(F.size("w") > 0).withColumn("k", F.md5(F.array_join("w", " ")))
 
-    records = written(sets(pool))
-    a = (records if targets is pool else written(sets(targets))).withColumnsRenamed({"s": "aseq", "i": "aid", "w": "aw"})
+    records = written(sets(pool), "questions")
+    a = (records if targets is pool else written(sets(targets), "questions")).withColumnsRenamed({"s": "aseq", "i": "aid", "w": "aw"})
     first = records.groupBy("k").agg(F.min(F.struct("s", "i")).alias("one"), F.first("w").alias("bw"))
     other = records.join(first.select("k", F.col("one.i").alias("oi")), "k").where("i <> oi").groupBy("k").agg(F.min(F.struct("s", "i")).alias("two"))
-    b = written(first.join(other, "k", "left"))
+    b = written(first.join(other, "k", "left"), "questions")
     may = lambda x: (F.col(f"{x}.i") != F.col("aid")) & ((F.col(f"{x}.s") < F.col("aseq")) if earlier else F.lit(True))
     fits = may("one") | F.coalesce(may("two"), F.lit(False))
 
     equal = a.join(b, "k").where(fits).select("aseq", F.lit(1.0).alias("j"))
     left = a.join(equal.select("aseq"), "aseq", "left_anti").drop("k")
-    often = written(b.select(F.explode("bw").alias("word")).groupBy("word").agg(F.count("*").alias("f")))  # a table of its own: Spark then splits a frequent word's join
+    often = written(b.select(F.explode("bw").alias("word")).groupBy("word").agg(F.count("*").alias("f")).withColumn("n", F.monotonically_increasing_id()), "words")  # a table of its own: Spark then splits a frequent word's join
 
-    def rarest(df: DataFrame, words: str) -> DataFrame:
-        """df's rows, one for each of the rarest words of which sets at ENOUGH share one."""
-        keys = [c for c in df.columns if c not in ("one", "two")]
+    def numbered(df: DataFrame, words: str, *keys: str) -> DataFrame:
+        """df's keys with the numbers of its words, the rarest first; -1 for words the pool hasn't."""
         e = df.select(*keys, F.explode(words).alias("word")).join(often, "word", "left")
-        per = e.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "word"))).alias("o"))  # a question's words
+        per = e.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), F.coalesce("n", F.lit(-1)).alias("n")))).alias("o"))  # a question's words
+        return per.select(*keys, F.transform("o", lambda x: x["n"]).alias(words))
+
+    def rarest(words: str) -> Column:
+        """Each of the rarest words of which sets at ENOUGH share one, with its place."""
         n = F.size(words)
-        return per.select(*keys, F.explode(F.slice("o", 1, n - F.ceil(n * ENOUGH).cast("int") + 1)).alias("o")).select(*keys, F.col("o.word").alias("word"))
+        return F.posexplode(F.slice(words, 1, n - F.ceil(n * ENOUGH).cast("int") + 1)).alias(f"{words}_at", "word")
 
-    ours, theirs = rarest(left, "aw"), rarest(b.drop("one", "two"), "bw").join(b.select("k", "one", "two"), "k")
+    ours, theirs = written(numbered(left, "aw", "aseq", "aid"), "sets"), written(numbered(b, "bw", "k").join(b.drop("bw"), "k"), "sets")
     shared = F.size(F.array_intersect("aw", "bw"))
-    near = ours.join(theirs, "word").where(fits).select("aseq", (shared / (F.size("aw") + F.size("bw") - shared)).alias("j")).where(F.col("j") >= ENOUGH)
-    near = near.groupBy("aseq").agg(F.max("j").alias("j"))
-    apart = left.join(near.select("aseq"), "aseq", "left_anti")
-    pairs = apart.select("aseq", "aid", F.size("aw").alias("an"), F.explode("aw").alias("word")).join(b.select("k", "one", "two", F.size("bw").alias("bn"), F.explode("bw").alias("word")), "word").where(fits)
-    both = pairs.groupBy("aseq", "k").agg(F.count("*").alias("c"), F.first("an").alias("an"), F.first("bn").alias("bn"))
-    far = both.groupBy("aseq").agg(F.max(F.col("c") / (F.col("an") + F.col("bn") - F.col("c"))).alias("j"))
-    return equal.union(near).union(far).groupBy(F.col("aseq").alias(seq)).agg(F.max("j").alias("jaccard"))
+    rest = F.least(F.size("aw") - F.col("aw_at"), F.size("bw") - F.col("bw_at"))  # where the word is the first that both have, no more are shared
+    met = ours.select("*", rarest("aw")).join(theirs.select("*", rarest("bw")), "word").where(rest * (1 + ENOUGH) >= (F.size("aw") + F.size("bw")) * ENOUGH)
+    near = met.where(fits).select("aseq", (shared / (F.size("aw") + F.size("bw") - shared)).alias("j")).where(F.col("j") >= ENOUGH)
+    near = written(near.groupBy("aseq").agg(F.max("j").alias("j")), "near")
+    far = _far(ours.join(near.select("aseq"), "aseq", "left_anti"), theirs, earlier, ours.count() - near.count(), theirs.count())
+    return written(equal.union(near).union(far).groupBy(F.col("aseq").alias(seq)).agg(F.max("j").alias("jaccard")), "overlaps")
+
+
+def _set_blocks(d: DataFrame, n: int, rows: int, prefix: str) -> DataFrame:
+    """The n rows (s, i, t, w) in ranges of s, packed by `rows` at most: arrays s, i, t, and w one after another with their sizes n; names with the prefix."""
+    s, i = (d.schema[c].dataType.simpleString() for c in "si")
+
+    def pack(batches):
+        import pyarrow as pa
+
+        held = []
+
+        def block():
+            x = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held.clear()
+            whole = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+            w = x.column("w")
+            return pa.RecordBatch.from_arrays([*(whole(x.column(c)) for c in "sit"), whole(w.value_lengths()), whole(w.flatten())], names=[f"{prefix}{c}" for c in "sitnw"])
+
+        for batch in batches:
+            while batch.num_rows:
+                more = rows - sum(h.num_rows for h in held)
+                held.append(batch.slice(0, more))
+                batch = batch.slice(more)
+                if sum(h.num_rows for h in held) == rows:
+                    yield block()
+        if held:
+            yield block()
+
+    dealt = d.select("s", "i", "t", "w").repartitionByRange(1 + 4 * n // (3 * rows), "s").sortWithinPartitions("s")  # a range is a block: they are drawn from a sample, so there is room
+    return written(dealt.mapInArrow(pack, f"{prefix}s array<{s}>, {prefix}i array<{i}>, {prefix}t array<{s}>, {prefix}n array<int>, {prefix}w array<bigint>"), "blocks")
+
+
+def _far(ours: DataFrame, theirs: DataFrame, earlier: bool, n_ours: int, n_theirs: int) -> DataFrame:
+    """(aseq, j): the highest similarity of each of our sets with those of theirs that fit, by counts of shared words over the postings of a block.
+
+    Blocks of theirs meet blocks of ours by pairs of partitions; a task holds one pair of blocks at a time, and hands out one
+    row for each of our sets. Counting takes time with the pairs that share a word, which is the job itself.
+    """
+    held = _set_blocks(theirs.select(F.col("one.s").alias("s"), F.col("one.i").alias("i"), F.col("two.s").alias("t"), F.col("bw").alias("w")), n_theirs, POOL, "b_")
+    asked = _set_blocks(ours.select(F.col("aseq").alias("s"), F.col("aid").alias("i"), F.lit(None).cast(ours.schema["aseq"].dataType).alias("t"), F.col("aw").alias("w")), n_ours, TARGETS, "a_")
+    may = (F.array_min("b_s") < F.array_max("a_s")) if earlier else F.lit(True)
+    pairs = held.hint("shuffle_replicate_nl").join(asked.drop("a_t"), may)
+
+    def meet(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for n in range(batch.num_rows):
+                x = {c: batch.column(c)[n].values for c in batch.schema.names}
+                at, j = _most_shared(x, earlier)
+                yield pa.RecordBatch.from_arrays([x["a_s"].take(pa.array(at)), pa.array(j)], names=["aseq", "j"])
+
+    found = pairs.mapInArrow(meet, f"aseq {ours.schema['aseq'].dataType.simpleString()}, j double")
+    return found.groupBy("aseq").agg(F.max("j").alias("j"))
+
+
+def _most_shared(x: dict, earlier: bool):
+    """Of a pair of blocks: places in ours and their highest similarity, where that is above 0."""
+    import numpy as np
+
+    array = lambda c: x[c].to_numpy(zero_copy_only=False)
+    size, ours = array("b_n").astype(np.int64), array("a_n").astype(np.int64)
+    known, words = np.unique(array("b_w"), return_inverse=True)
+    order = np.argsort(words, kind="stable")
+    posted, ends = np.repeat(np.arange(len(size)), size)[order], np.searchsorted(words[order], np.arange(len(known) + 1))
+    asked = array("a_w")
+    place = np.searchsorted(known, asked)
+    found = np.append(known, -2)[place] == asked
+    starts = np.concatenate([[0], np.cumsum(ours)])
+    one, two, a_s = (array(c) for c in ("b_s", "b_t", "a_s"))
+    alone = np.array(x["b_t"].is_null())
+    upto = np.searchsorted(one, a_s, "left") if earlier else np.full(len(ours), len(size))  # a block is in order
+    own: dict = {}
+    for p, i in enumerate(x["b_i"].to_pylist()):
+        own.setdefault(i, []).append(p)
+    at, best = [], []
+    for n, i in enumerate(x["a_i"].to_pylist()):
+        m = upto[n]
+        mine = place[starts[n] : starts[n + 1]][found[starts[n] : starts[n + 1]]]
+        if not m or not len(mine):
+            continue
+        c = np.bincount(np.concatenate([posted[ends[w] : ends[w + 1]] for w in mine]), minlength=len(size))[:m]
+        for p in own.get(i, ()):  # a set whose first record has this id counts by its first of another
+            if p < m and (alone[p] or earlier and not two[p] < a_s[n]):
+                c[p] = 0
+        j = (c / (ours[n] + size[:m] - c)).max()
+        if j > 0:
+            at.append(n)
+            best.append(j)
+    return np.array(at, np.int64), np.array(best, np.float64)
 
 
 def relevance(records: DataFrame, pool: DataFrame | None = None, seq: str = "seq") -> DataFrame:

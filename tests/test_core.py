@@ -721,6 +721,27 @@ def test_best_overlap_of_questions_that_share_little(spark, earlier):
     assert low > 20
 
 
+@pytest.mark.parametrize("earlier", [True, False])
+def test_best_overlap_block_by_block(spark, earlier, monkeypatch):
+    """Blocks of a few sets, whose order and edges decide; ids that own many of the sets. No pair of sets is a row."""
+    import random
+
+    monkeypatch.setattr(memory, "TARGETS", 7)
+    monkeypatch.setattr(memory, "POOL", 16)
+    r = random.Random(3)
+    rare = [f"w{a}{b}" for a in "abcdefghijklm" for b in "nopqrstuvwxyz"]
+    rows = [(i, r.choice([None, "a", "b", f"x{i}"]), " ".join(["the"] * (i % 5 > 0) + r.sample(rare, r.choice((2, 4, 9))))) for i in range(120)] + [(200 + i, f"y{i % 2}", "the " + rare[i // 2]) for i in range(20)]
+    df = spark.createDataFrame(rows, "seq long, id string, question string").repartition(5)
+    targets, pool = (df, df) if earlier else (df.where("seq % 2 = 0"), df.where("seq % 2 = 1"))
+    got = {x.seq: x.jaccard for x in memory.best_overlap(targets, pool, earlier).collect()}
+    sets = [(s, i or "", set(q.split())) for s, i, q in rows]
+    for s, i, a in sets:
+        if not earlier and s % 2:
+            continue
+        best = max((len(a & b) / len(a | b) for t, j, b in sets if j != i and a & b and (t < s if earlier else t % 2)), default=None)
+        assert got.get(s) == best or best >= memory.ENOUGH <= got[s] <= best, (s, best, got.get(s))
+
+
 def test_small_tables_are_dealt_over_the_cores(spark, tmp_path):
     spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/t")
     dealt = readers.read_table(spark, f"{tmp_path}/t", least=1000)
