@@ -61,13 +61,18 @@ def split_train_val(df: DataFrame, ids: Sequence[str], val_ratio: float = 0.15,
 # ---- judge
 
 
+def rounded(c: Column, places: int = 4) -> Column:
+    """c at so many places: the product with the power of ten is rounded, as SQL engines do it, where Spark's round() goes by the shortest decimal of c. They differ on ties."""
+    return F.round(c * 10**places) / 10**places
+
+
 def quality(q: Column, a: Column) -> Column:
     stop = F.array(*map(F.lit, JUDGE_STOP_WORDS))
     qs, as_ = (F.array_except(F.array_distinct(tokens(x, "[a-zA-Z]{3,}")), stop) for x in (q, a))
     overlap = F.size(F.array_intersect(qs, as_)) / F.greatest(F.size(qs), F.lit(1))
     overlap = F.when(a.rlike(REFUSAL), F.greatest(F.lit(0.0), overlap - 0.4)).otherwise(overlap)
     ratio = F.least(F.length(a) / F.greatest(F.length(q) * 1.5, F.lit(50.0)), F.lit(1.0))
-    return F.when(strip(a) == "", 0.0).otherwise(F.round(F.least(overlap * 0.6 + ratio * 0.4, F.lit(1.0)), 4))
+    return F.when(strip(a) == "", 0.0).otherwise(rounded(F.least(overlap * 0.6 + ratio * 0.4, F.lit(1.0)), 4))
 
 
 def safety(a: Column) -> Column:
@@ -76,7 +81,7 @@ def safety(a: Column) -> Column:
 
 def cost(q: Column, a: Column) -> Column:
     r = n_words(a) / F.greatest(n_words(q), F.lit(1))
-    return F.round(F.when(r <= 4, 1.0).when(r <= 8, 1 - (r - 4) / 8).otherwise(F.greatest(F.lit(0.0), 0.5 - (r - 8) / 16)), 4)
+    return rounded(F.when(r <= 4, 1.0).when(r <= 8, 1 - (r - 4) / 8).otherwise(F.greatest(F.lit(0.0), 0.5 - (r - 8) / 16)), 4)
 
 
 def domain_share(a: Column, keywords: Sequence[str]) -> Column:
@@ -84,7 +89,7 @@ def domain_share(a: Column, keywords: Sequence[str]) -> Column:
         return F.lit(1.0)
     low = F.lower(a)
     hits = sum((low.contains(k.lower()).cast("int") for k in keywords), F.lit(0))
-    return F.round(hits / len(keywords), 4)
+    return rounded(hits / len(keywords), 4)
 
 
 def has_code(a: Column) -> Column:
@@ -97,13 +102,13 @@ def has_list(a: Column) -> Column:
 
 def performance(a: Column) -> Column:
     plain = ~has_code(a) & ~has_list(a) & (n_words(a) < 20)
-    return F.round(F.when(plain, 0.2).otherwise(F.lit(0.5) + F.when(has_code(a), 0.3).otherwise(0.0) + F.when(has_list(a), 0.2).otherwise(0.0)), 4)
+    return rounded(F.when(plain, 0.2).otherwise(F.lit(0.5) + F.when(has_code(a), 0.3).otherwise(0.0) + F.when(has_list(a), 0.2).otherwise(0.0)), 4)
 
 
 def usability(a: Column) -> Column:
     n = F.greatest(n_words(a), F.lit(1))
     action, hedge = F.regexp_count(a, F.lit(ACTION_WORDS)) / n, F.regexp_count(a, F.lit(HEDGE_WORDS)) / n
-    return F.round(F.greatest(F.lit(0.0), F.least(F.least(action * 5, F.lit(0.8)) + 0.2 - hedge * 2, F.lit(1.0))), 4)
+    return rounded(F.greatest(F.lit(0.0), F.least(F.least(action * 5, F.lit(0.8)) + 0.2 - hedge * 2, F.lit(1.0))), 4)
 
 
 def combine(scores: dict[str, Column], strategy: str = "weighted_average", weights: dict[str, float] | None = None, threshold: float = 0.6) -> Column:
@@ -112,11 +117,11 @@ def combine(scores: dict[str, Column], strategy: str = "weighted_average", weigh
     if strategy == "weighted_average":
         w = {k: (weights or WEIGHTS).get(k, 1.0) for k in scores}
         total = sum(w.values())
-        return F.round(sum((v * w[k] for k, v in scores.items()), F.lit(0.0)) / total, 4) if total else F.lit(0.0)
+        return rounded(sum((v * w[k] for k, v in scores.items()), F.lit(0.0)) / total, 4) if total else F.lit(0.0)
     passing = sum((F.when(v >= threshold, 1).otherwise(0) for v in vals), F.lit(0))
     return {
-        "all_must_pass": F.round(F.least(*vals), 4), "min_score": F.round(F.least(*vals), 4), "max_score": F.round(F.greatest(*vals), 4),
-        "majority_pass": F.round(passing / len(vals), 4), "any_pass": F.when(passing > 0, 1.0).otherwise(0.0),
+        "all_must_pass": rounded(F.least(*vals), 4), "min_score": rounded(F.least(*vals), 4), "max_score": rounded(F.greatest(*vals), 4),
+        "majority_pass": rounded(passing / len(vals), 4), "any_pass": F.when(passing > 0, 1.0).otherwise(0.0),
     }[strategy]
 
 
@@ -479,5 +484,5 @@ def curriculum(df: DataFrame, text: Column | str | None = None, patterns: Sequen
         text = F.to_json(F.struct(*df.columns)) if text is None else F.col(text)
     t = F.coalesce(col(text), F.lit(""))
     out = df.withColumn("match", best_match(t, patterns))
-    out = out.withColumn("confidence", F.round(F.coalesce(F.col("match")["confidence"], plain_confidence(t)), 4)).withColumn("level", level(F.col("confidence")))
+    out = out.withColumn("confidence", rounded(F.coalesce(F.col("match")["confidence"], plain_confidence(t)), 4)).withColumn("level", level(F.col("confidence")))
     return out.withColumn("retry_action", F.when(F.col("level") == "HIGH", "auto_retry").when(F.col("level") == "MEDIUM", "retry_with_monitoring").otherwise("escalate_to_human"))

@@ -679,6 +679,17 @@ def test_snapshot_and_listings(spark, tmp_path):
     assert {x.artifact: (x.files, x.metadata) for x in readers.artifacts(spark, f"{tmp_path}/m").collect()} == {"a": (2, '{"x": 1}'), "b": (1, None)}
 
 
+def test_scores_are_rounded_as_in_sql(spark):
+    """Ties at the fifth place, whose doubles lie below or above them, decide ranks."""
+    import duckdb
+
+    values = [0.68695, 0.67885, 0.68395, 0.65075, 0.48124999999999996, 0.5, 0.12345, 1.0]
+    want = [duckdb.execute("select round(?::double, 4)", [v]).fetchone()[0] for v in values]
+    d = spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = [x.c for x in d.select(curation.combine({"v": F.col("v")}, weights={"v": 1.0}).alias("c")).collect()]
+    assert got == want
+
+
 @pytest.mark.parametrize("earlier", [True, False])
 def test_best_overlap_by_brute_force(spark, earlier):
     import random
