@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.scratch import written
-from loomline.functions.text import first_nonempty, nonempty, sentences, strip, tokens
+from loomline.functions.text import first_nonempty, let, nonempty, sentences, strip, tokens
 
 # Fixed values.
 KEYWORD_STOP = [
@@ -143,15 +143,33 @@ class KeywordIndex:
 
 
 def term_counts(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, term, c, n): counts of each term, and the document's number of terms."""
-    t = docs.select(doc, terms(text, TFIDF_STOP).alias("t"))
-    return t.select(doc, F.size("t").alias("n"), F.explode("t").alias("term")).groupBy(doc, "term", "n").agg(F.count("*").alias("c"))
+    """(doc, term, c, n): counts of each term, and the document's number of terms. Dealt by term: what goes on by term moves no row again.
+
+    A row's terms are counted where it lies, as runs of their sorted array, so that a shuffle has a row for each
+    different term.
+    """
+    starts = lambda s: F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+    run = lambda s, at: F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).cast("long").alias("c")))
+    t = docs.select(doc, F.sort_array(terms(text, TFIDF_STOP)).alias("t")).where(F.size("t") > 0)
+    rows = t.select(doc, F.size("t").alias("n"), F.inline(let(F.col("t"), lambda s: let(starts(s), lambda at: run(s, at)))))
+    return rows.repartition("term").groupBy(doc, "term", "n").agg(F.sum("c").alias("c"))
+
+
+def term_weights(docs: DataFrame, n_docs: int, doc: str, text: str) -> DataFrame:
+    """(doc, term, w, df, idf) by one shuffle of the counts; sorted by term."""
+    counts = term_counts(docs, doc, text).withColumn("df", F.count("*").over(Window.partitionBy("term")))
+    d = counts.withColumn("idf", _idf(n_docs, F.col("df")))
+    return d.select(doc, "term", (F.col("c") / F.col("n") * F.col("idf")).alias("w"), "df", "idf")
+
+
+def _idf(n_docs: int, df: Column) -> Column:
+    return F.log((F.lit(n_docs) + 1.0) / (df + 1.0)) + 1.0
 
 
 def document_frequency(counts: DataFrame, n_docs: int) -> DataFrame:
     """(term, df, idf)"""
     d = counts.groupBy("term").agg(F.count("*").alias("df"))
-    return d.withColumn("idf", F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0)) + 1.0)
+    return d.withColumn("idf", _idf(n_docs, F.col("df")))
 
 
 def tfidf(counts: DataFrame, frequency: DataFrame, n_docs: int, doc: str) -> DataFrame:
@@ -163,15 +181,18 @@ def tfidf(counts: DataFrame, frequency: DataFrame, n_docs: int, doc: str) -> Dat
 def tfidf_search(queries: DataFrame, docs: DataFrame, query_id: str, query: str, doc: str, text: str, k: int = 3, min_score: float = 0.05) -> DataFrame:
     """(query_id, doc, score, rank) of the k documents of highest cosine, kept where it reaches min_score. Queries without shared terms get none."""
     n = docs.count()
-    dc = written(term_counts(docs, doc, text), "counts")  # several steps read them
-    idf = written(document_frequency(dc, n), "frequencies")  # a table of its own: Spark then splits a frequent term's join
-    return _searched(queries, tfidf(dc, idf, n, doc), idf, n, query_id, query, doc, k, min_score)
+    weights = written(term_weights(docs, n, doc, text), "weights")  # several steps read them, and Spark splits a frequent term's join
+    return _searched(queries, weights.select(doc, "term", "w"), _frequency(weights), n, query_id, query, doc, k, min_score)
+
+
+def _frequency(weights: DataFrame) -> DataFrame:
+    return weights.groupBy("term").agg(F.first("df").alias("df"), F.first("idf").alias("idf"))
 
 
 def _searched(queries: DataFrame, weights: DataFrame, idf: DataFrame, n: int, query_id: str, query: str, doc: str, k: int, min_score: float, norms: DataFrame | None = None) -> DataFrame:
-    """Norms are one aggregate over all weights; only the weights of the queries' terms meet the queries."""
+    """Norms are one aggregate over all weights; only the weights of the queries' terms meet the queries, whose table Spark sends to all tasks where it finds it small."""
     norm = lambda w, i, name: w.groupBy(i).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(name))
-    qw = tfidf(term_counts(queries, query_id, query), idf, n, query_id)
+    qw = written(tfidf(term_counts(queries, query_id, query), idf, n, query_id), "asked")
     dots = qw.withColumnRenamed("w", "qw").join(weights, "term").groupBy(query_id, doc).agg(F.sum(F.col("qw") * F.col("w")).alias("dot"))
     scored = dots.join(norm(weights, doc, "dn") if norms is None else norms, doc).join(norm(qw, query_id, "qn"), query_id).withColumn("score", F.round(F.col("dot") / (F.col("dn") * F.col("qn")), 4))
     best = scored.withColumn("rank", F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(doc)))).where(F.col("rank") <= k)
@@ -189,12 +210,9 @@ class TfidfIndex:
     def build(cls, docs: DataFrame, path: str, doc: str, text: str) -> TfidfIndex:
         """A new index of docs; an older one at the path gives way."""
         n = docs.count()
-        counts = term_counts(docs, doc, text)
-        frequency = document_frequency(counts, n)
-        frequency.withColumn("documents", F.lit(n)).write.mode("overwrite").parquet(f"{path}/frequency")
-        idf = docs.sparkSession.read.parquet(f"{path}/frequency")
-        tfidf(counts, idf, n, doc).repartition("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/weights")  # a search reads few row groups
+        term_weights(docs, n, doc, text).sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/weights")  # a search reads few row groups
         weights = docs.sparkSession.read.parquet(f"{path}/weights")
+        _frequency(weights).withColumn("documents", F.lit(n)).write.mode("overwrite").parquet(f"{path}/frequency")
         weights.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dn")).write.mode("overwrite").parquet(f"{path}/norms")
         return cls(docs.sparkSession, path, doc)
 
@@ -211,7 +229,7 @@ class TfidfIndex:
         """As tfidf_search() over the documents of the index."""
         frequency = self._table("frequency")
         n = frequency.agg(F.max("documents")).first()[0] or 0
-        return _searched(queries, self._table("weights"), frequency.drop("documents"), n, query_id, query, self.doc, k, min_score, self._table("norms"))
+        return _searched(queries, self._table("weights").select(self.doc, "term", "w"), frequency.drop("documents"), n, query_id, query, self.doc, k, min_score, self._table("norms"))
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -679,6 +679,22 @@ def test_snapshot_and_listings(spark, tmp_path):
     assert {x.artifact: (x.files, x.metadata) for x in readers.artifacts(spark, f"{tmp_path}/m").collect()} == {"a": (2, '{"x": 1}'), "b": (1, None)}
 
 
+def test_term_weights_by_one_shuffle(spark):
+    """A document's terms are counted where it lies; documents without terms, and a term that all have."""
+    from collections import Counter
+    from math import log
+
+    said = [(0, "river stone river"), (1, ""), (2, None), (3, "the of"), (4, "river"), (5, "zeta Alpha zeta river alpha zeta")]
+    d = spark.createDataFrame(said, "doc long, text string")
+    made = retrieval.term_weights(d, 6, "doc", "text")
+    counts = {i: Counter(w for w in (t or "").lower().split() if w not in ("the", "of")) for i, t in said}
+    df = Counter(w for c in counts.values() for w in c)
+    want = {(i, w): (c / sum(counts[i].values()) * (log(7 / (df[w] + 1)) + 1), df[w]) for i in counts for w, c in counts[i].items()}
+    got = {(x.doc, x.term): (x.w, x.df) for x in made.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k][0] - want[k][0]) < 1e-12 and got[k][1] == want[k][1] for k in want)
+    assert made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
 def test_scores_are_rounded_as_in_sql(spark):
     """Ties at the fifth place, whose doubles lie below or above them, decide ranks."""
     import duckdb
