@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions.config import Domain
 from loomline.functions.scratch import written
-from loomline.functions.text import col, lines, n_words, strip, words
+from loomline.functions.text import col, let, lines, n_words, strip, words
 
 # Fixed values.
 RESERVED_HEADINGS = ("INPUT", "OUTPUT", "RESULT", "OUTCOME", "CASE", "NOTES", "INTRODUCTION", "OVERVIEW", "SUMMARY", "INDEX", "CONTENTS", "DESCRIPTION", "SYNTAX", "ARGUMENTS", "PARAMETERS", "EXAMPLES")
@@ -28,40 +28,51 @@ def matching(array: Column, pattern: str) -> Column:
 
 
 def is_toc(text: Column | str) -> Column:
-    ls = lines(text)
-    n, leaders = F.size(ls), matching(ls, r"\.\s{0,2}\d+\s*$")
-    titled = F.coalesce(F.lower(F.try_element_at(ls, F.lit(1))).contains("contents"), F.lit(False)) & (n > 3)
-    return (F.length(strip(text)) >= 50) & (titled | ((leaders >= 3) & (leaders >= F.floor(n / 2))))
+    def test(ls: Column) -> Column:
+        n = F.size(ls)
+        titled = F.coalesce(F.lower(F.try_element_at(ls, F.lit(1))).contains("contents"), F.lit(False)) & (n > 3)
+        return titled | let(matching(ls, r"\.\s{0,2}\d+\s*$"), lambda leaders: (leaders >= 3) & (leaders >= F.floor(n / 2)))
+
+    return (F.length(strip(text)) >= 50) & let(lines(text), test)
 
 
 def is_boilerplate(text: Column | str) -> Column:
-    t = strip(text)
-    low, n = F.lower(t), F.length(t)
+    return let(strip(text), lambda t: let(F.lower(t), lambda low: _boilerplate(t, low, F.length(t))))
+
+
+def _boilerplate(t: Column, low: Column, n: Column) -> Column:
     return (n < 100) | (low.contains("copyright") & (low.contains("rights reserved") | t.contains("©"))) | (low.contains("trademark") & low.contains("safety") & (n < 800)) | (low.rlike(r"https?://\S+") & (n < 300))
 
 
 def is_index(text: Column | str) -> Column:
-    ls = lines(text)
-    entries = F.size(F.filter(ls, lambda x: x.rlike(r"\d+(?:,\s*\d+)*\s*$") & (F.length(x) < 80)))
-    return (F.length(strip(text)) >= 50) & ((matching(ls, "^[A-Z]$") >= 3) | ((entries >= 5) & (entries >= F.size(ls) * 0.5)))
+    def test(ls: Column) -> Column:
+        entries = F.size(F.filter(ls, lambda x: (F.length(x) < 80) & x.rlike(r"\d+(?:,\s*\d+)*\s*$")))
+        return (matching(ls, "^[A-Z]$") >= 3) | let(entries, lambda n: (n >= 5) & (n >= F.size(ls) * 0.5))
+
+    return (F.length(strip(text)) >= 50) & let(lines(text), test)
 
 
 def is_substantive(text: Column | str) -> Column:
     text = F.coalesce(col(text), F.lit(""))
     long = F.filter(F.split(text, "\n"), lambda x: F.length(strip(x)) > 20)
-    return (F.length(strip(text)) >= 80) & (F.size(long) >= 2) & (F.aggregate(long, F.lit(0), lambda s, x: s + F.length(x)) > 200)
+    return (F.length(strip(text)) >= 80) & let(long, lambda ls: (F.size(ls) >= 2) & (F.aggregate(ls, F.lit(0), lambda s, x: s + F.length(x)) > 200))
 
 
 def keep_page(text: Column | str, skip_toc: bool = True, skip_boilerplate: bool = True, skip_index: bool = True) -> Column:
-    t = strip(text)
-    keep = is_substantive(t)
-    for skip, test in ((skip_boilerplate, is_boilerplate), (skip_toc, is_toc), (skip_index, is_index)):
-        keep = keep & ~test(t) if skip else keep
-    return keep
+    def test_all(t: Column) -> Column:
+        keep = is_substantive(t)
+        for skip, test in ((skip_boilerplate, is_boilerplate), (skip_toc, is_toc), (skip_index, is_index)):
+            keep = keep & ~test(t) if skip else keep
+        return keep
+
+    return let(strip(text), test_all)
 
 
 def is_heading(line: Column | str) -> Column:
-    x = strip(line)
+    return let(strip(line), _heading)
+
+
+def _heading(x: Column) -> Column:
     shape = F.lit(False)
     for p in HEADING_SHAPES:
         shape = shape | x.rlike(p)
@@ -153,13 +164,15 @@ def example_parts(text: Column | str, domain: Domain = Domain()) -> Column:
     empty = F.array().cast("array<string>")
 
     def labelled(para: Column) -> Column:
-        ls = lines(para)
-        head = F.try_element_at(ls, F.lit(1))
-        kind = F.lit(None).cast("string")
-        for k in reversed(kinds):
-            kind = F.when(head.rlike("(?i)" + domain.label_regex(k)), k).otherwise(kind)
-        rest = F.array_join(F.slice(ls, 2, F.greatest(F.size(ls), F.lit(1))), "\n")
-        return F.struct(kind.alias("kind"), F.when(kind.isNull(), strip(para)).otherwise(rest).alias("body"))
+        def of(head: Column) -> Column:
+            kind = F.lit(None).cast("string")
+            for k in reversed(kinds):
+                kind = F.when(head.rlike("(?i)" + domain.label_regex(k)), k).otherwise(kind)
+            return kind
+
+        rest = lambda ls: F.array_join(F.slice(ls, 2, F.greatest(F.size(ls), F.lit(1))), "\n")
+        body = lambda ls, kind: F.struct(kind.alias("kind"), F.when(kind.isNull(), strip(para)).otherwise(rest(ls)).alias("body"))
+        return let(lines(para), lambda ls: let(let(F.try_element_at(ls, F.lit(1)), of), lambda kind: body(ls, kind)))
 
     def closed(s: Column) -> dict[str, Column]:
         made = F.array_join(s["buf"], "\n\n")
@@ -184,13 +197,15 @@ def section_parts(text: Column | str) -> Column:
     empty = F.array().cast("array<string>")
 
     def labelled(para: Column) -> Column:
-        ls = lines(para)
-        head = F.try_element_at(ls, F.lit(1))
-        label = F.lit(None).cast("string")
-        for k, p in reversed(PART_LABELS.items()):
-            label = F.when(head.rlike(p), k).otherwise(label)
-        rest = F.array_join(F.slice(ls, 2, F.greatest(F.size(ls), F.lit(1))), "\n")
-        return F.struct(label.alias("label"), F.when(label.isNull(), strip(para)).otherwise(rest).alias("body"))
+        def of(head: Column) -> Column:
+            label = F.lit(None).cast("string")
+            for k, p in reversed(PART_LABELS.items()):
+                label = F.when(head.rlike(p), k).otherwise(label)
+            return label
+
+        rest = lambda ls: F.array_join(F.slice(ls, 2, F.greatest(F.size(ls), F.lit(1))), "\n")
+        body = lambda ls, label: F.struct(label.alias("label"), F.when(label.isNull(), strip(para)).otherwise(rest(ls)).alias("body"))
+        return let(lines(para), lambda ls: let(let(F.try_element_at(ls, F.lit(1)), of), lambda label: body(ls, label)))
 
     def step(s: Column, x: Column) -> Column:
         now = F.coalesce(x["label"], s["now"])
@@ -225,14 +240,24 @@ def valid_text(text: Column | str) -> Column:
 
 def extract_manuals(pages: DataFrame, doc: str = "doc", page: str = "page", text: str = "text", **skip: bool) -> dict[str, DataFrame]:
     """pages -> {pages, running, sections, documents}: filter, strip running lines, filter again, stitch."""
+    clean, running = clean_pages(pages, doc, text, **skip)
+    return stitched(pages, clean, doc, page, text) | {"running": running}
+
+
+def clean_pages(pages: DataFrame, doc: str = "doc", text: str = "text", **skip: bool) -> tuple[DataFrame, DataFrame]:
+    """The pages that are kept, without running lines; and these lines."""
     kept = pages.where(keep_page(text, **skip))
     running = running_lines(kept, doc, text)
-    clean = strip_running(kept, running, doc, text).where(is_substantive(text))
+    return strip_running(kept, running, doc, text).where(is_substantive(text)), running
+
+
+def stitched(pages: DataFrame, clean: DataFrame, doc: str = "doc", page: str = "page", text: str = "text") -> dict[str, DataFrame]:
+    """{pages, sections, documents} from all pages and the clean ones."""
     parts = sections(clean, doc, page, text)
     rows = F.array_sort(F.collect_list(F.struct(F.col(page).alias("page"), strip(text).alias("t"))))
     full = clean.groupBy(doc).agg(rows.alias("r"), F.count("*").alias("num_pages_kept")).withColumn("full_text", F.array_join(F.transform(F.filter("r", lambda x: x["t"] != ""), lambda x: x["t"]), "\n\n")).drop("r")
     docs = pages.groupBy(doc).agg(F.count("*").alias("num_pages_total")).join(full, doc, "left").join(parts.groupBy(doc).agg(F.count("*").alias("num_sections")), doc, "left")
-    return {"pages": clean, "running": running, "sections": parts, "documents": docs.fillna({"num_pages_kept": 0, "num_sections": 0, "full_text": ""})}
+    return {"pages": clean, "sections": parts, "documents": docs.fillna({"num_pages_kept": 0, "num_sections": 0, "full_text": ""})}
 
 
 # Ordered rules of the two histograms; a leading ^ means at the start.

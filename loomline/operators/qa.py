@@ -126,8 +126,8 @@ def section_templates(questions: dict = QUESTIONS) -> list[tuple[str, str, str,
 
 
 def general_facts(topic: Column, text: Column) -> Column:
-    low = F.lower(text)
-    return F.array(fact("s_general", {"fn": topic, "raw": text}, {k: has_any(low, v) for k, v in SIGNALS.items()}))
+    made = lambda x: F.array(fact("s_general", {"fn": topic, "raw": x["raw"]}, {k: has_any(x["low"], v) for k, v in SIGNALS.items()}))
+    return let(F.struct(text.alias("raw"), F.lower(text).alias("low")), made)
 
 
 def section_facts(heading: Column, text: Column, label: Column | None = None, domain: Domain = Domain(), p: Column | None = None) -> Column:
@@ -135,14 +135,21 @@ def section_facts(heading: Column, text: Column, label: Column | None = None, do
     p = section_parts(text) if p is None else p
     fn = F.when(strip(heading) != "", strip(heading)).otherwise(F.lit("") if label is None else label)
     joined = lambda k: strip(F.array_join(p[k], "\n\n"))
-    desc, syntax, args, notes, raw = joined("description"), joined("syntax"), joined("arguments"), joined("notes"), strip(text)
-    has_fn = fn != ""
-    first = first_sentence(desc)
-    category = strip(F.try_element_at(F.filter(sentences(desc), lambda s: has_any(F.lower(s), CATEGORY_WORDS)), F.lit(1)))
     examples = F.filter(F.transform(p["examples"], strip), lambda e: e != "")
+    section = F.struct(fn.alias("fn"), joined("description").alias("desc"), joined("syntax").alias("syntax"), joined("arguments").alias("args"), joined("notes").alias("notes"), strip(text).alias("raw"), examples.alias("examples"), captions(text).alias("captions"))
+    category = lambda said: strip(F.try_element_at(F.filter(said, lambda s: has_any(F.lower(s), CATEGORY_WORDS)), F.lit(1)))
+    described = lambda said: F.struct(strip(F.try_element_at(said, F.lit(1))).alias("first"), category(said).alias("category"))
+    return let(section, lambda x: let(let(sentences(x["desc"]), described), lambda d: _section_facts(x, d, domain)))
+
+
+def _section_facts(x: Column, d: Column, domain: Domain) -> Column:
+    fn, desc, syntax, args, notes, raw = (x[k] for k in ("fn", "desc", "syntax", "args", "notes", "raw"))
+    has_fn, first, category = fn != "", d["first"], d["category"]
 
     def example(ex: Column, i: Column) -> Column:
-        parts = example_parts(ex, domain)
+        return let(example_parts(ex, domain), lambda parts: example_fact(ex, i, parts))
+
+    def example_fact(ex: Column, i: Column, parts: Column) -> Column:
         whole = parts["structured"] == ""
         found = domain.named(F.when(whole, ex).otherwise(parts["structured"]))
         name = F.coalesce(found, fn)
@@ -154,12 +161,12 @@ def section_facts(heading: Column, text: Column, label: Column | None = None, do
         only((syntax != "") & has_fn, F.array(fact("s_syntax", {"fn": fn, "syntax": syntax}, {"structured": domain.structured(syntax)}))),
         only((args != "") & has_fn, F.array(fact("s_args", {"fn": fn, "args": args}))),
         only((notes != "") & has_fn, F.array(fact("s_notes", {"fn": fn, "notes": notes, "desc_notes": F.when(desc != "", F.concat_ws("\n\n", desc, notes)).otherwise(notes)}, {"no_use_case": ~F.lower(fn).contains("use case")}))),
-        F.filter(F.transform(examples, example), lambda f: F.length(f["vars"]["ex"]) >= 30),
-        only(has_fn, F.transform(captions(text), lambda c, i: fact("s_caption", {"fn": fn, "caption": c}, None, i))),
+        F.filter(F.transform(x["examples"], example), lambda f: F.length(f["vars"]["ex"]) >= 30),
+        only(has_fn, F.transform(x["captions"], lambda c, i: fact("s_caption", {"fn": fn, "caption": c}, None, i))),
     )
     long = F.length(raw) > 60
     rest = F.when(has_fn & long, general_facts(fn, raw)).when(long, F.array(fact("s_bare", {"raw": raw}))).otherwise(F.array().cast(f"array<{FACT}>"))
-    return F.when(F.size(facts) > 0, facts).otherwise(rest)
+    return let(facts, lambda made: F.when(F.size(made) > 0, made).otherwise(rest))
 
 
 def section_qa(sections: DataFrame, keep: list[str], heading: str = "heading", text: str = "text", label: str = "", domain: Domain = Domain(), questions: dict = QUESTIONS) -> DataFrame:
