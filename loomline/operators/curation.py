@@ -28,10 +28,14 @@ ACTION_WORDS = r"(?iU)\b(use|run|execute|call|select|insert|update|delete|create
 HEDGE_WORDS = r"(?iU)\b(maybe|perhaps|might|could|possibly|generally|typically|usually|sometimes|often)\b"
 
 
+def pair_fingerprint(question: str, answer: str) -> Column:
+    return fingerprint(F.concat_ws("\n", F.coalesce(question, F.lit("")), F.coalesce(answer, F.lit(""))))
+
+
 def dedup_first(df: DataFrame, question: str = "question", answer: str = "answer", within: Sequence[str] = ("origin",), order: Sequence[str] = ("seq",)) -> DataFrame:
     """The first row of each fingerprint of question and answer, within each origin."""
     w = Window.partitionBy(*within, "_fp").orderBy(*order)
-    return df.withColumn("_fp", fingerprint(F.concat_ws("\n", F.coalesce(question, F.lit("")), F.coalesce(answer, F.lit(""))))).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_fp", "_n")
+    return df.withColumn("_fp", pair_fingerprint(question, answer)).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_fp", "_n")
 
 
 def shuffle_key(seed: int, *columns: str) -> Column:

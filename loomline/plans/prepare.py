@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.config import DATA_PREP, Domain
+from loomline.functions.scratch import written
 from loomline.operators.chunking import chunks, exploded, structured_chunks
-from loomline.operators.curation import dedup_first, split_train_val
+from loomline.operators.curation import dedup_first, pair_fingerprint, split_train_val
 from loomline.operators.memory import usable
-from loomline.operators.pages import extract_manuals, is_boilerplate, is_index, is_substantive, is_toc, manual_label, question_type, section_parts
+from loomline.operators.pages import clean_pages, extract_manuals, is_boilerplate, is_index, is_substantive, is_toc, manual_label, question_type, section_parts, stitched
 from loomline.operators.patterns import pattern_conversations, pattern_qa, vocabulary_qa
 from loomline.operators.qa import chunk_pairs, section_conversation, section_qa
 from loomline.sources.sinks import sharegpt, write_training
@@ -90,29 +91,34 @@ def write(prepared: dict[str, DataFrame], path: str, formats: tuple[str, ...] =
 
 def report(pages: DataFrame, domain: Domain = Domain(), size: int = DATA_PREP["chunk_size"], overlap: int = DATA_PREP["chunk_overlap"], **skip: bool) -> DataFrame:
     """(stage, name, n, min_chars, avg_chars, max_chars): what extraction keeps at each stage, pages by class, questions by
-    kind before and after deduplication, and chunks with and without regard to structure, all and structured ones."""
-    got = extract_manuals(pages, **skip)
-    typed = section_qa(got["sections"], ["doc", "section"], domain=domain)
-    seq = F.struct("section", "block_no", "item", "pos")
-    kept = dedup_first(typed.withColumn("seq", seq), within=["doc"])
-    full = got["documents"].select("doc", "full_text")
-    plain, aware = (exploded(full, f).select("chunk") for f in (chunks("full_text", size, overlap), structured_chunks("full_text", size, overlap, domain)))
-    talks = got["sections"].select(section_conversation(F.col("heading"), section_parts("text")).alias("c")).where("c is not null")
-
-    def row(stage: str, name: str | Column, df: DataFrame, text: str | None = None) -> DataFrame:
-        n = F.length(F.coalesce(text, F.lit(""))) if text else F.lit(None).cast("int")
-        name = F.lit(name) if isinstance(name, str) else name
-        return df.groupBy(F.lit(stage).alias("stage"), name.alias("name")).agg(F.count("*").alias("n"), F.min(n).alias("min_chars"), F.avg(n).alias("avg_chars"), F.max(n).alias("max_chars"))
-
-    classes = F.explode(F.array_compact(F.array(*(F.when(test("text"), F.lit(name)) for name, test in (("toc", is_toc), ("boilerplate", is_boilerplate), ("index", is_index))), F.when(~is_substantive("text"), F.lit("not substantive")))))
+    kind before and after deduplication, and chunks with and without regard to structure, all and structured ones.
+
+    Each table is made once and gives all rows that are counted of it."""
+    tests = (("toc", is_toc), ("boilerplate", is_boilerplate), ("index", is_index))
+    line = lambda stage, name, text=None: F.struct(F.lit(stage).alias("stage"), (F.lit(name) if isinstance(name, str) else name).alias("name"), (F.lit(None).cast("int") if text is None else F.length(text)).alias("chars"))
+    counted = lambda df, lines: df.select(F.explode(F.filter(lines, lambda x: x.isNotNull())).alias("l")).select("l.*")
+
+    raw = F.array(line("pages", "all", F.coalesce("text", F.lit(""))), *(F.when(test("text"), line("pages", name)) for name, test in tests), F.when(~is_substantive("text"), line("pages", "not substantive")))
+    clean, running = clean_pages(pages, **skip)
+    clean = written(clean.select("doc", "page", "text"), "clean")  # three steps read it
+    got = stitched(pages.select("doc"), clean)
+    talk = section_conversation(F.col("heading"), section_parts("text"))
     rows = [
-        row("pages", "all", pages, "text"), row("pages", F.col("class"), pages.select(classes.alias("class"))), row("pages", "kept", got["pages"], "text"), row("running lines", F.col("side"), got["running"]),
-        row("sections", "all", got["sections"], "text"), row("documents", "all", full, "full_text"), row("questions", "all", typed, "answer"), row("questions", "different", kept, "answer"),
-        row("question kinds", question_type("question"), kept), row("conversations", "all", talks),
+        counted(pages, raw), counted(clean, F.array(line("pages", "kept", F.col("text")))), counted(running, F.array(line("running lines", F.col("side")))),
+        counted(got["sections"], F.array(line("sections", "all", F.col("text")), F.when(talk.isNotNull(), line("conversations", "all")))),
     ]
-    for name, c in (("plain", plain), ("aware", aware)):
-        rows += [row("chunks", name, c, "chunk"), row("chunks", f"{name}, structured", c.where(domain.structured(F.col("chunk"))), "chunk")]
+
+    # what is told of a question is found before its row is dealt by fingerprint, so no text is dealt
+    typed = section_qa(got["sections"], ["doc", "section"], domain=domain)
+    small = typed.select("doc", F.struct("section", "block_no", "item", "pos").alias("seq"), pair_fingerprint("question", "answer").alias("fp"), F.length("answer").alias("chars"), question_type("question").alias("kind"))
+    first = small.withColumn("first", F.row_number().over(Window.partitionBy("doc", "fp").orderBy("seq")) == 1)
+    said = lambda name: F.struct(F.lit("questions").alias("stage"), F.lit(name).alias("name"), F.col("chars"))
+    rows.append(counted(first, F.array(said("all"), F.when(F.col("first"), said("different")), F.when(F.col("first"), line("question kinds", F.col("kind"))))))
+
+    made = got["documents"].select("full_text", chunks("full_text", size, overlap).alias("plain"), structured_chunks("full_text", size, overlap, domain).alias("aware"))
+    told = lambda name: F.flatten(F.transform(name, lambda c: F.array(line("chunks", name, c), F.when(domain.structured(c), line("chunks", f"{name}, structured", c)))))
+    rows.append(counted(made, F.concat(F.array(line("documents", "all", F.col("full_text"))), told("plain"), told("aware"))))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    return out
+    return out.groupBy("stage", "name").agg(F.count("*").alias("n"), F.min("chars").alias("min_chars"), F.avg("chars").alias("avg_chars"), F.max("chars").alias("max_chars"))

@@ -3,8 +3,16 @@
 from pyspark.sql import functions as F
 
 from loomline.operators import qa
+from loomline.plans import prepare
 
 
 def test_a_section_is_parsed_once_for_its_facts(spark):
     made = str(qa.section_facts(F.col("heading_"), F.col("text_"), F.lit("manual"), p=F.col("parsed_")))
     assert made.count("parsed_") <= 8 and made.count("text_") <= 4
+
+
+def test_a_report_makes_each_question_and_chunk_once(spark):
+    body = "\n".join(f"A line of some words that say number {i} of this page." for i in range(12))
+    pages = spark.createDataFrame([("a", i, f"Heading Words\n{body} {i}") for i in range(5)], "doc string, page int, text string")
+    plan = prepare.report(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") <= 2 and plan.count("Window [row_number()") <= 1
