@@ -6,13 +6,14 @@ again from its checkpoint goes on where it was.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -51,6 +52,11 @@ def running_metrics(stream: DataFrame, store: KeyedStore, name: str, checkpoint:
     return keyed_upserts(learning.metrics(stream, pattern), store, name, checkpoint, trigger=trigger)
 
 
+def row_of(key: str, columns: str) -> Row:
+    """Makes rows of the key and these columns. Processors work on rows: a data frame a key costs more than its few rows."""
+    return Row(key, *(c.split()[0] for c in columns.split(", ")))
+
+
 # ---- the breaker
 
 BREAKER = "state string, fails int, oks int, opened double, opens int"
@@ -61,7 +67,7 @@ class BreakerTimers(StatefulProcessor):
     """The breaker of one key: events move it, and so does the end of its cool-down, without an event."""
 
     def __init__(self, key: str, cfg: learning.Breaker):
-        self.key, self.cfg = key, cfg
+        self.cfg, self.row = cfg, row_of(key, BREAKER_ROW)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle, self.now = handle, handle.getValueState("breaker", BREAKER)
@@ -70,13 +76,14 @@ class BreakerTimers(StatefulProcessor):
         """When an open breaker's cool-down ends, in milliseconds."""
         return math.ceil((s[3] + self.cfg.cooldown) * 1000) if s[0] == "OPEN" else None
 
-    def _row(self, key: tuple, s: tuple, by: str, at: float) -> pd.DataFrame:
-        return pd.DataFrame([(key[0], s[0], s[1], s[2], s[4], by, at)], columns=[self.key, *(c.split()[0] for c in BREAKER_ROW.split(", "))])
+    def _row(self, key: tuple, s: tuple, by: str, at: float) -> Row:
+        return self.row(key[0], s[0], s[1], s[2], s[4], by, at)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        was = tuple(self.now.get()) if self.now.exists() else ("CLOSED", 0, 0, 0.0, 0)
-        events, s = pd.concat(list(rows)).sort_values(["at", "seq"]), was
-        for ok, at in zip(events["success"].tolist(), events["at"].tolist()):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        was = self.now.get()
+        was = tuple(was) if was is not None else ("CLOSED", 0, 0, 0.0, 0)
+        events, s = sorted(((r["at"], r["seq"], r["success"]) for r in rows), key=lambda r: r[:2]), was
+        for at, _, ok in events:
             s = next_state(s, bool(ok), float(at), self.cfg)
         self.now.update(s)
         if self._due(was) != self._due(s):
@@ -84,9 +91,9 @@ class BreakerTimers(StatefulProcessor):
                 self.handle.deleteTimer(self._due(was))
             if self._due(s) is not None:
                 self.handle.registerTimer(self._due(s))
-        yield self._row(key, s, "event", float(events["at"].iloc[-1]))
+        yield self._row(key, s, "event", float(events[-1][0]))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         s, at = tuple(self.now.get()), expiredTimerInfo.getExpiryTimeInMs()
         if self._due(s) is not None and self._due(s) <= at:
             s = ("HALF_OPEN", s[1], 0, s[3], s[4])
@@ -101,7 +108,7 @@ def breaker_timers(stream: DataFrame, key: str = "pattern", delay: str = "0 seco
     """(key, state, counts, moved_by, moved_at) of keys that moved, from events (key, at in seconds, seq, success). Event time is `at`; events later than `delay` are left out."""
     kind = stream.schema[key].dataType.simpleString()
     timed = stream.select(key, "at", "seq", "success", F.timestamp_millis(F.floor(F.col("at") * 1000)).alias("_time")).withWatermark("_time", delay)
-    return timed.groupBy(key).transformWithStateInPandas(BreakerTimers(key, cfg), f"{key} {kind}, {BREAKER_ROW}", "Update", "EventTime")
+    return timed.groupBy(key).transformWithState(BreakerTimers(key, cfg), f"{key} {kind}, {BREAKER_ROW}", "Update", "EventTime")
 
 
 # ---- a session's memory
@@ -196,23 +203,15 @@ LOG_ROW = f"seq long, idle boolean, {LOG_STATE}"
 
 
 class FollowedLog(StatefulProcessor):
-    """A run's fields as its log has them so far: one row a line, and an idle row after each `idle_ms` of silence."""
+    """A run's fields as its log has them so far: one row a line, and an idle row after each `idle_ms` of silence. Input rows are (run, seq, said): a line's few fields as JSON, for each column of a row costs."""
 
     def __init__(self, run: str, idle_ms: int | None):
-        self.run, self.idle = run, idle_ms
+        self.idle, self.row = idle_ms, row_of(run, LOG_ROW)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.now, self.timer = handle.getValueState("log", f"seq long, {LOG_STATE}"), handle.getValueState("timer", "at long")
 
-    def _frame(self, key: tuple, rows: list[tuple]) -> pd.DataFrame:
-        made = pd.DataFrame(rows, columns=["seq", "idle", *LOG_FIELDS])
-        made.insert(0, self.run, key[0])
-        for name, kind in LOG_FIELDS.items():
-            if kind == "long":
-                made[name] = made[name].astype("Int64")
-        return made
-
     def _wait(self, timerValues) -> None:
         if self.idle is None:
             return
@@ -222,29 +221,25 @@ class FollowedLog(StatefulProcessor):
         self.handle.registerTimer(at)
         self.timer.update((at,))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last, *fields = self.now.get() if self.now.exists() else (-1, *(None for _ in LOG_FIELDS))
-        now, out = dict(zip(LOG_FIELDS, fields)), []
-        lines = pd.concat(list(rows)).sort_values("seq")
-        said = {n: lines[n].tolist() for n in LOG_FIELDS}
-        for k, seq in enumerate(lines["seq"].tolist()):
-            for n in LOG_FIELDS:
-                v = said[n][k]
-                if v is not None and v == v and not (n in LOG_FIRST and now[n] is not None):
-                    now[n] = int(v) if LOG_FIELDS[n] == "long" else v
-            last = int(seq)
-            out.append((last, False, *now.values()))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        was = self.now.get()
+        last, *fields = was if was is not None else (-1, *(None for _ in LOG_FIELDS))
+        now = dict(zip(LOG_FIELDS, fields))
+        for last, said in sorted((r["seq"], r["said"]) for r in rows):
+            for n, v in json.loads(said).items():
+                if not (n in LOG_FIRST and now[n] is not None):
+                    now[n] = float(v) if LOG_FIELDS[n] == "double" else v
+            yield self.row(key[0], last, False, *now.values())
         self.now.update((last, *now.values()))
         self._wait(timerValues)
-        yield self._frame(key, out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.timer.exists() or self.timer.get()[0] > expiredTimerInfo.getExpiryTimeInMs():
             return
         self.timer.clear()
         self._wait(timerValues)
         last, *fields = self.now.get()
-        yield self._frame(key, [(last, True, *fields)])
+        yield self.row(key[0], last, True, *fields)
 
     def close(self) -> None:
         pass
@@ -253,8 +248,9 @@ class FollowedLog(StatefulProcessor):
 def followed_log(stream: DataFrame, run: str = "run", seq: str = "seq", line: str = "value", idle_ms: int | None = None) -> DataFrame:
     """(run, seq, idle, fields) for each line of a stream (run, seq, line), as readers.log_fields() has them in a batch. With idle_ms, silent runs give idle rows; the query then has to run on a processingTime trigger."""
     kind = stream.schema[run].dataType.simpleString()
-    rows = line_fields(stream.select(run, F.col(seq).cast("long").alias("seq"), F.col(line).alias("_line")), "_line").drop("_line")
-    return rows.groupBy(run).transformWithStateInPandas(FollowedLog(run, idle_ms), f"{run} {kind}, {LOG_ROW}", "Update", "ProcessingTime" if idle_ms else "None")
+    rows = line_fields(stream.select(run, F.col(seq).cast("long").alias("seq"), F.col(line).alias("_line")), "_line")
+    rows = rows.select(run, "seq", F.to_json(F.struct(*LOG_FIELDS), {"ignoreNullFields": "true"}).alias("said"))
+    return rows.groupBy(run).transformWithState(FollowedLog(run, idle_ms), f"{run} {kind}, {LOG_ROW}", "Update", "ProcessingTime" if idle_ms else "None")
 
 
 # ---- the improvement cycle

@@ -16,3 +16,37 @@ def test_a_report_makes_each_question_and_chunk_once(spark):
     pages = spark.createDataFrame([("a", i, f"Heading Words\n{body} {i}") for i in range(5)], "doc string, page int, text string")
     plan = prepare.report(pages)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") <= 2 and plan.count("Window [row_number()") <= 1
+
+
+def test_processors_take_and_give_rows():
+    """A data frame a key costs more than the rows of most keys."""
+    from pyspark.sql import Row
+
+    from loomline.operators import learning
+    from loomline.streaming import stateful
+
+    class Kept:
+        def __init__(self):
+            self.v = None
+
+        def getValueState(self, *_):
+            return self
+
+        def get(self):
+            return self.v
+
+        def update(self, v):
+            self.v = v
+
+        exists = lambda self: self.v is not None
+
+    log = stateful.FollowedLog("run", None)
+    log.handle = log.now = log.timer = Kept()
+    lines = [Row(run=1, seq=3, said='{"epoch":2,"initial_loss":0.5,"loss":0.5}'), Row(run=1, seq=2, said='{"phase":"dataset","initial_loss":1.0}')]
+    got = list(log.handleInputRows((1,), iter(lines), None))
+    assert [(r.run, r.seq, r.idle, r.phase, r.epoch, r.initial_loss, r.loss) for r in got] == [(1, 2, False, "dataset", None, 1.0, None), (1, 3, False, "dataset", 2, 1.0, 0.5)]
+
+    breaker = stateful.BreakerTimers("pattern", learning.Breaker(failures=9))
+    breaker.handle = breaker.now = Kept()
+    (row,) = breaker.handleInputRows((7,), iter([Row(pattern=7, at=5.0, seq=2, success=False), Row(pattern=7, at=4.0, seq=1, success=True)]), None)
+    assert (row.pattern, row.state, row.consec_failures, row.moved_by, row.moved_at) == (7, "CLOSED", 1, "event", 5.0)
