@@ -306,6 +306,8 @@ def log_metrics(lines: DataFrame, line: str = "value") -> DataFrame:
 # What other lines of a training log look like.
 EPOCH, PROGRESS = r"--- Epoch (\d+)/(\d+) ---", r"step (\d+)/(\d+) (\d+)%"
 WEIGHTS, TRAINABLE = r"Loading weights:\s+(\d+)%", r"trainable params:\s*([\d,]+).*?all params:\s*([\d,]+).*?(\d+\.\d+)%"
+#: Plain text that a line with such a match holds; it is looked for first.
+SURELY = {p: p.partition(" (")[0] if p.startswith("Starting") else p for _, p in PHASES} | {EPOCH: "--- Epoch ", PROGRESS: "step ", WEIGHTS: "Loading weights:", TRAINABLE: "trainable params:", LOSS: "loss", METRIC: "eval_loss"}
 #: What a run's log says of it, by name; those in LOG_FIRST keep their first value, the others their last.
 LOG_FIELDS = {
     "phase": "string", "epoch": "long", "epochs": "long", "step": "long", "total_steps": "long", "percent": "double", "n_examples": "long", "weights_percent": "long", "trainable_params": "long", "all_params": "long", "trainable_percent": "double",
@@ -317,12 +319,13 @@ LOG_FIRST = ("initial_loss", "failed")
 def line_fields(lines: DataFrame, line: str = "value") -> DataFrame:
     """lines with those LOG_FIELDS that each of them says. Works on streams."""
     c = F.col(line)
-    pick = lambda p, i, t: F.regexp_replace(F.regexp_extract(c, p, i), ",", "").try_cast(t)
+    holds = lambda p: F.lower(c).contains("step") if p == STEP else c.contains(SURELY[p])
+    pick = lambda p, i, t: F.when(holds(p), F.replace(F.regexp_extract(c, p, i), F.lit(","), F.lit("")).try_cast(t))
     opened = F.lit(None).cast("string")
     for name, pattern in reversed(PHASES):
-        opened = F.when(c.rlike(pattern), name).otherwise(opened)
+        opened = F.when(c.contains(SURELY[pattern]) & c.rlike(pattern), name).otherwise(opened)
     text = strip(c)
-    failed = F.when(c.contains("Traceback (most recent call last)"), "error").when(text.startswith("Error") & F.substring(text, 1, 40).contains(":"), text)
+    failed = F.when(c.contains("Traceback (most recent call last)"), "error").when(c.contains("Error") & text.startswith("Error") & F.substring(text, 1, 40).contains(":"), text)
     said = {
         "phase": opened, "epoch": pick(EPOCH, 1, "long"), "epochs": pick(EPOCH, 2, "long"), "step": F.coalesce(pick(PROGRESS, 1, "long"), pick(STEP, 1, "long")), "total_steps": pick(PROGRESS, 2, "long"), "percent": pick(PROGRESS, 3, "double"),
         "n_examples": pick(PHASES[3][1], 1, "long"), "weights_percent": pick(WEIGHTS, 1, "long"), "trainable_params": pick(TRAINABLE, 1, "long"), "all_params": pick(TRAINABLE, 2, "long"), "trainable_percent": pick(TRAINABLE, 3, "double"),
