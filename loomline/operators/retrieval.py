@@ -51,8 +51,16 @@ def keyword_search(questions: DataFrame, library: DataFrame, question: str = "qu
     runs, heads = _runs(library), _heads(library)
     asked = _asked(questions, question, by)
     wanted = asked.select("term").distinct()
-    held = [holding(x.select("string").distinct(), wanted) for x in (runs, heads)]
-    return _keyword_ranked(asked, runs.join(held[0], "string"), heads.join(held[1], "string"), by, k, min_score)
+    held = [written(holding(x.select("string").distinct(), wanted), "held") for x in (runs, heads)]  # tables of their own: Spark sends them to all tasks where it finds them small
+    return _keyword_ranked(asked, runs.join(held[0], "string"), heads.join(held[1], "string"), by, k, min_score, _parts(library.agg(F.sum(F.length("body"))).first()[0], PART_CHARS))
+
+
+PART_CHARS, PART_RUNS = 4 << 20, 400_000  # of a task
+
+
+def _parts(size: int | None, each: int) -> int:
+    """So many tasks that each has a bounded share, whatever the library's size."""
+    return max(1, -(-(size or 0) // each))
 
 
 def _asked(questions: DataFrame, question: str, by: str) -> DataFrame:
@@ -68,10 +76,14 @@ def _heads(library: DataFrame) -> DataFrame:
     return library.select("seq", F.explode(F.array(*(F.lower(F.coalesce(c, F.lit(""))) for c in ("name", "title")))).alias("string"))
 
 
-def _keyword_ranked(asked: DataFrame, inside: DataFrame, headed: DataFrame, by: str, k: int, min_score: int) -> DataFrame:
-    """(by, seq, score, rank) from the rows (seq, string, term) that hold terms in their bodies' runs and in their names or titles."""
+def _keyword_ranked(asked: DataFrame, inside: DataFrame, headed: DataFrame, by: str, k: int, min_score: int, parts: int) -> DataFrame:
+    """(by, seq, score, rank) from the rows (seq, string, term) that hold terms in their bodies' runs and in their names or titles.
+
+    Rows are dealt once, by seq; a library row's terms, and its scores for all questions, meet in its task. Of these only
+    each task's k best a question go on.
+    """
     points = F.when(F.col("term") == F.col("string"), 10).otherwise(5)
-    found = inside.select("seq", "term", F.lit(1).alias("points")).unionByName(headed.select("seq", "term", points.alias("points"))).groupBy("seq", "term").agg(F.max("points").alias("points"))
+    found = inside.select("seq", "term", F.lit(1).alias("points")).unionByName(headed.select("seq", "term", points.alias("points"))).repartition(parts, "seq").groupBy("seq", "term").agg(F.max("points").alias("points"))
     scored = found.join(asked, "term").groupBy(by, "seq").agg(F.sum(F.col("points") * F.col("times")).cast("int").alias("score"))
     best = scored.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("score"), "seq"))).where(F.col("rank") <= k)
     return best.where(F.col("score") >= min_score)
@@ -139,7 +151,7 @@ class KeywordIndex:
         """As keyword_search() over the library of the index."""
         asked = _asked(questions, question, by)
         held = written(posted(self._table("grams"), asked.select("term").distinct(), self._table("counts")), "held")
-        return _keyword_ranked(asked, self._table("runs").join(held, "string"), self._table("heads").join(held, "string"), by, k, min_score)
+        return _keyword_ranked(asked, self._table("runs").join(held, "string"), self._table("heads").join(held, "string"), by, k, min_score, _parts(self._table("runs").count(), PART_RUNS))
 
 
 def term_counts(docs: DataFrame, doc: str, text: str) -> DataFrame:

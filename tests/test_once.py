@@ -50,3 +50,14 @@ def test_processors_take_and_give_rows():
     breaker.handle = breaker.now = Kept()
     (row,) = breaker.handleInputRows((7,), iter([Row(pattern=7, at=5.0, seq=2, success=False), Row(pattern=7, at=4.0, seq=1, success=True)]), None)
     assert (row.pattern, row.state, row.consec_failures, row.moved_by, row.moved_at) == (7, "CLOSED", 1, "event", 5.0)
+
+
+def test_keyword_rows_are_dealt_by_library_row_over_bounded_tasks(spark, monkeypatch):
+    from loomline.operators import retrieval
+
+    monkeypatch.setattr(retrieval, "PART_CHARS", 50, raising=False)
+    library = spark.createDataFrame([(i, "n", "t", f"reindex table_scan {i}") for i in range(20)], "seq long, name string, title string, body string")
+    asked = spark.createDataFrame([(0, "reindex table_scan reindex")], "query_id int, question string")
+    found = retrieval.keyword_search(asked, library)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.orderBy("rank").collect()] == [(0, 0, 3, 1), (0, 1, 3, 2)]
