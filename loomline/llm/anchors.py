@@ -43,12 +43,15 @@ def runs(grams: np.ndarray, per: np.ndarray, window: int, gram: int) -> tuple[np
     np.add.at(step, per[fits], 1)
     np.add.at(step, per[fits] + length[fits] - window + 1, -1)
     valid = np.cumsum(step[:-1], dtype=np.int8)[: len(anchor)] > 0
-    at = np.flatnonzero(valid)
-    if not len(at):
+    if not valid.any():
         z = np.zeros(0, np.int64)
         return z, z, z, z
-    pos = anchor[at]
-    head = np.flatnonzero(np.append(True, (pos[1:] != pos[:-1]) | (at[1:] != at[:-1] + 1)))
-    n = np.diff(np.append(head, len(at)))
-    start = at[head]
-    return np.searchsorted(per, start, "right") - 1, start, n, pos[head]
+    edge = ~valid
+    edge[0] = True
+    edge[1:] |= anchor[1:] != anchor[:-1]
+    edge[1:] |= ~valid[:-1]
+    at = np.flatnonzero(edge)
+    n = np.diff(np.append(at, len(anchor)))
+    runs_at = valid[at]
+    start = at[runs_at]
+    return np.searchsorted(per, start, "right") - 1, start, n[runs_at], anchor[start]

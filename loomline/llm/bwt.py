@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 
-PACKED = 7
+PACKED, FEW, SHARD_BYTES = 7, 3, 1 << 16
 
 
 class Shard:
@@ -61,33 +61,54 @@ class Shard:
 def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(shard, row in it, common prefix with the suffix before, `depth` for that or more) of all suffixes in merged order."""
     strings = np.array([s.strings for s in shards])
-    ends = np.repeat(np.arange(len(shards), dtype=np.uint16), strings)  # the terminators' rows come first, shard by shard
-    transforms = np.concatenate([s.transform for s in shards])
-    interleave = np.repeat(np.arange(len(shards), dtype=np.uint16), [s.n for s in shards])
-    total, first = len(transforms), len(ends)
+    kind = np.uint8 if len(shards) <= 256 else np.uint16
+    ends = np.repeat(np.arange(len(shards), dtype=kind), strings)  # the terminators' rows come first, shard by shard
+    interleave = np.repeat(np.arange(len(shards), dtype=kind), [s.n for s in shards])
+    # bytes by their place among those in use, in one byte where they fit: that is dealt in one pass
+    counts = np.bincount(np.concatenate([s.transform for s in shards]), minlength=257)
+    counts[0] = 0  # string starts
+    used = np.flatnonzero(counts)
+    place = np.zeros(257, np.uint8 if len(used) < 256 else np.uint16)
+    place[used] = np.arange(1, len(used) + 1)
+    transforms = [place[s.transform] for s in shards]
+    total, first = len(interleave), len(ends)
+    heads = np.concatenate([np.arange(first), first + np.cumsum(counts[used]) - counts[used]])  # where the bytes' rows begin is the same in all rounds
     interval = np.zeros(total, np.int32)
-    common = np.full(total, depth, np.int32)
-    before = np.empty(total, np.uint16)
-    for h in range(depth):
+    common = np.zeros(total, np.min_scalar_type(depth))  # rounds that don't yet tell a row from the one before it
+    before = np.empty(total, place.dtype)
+    new = np.ones(total, bool)
+    for _ in range(depth):
         # a shard's rows lie in the interleave in the shard's own order: its transform fills them one after the other
-        before[np.argsort(interleave, kind="stable")] = transforms
+        if len(shards) <= FEW:
+            for k, x in enumerate(transforms):
+                before[interleave == k] = x
+        else:
+            before[np.argsort(interleave, kind="stable")] = np.concatenate(transforms)
         dealt = np.argsort(before, kind="stable")[first:]  # a step back: by the byte before, then as they stood; string starts lead nowhere
-        bytes_, was = before[dealt], interval[dealt]
-        new = np.ones(total, bool)
-        new[first + 1 :] = (bytes_[1:] != bytes_[:-1]) | (was[1:] != was[:-1])
-        common[new & (common == depth)] = h
+        was = interval[dealt]
+        np.not_equal(was[1:], was[:-1], out=new[first + 1 :])
+        new[heads] = True
+        common += ~new
         interleave = np.concatenate([ends, interleave[dealt]])
-        interval = np.cumsum(new, dtype=np.int32)
+        np.cumsum(new, dtype=np.int32, out=interval)
     order = np.argsort(interleave, kind="stable")
     row = np.empty(total, np.int64)
     row[order] = np.concatenate([np.arange(s.n) for s in shards])
     return interleave, row, common
 
 
-def repeated_windows(strings: list[bytes], low: np.ndarray, width: int, shard_bytes: int = 1 << 18) -> list[list[int]]:
+def repeated_windows(strings: list[bytes], low: np.ndarray, width: int, shard_bytes: int = SHARD_BYTES) -> list[list[int]]:
     """For each string, the starts of its `width`-byte windows that also start in a string of a lower `low`."""
+    string, start = repeats(strings, low, width, shard_bytes)
+    cut = np.searchsorted(string, np.arange(len(strings) + 1))
+    starts = start.tolist()
+    return [starts[a:b] for a, b in zip(cut, cut[1:])]
+
+
+def repeats(strings: list[bytes], low: np.ndarray, width: int, shard_bytes: int = SHARD_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """(string, start) of these windows, in order."""
     if not strings:
-        return []
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     edges, size = [0], 0
     for i, s in enumerate(strings):
         if size and size + len(s) > shard_bytes:
@@ -111,6 +132,4 @@ def repeated_windows(strings: list[bytes], low: np.ndarray, width: int, shard_by
     least = np.repeat(np.minimum.reduceat(own, heads), np.diff(np.append(heads, len(own))))
     hit = np.flatnonzero((least < own) & (left >= width))
     hit = hit[np.lexsort((start[hit], string[hit]))]
-    cut = np.searchsorted(string[hit], np.arange(len(strings) + 1))
-    starts = start[hit].tolist()
-    return [starts[a:b] for a, b in zip(cut, cut[1:])]
+    return string[hit], start[hit]

@@ -7,7 +7,7 @@
    repeat and leave the job here.
 3. Runs of windows with a marked anchor are compared by anchor. Runs that are equal throughout need only the least
    doc_id. Runs that share an anchor but differ (a passage's ends) are decided by their suffixes: one run of each
-   kind goes to a shard, shards' Burrows-Wheeler transforms are merged by interleave refinement to depth 50, and
+   kind, cut to the bytes around which it may share a window (`narrowed`), goes to a shard, shards' Burrows-Wheeler transforms are merged by interleave refinement to depth 50, and
    the intervals of suffixes with a common prefix of 50 give each window's least doc_id (bwt.py), byte for byte.
 4. The removed ranges meet their batches' texts.
 
@@ -35,16 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.anchors import runs
-from loomline.llm.bwt import repeated_windows
+from loomline.llm.bwt import repeats
 from loomline.llm.minhash_dedup import by_group
-from loomline.llm.textops import U64, Rolling, drop_path, fresh_path, mix, pieces, short_batches, signed, stored, utf8
+from loomline.llm.textops import U64, drop_path, fresh_path, mix, pieces, short_batches, signed, stored, utf8
 from loomline.sources.readers import read_table
 
-WINDOW, GRAM, BATCH_BYTES, PART_BYTES, BUCKET_RUNS = 50, 24, 2 << 20, 32 << 20, 8000
-HOT_KINDS, PLACES = 2000, 3  # a finer anchor is that of PLACES consecutive windows
-SIDE = (WINDOW - GRAM) // 2
-_BITS = U64(24)  # a value's upper 40 bits are dealt
-_RUN = Rolling(31)
+WINDOW, GRAM, BATCH_BYTES, PART_BYTES, BUCKET_RUNS = 50, 24, 2 << 20, 32 << 20, 4000
+HOT_KINDS, PLACES, MOST_TASKS = 2000, 3, 4000  # a finer anchor is that of PLACES consecutive windows
+_BITS = U64(40)  # a value has the lower 40 bits of a hash: the upper ones of least hashes lie close together
+_VALUE = U64((1 << 40) - 1)
 LAST = (1 << 63) - 1
 RUN, RUN_SCHEMA = ["doc", "row", "fp", "words", "start", "n", "at"], "doc long, row long, fp long, words long, start int, n int, at int"
 
@@ -64,16 +63,28 @@ def hashed(words: np.ndarray, *at: np.ndarray) -> np.ndarray:
 
 
 def grams_of(buf: np.ndarray) -> np.ndarray:
-    """A hash of the GRAM bytes from each position, eight at a time."""
+    """A hash of the GRAM bytes from each position: the mixed eights in it, each times an odd number of its own."""
     n = len(buf) - GRAM + 1
     if n <= 0:
         return np.zeros(0, U64)
-    words = eights(buf)
-    out = words[:n] * U64(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
-        for at in range(8, GRAM, 8):
-            out = mix(out) + words[at : at + n] * U64(0xD6E8FEB86659FD93)
-        return mix(out)
+        mixed = eights(buf) * U64(0x9E3779B97F4A7C15)
+        half = np.empty_like(mixed)
+        for right, odd in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, None)):  # mix(), in place
+            np.right_shift(mixed, U64(right), out=half)
+            np.bitwise_xor(mixed, half, out=mixed)
+            if odd:
+                np.multiply(mixed, U64(odd), out=mixed)
+        out, more = mixed[:n].copy(), half[:n]
+        for at, odd in zip(range(8, GRAM, 8), (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)):
+            out += np.multiply(mixed[at : at + n], U64(odd), out=more)
+        return out
+
+
+def words_of(buf: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of all bytes from a to b, at least eight and at most a run's."""
+    longest = int((b - a).max(initial=0))
+    return hashed(eights(buf), *(np.minimum(a + k, b - 8) for k in range(0, longest, 8))) + (b - a).astype(U64) if longest else np.zeros(0, U64)
 
 
 def lay_out(docs: DataFrame, path: str) -> DataFrame:
@@ -98,25 +109,29 @@ def batch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, n
             yield row["batch"].as_py(), row["docs"].as_py(), np.array(row["offsets"].as_py(), np.int64), buf, row
 
 
-def batch_runs(buf: np.ndarray, offsets: np.ndarray, words: bool = False) -> tuple[np.ndarray, ...]:
-    """(document, start, windows, anchor hash, distinct values, each run's place in them, with `words` the hash of its bytes, and the anchor's distance from the start) of a batch, in cache-sized parts."""
+def batch_runs(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(document, start, windows, anchor hash, distinct values in order, each run's place in them, and the anchor's distance from the start) of a batch, in cache-sized parts."""
     out = []
     at = 0
     while at < len(offsets) - 1:
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (1 << 18), "right")) - 1)
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (1 << 17), "right")) - 1)
         part = buf[offsets[at] : offsets[end]]
         grams = grams_of(part)
         doc, start, n, anchor = runs(grams, offsets[at : end + 1] - offsets[at], WINDOW, GRAM)
         if len(doc):
-            whole = _RUN.spans(_RUN.sums(part), start, start + n + WINDOW - 1) if words else anchor.view(U64)
-            out.append((doc + at, start + offsets[at], n, grams[anchor], whole, anchor - start))
+            out.append((doc + at, start + offsets[at], n, grams[anchor], anchor - start))
         at = end
     if not out:
         z = np.zeros(0, np.int64)
-        return z, z, z, z.view(U64), z.view(U64), z, z.view(U64), z
-    doc, start, n, h, whole, off = (np.concatenate(x) for x in zip(*out))
-    values, place = np.unique(h >> _BITS, return_inverse=True)
-    return doc, start, n, h, values, place, whole, off
+        return z, z, z, z.view(U64), z.view(U64), z, z
+    doc, start, n, h, off = (np.concatenate(x) for x in zip(*out))
+    values, place = np.unique(h & _VALUE, return_inverse=True)
+    return doc, start, n, h, values, place, off
+
+
+def dealt(values: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part's values begin, and the last one's end: parts are equal ranges of values."""
+    return np.searchsorted((values * U64(parts)) >> _BITS, np.arange(parts + 1, dtype=U64))
 
 
 def _five(values: np.ndarray) -> bytes:
@@ -144,11 +159,9 @@ def mark(batches: DataFrame, parts: int) -> DataFrame:
     def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, _, offsets, buf, _ in batch_rows(rows):
             values = batch_runs(buf, offsets)[4]
-            part = (values % U64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            edges = np.searchsorted(part[order], np.arange(parts + 1))
+            edges = dealt(values, parts)
             used = np.flatnonzero(np.diff(edges))
-            blobs = [_five(values[order[edges[p] : edges[p + 1]]]) for p in used]
+            blobs = [_five(values[edges[p] : edges[p + 1]]) for p in used]
             yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(np.full(len(used), number)), pa.array(blobs, pa.binary())], ["part", "batch", "sent"])
 
     def meet(table: pa.Table) -> list[tuple]:
@@ -170,18 +183,16 @@ def shared_runs(batches: DataFrame, bits: DataFrame, parts: int) -> DataFrame:
     """(doc, row, fp, words, start, n, at): one row a run with a marked anchor, `at` bytes after its start. row: the batch's number << 16 | the document's place in it."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, docs, offsets, buf, fields in batch_rows(rows):
-            doc, start, n, h, values, place, words, off = batch_runs(buf, offsets, True)
+            doc, start, n, h, values, place, off = batch_runs(buf, offsets)
             marked = _shared_within(doc, place, len(values)) if len(values) else np.zeros(0, bool)
-            part = (values % U64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            edges = np.searchsorted(part[order], np.arange(parts + 1))
+            edges = dealt(values, parts)
             for x in fields["marks"].as_py() or []:
-                mine = order[edges[x["part"]] : edges[x["part"] + 1]]
-                marked[mine] |= np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=len(mine)).astype(bool)
+                mine = marked[edges[x["part"]] : edges[x["part"] + 1]]
+                mine |= np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=len(mine)).astype(bool)
             use = np.flatnonzero(marked[place]) if len(place) else np.zeros(0, np.int64)
             ids = np.array([LAST if d is None else d for d in docs], np.int64)
-            d = doc[use]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array((number << 16) + d), pa.array(signed(h[use])), pa.array(signed(words[use])), pa.array((start[use] - offsets[d]).astype(np.int32)), pa.array(n[use].astype(np.int32)), pa.array(off[use].astype(np.int32))], RUN)
+            d, words = doc[use], words_of(buf, start[use], start[use] + n[use] + WINDOW - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array((number << 16) + d), pa.array(signed(h[use])), pa.array(signed(words)), pa.array((start[use] - offsets[d]).astype(np.int32)), pa.array(n[use].astype(np.int32)), pa.array(off[use].astype(np.int32))], RUN)
 
     marks = bits.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias("marks"))  # at most one a part
     return with_lists(batches, marks).transform(short_batches).mapInArrow(run, RUN_SCHEMA)
@@ -231,53 +242,61 @@ def placed_runs(runs_of: DataFrame, name: str) -> DataFrame:
 
 def kinds_of(mixed: DataFrame, name: str) -> DataFrame:
     """(fp, words, low, row, start, n, at): each kind of run with its least document and one place."""
-    made = mixed.groupBy("fp", "words").agg(F.min(F.struct("doc", "row", "start", "n", "at")).alias("one"))
-    return stored(made.select("fp", "words", F.col("one.doc").alias("low"), "one.row", "one.start", "one.n", "one.at"), fresh_path(mixed.sparkSession, f"suffix-kinds{name}"))
+    # any place serves, as its bytes are those of all; firsts are of one row, and are hashed where a least struct would be sorted
+    made = mixed.groupBy("fp", "words").agg(F.min("doc").alias("low"), *(F.first(c).alias(c) for c in ("row", "start", "n", "at")))
+    return stored(made, fresh_path(mixed.sparkSession, f"suffix-kinds{name}"))
 
 
-def mixed_windows(kinds: DataFrame, batches: DataFrame, buckets: int) -> DataFrame:
-    """(fp, words, a, b): the byte ranges of each kind of run that are covered by windows which also start in a run of the same anchor with a lower doc_id. kinds: (fp, words, low, row, start, n, at).
+def narrowed(runs_of: list[bytes], at: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each run the first and the end of the bytes that may hold a window of another run with the same anchor and another least document; the end is 0 where none may.
 
-    Equal windows hold the same SIDE bytes after the anchor if it lies in their first part, or before it if not. A kind
-    that shares neither with another of its anchor has no such window and needs no suffixes.
+    The anchor lies `at` bytes after a run's start. Windows that have it at PLACES consecutive places hold 48 bytes around
+    it, the same ones if they are equal. Runs that share these with none have no equal window there.
     """
+    size = np.array([len(x) for x in runs_of], np.int64)
+    base, n, words8 = np.cumsum(size) - size, size - WINDOW + 1, eights(np.frombuffer(b"".join(runs_of), np.uint8))
+    found = []
+    for place in range(0, WINDOW - GRAM + 1, PLACES):
+        first, last = np.maximum(0, at - place - PLACES + 1), np.minimum(n - 1, at - place)
+        use = np.flatnonzero(first <= last)
+        core = base[use] + at[use] - place
+        found.append((use, first[use], last[use], hashed(words8, *(core + k for k in range(0, WINDOW - PLACES + 1, 8)))))
+    run, first, last, key = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(key)
+    heads = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))[: len(order)]
+    own = low[run[order]]
+    differ = np.minimum.reduceat(own, heads) < np.maximum.reduceat(own, heads) if len(heads) else np.zeros(0, bool)
+    use = order[np.repeat(differ, np.diff(np.append(heads, len(order))))]
+    a, b = np.full(len(size), np.iinfo(np.int64).max), np.zeros(len(size), np.int64)
+    np.minimum.at(a, run[use], first[use])
+    np.maximum.at(b, run[use], last[use] + WINDOW)
+    return a, b
+
+
+def mixed_windows(kinds: DataFrame, batches: DataFrame, buckets: int) -> DataFrame:
+    """(fp, words, a, b): the byte ranges of each kind of run that are covered by windows which also start in a run of the same anchor with a lower doc_id. kinds: (fp, words, low, row, start, n, at)."""
     def fetch(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, offsets, buf, fields in batch_rows(rows):
             flat = fields["marks"].values
             i, fp, words, low, start, n, at = (flat.field(k) for k in range(7))
-            n, at = np.asarray(n), np.asarray(at)
             a = offsets[np.asarray(i)] + np.asarray(start)
-            b, anchor, words8, text = a + n + WINDOW - 1, a + at, eights(buf), buf.tobytes()
-            side = lambda has, x: pa.array(signed(hashed(words8, np.where(has, x, 0), np.where(has, x + SIDE - 8, 0))), mask=~has)
-            after, before = side(at - n + 1 <= SIDE, anchor + GRAM), side(at >= SIDE, anchor - SIDE)
-            yield pa.RecordBatch.from_arrays([fp, words, low, after, before, pa.array([text[x:y] for x, y in zip(a.tolist(), b.tolist())], pa.binary())], ["fp", "words", "low", "after", "before", "run"])
-
-    def met(fp: np.ndarray, side: pa.ChunkedArray) -> np.ndarray:
-        """Whether another run of the anchor has the same bytes on this side."""
-        has = np.asarray(side.is_valid())
-        out, x = np.zeros(len(fp), bool), np.asarray(side.fill_null(0))
-        order = np.lexsort((x[has], fp[has]))
-        f, x = fp[has][order], x[has][order]
-        same = np.append(False, (f[1:] == f[:-1]) & (x[1:] == x[:-1]))[: len(f)]
-        out[np.flatnonzero(has)[order]] = same | np.append(same[1:], False)[: len(f)]
-        return out
+            b, text = a + np.asarray(n) + WINDOW - 1, buf.tobytes()
+            yield pa.RecordBatch.from_arrays([fp, words, low, at, pa.array([text[x:y] for x, y in zip(a.tolist(), b.tolist())], pa.binary())], ["fp", "words", "low", "at", "run"])
 
     def decide(table: pa.Table) -> list[tuple]:
-        key = np.asarray(table.column("fp"))
-        table = table.filter(pa.array(met(key, table.column("after")) | met(key, table.column("before"))))
-        fp, words = table.column("fp").to_pylist(), table.column("words").to_pylist()
-        found = repeated_windows(table.column("run").to_pylist(), np.asarray(table.column("low")), WINDOW)
-        out = []
-        for f, w, at in zip(fp, words, found):
-            if at:  # ranges of consecutive windows
-                a = np.array(at)
-                heads = np.flatnonzero(np.append(True, a[1:] != a[:-1] + 1))
-                out += [(f, w, int(a[i]), int(a[j - 1]) + WINDOW) for i, j in zip(heads, np.append(heads[1:], len(a)))]
-        return out
-
-    runs_of = with_lists(batches, by_batch(kinds, "fp", "words", "low", "start", "n", "at"), "inner").transform(short_batches).mapInArrow(fetch, "fp long, words long, low long, after long, before long, run binary")
+        low, texts = np.asarray(table.column("low")), table.column("run").to_pylist()
+        first, end = narrowed(texts, np.asarray(table.column("at"), np.int64), low)
+        use = np.flatnonzero(end)
+        string, at = repeats([texts[i][x:y] for i, x, y in zip(use.tolist(), first[use].tolist(), end[use].tolist())], low[use], WINDOW)
+        kind, at = use[string], at + first[use][string]
+        heads = np.flatnonzero(np.append(True, (kind[1:] != kind[:-1]) | (at[1:] != at[:-1] + 1)))[: len(at)]  # ranges of consecutive windows
+        kind, a, b = kind[heads], at[heads], at[np.append(heads[1:], len(at)) - 1][: len(heads)] + WINDOW
+        fp, words = (np.asarray(table.column(c))[kind] for c in ("fp", "words"))
+        return list(zip(*(x.tolist() for x in (fp, words, a, b))))
+
+    runs_of = with_lists(batches, by_batch(kinds, "fp", "words", "low", "start", "n", "at"), "inner").transform(short_batches).mapInArrow(fetch, "fp long, words long, low long, at int, run binary")
     runs_of = runs_of.withColumn("bucket", F.pmod(F.xxhash64("fp"), F.lit(buckets)).cast("int"))
-    return by_group(runs_of, ["bucket"], decide, "fp long, words long, a long, b long", [pa.int64()] * 4)
+    return by_group(runs_of, ["bucket"], decide, "fp long, words long, a long, b long", [pa.int64()] * 4, min(buckets, MOST_TASKS))
 
 
 def cut_out(batches: DataFrame, gone: DataFrame) -> DataFrame:

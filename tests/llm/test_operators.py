@@ -272,6 +272,32 @@ def test_bwt_common_prefixes_and_sorted_shards(monkeypatch):
     assert repeated_windows(strings, low, 10, 100) != right
 
 
+def test_suffix_runs_are_narrowed_to_what_they_may_share():
+    """What is left of runs of one anchor holds all their equal windows, and little else reaches the merge."""
+    r = random.Random(5)
+    word = lambda n: bytes(r.choice(b"abcd") for _ in range(n))
+    for _ in range(30):
+        anchor, sides = word(24), [(word(26), word(26)) for _ in range(3)]
+        texts, at = [], []
+        for _ in range(40):
+            before, after = r.choice(sides)[0], r.choice(sides)[1]
+            k, m = r.randint(0, 26), r.randint(0, 26)
+            before, after = (word(26 - k) + before[26 - k :])[r.randint(0, 26) :], (after[:m] + word(26 - m))[: r.randint(0, 26)]
+            if len(before) + len(after) >= 26:
+                texts.append(before + anchor + after)
+                at.append(len(before))
+        low = np.array([r.randint(0, 9) for _ in texts])
+        first, end = suffix_dedup.narrowed(texts, np.array(at), low)
+        shared = [[i for i in range(len(t) - 49) if any(t[i : i + 50] in u and x != y for u, y in zip(texts, low))] for t, x in zip(texts, low)]
+        assert all(not s or (a <= s[0] and s[-1] + 50 <= b) for s, a, b in zip(shared, first, end))
+        near = lambda t, x: any(t[i : i + 48] in u and x != y for u, y in zip(texts, low) for i in range(len(t) - 47))
+        assert all(not b or near(t[a:b], x) for t, x, a, b in zip(texts, low, first, end))
+
+    # 13 equal bytes beside the anchor are no window
+    alone = [c * 13 + b"an anchor of twenty-four" + b"y" * 13 + c * 13 for c in (b"1", b"2", b"3")]
+    assert not suffix_dedup.narrowed(alone, np.array([13] * 3), np.arange(3))[1].any()
+
+
 def test_suffix_dedup_null_and_repeated_ids(spark):
     text = "".join(chr(97 + i * i % 23) for i in range(150))
     data = [(None, text + "1"), (None, text + "2"), (3, "x" * 60 + text), (3, text[:100] + "y" * 60), (3, text[:100] + "y" * 60), (9, "x" * 55 + "q" + text[20:90])]
